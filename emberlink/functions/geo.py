@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 EARTH_RADIUS_KM = 6371.0088
 # WGS-84 ellipsoid.
 _A_KM = 6378.137
-_F = 1 / 298.257223563
-_B_KM = _A_KM * (1 - _F)
+_FLATTENING = 1 / 298.257223563
+_E2 = _FLATTENING * (2 - _FLATTENING)
 
 KM_PER_LAT_DEGREE = 110.574
 # Sphere and ellipsoid differ by less than this share of a distance anywhere on earth.
@@ -25,103 +25,66 @@ def sphere_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
 
 
-def add_sphere_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str) -> DataFrame:
-    return df.withColumn(out, sphere_km(F.col(lat1), F.col(lon1), F.col(lat2), F.col(lon2)))
+def add_normal(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
+    """Unit vector that points straight up at (lat, lon), as three columns.
 
-
-def add_ellipsoid_km(
-    df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str, rounds: int = 4
-) -> DataFrame:
-    """WGS-84 geodesic distance in km by Vincenty's inverse method.
-
-    The method iterates on the longitude difference on the auxiliary sphere. Each round shrinks
-    the error about 300-fold, so for points that are not nearly antipodal four rounds reach
-    micrometres. A fixed count makes every round a plain projection: no Python, no loop.
+    Computed once per point, it leaves only sums and one root to do per pair.
     """
-    v = lambda name: f"__{out}_{name}"
-    c = lambda name: F.col(v(name))
-
-    reduced1 = F.atan(F.lit(1 - _F) * F.tan(F.radians(F.col(lat1))))
-    reduced2 = F.atan(F.lit(1 - _F) * F.tan(F.radians(F.col(lat2))))
-    # Wrap into (-180, 180] so that points on both sides of the date line are close.
-    turn = F.pmod(F.col(lon2) - F.col(lon1) + F.lit(540.0), F.lit(360.0)) - F.lit(180.0)
-    step = df.withColumns({v("u1"): reduced1, v("u2"): reduced2, v("l"): F.radians(turn)})
-    step = step.withColumns(
-        {
-            v("s1"): F.sin(c("u1")),
-            v("c1"): F.cos(c("u1")),
-            v("s2"): F.sin(c("u2")),
-            v("c2"): F.cos(c("u2")),
-            v("lam"): c("l"),
-        }
-    )
-    for _ in range(rounds):
-        step = step.withColumns({v("sl"): F.sin(c("lam")), v("cl"): F.cos(c("lam"))})
-        step = step.withColumns(
-            {
-                v("ss"): F.hypot(
-                    c("c2") * c("sl"), c("c1") * c("s2") - c("s1") * c("c2") * c("cl")
-                ),
-                v("cs"): c("s1") * c("s2") + c("c1") * c("c2") * c("cl"),
-            }
-        )
-        step = step.withColumns(
-            {
-                v("sig"): F.atan2(c("ss"), c("cs")),
-                v("sa"): F.when(c("ss") == 0.0, F.lit(0.0)).otherwise(
-                    c("c1") * c("c2") * c("sl") / c("ss")
-                ),
-            }
-        )
-        step = step.withColumn(v("ca2"), F.lit(1.0) - c("sa") * c("sa"))
-        step = step.withColumns(
-            {
-                v("c2m"): F.when(c("ca2") <= 1e-15, F.lit(0.0)).otherwise(
-                    c("cs") - F.lit(2.0) * c("s1") * c("s2") / c("ca2")
-                ),
-                v("cc"): F.lit(_F / 16) * c("ca2") * (F.lit(4.0) + F.lit(_F) * (F.lit(4.0) - F.lit(3.0) * c("ca2"))),
-            }
-        )
-        step = step.withColumn(
-            v("lam"),
-            c("l")
-            + (F.lit(1.0) - c("cc"))
-            * F.lit(_F)
-            * c("sa")
-            * (
-                c("sig")
-                + c("cc")
-                * c("ss")
-                * (c("c2m") + c("cc") * c("cs") * (F.lit(2.0) * c("c2m") * c("c2m") - F.lit(1.0)))
-            ),
-        )
-    u_sq = c("ca2") * F.lit((_A_KM**2 - _B_KM**2) / _B_KM**2)
-    step = step.withColumn(v("usq"), u_sq)
-    step = step.withColumns(
+    phi, lam = F.radians(F.col(lat)), F.radians(F.col(lon))
+    return df.withColumns(
         {
-            v("ka"): F.lit(1.0)
-            + c("usq") / F.lit(16384.0)
-            * (F.lit(4096.0) + c("usq") * (F.lit(-768.0) + c("usq") * (F.lit(320.0) - F.lit(175.0) * c("usq")))),
-            v("kb"): c("usq") / F.lit(1024.0)
-            * (F.lit(256.0) + c("usq") * (F.lit(-128.0) + c("usq") * (F.lit(74.0) - F.lit(47.0) * c("usq")))),
+            f"{prefix}x": F.cos(phi) * F.cos(lam),
+            f"{prefix}y": F.cos(phi) * F.sin(lam),
+            f"{prefix}z": F.sin(phi),
         }
     )
-    delta = c("kb") * c("ss") * (
-        c("c2m")
-        + c("kb") / F.lit(4.0)
-        * (
-            c("cs") * (F.lit(2.0) * c("c2m") * c("c2m") - F.lit(1.0))
-            - c("kb") / F.lit(6.0)
-            * c("c2m")
-            * (F.lit(4.0) * c("ss") * c("ss") - F.lit(3.0))
-            * (F.lit(4.0) * c("c2m") * c("c2m") - F.lit(3.0))
-        )
-    )
-    step = step.withColumn(out, F.lit(_B_KM) * c("ka") * (c("sig") - delta))
-    return step.select(*df.columns, out)
 
 
-ADD_KM = {"ellipsoid": add_ellipsoid_km, "sphere": add_sphere_km}
+def _sum_of_products(ones: list[Column], others: list[Column]) -> Column:
+    return ones[0] * others[0] + ones[1] * others[1] + ones[2] * others[2]
+
+
+def _steps(one: str, other: str, distance: str) -> tuple[list[Column], list[Column]]:
+    """Differences of two points: of the upward vectors, and of the places in km."""
+    up1 = [F.col(f"{one}{k}") for k in "xyz"]
+    up2 = [F.col(f"{other}{k}") for k in "xyz"]
+    turn = [b - a for a, b in zip(up1, up2)]
+    if distance == "sphere":
+        return turn, [F.lit(EARTH_RADIUS_KM) * t for t in turn]
+
+    def place(up: list[Column]) -> list[Column]:
+        prime_vertical = F.lit(_A_KM) / F.sqrt(F.lit(1.0) - F.lit(_E2) * up[2] * up[2])
+        return [
+            prime_vertical * up[0],
+            prime_vertical * up[1],
+            prime_vertical * F.lit(1 - _E2) * up[2],
+        ]
+
+    return turn, [b - a for a, b in zip(place(up1), place(up2))]
+
+
+def chord_sq_km(one: str, other: str, distance: str) -> Column:
+    """Square of the straight line through the earth; never longer than the way on its surface."""
+    _, step = _steps(one, other, distance)
+    return _sum_of_products(step, step)
+
+
+def arc_km(one: str, other: str, distance: str) -> Column:
+    """Distance on the surface between two points with upward-vector columns.
+
+    ``sphere`` is the great circle. ``ellipsoid`` is the WGS-84 geodesic for short ways: the
+    chord, bent with the curvature the surface has in that direction, which is the turn of the
+    upward vector along the chord. Against the iterative geodesic it is off by micrometres at
+    50 km and by centimetres at 500 km; unlike it, it needs no iteration and no Python.
+    """
+    turn, step = _steps(one, other, distance)
+    chord = F.sqrt(_sum_of_products(step, step))
+    if distance == "sphere":
+        half = chord / F.lit(2 * EARTH_RADIUS_KM)
+        return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), half))
+    bend = _sum_of_products(turn, step) / chord
+    bend_sq = bend * bend
+    return F.when(chord > 0.0, chord * (F.lit(1.0) + bend_sq / F.lit(24.0) + F.lit(3.0) * bend_sq * bend_sq / F.lit(640.0))).otherwise(F.lit(0.0))
 
 
 # ---- cell grid --------------------------------------------------------------------------
