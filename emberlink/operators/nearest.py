@@ -67,7 +67,7 @@ def link_space_time(
     return placed.join(best, ["lat", "lon", "day"]).select(
         "article_id",
         F.col("best.first.fire_id").alias("linked_fire_id"),
-        F.round("best.cost", 2).alias("match_score"),
+        F.round(F.col("best.cost") / F.lit(1e9), 2).alias("match_score"),
     )
 
 
@@ -80,7 +80,7 @@ def nearest(
     distance: str = "ellipsoid",
     max_per_cell: int = MAX_PER_CELL,
 ) -> DataFrame:
-    """Lowest-cost spot per point: ``(lat, lon, day, best: struct<cost, first>)``.
+    """Lowest-cost spot per point: ``(lat, lon, day, best: struct<cost, first>)``, cost in 1e-9.
 
     ``points``: distinct (lat, lon, day). ``spots``: distinct (lat, lon, day) with ``first``,
     the struct that identifies the spot and breaks ties.
@@ -96,13 +96,15 @@ def nearest(
             points, spots, days, km, day_weight, cell_deg, distance, max_per_cell
         )
     limit = float(km)
+    # In micrometres and whole, so that costs that differ only by rounding noise tie.
     cost = F.col("km") + F.lit(float(day_weight)) * F.col("apart")
+    whole = F.floor(cost * F.lit(1e9) + F.lit(0.5)).cast("long")
     return (
         pairs.where(geo.chord_sq_km("p_", "s_", distance) <= F.lit(limit * limit))
         .withColumn("km", geo.arc_km("p_", "s_", distance))
         .where(F.col("km") <= F.lit(limit))
         .groupBy("lat", "lon", "day")
-        .agg(F.min(F.struct(cost.alias("cost"), F.col("first"))).alias("best"))
+        .agg(F.min(F.struct(whole.alias("cost"), F.col("first"))).alias("best"))
     )
 
 

@@ -4,114 +4,81 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-ENTITY = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.StringType())])
+_S, _D, _B = T.StringType(), T.DoubleType(), T.BooleanType()
+_TS, _DAY = T.TimestampType(), T.DateType()
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+def _struct(*columns: tuple[str, T.DataType] | str) -> T.StructType:
+    """Nullable columns; a bare name is a string column."""
+    pairs = [(c, _S) if isinstance(c, str) else c for c in columns]
+    return T.StructType([T.StructField(name, kind) for name, kind in pairs])
 
 
+def _list_of(*columns: tuple[str, T.DataType] | str) -> T.ArrayType:
+    return T.ArrayType(_struct(*columns))
+
+
+ENTITY = _struct("text", "label")
+
 ARTICLES = _struct(
-    """
-    article_id string, title string, description string, content string, url string,
-    published_raw string, published_at timestamp, source string, source_type string,
-    language string, country string, query string,
-    linked_disaster_type string, linked_disaster_id string,
-    query_lat double, query_lon double, query_date date, location_match boolean,
-    relevance_score double, semantic_score double, semantic_linked_disaster_id string,
-    priority_match boolean, linked_fire_id string, match_score double,
-    entities array<struct<text:string,label:string>>, query_region string, ingested_at timestamp
-    """
+    "article_id", "title", "description", "content", "url",
+    "published_raw", ("published_at", _TS), "source", "source_type",
+    "language", "country", "query",
+    "linked_disaster_type", "linked_disaster_id",
+    ("query_lat", _D), ("query_lon", _D), ("query_date", _DAY), ("location_match", _B),
+    ("relevance_score", _D), ("semantic_score", _D), "semantic_linked_disaster_id",
+    ("priority_match", _B), "linked_fire_id", ("match_score", _D),
+    ("entities", T.ArrayType(ENTITY)), "query_region", ("ingested_at", _TS),
 )
 
 WILDFIRES = _struct(
-    """
-    fire_id string, country string, latitude double, longitude double, brightness double,
-    confidence string, acq_date date, acq_time string, satellite string, instrument string,
-    frp double, daynight string, source string, ingested_at timestamp
-    """
+    "fire_id", "country", ("latitude", _D), ("longitude", _D), ("brightness", _D),
+    "confidence", ("acq_date", _DAY), "acq_time", "satellite", "instrument",
+    ("frp", _D), "daynight", "source", ("ingested_at", _TS),
 )
 
 LANDSLIDES = _struct(
-    """
-    type string, event_id string, location string, date date, latitude double, longitude double,
-    source_name string, fatality_count string, landslide_size string, trigger string,
-    created_at timestamp
-    """
+    "type", "event_id", "location", ("date", _DAY), ("latitude", _D), ("longitude", _D),
+    "source_name", "fatality_count", "landslide_size", "trigger", ("created_at", _TS),
 )
 
 DISASTER_EVENTS = _struct(
-    """
-    type string, title string, description string, link string, guid string,
-    published_at timestamp, source string, ingested_at timestamp
-    """
+    "type", "title", "description", "link", "guid",
+    ("published_at", _TS), "source", ("ingested_at", _TS),
 )
 
 HAZARDS = _struct(
-    "hazard_id string, disaster_type string, latitude double, longitude double, event_date date"
+    "hazard_id", "disaster_type", ("latitude", _D), ("longitude", _D), ("event_date", _DAY)
 )
 
 # ---- payloads as they land ------------------------------------------------------------
 
+_OUTLET = ("source", _struct("name"))
+
 NEWSAPI_RESPONSE = _struct(
-    """
-    articles array<struct<source:struct<name:string>, title:string, description:string,
-                          url:string, publishedAt:string>>,
-    _corrupt string
-    """
+    ("articles", _list_of(_OUTLET, "title", "description", "url", "publishedAt")), "_corrupt"
 )
-
 GNEWS_RESPONSE = _struct(
-    """
-    articles array<struct<source:struct<name:string>, title:string, description:string,
-                          content:string, url:string, publishedAt:string>>,
-    _corrupt string
-    """
+    ("articles", _list_of(_OUTLET, "title", "description", "content", "url", "publishedAt")),
+    "_corrupt",
 )
-
 MEDIASTACK_RESPONSE = _struct(
-    """
-    data array<struct<title:string, description:string, url:string, published_at:string,
-                      source:string>>,
-    _corrupt string
-    """
+    ("data", _list_of("title", "description", "url", "published_at", "source")), "_corrupt"
 )
-
-REDDIT_POST = _struct(
-    """
-    subreddit string, title string, selftext string, url string, created_utc double,
-    _corrupt string
-    """
-)
-
+REDDIT_POST = _struct("subreddit", "title", "selftext", "url", ("created_utc", _D), "_corrupt")
 RSS_DOCUMENT = _struct(
-    """
-    channel struct<item:array<struct<title:string, link:string, description:string,
-                                     pubDate:string, guid:string>>>,
-    _corrupt string
-    """
+    ("channel", _struct(("item", _list_of("title", "link", "description", "pubDate", "guid")))),
+    "_corrupt",
 )
-
 FIRMS_ROW = _struct(
-    """
-    country_id string, latitude double, longitude double, bright_ti4 double, confidence string,
-    acq_date string, acq_time string, satellite string, instrument string, frp double,
-    daynight string
-    """
+    "country_id", ("latitude", _D), ("longitude", _D), ("bright_ti4", _D), "confidence",
+    "acq_date", "acq_time", "satellite", "instrument", ("frp", _D), "daynight",
 )
-
 LANDSLIDE_ROW = _struct(
-    """
-    event_id string, location string, date string, latitude string, longitude string,
-    source_name string, fatality_count string, landslide_size string, trigger string,
-    _corrupt string
-    """
+    "event_id", "location", "date", "latitude", "longitude", "source_name", "fatality_count",
+    "landslide_size", "trigger", "_corrupt",
 )
-
 TOPIC_MESSAGE = _struct(
-    """
-    title string, description string, url string, publishedAt string, source string,
-    source_type string, timestamp string, language string, country string, query string,
-    disaster_type string, _corrupt string
-    """
+    "title", "description", "url", "publishedAt", "source", "source_type", "timestamp",
+    "language", "country", "query", "disaster_type", "_corrupt",
 )
