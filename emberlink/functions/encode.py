@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
 Encoder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
 
-def char_ngrams(text: str, n: int = 3):
-    """Lower-cased overlapping n-grams; a shorter text is its own single gram."""
-    lowered = F.lower(F.col(text))
-    last = F.greatest(F.lit(1), F.length(lowered) - F.lit(n - 1))
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(lowered, i, F.lit(n)))
+def add_char_ngrams(df: DataFrame, text: str, out: str, n: int = 3) -> DataFrame:
+    """Lower-cased overlapping n-grams, in time linear in the text; a text shorter than ``n``
+    is its own single gram."""
+    letters = df.withColumn("__letters", F.split(F.lower(F.col(text)), ""))
+    grams = NGram(n=n, inputCol="__letters", outputCol=out).transform(letters)
+    whole = F.array(F.array_join("__letters", " "))
+    return grams.withColumn(out, F.when(F.size(out) == 0, whole).otherwise(F.col(out))).drop("__letters")
 
 
 def encode_hashed(*frames: tuple[DataFrame, str], width: int = 256, n: int = 3, out: str = "vector") -> list[DataFrame]:
@@ -28,7 +30,7 @@ def encode_hashed(*frames: tuple[DataFrame, str], width: int = 256, n: int = 3,
     tf = HashingTF(inputCol="__grams", outputCol="__tf", numFeatures=width)
     for df, text in frames:
         kept = df.where(F.length(F.col(text)) > 0)
-        counted.append(tf.transform(kept.withColumn("__grams", char_ngrams(text, n))).drop("__grams"))
+        counted.append(tf.transform(add_char_ngrams(kept, text, "__grams", n)).drop("__grams"))
     together = counted[0].select("__tf")
     for other in counted[1:]:
         together = together.unionByName(other.select("__tf"))

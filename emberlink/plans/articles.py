@@ -332,11 +332,11 @@ NAMES = {"LOC": ["The", "Der", "La"], "ORG": ["And", "Und", "El"]}
 @query(
     "entities",
     f"""
-    SELECT article_id, row_number() OVER (PARTITION BY article_id ORDER BY at) - 1 AS pos, word AS text,
+    SELECT article_id, row_number() OVER (PARTITION BY article_id ORDER BY nth) - 1 AS pos, word AS text,
            CASE WHEN word IN ('The', 'Der', 'La') THEN 'LOC' ELSE 'ORG' END AS label
-    FROM (SELECT article_id, unnest(words) AS word, generate_subscripts(words, 1) AS at
+    FROM (SELECT article_id, unnest(words) AS word, unnest(range(len(words))) AS nth
           FROM (SELECT article_id, regexp_extract_all(description, '[\\p{{L}}\\p{{N}}]+') AS words
-                FROM {st.ARTICLES_SQL} AS a))
+                FROM {st.ARTICLES_SQL} AS a) AS w) AS u
     WHERE word IN ('The', 'Der', 'La', 'And', 'Und', 'El')
     """,
 )
