@@ -6,28 +6,32 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
-# Layouts seen in the feeds, tried in this order. The parser takes no weekday names, so the
-# leading "Tue, " of a feed date is stripped before.
-_LAYOUTS = [
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
-    "dd MMM yyyy HH:mm:ss zzz",
-    "dd MMM yyyy HH:mm:ss Z",
-    "yyyy-MM-dd",
+# Feed dates by their ending. The parser takes no weekday names, so the leading "Tue, " is
+# stripped before.
+_FEED_LAYOUTS = [
+    (r" [+-][0-9]{4}$", "d MMM yyyy HH:mm:ss Z"),
+    (r" [A-Z]+$", "d MMM yyyy HH:mm:ss zzz"),
 ]
+_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]|$)"
+_EPOCH = r"^[0-9]{9,11}(\.[0-9]+)?$"
 
 
 def parse_published(value: str | Column) -> Column:
-    """A timestamp from any of the known layouts or from epoch seconds; null for anything else."""
+    """A timestamp from an ISO, feed or plain date, or from epoch seconds; else null.
+
+    The shape of the text picks the parser: trying one layout after the other would raise, and
+    swallow, an exception for every layout that does not fit.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    text = F.regexp_replace(F.trim(value), r"^[A-Za-z]{3}, ", "")
-    parsed = [F.try_to_timestamp(text, F.lit(layout)) for layout in _LAYOUTS]
-    epoch = F.when(
-        text.rlike(r"^[0-9]{9,11}(\.[0-9]+)?$"),
-        F.timestamp_seconds(text.try_cast("double")),
+    raw = F.trim(value)
+    feed = F.regexp_replace(raw, r"^[A-Za-z]{3}, ", "")
+    parsed = F.when(raw.rlike(_ISO), raw.try_cast("timestamp")).when(
+        raw.rlike(_EPOCH), F.timestamp_seconds(raw.try_cast("double"))
     )
-    return F.coalesce(*parsed, epoch)
+    for ending, layout in _FEED_LAYOUTS:
+        fits = raw.rlike(r"^([A-Za-z]{3}, )?[0-9]{1,2} [A-Za-z]{3} [0-9]{4} .*" + ending)
+        parsed = parsed.when(fits, F.try_to_timestamp(feed, F.lit(layout)))
+    return parsed
 
 
 def as_timestamp(as_of: str | dt.datetime | Column) -> Column:

@@ -86,8 +86,8 @@ def nearest(
     the struct that identifies the spot and breaks ties.
     """
     cell_deg = km / 100.0
-    points = geo.add_normal(points, "lat", "lon", "p_")
-    spots = geo.add_normal(spots, "lat", "lon", "s_")
+    points = geo.add_place(points, "lat", "lon", "p_", distance)
+    spots = geo.add_place(spots, "lat", "lon", "s_", distance)
     fullest = _fullest_cell(spots, cell_deg, 1)
     if fullest <= max_per_cell:
         pairs = _pairs_by_cell(points, spots, days, km, cell_deg)
@@ -95,16 +95,17 @@ def nearest(
         pairs = _pairs_by_refinement(
             points, spots, days, km, day_weight, cell_deg, distance, max_per_cell
         )
-    limit = float(km)
+    measured = geo.add_km(pairs, "p_", "s_", distance, within=km)
     # In micrometres and whole, so that costs that differ only by rounding noise tie.
     cost = F.col("km") + F.lit(float(day_weight)) * F.col("apart")
     whole = F.floor(cost * F.lit(1e9) + F.lit(0.5)).cast("long")
+    # The limit is tested inside the aggregate: as a filter it would be pushed below the
+    # projection, and the distance computed twice.
+    near = F.when(F.col("km") <= F.lit(float(km)), F.struct(whole.alias("cost"), F.col("first")))
     return (
-        pairs.where(geo.chord_sq_km("p_", "s_", distance) <= F.lit(limit * limit))
-        .withColumn("km", geo.arc_km("p_", "s_", distance))
-        .where(F.col("km") <= F.lit(limit))
-        .groupBy("lat", "lon", "day")
-        .agg(F.min(F.struct(whole.alias("cost"), F.col("first"))).alias("best"))
+        measured.groupBy("lat", "lon", "day")
+        .agg(F.min(near).alias("best"))
+        .where(F.col("best").isNotNull())
     )
 
 
@@ -260,7 +261,8 @@ def _pairs_by_refinement(
         in_a.join(pairs, [f"a_{k}" for k in _CELL])
         .join(in_s, [f"s_{k}" for k in _CELL])
         .select(
-            "lat", "lon", F.col("a_day").alias("day"), "first", "p_x", "p_y", "p_z", "s_x", "s_y", "s_z",
+            "lat", "lon", F.col("a_day").alias("day"), "first",
+            *geo.place_columns("p_", distance), *geo.place_columns("s_", distance),
             _apart("a_day", "s_day").alias("apart"),
         )
     )

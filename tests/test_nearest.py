@@ -193,6 +193,6 @@ def test_ellipsoid_distance_against_iterative_geodesic(spark, reach, tolerance_k
         if abs(lat2) <= 90 and haversine(lat, lon, lat2, lon2) <= reach * 1.5:
             rows.append((lat, lon, lat2, lon2))
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
-    df = geo.add_normal(geo.add_normal(df, "a", "b", "p_"), "c", "d", "q_")
-    for r in df.withColumn("km", geo.arc_km("p_", "q_", "ellipsoid")).collect():
+    df = geo.add_place(geo.add_place(df, "a", "b", "p_", "ellipsoid"), "c", "d", "q_", "ellipsoid")
+    for r in geo.add_km(df, "p_", "q_", "ellipsoid").collect():
         assert r.km == pytest.approx(vincenty(r.a, r.b, r.c, r.d), abs=tolerance_km)
