@@ -1,4 +1,7 @@
-"""Distances on the earth and a cell grid for space joins, in built-in expressions only."""
+"""Distances on the earth and a cell grid for space joins, in built-in expressions only.
+
+Formulas are SQL expressions over named columns, one per result column.
+"""
 
 from __future__ import annotations
 
@@ -17,12 +20,20 @@ KM_PER_LAT_DEGREE = 110.574
 ELLIPSOID_MARGIN = 0.01
 
 
-def sphere_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+def _d(value: float) -> str:
+    """A number as a SQL double; a bare ``0.5`` would be a decimal."""
+    return f"{float(value)!r}D"
+
+
+def sphere_km_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Great-circle distance in km."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / F.lit(2.0))
-    half_lon = F.sin(F.radians(lon2 - lon1) / F.lit(2.0))
-    chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    return f"""{_d(2 * EARTH_RADIUS_KM)} * asin(sqrt(least(1.0D,
+        pow(sin(radians({lat2} - ({lat1})) / 2.0D), 2.0D)
+        + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - ({lon1})) / 2.0D), 2.0D))))"""
+
+
+def sphere_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    return F.expr(sphere_km_sql(lat1, lon1, lat2, lon2))
 
 
 def add_place(df: DataFrame, lat: str, lon: str, prefix: str, distance: str) -> DataFrame:
@@ -31,16 +42,22 @@ def add_place(df: DataFrame, lat: str, lon: str, prefix: str, distance: str) ->
     Columns ``{prefix}x y z`` and, on the ellipsoid, ``{prefix}nx ny nz``. Computed once per
     point, they leave only sums and one root to do per pair.
     """
-    phi, lam = F.radians(F.col(lat)), F.radians(F.col(lon))
-    up = {"x": F.cos(phi) * F.cos(lam), "y": F.cos(phi) * F.sin(lam), "z": F.sin(phi)}
+    p = prefix
+    up = {
+        "x": f"cos(radians({lat})) * cos(radians({lon}))",
+        "y": f"cos(radians({lat})) * sin(radians({lon}))",
+        "z": f"sin(radians({lat}))",
+    }
     if distance == "sphere":
-        return df.withColumns({prefix + k: F.lit(EARTH_RADIUS_KM) * v for k, v in up.items()})
-    df = df.withColumns({f"{prefix}n{k}": v for k, v in up.items()})
-    nx, ny, nz = (F.col(f"{prefix}n{k}") for k in "xyz")
-    df = df.withColumn(f"{prefix}r", F.lit(_A_KM) / F.sqrt(F.lit(1.0) - F.lit(_E2) * nz * nz))
-    r = F.col(f"{prefix}r")
-    places = {f"{prefix}x": r * nx, f"{prefix}y": r * ny, f"{prefix}z": r * F.lit(1 - _E2) * nz}
-    return df.withColumns(places).drop(f"{prefix}r")
+        return df.selectExpr("*", *[f"{_d(EARTH_RADIUS_KM)} * {v} AS {p}{k}" for k, v in up.items()])
+    normal = df.selectExpr("*", *[f"{v} AS {p}n{k}" for k, v in up.items()])
+    prime_vertical = f"{_d(_A_KM)} / sqrt(1.0D - {_d(_E2)} * {p}nz * {p}nz)"
+    return normal.selectExpr(
+        "*",
+        f"{prime_vertical} * {p}nx AS {p}x",
+        f"{prime_vertical} * {p}ny AS {p}y",
+        f"{prime_vertical} * {_d(1 - _E2)} * {p}nz AS {p}z",
+    )
 
 
 def place_columns(prefix: str, distance: str) -> list[str]:
@@ -48,13 +65,6 @@ def place_columns(prefix: str, distance: str) -> list[str]:
     return [prefix + n for n in names]
 
 
-def _product_of_steps(one: str, other: str, left: str, right: str) -> Column:
-    """Dot product of two differences between the points."""
-    step = lambda kind, k: F.col(f"{other}{kind}{k}") - F.col(f"{one}{kind}{k}")
-    x, y, z = (step(left, k) * step(right, k) for k in "xyz")
-    return x + y + z
-
-
 def add_km(
     df: DataFrame, one: str, other: str, distance: str, out: str = "km", within: float | None = None
 ) -> DataFrame:
@@ -67,19 +77,21 @@ def add_km(
 
     ``within`` drops pairs whose straight line is longer already, on the cheapest test there is.
     """
-    chord_sq = _product_of_steps(one, other, "", "")
+    a, b = one, other
+    chord_sq = " + ".join(f"({b}{k} - {a}{k}) * ({b}{k} - {a}{k})" for k in "xyz")
     if within is not None:
-        df = df.where(chord_sq <= F.lit(float(within) ** 2))
-    df = df.withColumn("__chord_sq", chord_sq)
+        df = df.where(f"{chord_sq} <= {_d(within * within)}")
     if distance == "sphere":
-        half = F.sqrt("__chord_sq") / F.lit(2 * EARTH_RADIUS_KM)
-        return df.withColumn(out, F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), half))).drop("__chord_sq")
-    df = df.withColumn("__turned", _product_of_steps(one, other, "n", ""))
+        chord = df.selectExpr("*", f"sqrt({chord_sq}) AS __chord")
+        arc = f"{_d(2 * EARTH_RADIUS_KM)} * asin(least(1.0D, __chord / {_d(2 * EARTH_RADIUS_KM)}))"
+        return chord.selectExpr(*df.columns, f"{arc} AS {out}")
+    turned = " + ".join(f"({b}n{k} - {a}n{k}) * ({b}{k} - {a}{k})" for k in "xyz")
+    chord = df.selectExpr("*", f"{chord_sq} AS __chord_sq", f"{turned} AS __turned")
     # Square of the angle the surface bends by; nothing to bend between equal points.
-    angle = F.col("__turned") / F.sqrt("__chord_sq")
-    df = df.withColumn("__bend", F.when(F.col("__chord_sq") > 0.0, angle * angle).otherwise(F.lit(0.0)))
-    bent = F.lit(1.0) + F.col("__bend") / F.lit(24.0) + F.lit(3.0 / 640.0) * F.col("__bend") * F.col("__bend")
-    return df.withColumn(out, F.sqrt("__chord_sq") * bent).drop("__chord_sq", "__turned", "__bend")
+    bend = "CASE WHEN __chord_sq > 0.0D THEN __turned * __turned / __chord_sq ELSE 0.0D END"
+    bent = chord.selectExpr(*df.columns, "sqrt(__chord_sq) AS __chord", f"{bend} AS __bend")
+    arc = f"__chord * (1.0D + __bend / 24.0D + {_d(3 / 640)} * __bend * __bend)"
+    return bent.selectExpr(*df.columns, f"{arc} AS {out}")
 
 
 # ---- cell grid --------------------------------------------------------------------------
@@ -88,35 +100,30 @@ def add_km(
 # a circle touches stay few everywhere, and both poles and the date line need no special case.
 
 
-def band_of(lat: Column, cell_deg: float) -> Column:
-    return F.floor((lat + F.lit(90.0)) / F.lit(cell_deg)).cast("long")
-
-
-def cells_in_band(band: Column, cell_deg: float) -> Column:
-    middle = F.radians((band + F.lit(0.5)) * F.lit(cell_deg) - F.lit(90.0))
-    return F.greatest(F.lit(1), F.floor(F.lit(360.0) * F.cos(middle) / F.lit(cell_deg))).cast("long")
+def lon360_sql(lon: str) -> str:
+    return f"pmod({lon}, 360.0D)"
 
 
-def lon360(lon: Column) -> Column:
-    return F.pmod(lon, F.lit(360.0))
+def _band_sql(lat: str, cell_deg: float) -> str:
+    return f"CAST(floor(({lat} + 90.0D) / {_d(cell_deg)}) AS BIGINT)"
 
 
-def fraction_across(lon: Column, band: Column, cell_deg: float) -> Column:
-    """Longitude in units of the band's cells."""
-    return lon360(lon) * cells_in_band(band, cell_deg) / F.lit(360.0)
+def _cells_in_band_sql(band: str, cell_deg: float) -> str:
+    middle = f"radians(({band} + 0.5D) * {_d(cell_deg)} - 90.0D)"
+    return f"greatest(1L, CAST(floor(360.0D * cos({middle}) / {_d(cell_deg)}) AS BIGINT))"
 
 
 def add_cell(
     df: DataFrame, lat: str, lon: str, cell_deg: float, row: str, col: str, splits: int = 1
 ) -> DataFrame:
     """Cell indexes of a point; ``splits`` cuts each base cell that many times along each side."""
-    band = band_of(F.col(lat), cell_deg)
-    n = cells_in_band(band, cell_deg) * F.lit(splits)
-    return df.withColumns(
-        {
-            row: F.floor((F.col(lat) + F.lit(90.0)) * F.lit(splits) / F.lit(cell_deg)).cast("long"),
-            col: F.pmod(F.floor(lon360(F.col(lon)) * n / F.lit(360.0)).cast("long"), n),
-        }
+    counted = df.selectExpr(
+        "*", f"{_cells_in_band_sql(_band_sql(lat, cell_deg), cell_deg)} * {splits}L AS __n"
+    )
+    return counted.selectExpr(
+        *df.columns,
+        f"CAST(floor(({lat} + 90.0D) * {splits} / {_d(cell_deg)}) AS BIGINT) AS {row}",
+        f"pmod(CAST(floor({lon360_sql(lon)} * __n / 360.0D) AS BIGINT), __n) AS {col}",
     )
 
 
@@ -142,26 +149,18 @@ def touched_cells(
     meets a pole it is the whole band.
     """
     reach = reach_degrees(km)
-    angle = math.radians(reach)
-    steepest = F.greatest(F.abs(F.col(lat_min)), F.abs(F.col(lat_max)))
-    meets_pole = steepest + F.lit(reach) >= F.lit(89.999)
-    half_width = F.when(meets_pole, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(angle)) / F.cos(F.radians(steepest))))) * F.lit(1.01)
-    )
-    low = band_of(F.greatest(F.lit(-90.0), F.col(lat_min) - F.lit(reach)), cell_deg)
-    high = band_of(F.least(F.lit(90.0), F.col(lat_max) + F.lit(reach)), cell_deg)
-    bands = df.withColumn("__half", half_width).withColumn(row, F.explode(F.sequence(low, high)))
-    n = cells_in_band(F.col(row), cell_deg)
-    width = F.lit(360.0) / n
-    bands = bands.withColumns(
-        {
-            "__n": n,
-            "__from": F.floor((F.col(lon_min) - F.col("__half")) / width).cast("long"),
-            "__to": F.floor((F.col(lon_max) + F.col("__half")) / width).cast("long"),
-        }
-    )
-    last = F.least(F.col("__to"), F.col("__from") + F.col("__n") - F.lit(1))
-    cells = bands.withColumn("__at", F.explode(F.sequence(F.col("__from"), last)))
-    return cells.withColumn(col, F.pmod(F.col("__at"), F.col("__n"))).drop(
-        "__half", "__n", "__from", "__to", "__at"
+    steepest = f"greatest(abs({lat_min}), abs({lat_max}))"
+    half_width = f"""CASE WHEN {steepest} + {_d(reach)} >= 89.999D THEN 180.0D
+        ELSE 1.01D * degrees(asin(least(1.0D, {_d(math.sin(math.radians(reach)))} / cos(radians({steepest}))))) END"""
+    low = _band_sql(f"greatest(-90.0D, {lat_min} - {_d(reach)})", cell_deg)
+    high = _band_sql(f"least(90.0D, {lat_max} + {_d(reach)})", cell_deg)
+    bands = df.selectExpr("*", f"{half_width} AS __half", f"explode(sequence({low}, {high})) AS {row}")
+    counted = bands.selectExpr("*", f"{_cells_in_band_sql(row, cell_deg)} AS __n")
+    cells = counted.selectExpr(
+        *df.columns, row, "__n",
+        f"""explode(sequence(
+            CAST(floor(({lon_min} - __half) * __n / 360.0D) AS BIGINT),
+            least(CAST(floor(({lon_max} + __half) * __n / 360.0D) AS BIGINT),
+                  CAST(floor(({lon_min} - __half) * __n / 360.0D) AS BIGINT) + __n - 1))) AS __at""",
     )
+    return cells.selectExpr(*df.columns, row, f"pmod(__at, __n) AS {col}")

@@ -130,8 +130,12 @@ def _pairs_by_cell(
 ) -> DataFrame:
     """Every point with every spot that shares a reachable cell and a reachable day.
 
-    A point spreads over days and a spot over cells; a pair meets exactly once.
+    A point spreads over days and a spot over cells; a pair meets exactly once. Points are few
+    bytes but many pairs each, so they keep all shuffle partitions: by size alone, adaptive
+    execution would put them into a handful of tasks. The final minimum reuses the partitioning.
     """
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = points.repartition(tasks, "lat", "lon", "day")
     left = geo.add_cell(points, "lat", "lon", cell_deg, "row", "col").withColumn(
         "s_day", _nearby_days(F.col("day"), days)
     )
@@ -150,8 +154,8 @@ def _pairs_by_cell(
 def _boxes(df: DataFrame, cell_deg: float, splits: int, prefix: str) -> DataFrame:
     """Bounding box per occupied (day, cell)."""
     p = prefix
-    placed = geo.add_cell(df, "lat", "lon", cell_deg, "row", "col", splits).withColumn(
-        "lon360", geo.lon360(F.col("lon"))
+    placed = geo.add_cell(df, "lat", "lon", cell_deg, "row", "col", splits).selectExpr(
+        "*", f"{geo.lon360_sql('lon')} AS lon360"
     )
     return (
         placed.groupBy("day", "row", "col")
@@ -173,27 +177,30 @@ def _drop_losers(
     pairs: DataFrame, km: float, day_weight: float, distance: str
 ) -> DataFrame:
     """Keep a pair of cells unless another spot cell is certainly better for all its points."""
-    def middle(p: str, axis: str) -> Column:
-        return (F.col(f"{p}_{axis}0") + F.col(f"{p}_{axis}1")) / F.lit(2.0)
+    def middle(p: str, axis: str) -> str:
+        return f"({p}_{axis}0 + {p}_{axis}1) / 2.0D"
 
-    def radius(p: str) -> Column:
+    def radius(p: str) -> str:
         # Along the parallel to the corner's meridian, then along that meridian.
-        half_lat = F.radians(F.col(f"{p}_lat1") - F.col(f"{p}_lat0")) / F.lit(2.0)
-        half_lon = F.radians(F.col(f"{p}_lon1") - F.col(f"{p}_lon0")) / F.lit(2.0)
-        return F.lit(geo.EARTH_RADIUS_KM) * (half_lat + half_lon * F.cos(F.radians(middle(p, "lat"))))
+        return (
+            f"radians({p}_lat1 - {p}_lat0) / 2.0D"
+            f" + radians({p}_lon1 - {p}_lon0) / 2.0D * cos(radians({middle(p, 'lat')}))"
+        )
 
     margin = geo.ELLIPSOID_MARGIN if distance == "ellipsoid" else 1e-9
-    between = geo.sphere_km(middle("a", "lat"), middle("a", "lon"), middle("s", "lat"), middle("s", "lon"))
-    spread = radius("a") + radius("s")
+    between = geo.sphere_km_sql(middle("a", "lat"), middle("a", "lon"), middle("s", "lat"), middle("s", "lon"))
+    spread = f"{geo.EARTH_RADIUS_KM}D * ({radius('a')} + {radius('s')})"
     wait = F.lit(float(day_weight)) * _apart("a_day", "s_day")
-    slack = F.lit(1e-6)
-    bounded = pairs.withColumns({"__between": between, "__spread": spread})
-    bounded = bounded.withColumns(
-        {
-            "__low": F.greatest(F.lit(0.0), F.col("__between") - F.col("__spread")) * F.lit(1 - margin) - slack,
-            "__high": (F.col("__between") + F.col("__spread")) * F.lit(1 + margin) + slack,
-        }
-    ).where(F.col("__low") <= F.lit(float(km)))
+    slack = "1e-6D"
+    bounded = (
+        pairs.selectExpr("*", f"{between} AS __between", f"{spread} AS __spread")
+        .selectExpr(
+            "*",
+            f"greatest(0.0D, __between - __spread) * {1 - margin!r}D - {slack} AS __low",
+            f"(__between + __spread) * {1 + margin!r}D + {slack} AS __high",
+        )
+        .where(F.col("__low") <= F.lit(float(km)))
+    )
     # A cell pair promises a match only when even its far corners are within reach.
     promise = F.when(F.col("__high") <= F.lit(float(km)), F.col("__high") + wait)
     own_cell = Window.partitionBy(*[f"a_{k}" for k in _CELL])
