@@ -47,8 +47,9 @@ def compare(name: str, spark, con, sf_dir: str, queries, oracles) -> str | None:
     if have[0] != want[0]:
         return f"columns {have[0]} != {want[0]}"
     if have[1] == want[1]:
-        types = [tuple(type(v).__name__ for v in r) for r in (have[1][:1], want[1][:1]) for r in r]
-        return None if len(set(types)) <= 1 else None
+        kinds = [[tuple(type(v).__name__ for v in row) for row in rows] for rows in (have[1], want[1])]
+        different = [(a, b) for a, b in zip(*kinds) if a != b]
+        return f"types {different[0]}" if different else None
     only_have = [r for r in have[1] if r not in set(want[1])][:3]
     only_want = [r for r in want[1] if r not in set(have[1])][:3]
     return f"rows {len(have[1])} vs {len(want[1])}; only here {only_have}; only in SQL {only_want}"
