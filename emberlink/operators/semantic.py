@@ -56,11 +56,9 @@ def link_semantic(
     )
     if text is None:
         return linked
-    flags = articles.select("article_id", F.col(text).alias("__text"))
-    flagged = linked.join(flags, "article_id", "left")
-    return flagged.withColumn(
-        "priority_match", priority_flag(F.col("__text"), F.lit(True), priority_places)
-    ).drop("__text")
+    # The flag is found where the text is; only a bit per article goes through the join.
+    flag = priority_flag(F.col(text), F.lit(True), priority_places).alias("priority_match")
+    return linked.join(articles.select("article_id", flag), "article_id", "left")
 
 
 def top1(

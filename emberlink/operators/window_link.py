@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from emberlink import lexicons as lx
 from emberlink.functions.text import match_any
 
+# Some 270 years; a row is about a hundred bytes.
+MAX_BROADCAST_DATES = 100_000
+
 
 def event_window_plan(hazards: DataFrame, days: int = lx.NEWS_WINDOW_DAYS) -> DataFrame:
     """Search window of each hazard: ``from_date`` and ``to_date``, both included."""
@@ -60,7 +63,8 @@ def link_by_window(
     of its type and a place name. Types go in lexicon order, hazards of a type in ``order``; the
     first one wins. ``as_of`` leaves out hazards older than ``recent_days``.
 
-    The hazard side is one row per date, so it is broadcast: articles are not shuffled.
+    The hazard side is one row per covered date. When the dates span at most
+    ``MAX_BROADCAST_DATES`` it is broadcast, and articles are not shuffled.
     """
     if as_of is not None:
         oldest = F.date_sub(F.lit(str(as_of)).cast("date"), recent_days)
@@ -70,9 +74,11 @@ def link_by_window(
     found = articles
     if places is not None:
         found = found.where(match_any(fields, places))
-    found = found.withColumn("covered", F.to_date("published_at")).join(
-        F.broadcast(by_date), "covered"
-    )
+    # Two dates, read off the hazards without a shuffle, bound the rows of the hazard side.
+    span = hazards.agg(F.date_diff(F.max("event_date"), F.min("event_date"))).first()[0]
+    if (span or 0) + 2 * days + 1 <= MAX_BROADCAST_DATES:
+        by_date = F.broadcast(by_date)
+    found = found.withColumn("covered", F.to_date("published_at")).join(by_date, "covered")
     choice = F.coalesce(
         *[
             F.when(
