@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from emberlink.flows import enrich, ingest_news
 from emberlink.functions.encode import encode_hashed
 from emberlink.functions.text import article_text, event_text
-from emberlink.operators.classify import score_relevance, region_of
-from emberlink.operators.dedup import dedup_first
+from emberlink.operators.classify import region_of
 from emberlink.operators.hazards import hazard_counts, hazards_union
 from emberlink.operators.nearest import link_space_time
-from emberlink.operators.overlay import overlay
 from emberlink.operators.reports import dashboard_filter, dashboard_view, linked_only
-from emberlink.operators.entities import extract_entities
 from emberlink.operators.semantic import link_semantic
 from emberlink.operators.window_link import event_window_plan, link_by_window
 from emberlink.plans import standins as st
@@ -78,19 +76,6 @@ _WINDOW_SQL = f"""
 """
 
 
-def _window_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_by_window(
-        st.articles(spark, sf_dir),
-        hazards(spark, sf_dir),
-        lexicon=st.TYPES,
-        places=st.PLACES,
-        fields="description",
-        as_of=st.AS_OF,
-    ).select(
-        "article_id", "url", "linked_disaster_type", "linked_disaster_id", F.col("query_date").cast("string").alias("query_date")
-    )
-
-
 @query(
     "event_window_join",
     _WINDOW_SQL
@@ -101,7 +86,16 @@ def _window_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def event_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _window_link(spark, sf_dir).drop("url")
+    return link_by_window(
+        st.articles(spark, sf_dir),
+        hazards(spark, sf_dir),
+        lexicon=st.TYPES,
+        places=st.PLACES,
+        fields="description",
+        as_of=st.AS_OF,
+    ).select(
+        "article_id", "linked_disaster_type", "linked_disaster_id", F.col("query_date").cast("string").alias("query_date")
+    )
 
 
 @query(
@@ -115,7 +109,10 @@ def event_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def news_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch import: link by date window, then keep the first article per url."""
-    return dedup_first(_window_link(spark, sf_dir).drop("query_date"), "url", "article_id")
+    news = ingest_news(
+        st.articles(spark, sf_dir), hazards(spark, sf_dir), lexicon=st.TYPES, places=st.PLACES, as_of=st.AS_OF
+    )
+    return news.select("article_id", "url", "linked_disaster_type", "linked_disaster_id")
 
 
 def _space_time_sql(distance: str, extra: str, gate: str = "WHERE semantic_score >= 0.2") -> str:
@@ -271,21 +268,15 @@ def enrich_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrichment end to end: relevance, link, entities, region, dashboard table."""
     placed = st.placed_articles(spark, sf_dir)
     news = st.articles(spark, sf_dir).drop("published_at").join(placed, "article_id")
-    empty = {
-        "relevance_score": "double",
-        "linked_fire_id": "long",
-        "match_score": "double",
-        "entities": "array<struct<text:string,label:string>>",
-    }
-    news = news.withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
-    scored = score_relevance(
-        news, fields="description", hazard_terms=st.TYPES["wildfire"], place_terms=st.PLACES
+    enriched = enrich(
+        news,
+        st.wildfires(spark, sf_dir),
+        hazard_terms=st.TYPES["wildfire"],
+        place_terms=st.PLACES,
+        gazetteer=NAMES,
+        regions=st.REGIONS,
     )
-    links = link_space_time(placed, st.wildfires(spark, sf_dir))
-    linked = overlay(scored, links, "article_id", ["linked_fire_id", "match_score"])
-    tagged = extract_entities(linked_only(linked), "description", NAMES)
-    placed_in = tagged.withColumn("query_region", region_of("query_lat", "query_lon", st.REGIONS))
-    view = dashboard_filter(dashboard_view(placed_in), min_relevance=0.5)
+    view = dashboard_filter(dashboard_view(linked_only(enriched)), min_relevance=0.5)
     return view.select(
         "Title", "Region", "Relevance", F.round("Semantic", 4).alias("Semantic"), "Match", "Entities"
     )
