@@ -74,9 +74,9 @@ def test_zero_vectors(spark):
 
 
 def test_large_components_do_not_round(spark):
-    a, b = [2.0**31, 1.0], [2.0**20, 1.0]
+    a, b = [2.0**30, 1.0], [2.0**20, 1.0]
     df = spark.createDataFrame([(0, a, "", ""), (1, b, "", "")], SCHEMA)
-    assert _lists(topk.top_k_integer(df, ASKS(), 5))[0][0][1] == float(2**37 * 2**26 + 64 * 64)
+    assert _lists(topk.top_k_integer(df, ASKS(), 5))[0][0][1] == float(2**36 * 2**26 + 64 * 64)
     huge = spark.createDataFrame([(0, [3e38, 1.0], "", ""), (1, [3e38, 1.0], "", "")], SCHEMA)
     assert topk.top_k_integer(huge, ASKS(), 5).first()["score"] == 2**63 - 1
 
