@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlink.llm import bpe, packing, rabitq, topk
+from emberlink.llm import bpe, langid, packing, rabitq, topk
 from emberlink.llm.common import use_utc
 
 
@@ -18,5 +18,10 @@ def _in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
-QUERIES = {q.__name__: _in_utc(q) for q in (bpe.op2_bpe_round_trip, packing.op3_pack, rabitq.op9_rabitq_search, topk.op10_exact_topk)}
+QUERIES = {
+    q.__name__: _in_utc(q)
+    for q in (
+        langid.op1_language, bpe.op2_bpe_round_trip, packing.op3_pack, rabitq.op9_rabitq_search, topk.op10_exact_topk,
+    )
+}
 ORACLES = {"op10_exact_topk": topk.OP10_SQL}
