@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlink.llm import bpe, dart_minhash, langid, packing, rabitq, topk
+from emberlink.llm import bpe, dart_minhash, langid, packing, rabitq, suffix_dedup, topk
 from emberlink.llm.common import use_utc
 
 
@@ -21,7 +21,8 @@ def _in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 QUERIES = {
     q.__name__: _in_utc(q)
     for q in (
-        langid.op1_language, bpe.op2_bpe_round_trip, packing.op3_pack, dart_minhash.op7_near_duplicates, rabitq.op9_rabitq_search, topk.op10_exact_topk,
+        langid.op1_language, bpe.op2_bpe_round_trip, packing.op3_pack, dart_minhash.op7_near_duplicates,
+        suffix_dedup.op8_suffix_dedup, rabitq.op9_rabitq_search, topk.op10_exact_topk,
     )
 }
 ORACLES = {"op10_exact_topk": topk.OP10_SQL}
