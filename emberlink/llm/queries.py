@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlink.llm import bpe, dart_minhash, langid, packing, rabitq, secrets, suffix_dedup, topk, urls
+from emberlink.llm import bpe, dart_minhash, html_text, langid, packing, rabitq, secrets, suffix_dedup, topk, urls
 from emberlink.llm.common import use_utc
 
 
@@ -21,7 +21,7 @@ def _in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 QUERIES = {
     q.__name__: _in_utc(q)
     for q in (
-        langid.op1_language, bpe.op2_bpe_round_trip, packing.op3_pack, secrets.op4_secrets, urls.op6_url_verdicts, dart_minhash.op7_near_duplicates,
+        langid.op1_language, bpe.op2_bpe_round_trip, packing.op3_pack, secrets.op4_secrets, html_text.op5_main_text, urls.op6_url_verdicts, dart_minhash.op7_near_duplicates,
         suffix_dedup.op8_suffix_dedup, rabitq.op9_rabitq_search, topk.op10_exact_topk,
     )
 }
