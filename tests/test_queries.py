@@ -28,6 +28,4 @@ def test_entry(spark):
 
 
 def test_only_hashing_has_no_sql():
-
-
     assert set(QUERIES) - set(ORACLES) == {"semantic_text"}
