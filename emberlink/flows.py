@@ -7,7 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from emberlink import lexicons as lx, schemas
-from emberlink.functions.text import article_text
+from emberlink.functions.ids import natural_key
+from emberlink.functions.text import article_text, blank_to_null
 from emberlink.operators.classify import region_of, score_relevance
 from emberlink.operators.dedup import dedup_first, insert_absent
 from emberlink.operators.entities import GAZETTEER, extract_entities
@@ -20,19 +21,32 @@ from emberlink.operators.window_link import link_by_window
 SEMANTIC_COLUMNS = ["semantic_score", "semantic_linked_disaster_id", "linked_disaster_type", "priority_match"]
 
 
+def identified(df: DataFrame, name: str = "__identity") -> DataFrame:
+    """Add what makes an article itself: its url or, without one, its title and source."""
+    parts = [c for c in ("title", "source") if c in df.columns]
+    return df.withColumn(name, F.coalesce(blank_to_null("url"), natural_key(*parts)))
+
+
+def insert_articles(new: DataFrame, stored: DataFrame | None, order: str | Column | Iterable[str | Column], key: str | None = None) -> DataFrame:
+    """The rows of ``new`` to append: first of each article, and not stored. ``key`` names another identity."""
+    if key is None:
+        new, key = identified(new), "__identity"
+        stored = None if stored is None else identified(stored)
+    first = dedup_first(new, key, order) if stored is None else insert_absent(new, stored, key, order)
+    return first.drop("__identity")
+
+
 def ingest_news(
     articles: DataFrame,
     hazards: DataFrame,
     stored: DataFrame | None = None,
-    key: str = "url",
+    key: str | None = None,
     order: str | Column | Iterable[str | Column] = "article_id",
     **link_options,
 ) -> DataFrame:
-    """Articles to append: they belong to a hazard, come first for their url, and are not stored."""
+    """Articles to append: they belong to a hazard, come first of their copies, and are not stored."""
     linked = link_by_window(require_any(articles, "title", "description"), hazards, **link_options)
-    if stored is None:
-        return dedup_first(linked, key, order)
-    return insert_absent(linked, stored, key, order)
+    return insert_articles(linked, stored, order, key)
 
 
 def enrich(

@@ -37,9 +37,12 @@ def insert_absent(
 ) -> DataFrame:
     """The rows of ``new`` to append: first per key, and only keys that ``target`` lacks.
 
-    Only the key column of the target is read, and its copies collapse before the shuffle.
+    Only the key columns of the target are read, and its copies collapse before the shuffle. Null
+    keys count as one key; key on ``article_id`` where rows without a url must stay apart. Both
+    steps use one key column that is never null, so the new rows are shuffled once.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    known = target.select(*[F.col(k).alias(f"__known_{k}") for k in keys]).distinct()
-    condition = [F.col(k).eqNullSafe(F.col(f"__known_{k}")) for k in keys]
-    return dedup_first(new, keys, order).join(known, condition, "left_anti")
+    whole = F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+    known = target.select(whole.alias("__key")).distinct()
+    first = dedup_first(new.withColumn("__key", whole), "__key", order)
+    return first.join(known, "__key", "left_anti").select(*new.columns)

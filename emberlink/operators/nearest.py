@@ -37,6 +37,7 @@ def link_space_time(
 ) -> DataFrame:
     """``(article_id, linked_fire_id, match_score)`` for every article that has a fire in reach.
 
+    Copies of an article at one place and day are one row of the result.
     ``articles``: article_id, published_at, query_lat, query_lon and, unless ``min_semantic``
     is None, semantic_score. ``fires``: fire_id, latitude, longitude, acq_date and ``order``.
     """
@@ -49,7 +50,7 @@ def link_space_time(
         F.col("query_lat").alias("lat"),
         F.col("query_lon").alias("lon"),
         F.to_date("published_at").alias("day"),
-    ).where("lat IS NOT NULL AND lon IS NOT NULL AND day IS NOT NULL")
+    ).where("lat IS NOT NULL AND lon IS NOT NULL AND day IS NOT NULL").distinct()
     spots = (
         fires.select(
             F.col("latitude").alias("lat"),

@@ -19,13 +19,13 @@ def overlay(
 ) -> DataFrame:
     """``base`` with ``columns`` set from the patch row of the same key; all else stays.
 
-    A patch row sets its columns even to null. ``patch_order`` names the order in which the first
-    patch row of a key is taken, when the patch may hold several. ``missing_clears`` empties the
-    columns of rows that have no patch instead of keeping what they had.
+    A patch row sets its columns even to null. Of several patch rows of a key the first in
+    ``patch_order`` counts (by default in the order of ``columns``), so every row of ``base`` stays
+    one row. ``missing_clears`` empties the columns of rows that have no patch instead of keeping
+    what they had.
     """
     columns = list(columns)
-    if patch_order is not None:
-        patch = dedup_first(patch, key, patch_order)
+    patch = dedup_first(patch.select(key, *columns) if patch_order is None else patch, key, columns if patch_order is None else patch_order)
     found = F.col("__found").isNotNull()
     side = patch.select(
         F.col(key), F.lit(True).alias("__found"), *[F.col(c).alias(f"__new_{c}") for c in columns]

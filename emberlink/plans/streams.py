@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from emberlink import lexicons as lx
+from emberlink.functions.ids import article_key
 from emberlink.plans import standins as st
 from emberlink.plans.registry import query
 from emberlink.session import scratch_dir
-from emberlink.sinks.tables import append_table
+from emberlink.sinks.tables import append_absent, append_table
 from emberlink.sinks.topics import publish
 from emberlink.streaming import unified as un
 
@@ -45,9 +46,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> str:
     """,
 )
 def stream_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = un.StreamConfig(
-        scratch_dir(spark, "checkpoint"), scratch_dir(spark, "articles"), scratch_dir(spark, "quarantine"), as_of=st.AS_OF
-    )
+    config = _config(spark)
     un.run_unified(un.read_topic_files(spark, _messages(spark, sf_dir)), config)
     stamp = F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested")
     stored = spark.read.parquet(config.table).select(
@@ -61,12 +60,41 @@ def stream_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(aside)
 
 
-@query("stream_dedup", f"SELECT DISTINCT url, language FROM {st.ARTICLES_SQL} AS a WHERE language <> 'es'")
+_FIRST_COPIES = f"""
+    SELECT url, language, title, md5(description) AS body, strftime(published_at, '%Y-%m-%d') AS published
+    FROM {st.ARTICLES_SQL} AS a WHERE language <> 'es'
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY published_at, title, description) = 1
+"""
+
+
+def _columns(articles: DataFrame) -> DataFrame:
+    day = F.date_format("published_at", "yyyy-MM-dd").alias("published")
+    return articles.select("url", "language", "title", F.md5("description").alias("body"), day)
+
+
+def _config(spark: SparkSession) -> un.StreamConfig:
+    return un.StreamConfig(
+        scratch_dir(spark, "checkpoint"), scratch_dir(spark, "articles"), scratch_dir(spark, "quarantine"), as_of=st.AS_OF
+    )
+
+
+@query("stream_dedup", _FIRST_COPIES)
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Duplicates dropped in the stream; the horizon spans all of the data."""
-    out = scratch_dir(spark, "unique")
-    un.run_dedup(un.read_topic_files(spark, _messages(spark, sf_dir)), out, scratch_dir(spark, "checkpoint"), "60 days")
-    return spark.read.parquet(out).select("url", "language")
+    """Each article once, the first to arrive, over thirty days of messages."""
+    config = _config(spark)
+    un.run_dedup(un.read_topic_files(spark, _messages(spark, sf_dir)), config)
+    return _columns(spark.read.parquet(config.table))
+
+
+@query("stream_then_batch", _FIRST_COPIES.replace("WHERE language <> 'es'", "WHERE true"))
+def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream and then a batch write one table; what the stream lost to quarantine the batch adds."""
+    config = _config(spark)
+    un.run_dedup(un.read_topic_files(spark, _messages(spark, sf_dir)), config)
+    articles = st.articles(spark, sf_dir).withColumn("article_id", article_key())
+    wanted = articles.select("article_id", "url", "language", "title", "description", F.col("published_at").cast("timestamp").alias("published_at"))
+    append_absent(wanted, config.table, "article_id", ["published_at", "title", "description"], as_of=st.AS_OF)
+    return _columns(spark.read.option("mergeSchema", "true").parquet(config.table))
 
 
 @query(
@@ -117,15 +145,15 @@ def stream_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sink_json_value",
     """
-    SELECT topic, json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type, 'props', props)::VARCHAR AS value
+    SELECT topic, json_object('event_id', event_id, 'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), 'user_id', user_id,
+        'event_type', event_type, 'value', value, 'props', props)::VARCHAR AS value
     FROM events, (VALUES ('newsapi_articles')) AS t(topic)
     """,
 )
 def sink_json_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records published as JSON; files stand in for the broker."""
     topic = scratch_dir(spark, "topic")
-    rows = st.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
-    publish(rows, lx.TOPICS["newsapi"], {"path": topic}, fmt="parquet")
+    publish(st.table(spark, sf_dir, "events"), lx.TOPICS["newsapi"], {"path": topic}, fmt="parquet")
     return spark.read.parquet(topic).select("topic", "value")
 
 

@@ -1,10 +1,17 @@
-"""Appending to tables, and routing to a backend by name."""
+"""Appending to tables, and routing to a backend by name.
+
+Every write to a file table owns one folder, ``writer=W/batch_id=N``, and overwrites it. A stream
+writes as its query id, which lives in its checkpoint, so a micro-batch that runs again replaces
+itself, and a second query or a fresh checkpoint never touches what others wrote. A batch write is
+a writer of its own. All writers share this layout, so a table reads whole whoever wrote it.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberlink.functions.times import as_timestamp
 from emberlink.operators.dedup import insert_absent
@@ -14,6 +21,8 @@ Sink = Callable[[DataFrame, int], None]
 # Backend names of the configuration, and the table format behind each.
 BACKENDS = {"mongo": "parquet", "delta": "delta", "parquet": "parquet", "orc": "orc", "json": "json"}
 
+_QUERY_ID = "sql.streaming.queryId"  # set by Spark on the thread that runs a micro-batch
+
 
 def stamp(df: DataFrame, as_of=None, as_text: bool = False) -> DataFrame:
     """Set the time of ingestion, as a timestamp or as text."""
@@ -21,33 +30,63 @@ def stamp(df: DataFrame, as_of=None, as_text: bool = False) -> DataFrame:
     return df.withColumn("ingested_at", now.cast("string") if as_text else now)
 
 
+def _folder(path: str, writer: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/writer={writer}/batch_id={batch_id}"
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, asked of the file system that holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def stored_keys(spark: SparkSession, path: str, fmt: str, like: DataFrame, without: tuple[str, int] | None = None) -> DataFrame:
+    """The rows a table holds, in the columns of ``like``; no rows if it is not there yet.
+
+    ``without`` leaves out one folder (writer, batch id): a batch that runs again must not meet itself.
+    """
+    if not table_exists(spark, path):
+        return like.limit(0)
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path)
+    # The schema is given, so a table without a file yet reads as empty.
+    reader = spark.read.schema(like.schema.add("writer", "string").add("batch_id", "long")).format(fmt)
+    held = reader.load(path)
+    if without:
+        own = F.col("writer").eqNullSafe(F.lit(without[0])) & F.col("batch_id").eqNullSafe(F.lit(without[1]))
+        held = held.where(~own)
+    return held.select(*like.columns)
+
+
 def append_table(
     df: DataFrame, path: str, fmt: str = "parquet", as_of=None, as_text: bool = False, partition_by: list[str] | None = None
 ) -> None:
     """Append as it is, without looking for duplicates."""
-    writer = stamp(df, as_of, as_text).write.mode("append").format(fmt)
+    stamped = stamp(df, as_of, as_text)
+    if fmt == "delta":
+        writer, target = stamped.write.mode("append"), path
+    else:
+        writer, target = stamped.write.mode("overwrite"), _folder(path, f"batch-{uuid.uuid4().hex}", 0)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    writer.format(fmt).save(target)
 
 
 def append_absent(new: DataFrame, path: str, key, order, fmt: str = "parquet", as_of=None) -> None:
     """Append the rows whose key the table at ``path`` lacks; first per key. One writer at a time."""
-    spark = new.sparkSession
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception as missing:  # noqa: BLE001 - the only way Spark reports an absent table
-        if "PATH_NOT_FOUND" not in str(missing) and "UNABLE_TO_INFER_SCHEMA" not in str(missing):
-            raise
-        target = new.limit(0)
+    keys = new.select(*([key] if isinstance(key, str) else list(key)))
+    target = stored_keys(new.sparkSession, path, fmt, keys)
     append_table(insert_absent(new, target, key, order), path, fmt, as_of)
 
 
-def make_sink(backend: str, path: str, as_of=None, as_text: bool | None = None) -> Sink:
+def make_sink(
+    backend: str, path: str, as_of=None, as_text: bool | None = None, writer: str | None = None, absent: tuple | None = None
+) -> Sink:
     """A ``foreachBatch`` writer. An unknown backend fails here, before anything is read.
 
-    A batch owns the folder ``batch_id=N`` and overwrites it, so a batch that runs again after
-    a failure does not appear twice. Delta keeps the same promise with its transaction ids.
+    ``writer`` is the streaming query's id unless given. ``absent=(key, order)`` stores only rows
+    whose key the table lacks, first per key, however late they come. Delta keeps a batch from
+    appearing twice with its transaction ids.
     """
     if backend not in BACKENDS:
         raise ValueError(f"unknown storage backend {backend!r}; known: {', '.join(BACKENDS)}")
@@ -55,13 +94,21 @@ def make_sink(backend: str, path: str, as_of=None, as_text: bool | None = None)
     text_stamp = backend == "delta" if as_text is None else as_text
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = writer or spark.sparkContext.getLocalProperty(_QUERY_ID)
+        if not name:
+            raise ValueError("outside a streaming query a sink needs the name of its writer")
+        if absent:
+            key, order = absent
+            keys = batch.select(*([key] if isinstance(key, str) else list(key)))
+            batch = insert_absent(batch, stored_keys(spark, path, fmt, keys, (name, batch_id)), key, order)
         stamped = stamp(batch, as_of, text_stamp)
         if fmt == "delta":
             (
                 stamped.write.format("delta").mode("append")
-                .option("txnAppId", path).option("txnVersion", batch_id).save(path)
+                .option("txnAppId", name).option("txnVersion", batch_id).save(path)
             )
         else:
-            stamped.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+            stamped.write.format(fmt).mode("overwrite").save(_folder(path, name, batch_id))
 
     return write

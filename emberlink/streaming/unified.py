@@ -76,7 +76,10 @@ def messages_to_articles(decoded: DataFrame) -> DataFrame:
 
 def split_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good articles, and what has to be looked at: ``(topic, timestamp, value)``."""
-    decoded = decode(batch)
+    return split_decoded(decode(batch))
+
+
+def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (
         messages_to_articles(decoded.where("valid")),
         decoded.where("NOT valid").select("topic", "timestamp", "value"),
@@ -101,16 +104,22 @@ def run_unified(stream: DataFrame, config: StreamConfig, wait: bool = True):
     good_sink = make_sink(config.backend, config.table, config.as_of)
     bad_sink = make_sink("parquet", config.quarantine, config.as_of)
 
+    return _run(stream, _both(good_sink, bad_sink), config.checkpoint, config.options, wait)
+
+
+def _both(good_sink: Sink, bad_sink: Sink) -> Sink:
+    """Decode a batch once, then store its articles and what has to be looked at."""
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        decoded = decode(batch).persist()
         try:
-            good, bad = split_batch(batch)
+            good, bad = split_decoded(decoded)
             good_sink(good, batch_id)
             bad_sink(bad, batch_id)
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
-    return _run(stream, store, config.checkpoint, config.options, wait)
+    return store
 
 
 def _run(stream: DataFrame, store: Sink, checkpoint: str, options: dict[str, str], wait: bool):
@@ -126,51 +135,35 @@ def _run(stream: DataFrame, store: Sink, checkpoint: str, options: dict[str, str
     return query
 
 
-def dedup_stream(articles: DataFrame, horizon: str = "7 days", event_time: str = "received_at", salts: int = 8) -> DataFrame:
-    """Each article once within ``horizon`` of event time.
+def run_dedup(stream: DataFrame, config: StreamConfig, wait: bool = True):
+    """Consume what is there and store each article once; quarantine the rest.
 
-    Duplicates are dropped per (article, salt) first and per article then, so an article that
-    makes up a third of the stream is spread over several tasks before it meets in one.
+    Every batch is held against the table itself, so an article is stored however late it
+    comes, and a copy is found however long ago the first came: no watermark, no state to outgrow.
+    A batch reads one column of the table. Of copies within a batch the first to arrive stays,
+    chosen in each task before the shuffle, so a hot article sends one row a task.
     """
-    marked = articles.withWatermark(event_time, horizon)
-    if salts > 1:
-        salt = F.pmod(F.xxhash64("title", "description", "published_raw", event_time), F.lit(salts))
-        marked = (
-            marked.withColumn("__salt", salt)
-            .dropDuplicatesWithinWatermark(["article_id", "__salt"])
-            .drop("__salt")
-        )
-    return marked.dropDuplicatesWithinWatermark(["article_id"])
-
-
-def run_dedup(stream: DataFrame, path: str, checkpoint: str, horizon: str = "7 days", fmt: str = "parquet", wait: bool = True, salts: int = 8):
-    """Decode, drop duplicates in the stream, append to a file table exactly once."""
-    good = messages_to_articles(decode(stream).where("valid"))
-    query = (
-        dedup_stream(good, horizon, salts=salts)
-        .writeStream.format(fmt)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    if wait:
-        query.awaitTermination()
-    return query
+    order = ("received_at", "published_raw", "title", "description")
+    good_sink = make_sink(config.backend, config.table, config.as_of, absent=("article_id", order))
+    bad_sink = make_sink("parquet", config.quarantine, config.as_of)
+    return _run(stream, _both(good_sink, bad_sink), config.checkpoint, config.options, wait)
 
 
 def run_links(stream: DataFrame, fires: DataFrame, path: str, checkpoint: str, wait: bool = True, **link_options):
     """Link streamed articles to a table of fires, batch by batch.
 
-    All fires an article could match are in the table, so its best match needs no state.
+    All fires an article could match are in the table, so its best match needs no state. A batch
+    reads only the fires of its own dates and the days around them.
     """
     sink = make_sink("parquet", path)
+    days = link_options.get("days", lx.LINK_DAYS)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            links = link_space_time(batch, fires, **link_options)
+            first, last = batch.agg(F.min("published_at").cast("date"), F.max("published_at").cast("date")).first()
+            near = F.lit(False) if first is None else F.col("acq_date").cast("date").between(F.date_sub(F.lit(first), days), F.date_add(F.lit(last), days))
+            links = link_space_time(batch, fires.where(near), **link_options)
             sink(overlay(batch, links, "article_id", ["linked_fire_id", "match_score"]), batch_id)
         finally:
             batch.unpersist()

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from emberlink.flows import enrich, ingest_news
+from emberlink.flows import enrich, ingest_news, insert_articles
 from emberlink.operators import filters
 from emberlink.operators.window_link import link_by_window
 
@@ -54,3 +54,23 @@ def test_filters_reach_the_scan_and_articles_are_not_shuffled(spark, tmp_path):
     assert "BroadcastHashJoin" in linked
     # the only shuffles are of the hazard side, by date
     assert all("covered" in line or "event_date" in line for line in linked.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_articles_without_url_stay_apart(spark):
+    rows = [(1, None, "a", "s"), (2, None, "b", "s"), (3, "", "a", "s"), (4, "u", "a", "s"), (5, "u", "c", "t")]
+    news = spark.createDataFrame(rows, "article_id long, url string, title string, source string")
+    assert sorted(r.article_id for r in insert_articles(news, None, "article_id").collect()) == [1, 2, 4]
+    stored = spark.createDataFrame([(0, None, "b", "s")], news.schema)
+    kept = insert_articles(news, stored, "article_id")
+    assert kept.columns == news.columns
+    assert sorted(r.article_id for r in kept.collect()) == [1, 4]
+
+
+def test_copies_of_an_article_stay_as_many(spark):
+    row = [("a", "Feuer", 46.3, 7.8, 0.9)] * 20
+    news = spark.createDataFrame(row, "article_id string, title string, query_lat double, query_lon double, semantic_score double").withColumns(
+        {"description": F.lit(None).cast("string"), "published_at": F.to_timestamp(F.lit("2024-01-05 10:00:00"))}
+    )
+    fires = spark.createDataFrame([("f1", 46.3, 7.8, dt.date(2024, 1, 4))], "fire_id string, latitude double, longitude double, acq_date date")
+    got = enrich(news, fires).collect()
+    assert len(got) == 20 and {r.linked_fire_id for r in got} == {"f1"}

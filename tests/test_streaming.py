@@ -44,7 +44,7 @@ def test_unified_restarts_where_it_ended(spark, tmp_path):
 
 
 def test_a_batch_that_runs_again_is_not_doubled(spark, tmp_path):
-    sink = make_sink("parquet", str(tmp_path / "t"))
+    sink = make_sink("parquet", str(tmp_path / "t"), writer="w")
     df = spark.range(3)
     sink(df, 0)
     sink(df, 0)
@@ -57,17 +57,61 @@ def test_unknown_backend_fails_at_start(tmp_path):
         make_sink("tape", str(tmp_path))
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_dedup_stream(spark, tmp_path, salts):
+def test_dedup_stream(spark, tmp_path):
     land(tmp_path / "in", "a.json", [message("u1", f"t{i}") for i in range(40)] + [message("u2"), message(None, "a"), message(None, "b")])
-    s = un.read_topic_files(spark, str(tmp_path / "in"), 1)
-    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ck")
-    un.run_dedup(s, out, ckpt, "7 days", salts=salts)
-    land(tmp_path / "in", "b.json", [message("u1", day=3), message("u4", day=3)])
-    s = un.read_topic_files(spark, str(tmp_path / "in"), 1)
-    un.run_dedup(s, out, ckpt, "7 days", salts=salts)
-    got = sorted((r.url or "-" + r.title) for r in spark.read.parquet(out).collect())
+    cfg = config(tmp_path)
+    un.run_dedup(un.read_topic_files(spark, str(tmp_path / "in"), 1), cfg)
+    land(tmp_path / "in", "b.json", [message("u1", day=3), message("u4", day=3), {"topic": "x", "value": "{", "timestamp": None}])
+    un.run_dedup(un.read_topic_files(spark, str(tmp_path / "in"), 1), cfg)
+    got = sorted((r.url or "-" + r.title) for r in spark.read.parquet(cfg.table).collect())
     assert got == ["-a", "-b", "u1", "u2", "u4"]
+    assert spark.read.parquet(cfg.quarantine).count() == 1
+
+
+def test_older_files_after_newer_ones_are_stored(spark, tmp_path):
+    cfg = config(tmp_path)
+    for name, day, urls in (("a.json", 30, ["u1"]), ("b.json", 29, ["u2", "u1"]), ("c.json", 1, ["u3", "u4", "u2"])):
+        land(tmp_path / "in", name, [message(u, day=day) for u in urls])
+        un.run_dedup(un.read_topic_files(spark, str(tmp_path / "in"), 1), cfg)
+    assert sorted(r.url for r in spark.read.parquet(cfg.table).collect()) == ["u1", "u2", "u3", "u4"]
+
+
+def test_two_checkpoints_share_a_table(spark, tmp_path):
+    land(tmp_path / "in1", "a.json", [message("u1"), message("u2")])
+    land(tmp_path / "in2", "a.json", [message("u9"), message("u1")])
+    for k in (1, 2):
+        cfg = un.StreamConfig(str(tmp_path / f"ck{k}"), str(tmp_path / "table"), str(tmp_path / "bad"))
+        un.run_unified(un.read_topic_files(spark, str(tmp_path / f"in{k}")), cfg)
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "table")).collect()) == ["u1", "u1", "u2", "u9"]
+
+
+def test_batch_after_stream_is_read_with_it(spark, tmp_path):
+    land(tmp_path / "in", "a.json", [message("u1"), message("u2")])
+    cfg = config(tmp_path)
+    un.run_dedup(un.read_topic_files(spark, str(tmp_path / "in")), cfg)
+    new = spark.read.parquet(cfg.table).drop("writer", "batch_id", "ingested_at")
+    more = new.unionByName(new.limit(1).withColumns({"url": F.lit("u3"), "article_id": F.lit("id3")}))
+    append_absent(more, cfg.table, "article_id", "url")
+    append_absent(more, cfg.table, "article_id", "url")
+    assert sorted(r.url for r in spark.read.parquet(cfg.table).collect()) == ["u1", "u2", "u3"]
+
+
+def test_a_batch_that_runs_again_does_not_meet_itself(spark, tmp_path):
+    sink = make_sink("parquet", str(tmp_path / "t"), writer="w", absent=("id", "id"))
+    sink(spark.range(3), 0)
+    sink(spark.range(3), 0)
+    sink(spark.range(5), 1)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_copies_stay_as_many_when_linked(spark, tmp_path):
+    row = [("a1", dt.datetime(2024, 1, 5), 47.0, 7.0)] * 5 + [("a1", dt.datetime(2024, 1, 5), 47.2, 7.0)]
+    src = spark.createDataFrame(row, "article_id string, published_at timestamp, query_lat double, query_lon double")
+    src.write.parquet(str(tmp_path / "in"))
+    fires = spark.createDataFrame([("f1", 47.1, 7.0, dt.date(2024, 1, 6)), ("f2", 47.1, 7.0, dt.date(2023, 1, 6))], "fire_id string, latitude double, longitude double, acq_date date")
+    un.run_links(spark.readStream.schema(src.schema).parquet(str(tmp_path / "in")), fires, str(tmp_path / "out"), str(tmp_path / "ck"), min_semantic=None)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(got) == 6 and {r.linked_fire_id for r in got} == {"f1"}
 
 
 def test_stream_links_equal_batch(spark, tmp_path):
