@@ -5,7 +5,7 @@ among equals, the first hazard in store order.
 
 Two things keep this join linear. Copies collapse first: articles at one place and day share
 one answer, hazards at one place and day are represented by the first of them. Then both sides
-meet in grid cells, one equi-join on (day, cell). Where a cell holds many hazards on a day, the
+meet in grid cells, one equi-join on (day, cell). For the hazards of a cell that holds many on a day,
 pairs are not built: cells are compared by their bounding boxes, pairs that cannot win are
 dropped, and the rest is cut finer until few hazards are left per cell. The bounds are safe, so
 the result is the exact minimum either way.
@@ -13,6 +13,8 @@ the result is the exact minimum either way.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from emberlink import lexicons as lx
@@ -22,6 +24,7 @@ from emberlink.session import cut_lineage
 MAX_PER_CELL = 64
 _SPLIT = 4
 _MAX_DEPTH = 9
+_RANKS = Decimal(10) ** 19  # more than any long
 
 
 def link_space_time(
@@ -87,27 +90,44 @@ def nearest(
     the struct that identifies the spot and breaks ties.
     """
     cell_deg = km / 100.0
+    # Spots in the order of ``first``: ids that grow from one range partition to the next.
+    ordered = spots.sort("first").withColumn("rank", F.monotonically_increasing_id())
+    ordered = cut_lineage(ordered, "spots")
+    spots = geo.add_place(ordered.drop("first"), "lat", "lon", "s_", distance)
     points = geo.add_place(points, "lat", "lon", "p_", distance)
-    spots = geo.add_place(spots, "lat", "lon", "s_", distance)
-    fullest = _fullest_cell(spots, cell_deg, 1)
-    if fullest <= max_per_cell:
-        pairs = _pairs_by_cell(points, spots, days, km, cell_deg)
-    else:
-        pairs = _pairs_by_refinement(
-            points, spots, days, km, day_weight, cell_deg, distance, max_per_cell
-        )
+    sparse, dense = _by_crowding(spots, cell_deg, max_per_cell)
+    pairs = _pairs_by_cell(points, sparse, days, km, cell_deg)
+    if dense is not None:
+        columns = ["lat", "lon", "day", "rank", "apart", *geo.place_columns("p_", distance), *geo.place_columns("s_", distance)]
+        refined = _pairs_by_refinement(points, dense, days, km, day_weight, cell_deg, distance, max_per_cell)
+        pairs = pairs.select(*columns).unionByName(refined.select(*columns))
     measured = geo.add_km(pairs, "p_", "s_", distance, within=km)
     # In micrometres and whole, so that costs that differ only by rounding noise tie.
     cost = F.col("km") + F.lit(float(day_weight)) * F.col("apart")
     whole = F.floor(cost * F.lit(1e9) + F.lit(0.5)).cast("long")
-    # The limit is tested inside the aggregate: as a filter it would be pushed below the
-    # projection, and the distance computed twice.
-    near = F.when(F.col("km") <= F.lit(float(km)), F.struct(whole.alias("cost"), F.col("first")))
-    return (
-        measured.groupBy("lat", "lon", "day")
-        .agg(F.min(near).alias("best"))
-        .where(F.col("best").isNotNull())
-    )
+    # Cost and rank in one number, so that the minimum is a hash aggregate. The limit is tested
+    # inside it: as a filter it would be pushed below the projection, and the distance computed twice.
+    packed = whole.cast("decimal(18,0)").cast("decimal(38,0)") * F.lit(_RANKS) + F.col("rank").cast("decimal(19,0)")
+    near = F.when(F.col("km") <= F.lit(float(km)), packed.cast("decimal(38,0)"))
+    best = measured.groupBy("lat", "lon", "day").agg(F.min(near).alias("packed")).where("packed is not null")
+    rank = (F.col("packed") % F.lit(_RANKS)).cast("long")
+    cost = ((F.col("packed") - F.col("packed") % F.lit(_RANKS)) / F.lit(_RANKS)).cast("long")
+    named = best.select("lat", "lon", "day", rank.alias("rank"), cost.alias("cost")).join(ordered.select("rank", "first"), "rank")
+    return named.select("lat", "lon", "day", F.struct("cost", "first").alias("best"))
+
+
+def _by_crowding(spots: DataFrame, cell_deg: float, max_per_cell: int) -> tuple[DataFrame, DataFrame | None]:
+    """Spots in cells that hold few of them on their day, and the others (None: there are none).
+
+    A point's best spot is the better of its best in either part, so one crowded cell costs the
+    points around it and no others.
+    """
+    placed = geo.add_cell(spots, "lat", "lon", cell_deg, "__row", "__col", 1)
+    cell = ["day", "__row", "__col"]
+    crowded = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_per_cell).select(*cell)
+    if crowded.isEmpty():
+        return spots, None
+    return placed.join(crowded, cell, "left_anti").select(*spots.columns), placed.join(crowded, cell, "left_semi").select(*spots.columns)
 
 
 def _fullest_cell(spots: DataFrame, cell_deg: float, splits: int) -> int:
@@ -222,8 +242,13 @@ def _pairs_by_refinement(
     max_per_cell: int,
 ) -> DataFrame:
     """Candidate pairs from cells that are compared and cut finer, level by level."""
-    points = cut_lineage(points, "points")
-    spots = cut_lineage(spots, "spots")
+    spots = cut_lineage(spots, "dense")
+    # Only points that reach a crowded cell take part.
+    reach = geo.touched_cells(
+        _boxes(spots, cell_deg, 1, "s"), "s_lat0", "s_lat1", "s_lon0", "s_lon1", km, cell_deg, "__row", "__col"
+    ).select("s_day", "__row", "__col").distinct()
+    near = geo.add_cell(points, "lat", "lon", cell_deg, "__row", "__col").withColumn("s_day", _nearby_days(F.col("day"), days))
+    points = cut_lineage(near.join(reach, ["s_day", "__row", "__col"], "left_semi").drop("s_day", "__row", "__col").distinct(), "points")
 
     a0 = _boxes(points, cell_deg, 1, "a")
     s0 = _boxes(spots, cell_deg, 1, "s")
@@ -269,7 +294,7 @@ def _pairs_by_refinement(
         in_a.join(pairs, [f"a_{k}" for k in _CELL])
         .join(in_s, [f"s_{k}" for k in _CELL])
         .select(
-            "lat", "lon", F.col("a_day").alias("day"), "first",
+            "lat", "lon", F.col("a_day").alias("day"), "rank",
             *geo.place_columns("p_", distance), *geo.place_columns("s_", distance),
             _apart("a_day", "s_day").alias("apart"),
         )

@@ -1,11 +1,11 @@
 """Semantic link: the event whose vector is closest to an article's by cosine.
 
-Small event sets travel to the tasks as one matrix, behind a check of their size. Larger ones
-are joined: events form clusters around pivots, an article visits its own cluster first, and
-then only those clusters that could still hold something better. The angle between an article
-and any event of a cluster is at least the angle to the pivot minus the cluster's radius, so
-skipping the others loses nothing. Vectors move in packs of one Arrow batch; a pair of packs
-costs one matrix product and leaves one row per article, never one per pair.
+Small event sets travel to the tasks as one matrix, behind a check of their size. Beyond that both
+sides are cut into blocks, and every pair of blocks is one matrix product that leaves one row per
+article: its best event of that block. The best of these is the answer, so both ways give the
+same rows. The cost is that of comparing everything with everything: vectors as they come have no
+bound that would let an exact search skip any. A block is copied once for each block of the other
+side, so traffic falls with the block size, and a task holds two blocks at a time.
 """
 
 from __future__ import annotations
@@ -15,15 +15,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from emberlink import lexicons as lx
 from emberlink.operators.classify import priority_flag
 from emberlink.session import cut_lineage
 
 MAX_BROADCAST_BYTES = 128 << 20
-PIVOTS = 64
-EVENTS_PER_SALT = 100_000
+BLOCK_ROWS = 8192
 # Equal vectors must tie whatever the order of summation was.
 _DIGITS = 12
 _CELLS = 1 << 21
@@ -46,8 +45,6 @@ def link_semantic(
     A threshold of None keeps the best event of every article.
     """
     best = top1(articles, events, threshold, order, max_broadcast_bytes, **options)
-    if threshold is not None:
-        best = best.where(F.col("similarity") >= F.lit(float(threshold)))
     linked = best.select(
         "article_id",
         F.round("similarity", 4).alias("semantic_score"),
@@ -67,10 +64,12 @@ def top1(
     threshold: float | None = None,
     order: str | Column = "event_id",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    pivots: int = PIVOTS,
-    events_per_salt: int = EVENTS_PER_SALT,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``(article_id, similarity, event_id, disaster_type)``; lowest ``order`` wins ties."""
+    """``(article_id, similarity, event_id, disaster_type)``; lowest ``order`` wins ties.
+
+    Articles whose best similarity is below ``threshold`` are left out.
+    """
     order = F.col(order) if isinstance(order, str) else order
     a = articles.select("article_id", F.col("vector").cast("array<double>").alias("vector")).where(
         "size(vector) > 0"
@@ -85,7 +84,9 @@ def top1(
     if count * ((width or 0) * 8 + 64) <= max_broadcast_bytes:
         best = _top1_broadcast(a, e)
     else:
-        best = _top1_clustered(a, e, width, threshold, pivots, events_per_salt)
+        best = _top1_blocks(a, e, width, block_rows)
+    if threshold is not None:
+        best = best.where(F.col("similarity") >= F.lit(float(threshold)))
     return best.select("article_id", "similarity", "event_id", "disaster_type")
 
 
@@ -165,139 +166,44 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
+def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str) -> DataFrame:
+    """One row per block of vectors: ``no`` (0, 1, ...), an array per column in ``names``, and ``matrix``."""
+    pack = T.StructType([T.StructField(n, T.ArrayType(df.schema[n].dataType)) for n in names] + [T.StructField("matrix", T.BinaryType())])
+    out = _arrow_schema(pack)
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                values = {n: part.column(n).to_pylist() for n in names}
+                yield pa.RecordBatch.from_pylist([{**values, "matrix": _matrix(part.column("vector")).tobytes()}], schema=out)
 
-def _top1_clustered(
-    a: DataFrame, e: DataFrame, width: int, threshold: float | None, n_pivots: int, events_per_salt: int
-) -> DataFrame:
-    spark = a.sparkSession
+    blocks = cut_lineage(df.select(*names, "vector").mapInArrow(cut, pack).withColumn("block", F.monotonically_increasing_id()), label)
+    # One small number per block.
+    numbers = blocks.select("block").withColumn("no", F.row_number().over(Window.orderBy("block")) - 1)
+    return blocks.join(numbers, "block").drop("block")
+
+
+def _top1_blocks(a: DataFrame, e: DataFrame, width: int, rows: int) -> DataFrame:
     schema = _result_schema(a, e)
-    # A fixed small number of pivots, spread by hash; any choice is right, good ones are faster.
-    picked = e.orderBy(F.xxhash64("event_id"), "event_id").limit(n_pivots).select("vector").toArrow()
-    pivots = spark.sparkContext.broadcast(_matrix(picked.column("vector")))
-
-    id_type = a.schema["article_id"].dataType
-    event_pack = T.StructType(
-        [T.StructField("cluster", T.IntegerType()), T.StructField("far", T.DoubleType())]
-        + [
-            T.StructField(f"e_{name}", T.ArrayType(e.schema[name].dataType))
-            for name in ("ord", "event_id", "disaster_type")
-        ]
-        + [T.StructField("e_rows", T.IntegerType()), T.StructField("e_matrix", T.BinaryType())]
-    )
-    article_pack = T.StructType(
-        [
-            T.StructField("cluster", T.IntegerType()),
-            T.StructField("a_id", T.ArrayType(id_type)),
-            T.StructField("a_matrix", T.BinaryType()),
-        ]
-    )
-    event_out, article_out, answer_out = map(_arrow_schema, (event_pack, article_pack, schema))
+    names = ["ord", "event_id", "disaster_type"]
+    articles, events = _in_blocks(a, ["article_id"], rows, "article-blocks"), _in_blocks(e, names, rows, "event-blocks")
+    copies = lambda df, own, other, n: df.withColumnRenamed("no", own).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    n_articles, n_events = articles.count(), events.count()
+    if not n_articles or not n_events:
+        return a.sparkSession.createDataFrame([], schema)
+    left = copies(articles, "a_no", "e_no", n_events).groupBy("a_no", "e_no")
+    right = copies(events, "e_no", "a_no", n_articles).groupBy("a_no", "e_no")
+    out = _arrow_schema(schema)
 
-    def pack_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            batch = batch.take(pc.sort_indices(batch.column("ord")))
-            rows = _matrix(batch.column("vector"))
-            angles = _angles(rows, pivots.value)
-            home = angles.argmin(axis=1)
-            packs = []
-            for cluster in np.unique(home):
-                members = np.flatnonzero(home == cluster)
-                names = batch.take(pa.array(members))
-                packs.append(
-                    {
-                        "cluster": int(cluster),
-                        "far": float(angles[members, cluster].max()),
-                        **{
-                            f"e_{name}": names.column(name).to_pylist()
-                            for name in ("ord", "event_id", "disaster_type")
-                        },
-                        "e_rows": len(members),
-                        "e_matrix": rows[members].tobytes(),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(packs, schema=event_out)
-
-    packed = cut_lineage(e.mapInArrow(pack_events, event_pack), "events")
-    # At most one row per pivot.
-    sizes = {
-        r.cluster: (r.far, r.rows)
-        for r in packed.groupBy("cluster").agg(F.max("far").alias("far"), F.sum("e_rows").alias("rows")).collect()
-    }
-    n = len(pivots.value)
-    radius = np.array([sizes.get(k, (np.nan, 0))[0] for k in range(n)])
-    occupied = ~np.isnan(radius)
-    salts = [max(1, -(-sizes.get(k, (0, 0))[1] // events_per_salt)) for k in range(n)]
-    salts_of = F.element_at(F.array(*[F.lit(s) for s in salts]), F.col("cluster") + 1)
-    # A cluster with many events is spread over several keys; articles visit each of them.
-    event_side = packed.withColumn("salt", F.pmod(F.xxhash64("e_matrix"), salts_of).cast("int"))
-
-    def visits(angles: np.ndarray, rows: np.ndarray, floor: np.ndarray | None) -> np.ndarray:
-        """Which clusters each article goes to: its own, or all others that may beat ``floor``."""
-        own = np.where(occupied, angles, np.inf).argmin(axis=1)
-        is_own = np.zeros(angles.shape, dtype=bool)
-        is_own[np.arange(len(own)), own] = True
-        if floor is None:
-            return is_own
-        ceiling = np.cos(np.maximum(0.0, angles - np.where(occupied, radius, 0.0) - 1e-7))
-        ceiling[~rows.any(axis=1)] = 1.0  # a zero row has no direction to bound
-        return (ceiling + 1e-9 >= floor[:, None]) & occupied & ~is_own
-
-    def pack_articles(second: bool):
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                rows = _matrix(batch.column("vector"))
-                floor = None
-                if second:
-                    floor = batch.column("so_far").to_numpy(zero_copy_only=False)
-                    floor = np.maximum(floor, -1.0 if threshold is None else threshold)
-                goes = visits(_angles(rows, pivots.value), rows, floor)
-                for cluster in np.flatnonzero(goes.any(axis=0)):
-                    members = np.flatnonzero(goes[:, cluster])
-                    yield pa.RecordBatch.from_pylist(
-                        [
-                            {
-                                "cluster": int(cluster),
-                                "a_id": batch.column("article_id").take(pa.array(members)).to_pylist(),
-                                "a_matrix": rows[members].tobytes(),
-                            }
-                        ],
-                        schema=article_out,
-                    )
-
-        return pack
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for pair in batch.to_pylist():
-                rows = np.frombuffer(pair["a_matrix"]).reshape(-1, width)
-                others = np.frombuffer(pair["e_matrix"]).reshape(-1, width)
-                best, where = _best(rows, others)
-                names = pa.table(
-                    {name: pa.array(pair[f"e_{name}"], answer_out.field(name).type) for name in ("ord", "event_id", "disaster_type")}
-                )
-                yield _answers(pa.array(pair["a_id"], answer_out.field(0).type), best, where, names, answer_out)
-
-    def matched(packs: DataFrame) -> DataFrame:
-        spread = packs.withColumn("salt", F.explode(F.sequence(F.lit(0), salts_of - 1)))
-        pairs = spread.join(event_side, ["cluster", "salt"]).drop("cluster", "salt", "far", "e_rows")
-        return pairs.mapInArrow(compare, schema)
-
-    def winners(answers: DataFrame) -> DataFrame:
-        first = F.min(
-            F.struct((-F.col("similarity")).alias("less"), "ord", "event_id", "disaster_type")
-        ).alias("w")
-        return answers.groupBy("article_id").agg(first).select(
-            "article_id", (-F.col("w.less")).alias("similarity"), "w.ord", "w.event_id", "w.disaster_type"
-        )
-
-    own = cut_lineage(winners(matched(a.mapInArrow(pack_articles(False), article_pack))), "own")
-    so_far = a.join(own.select("article_id", F.col("similarity").alias("so_far")), "article_id")
-    others = matched(so_far.mapInArrow(pack_articles(True), article_pack))
-    return winners(own.unionByName(others))
+    def compare(mine: pa.Table, others: pa.Table) -> pa.Table:
+        block, event = mine.to_pylist()[0], others.to_pylist()[0]
+        table = pa.table({n: pa.array(event[n], out.field(n).type) for n in names})
+        order = pc.sort_indices(table, sort_keys=[("ord", "ascending")])
+        matrix = np.frombuffer(event["matrix"]).reshape(-1, width)[order.to_numpy()]
+        best, where = _best(np.frombuffer(block["matrix"]).reshape(-1, width), matrix)
+        return pa.Table.from_batches([_answers(pa.array(block["article_id"], out.field(0).type), best, where, table.take(order), out)])
+
+    answers = left.cogroup(right).applyInArrow(compare, schema)
+    first = F.min(F.struct((-F.col("similarity")).alias("less"), *names)).alias("w")
+    return answers.groupBy("article_id").agg(first).select("article_id", (-F.col("w.less")).alias("similarity"), *[f"w.{n}" for n in names])

@@ -212,7 +212,7 @@ def semantic_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def semantic_top1_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken when the events are too many to broadcast."""
     articles, events = st.vectors(spark, sf_dir)
-    return link_semantic(articles, events, threshold=None, max_broadcast_bytes=0, pivots=16)
+    return link_semantic(articles, events, threshold=None, max_broadcast_bytes=0, block_rows=64)
 
 
 @query("semantic_text")

@@ -42,7 +42,7 @@ def test_top1_equals_brute_force(spark, kind, limit):
     arts, events = data(kind)
     a, e = frames(spark, arts, events)
     want = brute(arts, events)
-    out = top1(a, e, None, "ord", limit, pivots=8, events_per_salt=25)
+    out = top1(a, e, None, "ord", limit, block_rows=25)
     have = {r.article_id: (r.similarity, r.event_id) for r in out.collect()}
     assert have.keys() == want.keys()
     for k in want:
@@ -71,7 +71,7 @@ def test_threshold_ties_and_priority(spark, limit):
         ],
         "event_id string, disaster_type string, vector array<double>",
     )
-    rows = {r.article_id: r for r in link_semantic(a, e, text="text", max_broadcast_bytes=limit, pivots=2).collect()}
+    rows = {r.article_id: r for r in link_semantic(a, e, text="text", max_broadcast_bytes=limit, block_rows=2).collect()}
     assert set(rows) == {"edge", "tie"}
     assert rows["edge"].semantic_score == 0.4 and rows["edge"].priority_match is True
     assert rows["edge"].linked_disaster_type == "wildfire"
@@ -98,3 +98,13 @@ def test_encoders(spark):
 
     got = {r.article_id: r.vector for r in encode_with(a, "text", make).collect()}
     assert got == {"a": [20.0, 1.0], "b": [17.0, 1.0]}
+
+
+def test_threshold_is_the_same_on_both_sides_of_the_limit(spark):
+    rng = np.random.default_rng(3)
+    rows = lambda n, k: [(f"{k}{i}", [float(x) for x in rng.standard_normal(6)]) for i in range(n)]
+    a = spark.createDataFrame(rows(120, "a"), "article_id string, vector array<double>")
+    e = spark.createDataFrame(rows(90, "e"), "event_id string, vector array<double>").withColumn("disaster_type", F.lit("wildfire"))
+    for threshold in (None, 0.6, 0.9, 0.999):
+        one, other = (sorted(map(tuple, top1(a, e, threshold, max_broadcast_bytes=limit, block_rows=16).collect())) for limit in (1 << 20, 0))
+        assert one == other
