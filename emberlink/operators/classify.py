@@ -77,17 +77,24 @@ def tag_grid(
     grid: Mapping,
     fields: Fields = ("title", "description"),
     language: str = "language",
+    country: str = "country",
 ) -> DataFrame:
     """One row per article and search cell that would have found it.
 
-    A cell finds an article in its language whose text has its keyword and its country. Each
-    keyword and each country is looked up once per row, and the hits are multiplied out, not the
-    grid; a row grows at most by the size of the grid.
+    A cell finds an article in its language whose text has its keyword, and its country: a country
+    named by a code of two letters is the outlet's, in column ``country``; one written out is looked
+    up in the text. Each keyword and country is looked up once per row, and the hits are multiplied
+    out, not the grid; a row grows at most by the size of the grid.
     """
     fields = [fields] if isinstance(fields, str) else list(fields)
     text = F.lower(F.concat_ws("\x00", *[F.col(f) for f in fields]))
     pairs = [(kind, keyword) for kind, keywords in grid["types"].items() for keyword in keywords]
 
+    def found_in(place: str, bound: Column) -> Column:
+        if len(place) != 2:
+            return bound.contains(place.lower())
+        return F.upper(F.col(country)) == place.upper() if country in df.columns else F.lit(False)
+
     def hits(bound: Column) -> Column:
         keywords = [
             F.when(
@@ -96,7 +103,7 @@ def tag_grid(
             )
             for kind, keyword in pairs
         ]
-        countries = [F.when(bound.contains(c.lower()), F.lit(c)) for c in grid["countries"]]
+        countries = [F.when(found_in(c, bound), F.lit(c)) for c in grid["countries"]]
         return F.struct(
             F.array_compact(F.array(*keywords)).alias("keywords"),
             F.array_compact(F.array(*countries)).alias("countries"),

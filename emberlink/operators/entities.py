@@ -12,7 +12,7 @@ from emberlink import schemas
 
 Tagger = Callable[[Sequence[str]], Sequence[Sequence[tuple[str, str]]]]
 
-# Names the tagger knows, by label.
+# Names the tagger knows, by label; a user's own take their place.
 GAZETTEER = {
     "LOC": [
         "Germany", "Deutschland", "Switzerland", "Schweiz", "Blatten", "Wallis", "Valais", "Bern",
@@ -67,6 +67,9 @@ def extract_entities(
     ``make_tagger`` loads a model once per task and takes the place of the gazetteer.
     """
     text = F.col(text) if isinstance(text, str) else text
+    due = F.col(linked).isNotNull()
+    if not override:
+        due = due & F.col("entities").isNull()
     if make_tagger is None:
         tagged = entities(F.coalesce(text, F.lit("")), gazetteer, patterns)
     else:
@@ -75,12 +78,12 @@ def extract_entities(
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             tagger = make_tagger()
             for texts in batches:
+                # Rows that are not due come as null, and the tagger does not see them.
+                wanted = texts.notna()
+                found = iter(tagger(texts[wanted].tolist()) if wanted.any() else [])
                 yield pd.Series(
-                    [[{"text": t, "label": k} for t, k in found] for found in tagger(texts.tolist())]
+                    [[{"text": t, "label": k} for t, k in next(found)] if due else None for due in wanted], dtype=object
                 )
 
-        tagged = run(F.coalesce(text, F.lit("")))
-    due = F.col(linked).isNotNull()
-    if not override:
-        due = due & F.col("entities").isNull()
+        tagged = run(F.when(due, F.coalesce(text, F.lit(""))))
     return df.withColumn("entities", F.when(due, tagged).otherwise(F.col("entities")))

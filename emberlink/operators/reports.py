@@ -14,13 +14,18 @@ ENRICHED_FIELDS = ("semantic_score", "relevance_score", "linked_fire_id", "match
 def run_metrics(
     df: DataFrame, by: Iterable[str], reasons: Mapping[str, Column] | None = None, totals: bool = True
 ) -> DataFrame:
-    """Rows per group, and per skip reason; ``totals`` adds subtotals with null group columns."""
+    """Rows per group, and per skip reason.
+
+    ``totals`` adds subtotals, whose group columns are null; ``level`` tells them from groups whose
+    value is null: 0 for a group, and a bit for each column that is summed over, the last being 1.
+    """
     by = list(by)
     counts = [F.count(F.lit(1)).alias("rows")] + [
         F.count_if(condition).alias(f"skipped_{name}") for name, condition in (reasons or {}).items()
     ]
-    grouped = df.rollup(*by) if totals else df.groupBy(*by)
-    return grouped.agg(*counts)
+    if not totals:
+        return df.groupBy(*by).agg(*counts)
+    return df.rollup(*by).agg(F.grouping_id().cast("int").alias("level"), *counts)
 
 
 def latest_per_group(

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from emberlink import lexicons as lx
 from emberlink.functions.text import match_any
+from emberlink.session import cut_lineage
 
-# Some 270 years; a row is about a hundred bytes.
+# One row per covered date, of about a hundred bytes a type.
 MAX_BROADCAST_DATES = 100_000
+SALTS = 32
 
 
 def event_window_plan(hazards: DataFrame, days: int = lx.NEWS_WINDOW_DAYS) -> DataFrame:
@@ -30,20 +32,23 @@ def first_hazard_by_date(
     what is spread, and the result, is bounded by the calendar and not by the number of hazards.
     """
     order = F.col(order) if isinstance(order, str) else order
-    first = F.struct(
-        order.alias("ord"), F.col("hazard_id"), F.col("latitude"), F.col("longitude"), F.col("event_date")
-    )
-    by_day = (
-        hazards.where(F.col("event_date").isNotNull())
-        .groupBy("disaster_type", "event_date")
-        .agg(F.min(first).alias("first"))
-    )
+    # Ids that grow in ``order``, so that the first of a group is a plain minimum.
+    ranked = hazards.where(F.col("event_date").isNotNull()).select(
+        "disaster_type", order.alias("ord"), "hazard_id", "latitude", "longitude", "event_date"
+    ).sort("ord").withColumn("rank", F.monotonically_increasing_id())
+    ranked = cut_lineage(ranked, "hazards")
+    by_day = ranked.groupBy("disaster_type", "event_date").agg(F.min("rank").alias("rank"))
     spread = by_day.withColumn(
         "covered", F.explode(F.sequence(F.date_sub("event_date", days), F.date_add("event_date", days)))
     )
-    return spread.groupBy("covered").agg(
-        *[F.min(F.when(F.col("disaster_type") == kind, F.col("first"))).alias(f"first_{kind}") for kind in types]
+    types = list(types)
+    dates = spread.groupBy("covered").agg(
+        *[F.min(F.when(F.col("disaster_type") == kind, F.col("rank"))).alias(f"rank_{i}") for i, kind in enumerate(types)]
     )
+    whole = F.struct("ord", "hazard_id", "latitude", "longitude", "event_date")
+    for i, kind in enumerate(types):
+        dates = dates.join(ranked.select(F.col("rank").alias(f"rank_{i}"), whole.alias(f"first_{kind}")), f"rank_{i}", "left")
+    return dates.select("covered", *[f"first_{kind}" for kind in types])
 
 
 def link_by_window(
@@ -56,6 +61,7 @@ def link_by_window(
     as_of: str | dt.date | None = None,
     recent_days: int = lx.HAZARD_DAYS,
     order: str | Column = "hazard_id",
+    max_broadcast_dates: int = MAX_BROADCAST_DATES,
 ) -> DataFrame:
     """Articles with the hazard they belong to; others are dropped.
 
@@ -63,8 +69,9 @@ def link_by_window(
     of its type and a place name. Types go in lexicon order, hazards of a type in ``order``; the
     first one wins. ``as_of`` leaves out hazards older than ``recent_days``.
 
-    The hazard side is one row per covered date. When the dates span at most
-    ``MAX_BROADCAST_DATES`` it is broadcast, and articles are not shuffled.
+    The hazard side is one row per covered date. Up to ``MAX_BROADCAST_DATES`` rows it is broadcast,
+    and articles are not shuffled; beyond that each date is joined in ``SALTS`` parts, so a day of
+    much news is spread over tasks.
     """
     if as_of is not None:
         oldest = F.date_sub(F.lit(str(as_of)).cast("date"), recent_days)
@@ -74,11 +81,14 @@ def link_by_window(
     found = articles
     if places is not None:
         found = found.where(match_any(fields, places))
-    # Two dates, read off the hazards without a shuffle, bound the rows of the hazard side.
-    span = hazards.agg(F.date_diff(F.max("event_date"), F.min("event_date"))).first()[0]
-    if (span or 0) + 2 * days + 1 <= MAX_BROADCAST_DATES:
-        by_date = F.broadcast(by_date)
-    found = found.withColumn("covered", F.to_date("published_at")).join(by_date, "covered")
+    by_date = cut_lineage(by_date, "dates")
+    found = found.withColumn("covered", F.to_date("published_at"))
+    if by_date.count() <= max_broadcast_dates:
+        found = found.join(F.broadcast(by_date), "covered")
+    else:
+        salted = by_date.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64(*found.columns), F.lit(SALTS)).cast("int")
+        found = found.withColumn("__salt", salt).join(salted, ["covered", "__salt"]).drop("__salt")
     choice = F.coalesce(
         *[
             F.when(

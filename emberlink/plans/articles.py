@@ -305,7 +305,7 @@ def relevance_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("article_id", "relevance_score")
 
 
-GRID = {"types": st.TYPES, "countries": st.PLACES, "languages": ["de", "en"]}
+GRID = {"types": st.TYPES, "countries": [*st.PLACES, "DE", "fr"], "languages": ["de", "en"]}
 
 
 @query(
@@ -315,8 +315,9 @@ GRID = {"types": st.TYPES, "countries": st.PLACES, "languages": ["de", "en"]}
            keyword || ' ' || place AS query
     FROM {st.ARTICLES_SQL} AS a,
          (VALUES {', '.join(f"('{k}', '{t}')" for k, terms in st.TYPES.items() for t in terms)}) AS k(kind, keyword),
-         (VALUES {', '.join(f"('{p}')" for p in st.PLACES)}) AS p(place)
-    WHERE language IN ('de', 'en') AND contains(lower(description), keyword) AND contains(lower(description), place)
+         (VALUES {', '.join(f"('{p}')" for p in [*st.PLACES, 'DE', 'fr'])}) AS p(place)
+    WHERE language IN ('de', 'en') AND contains(lower(description), keyword)
+      AND CASE WHEN len(place) = 2 THEN upper(country) = upper(place) ELSE contains(lower(description), place) END
     """,
 )
 def grid_tags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,7 +131,7 @@ def point_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ingest_counts",
     f"""
-    SELECT source_type, kind AS type, count(*) AS rows, count_if(kind IS NULL) AS skipped_no_keyword,
+    SELECT source_type, kind AS type, grouping(source_type, kind)::INTEGER AS level, count(*) AS rows, count_if(kind IS NULL) AS skipped_no_keyword,
            count_if(NOT place) AS skipped_no_place
     FROM (SELECT source_type, {st.type_sql("body")} AS kind, {st.any_sql('body', st.PLACES)} AS place
           FROM (SELECT 'newsapi' AS source_type, text AS body FROM documents

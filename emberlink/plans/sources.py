@@ -207,6 +207,10 @@ def src_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
         "acq_date", F.col("acq_time").cast("int").alias("acq_time"), F.lit("N").alias("satellite"), F.lit("VIIRS").alias("instrument"),
         "frp", F.lit("D").alias("daynight"),
     )
+    # The feed's own header is wider than the model, and in another order.
+    rows = rows.withColumns({"scan": F.lit(0.4), "track": F.lit(0.4), "version": F.lit("2.0NRT"), "bright_ti5": F.lit(290.1)})
+    rows = rows.select("latitude", "longitude", "bright_ti4", "scan", "track", "acq_date", "acq_time", "satellite", "instrument",
+                       "confidence", "version", "bright_ti5", "frp", "daynight", "country_id")
     path, table = scratch_dir(spark, "firms"), scratch_dir(spark, "wildfires")
     rows.write.option("header", True).csv(path)
     append_table(hazards.read_firms_csv(spark, path, st.AS_OF), table, as_of=st.AS_OF)
@@ -216,6 +220,35 @@ def src_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "src_rejects",
+    f"""
+    SELECT 'firms' AS source, 'latitude' AS reason, count(*) AS n FROM {st.WILDFIRES_SQL} AS w WHERE longitude >= 10 HAVING count(*) > 0
+    UNION ALL SELECT 'firms', 'broken', count(*) FROM {st.WILDFIRES_SQL} AS w WHERE longitude < 7 HAVING count(*) > 0
+    UNION ALL SELECT 'landslides', CASE WHEN latitude < 50 THEN 'broken' ELSE 'longitude' END, count(*)
+    FROM {st.LANDSLIDES_SQL} AS l WHERE latitude < 50 OR longitude < 8 GROUP BY ALL
+    """,
+)
+def src_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that cannot be read are set aside with what is wrong with them."""
+    w = st.wildfires(spark, sf_dir)
+    latitude = F.when(F.col("longitude") >= 10, F.lit("xx")).otherwise(F.col("latitude").cast("string"))
+    cells = [latitude, F.col("longitude").cast("string"), F.col("acq_date").cast("string"), F.col("acq_time").cast("string"), F.col("frp").cast("string")]
+    line = F.concat_ws(",", *cells, *[F.when(F.col("longitude") < 7, F.lit("one,too,many"))])
+    header = spark.createDataFrame([("latitude,longitude,acq_date,acq_time,frp",)], "value string")
+    fires = scratch_dir(spark, "firms")
+    header.unionByName(w.select(line.alias("value"))).coalesce(1).write.text(fires)
+    bad_fires = hazards.split_firms(hazards.read_firms_raw(spark, fires))[1].select(F.lit("firms").alias("source"), "reason")
+
+    l = st.landslides(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in ("event_id", "date", "latitude", "longitude")])
+    odd = l.withColumn("longitude", F.when(F.col("longitude").cast("double") < 8, F.lit("unknown")).otherwise(F.col("longitude")))
+    text = F.to_json(F.struct(*odd.columns))
+    cut = F.when(F.col("latitude").cast("double") < 50, F.concat(F.lit("["), text)).otherwise(text)
+    raw = hazards.read_landslides_raw(spark, _land(odd.select(cut), "landslides"), lines=True)
+    bad_slides = hazards.landslide_rejects(raw).select(F.lit("landslides").alias("source"), "reason")
+    return bad_fires.unionByName(bad_slides).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "src_landslides",
     f"""

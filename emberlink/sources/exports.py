@@ -31,14 +31,41 @@ def _raw_schema(schema: T.StructType, extra: list[str]) -> T.StructType:
     return T.StructType(fields + [T.StructField("_corrupt", T.StringType())])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, lines: bool, extra: list[str]) -> DataFrame:
-    raw = (
+def to_lines(spark: SparkSession, path: str, target: str, tasks: int | None = None) -> None:
+    """Rewrite exports that are one JSON array per file as one object per line, which any number of tasks read.
+
+    An array has to be read by one task from end to end, so a large export is worth this once.
+    Elements stay as they are; a file that is no array becomes one broken line.
+    """
+    files = spark.read.text(path, wholetext=True)
+    elements = F.from_json("value", "array<variant>")
+    whole = files.select(F.explode(F.coalesce(F.transform(elements, lambda v: F.to_json(v)), F.array("value"))).alias("value"))
+    (whole.repartition(tasks) if tasks else whole).write.text(target)
+
+
+def _read_raw(spark: SparkSession, path: str, schema: T.StructType, lines: bool, extra: list[str]) -> DataFrame:
+    return (
         spark.read.schema(_raw_schema(schema, extra))
         .option("multiLine", not lines)
         .option("columnNameOfCorruptRecord", "_corrupt")
         .json(path)
-        .where(F.col("_corrupt").isNull())
     )
+
+
+def export_rejects(spark: SparkSession, directory: str, lines: bool = False) -> DataFrame:
+    """(``collection``, ``value``) of the export rows that :func:`load_exports` leaves out."""
+    schemas_of = {"news": schemas.ARTICLES, "gnews": schemas.ARTICLES, "wildfires": schemas.WILDFIRES, "landslides": schemas.LANDSLIDES}
+    found = None
+    for name, schema in schemas_of.items():
+        raw = _read_raw(spark, f"{directory.rstrip('/')}/{EXPORT_FILES[name]}", schema, lines, list(_RENAMED))
+        # Spark reads the corrupt column alone only from what other columns have been read with.
+        bad = raw.where(F.col("_corrupt").isNotNull()).select(F.lit(name).alias("collection"), F.col("_corrupt").alias("value"))
+        found = bad if found is None else found.unionByName(bad)
+    return found
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, lines: bool, extra: list[str]) -> DataFrame:
+    raw = _read_raw(spark, path, schema, lines, extra).where(F.col("_corrupt").isNull())
     for old, new in _RENAMED.items():
         if old in extra and new in raw.columns:
             raw = raw.withColumn(new, F.coalesce(F.col(new), F.col(old)))

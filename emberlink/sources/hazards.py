@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from emberlink import schemas
 from emberlink.functions.ids import natural_key
@@ -34,17 +34,47 @@ def firms_fires(raw: DataFrame, as_of) -> DataFrame:
     return fires.select(key.alias("fire_id"), *fires.columns)
 
 
-def read_firms_csv(spark: SparkSession, path: str, as_of, has_country: bool = True) -> DataFrame:
-    schema = schemas.FIRMS_ROW
-    if not has_country:
-        schema = type(schema)([f for f in schema.fields if f.name != "country_id"])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    return firms_fires(raw, as_of)
+def read_firms_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Detections as text, whatever columns the file has and in whatever order.
+
+    All files of ``path`` share one header. Columns that the model knows and the file lacks are
+    null; a row with too few or too many fields is whole in ``_corrupt``.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_corrupt"]])
+    raw = spark.read.schema(schema).option("header", True).option("columnPruning", False).option("columnNameOfCorruptRecord", "_corrupt").csv(path)
+    known = {c.strip().lower(): c for c in header}
+    names = [f.name for f in schemas.FIRMS_ROW.fields if f.name != "country_id" or "country_id" in known]
+    picked = [F.col(f"`{known[n]}`").alias(n) if n in known else F.lit(None).cast("string").alias(n) for n in names]
+    return raw.select(*picked, "_corrupt")
+
+
+def _unreadable(raw: DataFrame, kinds: dict[str, str]) -> Column:
+    """What is wrong with a row: broken, or a value that is there and not of its kind; else null."""
+    wrong = [F.when(blank_to_null(c).isNotNull() & F.col(c).try_cast(kind).isNull(), F.lit(c)) for c, kind in kinds.items()]
+    broken = F.when(F.col("_corrupt").isNotNull(), F.lit("broken")) if "_corrupt" in raw.columns else F.lit(None).cast("string")
+    return F.coalesce(broken, *wrong)
+
+
+_FIRMS_KINDS = {"latitude": "double", "longitude": "double", "bright_ti4": "double", "frp": "double", "acq_date": "date"}
+_SLIDE_KINDS = {"latitude": "double", "longitude": "double"}
+
+
+def split_firms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows to load, and rows to look at with a ``reason``."""
+    judged = raw.withColumn("reason", _unreadable(raw, _FIRMS_KINDS))
+    return judged.where("reason is null").drop("reason", "_corrupt"), judged.where("reason is not null")
+
+
+def read_firms_csv(spark: SparkSession, path: str, as_of) -> DataFrame:
+    """Detections that can be read; :func:`split_firms` of :func:`read_firms_raw` has the others, too."""
+    return firms_fires(split_firms(read_firms_raw(spark, path))[0], as_of)
+
+
+def landslide_rejects(raw: DataFrame) -> DataFrame:
+    """Catalog rows that :func:`landslide_events` leaves out, with a ``reason``."""
+    missing = [F.when(blank_to_null(c).isNull(), F.concat(F.lit("no "), F.lit(c))) for c in ("event_id", "latitude", "longitude")]
+    return raw.withColumn("reason", F.coalesce(_unreadable(raw, _SLIDE_KINDS), *missing)).where("reason is not null")
 
 
 def landslide_events(raw: DataFrame, as_of) -> DataFrame:
@@ -67,12 +97,18 @@ def landslide_events(raw: DataFrame, as_of) -> DataFrame:
     return placed.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
 
 
-def read_landslides(spark: SparkSession, path: str, as_of, lines: bool = False) -> DataFrame:
-    """The catalog as one JSON array per file, or one object per line."""
-    raw = (
+def read_landslides_raw(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The catalog as one JSON array per file, or one object per line.
+
+    A file that is one array is one task; ``exports.to_lines`` rewrites large ones once.
+    """
+    return (
         spark.read.schema(schemas.LANDSLIDE_ROW)
         .option("multiLine", not lines)
         .option("columnNameOfCorruptRecord", "_corrupt")
         .json(path)
     )
-    return landslide_events(raw, as_of)
+
+
+def read_landslides(spark: SparkSession, path: str, as_of, lines: bool = False) -> DataFrame:
+    return landslide_events(read_landslides_raw(spark, path, lines), as_of)

@@ -12,6 +12,7 @@ from emberlink.functions.ids import article_key
 from emberlink.functions.times import parse_published
 from emberlink.operators.nearest import link_space_time
 from emberlink.operators.overlay import overlay
+from emberlink.session import scratch_scope
 from emberlink.sinks.tables import Sink, make_sink
 
 ENVELOPE = T.StructType(
@@ -159,12 +160,13 @@ def run_links(stream: DataFrame, fires: DataFrame, path: str, checkpoint: str, w
     days = link_options.get("days", lx.LINK_DAYS)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch, spark = batch.persist(), batch.sparkSession
         try:
             first, last = batch.agg(F.min("published_at").cast("date"), F.max("published_at").cast("date")).first()
             near = F.lit(False) if first is None else F.col("acq_date").cast("date").between(F.date_sub(F.lit(first), days), F.date_add(F.lit(last), days))
-            links = link_space_time(batch, fires.where(near), **link_options)
-            sink(overlay(batch, links, "article_id", ["linked_fire_id", "match_score"]), batch_id)
+            with scratch_scope(spark):
+                links = link_space_time(batch, fires.where(near), **link_options)
+                sink(overlay(batch, links, "article_id", ["linked_fire_id", "match_score"]), batch_id)
         finally:
             batch.unpersist()
 

@@ -105,7 +105,7 @@ def test_hazards(spark, tmp_path):
     assert [(r.country, r.acq_time, r.frp) for r in rows] == [("CHE", "0034", 1.5), (None, "1234", None)]
     assert len({r.fire_id for r in rows}) == 2
     d = put(tmp_path / "g/a.csv", "latitude,longitude,bright_ti4,confidence,acq_date,acq_time,satellite,instrument,frp,daynight\n46.4,7.8,301.5,n,2024-01-02,34,N,VIIRS,1.5,D\n")
-    assert hazards.read_firms_csv(spark, d, AS_OF, has_country=False).first().country == "DEU"
+    assert hazards.read_firms_csv(spark, d, AS_OF).first().country == "DEU"
     body = [
         {"event_id": "1", "date": "2024-01-02T00:00:00.000", "latitude": "46.4", "longitude": "0"},
         {"event_id": "2", "latitude": "abc", "longitude": "7"},
