@@ -1,4 +1,4 @@
-"""The two batch flows end to end: importing news for hazards, and enriching articles."""
+"""The batch flows end to end: imports from each kind of source, and enriching articles."""
 
 from __future__ import annotations
 
@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from emberlink import lexicons as lx, schemas
 from emberlink.functions.ids import natural_key
 from emberlink.functions.text import article_text, blank_to_null
-from emberlink.operators.classify import region_of, score_relevance
+from emberlink.operators.classify import classify_first, flag_any, region_of, score_relevance
 from emberlink.operators.dedup import dedup_first, insert_absent
 from emberlink.operators.entities import GAZETTEER, extract_entities
-from emberlink.operators.filters import require_any
+from emberlink.operators.filters import keyword_filter, recent, require_any
 from emberlink.operators.nearest import link_space_time
 from emberlink.operators.overlay import overlay
 from emberlink.operators.semantic import link_semantic
@@ -49,6 +49,56 @@ def ingest_news(
     return insert_articles(linked, stored, order, key)
 
 
+Order = str | Column | Iterable[str | Column]
+
+
+def import_feed(
+    items: DataFrame,
+    as_of,
+    stored: DataFrame | None = None,
+    lexicon: Mapping[str, Iterable[str]] = lx.RELIEFWEB_TYPES,
+    places: Iterable[str] = lx.RELIEFWEB_PLACES,
+    days: int = lx.RELIEFWEB_DAYS,
+    fields: str | Iterable[str] = ("title", "description"),
+    order: Order = "article_id",
+) -> DataFrame:
+    """Feed items to append: recent, of a known type, flagged by place, first of their copies, not stored."""
+    typed = classify_first(recent(items, "published_at", days, as_of), fields, lexicon)
+    return insert_articles(flag_any(typed, fields, places), stored, order)
+
+
+def import_posts(
+    posts: DataFrame,
+    as_of,
+    stored: DataFrame | None = None,
+    terms: Iterable[str] = lx.REDDIT_KEYWORDS,
+    forums: Iterable[str] | None = lx.REDDIT_SUBREDDITS,
+    days: int = lx.REDDIT_DAYS,
+    fields: str | Iterable[str] = ("title", "description"),
+    order: Order = "article_id",
+) -> DataFrame:
+    """Forum posts to append: recent, with a keyword, from the forums asked for, first of their copies, not stored."""
+    kept = keyword_filter(recent(posts, "published_at", days, as_of), fields, terms)
+    if forums is not None and "subreddit" in posts.columns:
+        kept = kept.where(F.lower("subreddit").isin([f.lower() for f in forums]))
+    return insert_articles(kept, stored, order)
+
+
+def type_posts(posts: DataFrame, fields: str | Iterable[str] = ("title", "description")) -> DataFrame:
+    """Streamed posts that name a hazard, with its type."""
+    return classify_first(posts, fields, lx.REDDIT_STREAM_TYPES)
+
+
+def import_hazard_events(events: DataFrame, stored: DataFrame | None = None, terms: Iterable[str] = lx.GDACS_TITLE_TERMS, order: Order = "guid") -> DataFrame:
+    """Feed events to append: their title has a term, first of their ``guid``, not stored."""
+    return insert_articles(keyword_filter(events, "title", terms), stored, order, "guid")
+
+
+def import_landslides(slides: DataFrame, stored: DataFrame | None = None, order: Order = "date") -> DataFrame:
+    """Catalog rows to append: first of their ``event_id``, not stored."""
+    return insert_articles(slides, stored, order, "event_id")
+
+
 def enrich(
     articles: DataFrame,
     fires: DataFrame,

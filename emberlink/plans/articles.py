@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from emberlink.functions.text import article_text, blank_to_null, event_text, match_any
 from emberlink.functions.times import parse_published
 from emberlink.operators import classify, filters
-from emberlink.operators.dedup import dedup_first, insert_absent
+from emberlink.operators.dedup import dedup_first
 from emberlink.operators.entities import entities, extract_entities
 from emberlink.operators.hazards import hazards_union
 from emberlink.operators.overlay import overlay
+from emberlink.flows import import_feed, import_hazard_events, import_landslides, import_posts, insert_articles
 from emberlink.plans import standins as st
 from emberlink.plans.registry import query
 from emberlink.sources.canonical import canonical_union
@@ -387,19 +388,20 @@ def first_per_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "dedup_insert_absent",
     f"""
-    WITH a AS (SELECT article_id, url, relevance_score FROM {st.ENRICHED_SQL} AS e)
-    SELECT min(article_id) AS article_id, url FROM a
+    WITH a AS (SELECT article_id, CASE WHEN article_id % 4 > 0 THEN url END AS url, title, relevance_score FROM {st.ENRICHED_SQL} AS e),
+    keyed AS (SELECT *, coalesce(url, 'no url: ' || title) AS key FROM a)
+    SELECT min(article_id) AS article_id, any_value(url) AS url FROM keyed
     WHERE relevance_score IS NULL
-      AND url NOT IN (SELECT url FROM a WHERE relevance_score IS NOT NULL)
-    GROUP BY url
+      AND key NOT IN (SELECT key FROM keyed WHERE relevance_score IS NOT NULL)
+    GROUP BY key
     """,
 )
 def insert_absent_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled articles are the table, the others the batch to insert."""
-    e = st.enriched(spark, sf_dir).select("article_id", "url", "relevance_score")
+    """Labelled articles are the table, the others the batch to insert; a quarter have no url and go by title."""
+    e = st.enriched(spark, sf_dir).select("article_id", F.when(F.col("article_id") % 4 > 0, F.col("url")).alias("url"), "title", "relevance_score")
     new = e.where(filters.lacks("relevance_score"))
     table = e.where(filters.has("relevance_score"))
-    return insert_absent(new, table, "url", "article_id").select("article_id", "url")
+    return insert_articles(new, table, "article_id").select("article_id", "url")
 
 
 @query(
@@ -434,11 +436,8 @@ def overlay_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def relief_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole feed import: recent, classified, flagged, first per url."""
-    recent = filters.recent(st.articles(spark, sf_dir), "published_at", 14, st.AS_OF)
-    typed = classify.classify_first(recent, "description", st.TYPES)
-    flagged = classify.flag_any(typed, "description", st.PLACES)
-    narrow = flagged.select("article_id", "url", "linked_disaster_type", "location_match")
-    return dedup_first(narrow, "url", "article_id")
+    found = import_feed(st.articles(spark, sf_dir), st.AS_OF, None, st.TYPES, st.PLACES, 14, "description")
+    return found.select("article_id", "url", "linked_disaster_type", "location_match")
 
 
 @query(
@@ -452,3 +451,54 @@ def forum_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recent posts with any keyword, before de-duplication."""
     recent = filters.recent(st.articles(spark, sf_dir), "published_at", 10, st.AS_OF)
     return recent.where(match_any(["title", "description"], ALL_TERMS)).select("article_id")
+
+
+@query(
+    "post_import",
+    f"""
+    WITH a AS (SELECT article_id, url FROM {st.ARTICLES_SQL} AS a
+               WHERE published_at >= TIMESTAMP '{st.AS_OF} 00:00:00' - to_days(10) AND {st.any_sql('description', ALL_TERMS)})
+    SELECT min(article_id) AS article_id, url FROM a
+    WHERE url NOT IN (SELECT url FROM {st.ENRICHED_SQL} AS e WHERE relevance_score IS NOT NULL) GROUP BY url
+    """,
+)
+def post_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole import of forum posts, into a table that holds the labelled ones."""
+    stored = st.enriched(spark, sf_dir).where(filters.has("relevance_score"))
+    found = import_posts(st.articles(spark, sf_dir), st.AS_OF, stored, ALL_TERMS, None, 10, "description")
+    return found.select("article_id", "url")
+
+
+_GUIDS = "SELECT event_id, user_id AS guid, event_type AS title, ts FROM events"
+
+
+@query(
+    "insert_guid",
+    f"""
+    WITH e AS ({_GUIDS})
+    SELECT min(event_id) AS event_id, guid FROM e
+    WHERE title IN ('view', 'purchase') AND guid NOT IN (SELECT guid FROM e WHERE title = 'signup') GROUP BY guid
+    """,
+)
+def insert_by_guid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed events by guid: users in the place of guids, event types in the place of titles."""
+    events = st.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("guid"), F.col("event_type").alias("title"))
+    stored = events.where("title = 'signup'")
+    return import_hazard_events(events, stored, ["view", "purchase"], "event_id").select("event_id", "guid")
+
+
+@query(
+    "insert_event_id",
+    f"""
+    WITH s AS (SELECT (event_id % 997) AS event_id, date, latitude, longitude FROM {st.LANDSLIDES_SQL} AS l),
+    known AS (SELECT event_id FROM s WHERE latitude < 48),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY date, latitude, longitude) AS rn FROM s
+               WHERE event_id NOT IN (SELECT event_id FROM known))
+    SELECT event_id, strftime(date, '%Y-%m-%d') AS date, round(latitude, 2) AS latitude FROM ranked WHERE rn = 1
+    """,
+)
+def insert_by_event_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog rows by event id, into a table that holds the southern ones."""
+    slides = st.landslides(spark, sf_dir).withColumn("event_id", F.col("event_id") % 997)
+    found = import_landslides(slides, slides.where("latitude < 48"), ["date", "latitude", "longitude"])
+    return found.select("event_id", F.date_format("date", "yyyy-MM-dd").alias("date"), F.round("latitude", 2).alias("latitude"))
