@@ -10,14 +10,14 @@ from emberlink.llm.common import cut_lineage
 def _largest_stars(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     hung = both.where("v > u").join(least, "u")
     return hung.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _smallest_stars(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     hung = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
