@@ -77,10 +77,18 @@ def rolling(data: np.ndarray, size: int) -> np.ndarray:
         return _mix((total[size:] - total[:-size]) * down[: len(data) - size + 1])
 
 
-def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gram hash, first window and last window (as starts) of every anchor of a text."""
-    if len(data) < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every anchor: which text it is in, its gram's hash, and its first and last window (as starts).
+
+    The texts are hashed as one piece, and windows that reach across their ends are left out.
+    """
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begin, windows = np.cumsum(sizes) - sizes, np.maximum(sizes - WINDOW + 1, 0)
+    owner = np.repeat(np.arange(len(texts)), windows)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    if not len(owner):
+        return owner, np.zeros(0, np.uint64), start, start
     least, wide = rolling(data, GRAM), WINDOW - GRAM + 1
     at = np.arange(len(least), dtype=np.int32)
 
@@ -95,8 +103,21 @@ def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         width *= 2
     if width < wide:
         join(wide - width)
+    mine = begin[owner] + start
+    least, at = least[mine], at[mine]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return least[first], first, np.concatenate([first[1:], [len(at)]]) - 1
+    return owner[first], least[first], start[first], start[np.concatenate([first[1:], [len(at)]]) - 1]
+
+
+def _chunks(batch: pd.DataFrame, size: int = 1 << 16) -> Iterator[tuple[slice, list[bytes]]]:
+    """Rows in a row with some 64 kB of text together: as much as a core's cache holds work on."""
+    texts = [_bytes(t) for t in batch["text"]]
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= size or i + 1 == len(texts):
+            yield slice(start, i + 1), texts[start : i + 1]
+            start, held = i + 1, 0
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
@@ -117,15 +138,16 @@ def repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
-            for k1, k2, text in zip(batch["k1"], batch["k2"], batch["text"]):
-                grams = segments(np.frombuffer(_bytes(text), np.uint8))[0]
-                if len(grams):
-                    held.append((k1, k2, grams))
-                    size += len(grams)
+            k1, k2 = batch["k1"].to_numpy(), batch["k2"].to_numpy()
+            for rows, texts in _chunks(batch):
+                owner, grams, _, _ = anchors(texts)
+                number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+                held.append((k1[rows][owner], k2[rows][owner], number, grams))
+                size += len(grams)
                 if size >= RUN_BYTES // 24:
                     yield _anchor_run(held, buckets)
                     held, size = [], 0
-        if held:
+        if size:
             yield _anchor_run(held, buckets)
 
     def meet(runs: pd.DataFrame) -> pd.DataFrame:
@@ -152,12 +174,9 @@ def repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
 
 def _anchor_run(held: list, buckets: int) -> pd.DataFrame:
     """One task's anchors: by bucket, one entry a gram; and those it knows to be repeated."""
-    grams = np.concatenate([g for _, _, g in held])
-    sizes = [len(g) for _, _, g in held]
+    k1, k2, number, grams = (np.concatenate([h[i] for h in held]) for i in range(4))
     rows = np.zeros(len(grams), "<u4,<i4,<i8,<i8")
-    rows["f0"] = grams & np.uint64(0xFFFFFFFF)
-    rows["f1"] = np.concatenate([np.arange(n) for n in sizes])
-    rows["f2"], rows["f3"] = (np.repeat([h[i] for h in held], sizes) for i in (0, 1))
+    rows["f0"], rows["f1"], rows["f2"], rows["f3"] = grams & np.uint64(0xFFFFFFFF), number, k1, k2
     _, first, group, count = np.unique(grams, return_index=True, return_inverse=True, return_counts=True)
     again = count[group] > 1
     known = np.zeros(int(again.sum()), "<i8,<i8,<i4")
@@ -176,27 +195,29 @@ def _anchor_run(held: list, buckets: int) -> pd.DataFrame:
 # ---- 2: equal segments ------------------------------------------------------------------
 
 
-def merge_segments(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
+def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     """The picked segments, merged: (``gram``, ``k1``, ``k2``, ``start``, ``size``, ``segment``).
 
     ``segment`` is null for a repeat, and holds the bytes of the first of its kind otherwise.
     """
-    by_doc = anchors.groupBy("k1", "k2").agg(F.collect_set("anchor").alias("anchors"))
+    by_doc = wanted.groupBy("k1", "k2").agg(F.collect_set("anchor").alias("anchors"))
     texts = docs.join(by_doc, ["k1", "k2"])
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[bytes, list] = defaultdict(list)
         size = 0
         for batch in batches:
-            for k1, k2, text, picked in zip(batch["k1"], batch["k2"], batch["text"], batch["anchors"]):
-                raw = _bytes(text)
-                grams, first, last = segments(np.frombuffer(raw, np.uint8))
-                picked = np.sort(picked)
-                for gram, lo, hi in zip(grams[picked].view(np.int64).tolist(), first[picked].tolist(), last[picked].tolist()):
-                    segment = raw[lo : hi + WINDOW]
+            k1, k2, picked = batch["k1"].to_numpy(), batch["k2"].to_numpy(), list(batch["anchors"])
+            for rows, texts in _chunks(batch):
+                owner, grams, first, last = anchors(texts)
+                base = np.searchsorted(owner, np.arange(len(texts)))
+                chosen = np.concatenate([b + np.sort(p) for b, p in zip(base, picked[rows])])
+                docs_of, c1, c2 = owner[chosen], k1[rows].tolist(), k2[rows].tolist()
+                for doc, gram, lo, hi in zip(docs_of.tolist(), grams[chosen].view(np.int64).tolist(), first[chosen].tolist(), last[chosen].tolist()):
+                    segment = texts[doc][lo : hi + WINDOW]
                     if segment not in held:
                         size += len(segment) + 150
-                    held[segment].append((k1, k2, lo, gram))
+                    held[segment].append((c1[doc], c2[doc], lo, gram))
                     size += 100
                 if size >= 4 * RUN_BYTES:
                     yield _segment_run(held, buckets)
@@ -263,32 +284,36 @@ def _merge_bucket(runs: pd.DataFrame) -> pd.DataFrame:
 # ---- 3: windows that different segments share -----------------------------------------
 
 
-def _windows(segment: bytes) -> np.ndarray:
-    return rolling(np.frombuffer(segment, np.uint8), WINDOW)
+_WINDOW_COLUMNS = ["k1", "k2", "start", "stop", "gram", "window", "open"]
+_TOGETHER = 20_000  # segments whose windows are sorted at once
+
 
+def _compare_windows(rows: pd.DataFrame) -> pd.DataFrame:
+    """Repeated windows of whole groups (``gram``, ``salt``) of segments, as intervals.
 
-def _group_windows(rows: list[tuple], salted: bool) -> tuple[list[tuple], list[tuple]]:
-    """Repeated windows of one gram's segments, as intervals; and, if asked for, the first of each window."""
-    hashes = [_windows(r[3]) for r in rows]
-    sizes = [len(h) for h in hashes]
-    flat = np.concatenate(hashes)
-    k1, k2 = (np.repeat(np.array([r[i] for r in rows], np.int64), sizes) for i in (0, 1))
-    start = np.concatenate([r[2] + np.arange(n) for r, n in zip(rows, sizes)])
-    order = np.lexsort((start, k2, k1, flat))
-    f, a, b, s = flat[order], k1[order], k2[order], start[order]
-    head = np.concatenate([[True], f[1:] != f[:-1]])
+    Of salted groups, also the first of each window (``open``), for comparison between salts.
+    """
+    texts = list(rows["segment"])
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    windows = sizes - WINDOW + 1
+    owner = np.repeat(np.arange(len(texts)), windows)
+    inner = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    hashes = rolling(np.frombuffer(b"".join(texts), np.uint8), WINDOW)[(np.cumsum(sizes) - sizes)[owner] + inner].view(np.int64)
+    gram, salt, many, k1, k2 = (rows[c].to_numpy()[owner] for c in ("gram", "salt", "salted", "k1", "k2"))
+    start = rows["start"].to_numpy()[owner].astype(np.int64) + inner
+    order = np.lexsort((start, k2, k1, hashes, salt, gram))
+    g, sa, h, a, b, at = (x[order] for x in (gram, salt, hashes, k1, k2, start))
+    head = np.concatenate([[True], (g[1:] != g[:-1]) | (sa[1:] != sa[:-1]) | (h[1:] != h[:-1])])
     lead = np.flatnonzero(head)[np.cumsum(head) - 1]
-    same = (a == a[lead]) & (b == b[lead]) & (s == s[lead])
-    dup = order[~same]
-    spans = [(int(k1[i]), int(k2[i]), int(start[i]), int(start[i]) + WINDOW) for i in np.sort(dup)]
-    joined: list[list] = []
-    for x in spans:  # windows of one segment that follow each other are one interval
-        if joined and joined[-1][:2] == list(x[:2]) and joined[-1][2] <= x[2] <= joined[-1][3]:
-            joined[-1][3] = max(x[3], joined[-1][3])
-        else:
-            joined.append(list(x))
-    firsts = [(int(f[i].view(np.int64)), int(a[i]), int(b[i]), int(s[i])) for i in np.flatnonzero(head)] if salted else []
-    return [tuple(x) for x in joined], firsts
+    later = np.sort(order[(a != a[lead]) | (b != b[lead]) | (at != at[lead])])
+    # Windows of one segment that follow each other are one interval.
+    begins = np.flatnonzero(np.concatenate([[True], (owner[later][1:] != owner[later][:-1]) | (later[1:] != later[:-1] + 1)])) if len(later) else later
+    ends = np.concatenate([begins[1:], [len(later)]])[: len(begins)] - 1
+    lo, hi = later[begins], later[ends]
+    spans = {"k1": k1[lo], "k2": k2[lo], "start": start[lo], "stop": start[hi] + WINDOW, "gram": 0, "window": 0, "open": False}
+    f = order[head & many[order]]
+    firsts = {"k1": k1[f], "k2": k2[f], "start": start[f], "stop": 0, "gram": gram[f], "window": hashes[f], "open": True}
+    return pd.concat([pd.DataFrame(x, columns=_WINDOW_COLUMNS) for x in (spans, firsts)])
 
 
 def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
@@ -303,28 +328,19 @@ def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
     grouped = rows.repartition(parts, "gram", "salt").sortWithinPartitions("gram", "salt")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held, salted = None, [], False
-        columns = ["k1", "k2", "start", "stop", "gram", "window", "open"]
-
-        def finish() -> pd.DataFrame:
-            spans, firsts = _group_windows(held, salted)
-            return pd.DataFrame([(*s, 0, 0, False) for s in spans] + [(a, b, s, 0, key[0], w, True) for w, a, b, s in firsts], columns=columns)
-
-        ready: list[pd.DataFrame] = []
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            for gram, salt, many, *row in batch[["gram", "salt", "salted", "k1", "k2", "start", "segment"]].itertuples(index=False):
-                if (gram, salt) != key:
-                    if held:
-                        ready.append(finish())
-                        if len(ready) >= 500:
-                            yield pd.concat(ready)
-                            ready = []
-                    key, held, salted = (gram, salt), [], many
-                held.append(row)
-        if held:
-            ready.append(finish())
-        if ready:
-            yield pd.concat(ready)
+            held.append(batch)
+            if sum(map(len, held)) < _TOGETHER:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            # The last group may go on in the next batch.
+            last = (rows["gram"] == rows["gram"].iat[-1]) & (rows["salt"] == rows["salt"].iat[-1])
+            held = [rows[last]]
+            if not last.all():
+                yield _compare_windows(rows[~last])
+        if held and sum(map(len, held)):
+            yield _compare_windows(pd.concat(held, ignore_index=True))
 
     found = cut_lineage(grouped.mapInPandas(work, "k1 long, k2 long, start long, stop long, gram long, window long, open boolean"), "suffix-windows")
     spans = found.where("not open").select("k1", "k2", "start", "stop")
@@ -397,3 +413,26 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_up.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS g FROM (SELECT doc_id, h, unnest(generate_series(0, len(h) // 2 - 100)) AS s FROM d)),
+f AS (SELECT g, min((doc_id, s)) AS place FROM w GROUP BY g HAVING count(*) > 1),
+dup AS (SELECT doc_id, s FROM w JOIN f USING (g) WHERE (doc_id, s) <> place),
+marked AS (SELECT doc_id, s, s - lag(s, 1, -1000) OVER (PARTITION BY doc_id ORDER BY s) > 100 AS begins FROM dup),
+grouped AS (SELECT doc_id, s, sum(begins::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM marked),
+runs AS (SELECT doc_id, min(s) AS lo, max(s) + 100 AS hi FROM grouped GROUP BY doc_id, run),
+parts AS (
+  SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS start, lo AS stop FROM runs
+  UNION ALL SELECT doc_id, max(hi), NULL FROM runs GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * start + 1, 2 * coalesce(stop - start, len(h))), '' ORDER BY start) AS h
+  FROM parts JOIN d USING (doc_id) GROUP BY doc_id
+),
+sums AS (SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, (len(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

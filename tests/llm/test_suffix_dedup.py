@@ -84,6 +84,7 @@ def test_against_brute_force(spark, corpus, tmp_path, monkeypatch, kinds, run_by
     monkeypatch.setattr(sd, "KINDS", kinds)
     monkeypatch.setattr(sd.shared_windows, "__defaults__", (kinds,))
     monkeypatch.setattr(sd, "RUN_BYTES", run_bytes)
+    monkeypatch.setattr(sd, "_TOGETHER", kinds)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in corpus], "doc_id long, text string, spans string, K1 int").repartition(7)
     assert _got(sd.op8_suffix_dedup(spark, _write(df, tmp_path))) == _brute(corpus)
 
@@ -93,8 +94,10 @@ def test_anchors_of_equal_windows_are_equal():
     shared = rng.integers(97, 101, 400).astype(np.uint8)
     a = np.concatenate([rng.integers(97, 101, 333).astype(np.uint8), shared])
     b = np.concatenate([shared, rng.integers(97, 101, 77).astype(np.uint8)])
-    of = lambda d: {i: g for g, lo, hi in zip(*sd.segments(d)) for i in range(lo, hi + 1)}
-    left, right = of(a), of(b)
+    found = sd.anchors([a.tobytes(), b"x" * 99, b"", b.tobytes()])
+    of = lambda k: {i: g for o, g, lo, hi in zip(*found) if o == k for i in range(lo, hi + 1)}
+    left, right = of(0), of(3)
+    assert set(found[0]) == {0, 3}
     assert len(left) == len(a) - 99
     assert all(left[333 + i] == right[i] for i in range(301))
 
