@@ -12,10 +12,11 @@ Two documents agree in a coordinate with the probability of their weighted Jacca
 of them once in some 20,000 times. Candidates are then checked exactly on their shingle sets.
 
 Groups of any size stay cheap, and no link between different sets is lost among candidates:
-equal sets become one representative first; in a bucket each member is checked against the
-smallest one only; and where a bucket still joins documents of different components, their pairs
-are searched through the rarest fifth of their shingles (two sets of similarity 0.8 must share
-one of these), across components only.
+equal sets become one representative first; in a bucket each member is checked against its hub only,
+the member that meets most others in all of its buckets; and where a bucket still joins documents of different components, their pairs
+are searched through the rarest fifth of their shingles, across components only: two sets of
+similarity 0.8 must share one of these, with enough after it in both. Copies that differ from a hub
+too much to be linked to it have too many shingles of their own in front to meet each other.
 
 Defined results: a text of one to four words is one shingle. A null text, or one without a word,
 belongs to no group: its class is its own id. Rows with a null id join their copies' class, or
@@ -190,10 +191,12 @@ def _across(shared: DataFrame, components: DataFrame, sets: DataFrame) -> DataFr
     seen = each.groupBy("shingle").agg(F.count("*").alias("df"))
     ordered = each.join(seen, "shingle").groupBy("id", "part", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
     prefix = F.slice("by_df", 1, (F.col("n") - F.ceil(F.lit(SIMILARITY) * F.col("n")) + 1).cast("int"))
-    rare = ordered.select("id", "part", "n", F.explode(prefix).alias("s")).where("s.df > 1").select("id", "part", "n", "s.shingle")
-    rare = cut_lineage(rare, "darts-rare")
-    other = rare.select("shingle", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"))
-    pairs = rare.withColumnRenamed("id", "a").join(other, "shingle").where(F.expr("a < b and part <> part_b") & _like_sized("n", "n_b"))
+    rare = ordered.select("id", "part", "n", F.posexplode(prefix).alias("at", "s")).where("s.df > 1")
+    rare = cut_lineage(rare.select("id", "part", "n", (F.col("n") - F.col("at")).alias("rest"), "s.shingle"), "darts-rare")
+    other = rare.select("shingle", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"))
+    # Two sets whose first common shingle this is have no more in common than what comes after it in either.
+    enough = F.least("rest", "rest_b") * (1 + SIMILARITY) >= SIMILARITY * (F.col("n") + F.col("n_b")) - 1e-6
+    pairs = rare.withColumnRenamed("id", "a").join(other, "shingle").where(F.expr("a < b and part <> part_b") & _like_sized("n", "n_b") & enough)
     checked = _verified(pairs.select("a", "b").distinct(), sets)
     part_of = lambda c: open_docs.select(F.col("id").alias(c), F.col("part").alias(f"part_{c}"))
     return checked.join(part_of("a"), "a").join(part_of("b"), "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))
@@ -222,15 +225,22 @@ def classes(docs: DataFrame) -> DataFrame:
 
     # A row for each band; who is alone in a bucket has no partner there.
     banded = reps.select("id", "text_key", "n", F.explode("bands").alias("bucket"))
-    hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    shared = cut_lineage(banded.join(hubs.select("bucket", "hub"), "bucket"), "darts-buckets")
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    crowded = cut_lineage(banded.join(cut_lineage(sizes, "darts-sizes"), "bucket"), "darts-crowded")
+    # The hub of a bucket is the one that meets most others in all of its buckets: among copies that
+    # differ here and there, the one that differs least.
+    known_by = crowded.groupBy("id").agg(F.sum("members").alias("met"))
+    ranked = crowded.join(cut_lineage(known_by, "darts-met"), "id")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("met", (-F.col("id")).alias("less"))).alias("top"))
+    hubs = cut_lineage(hubs.select("bucket", (-F.col("top.less")).alias("hub")), "darts-hubs")
+    shared = cut_lineage(crowded.drop("members").join(hubs, "bucket"), "darts-buckets")
 
     wanted = shared.select(F.col("id").alias("doc_id"), "text_key").distinct()
     texts = rows.join(wanted, ["doc_id", "text_key"]).groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
     sets = cut_lineage(texts.select(F.col("doc_id").alias("id"), _shingle_sets("text").alias("shingles")), "darts-shingles")
 
-    sizes = shared.select("bucket", F.col("id").alias("hub"), F.col("n").alias("hub_n"))
-    starred = shared.where("id <> hub").join(sizes, ["bucket", "hub"]).where(_like_sized("n", "hub_n"))
+    of_hub = shared.where("id = hub").select("bucket", F.col("n").alias("hub_n"))
+    starred = shared.where("id <> hub").join(of_hub, "bucket").where(_like_sized("n", "hub_n"))
     links = _verified(starred.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets)
     first = cut_lineage(connected_components(links, "darts-star"), "darts-classes")
     second = connected_components(_across(shared, first, sets), "darts-across")
@@ -263,3 +273,28 @@ def keep_first(docs: DataFrame) -> DataFrame:
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document: five-word shingles, similarity 0.8 or more."""
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+  FROM t WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sets AS (SELECT doc_id, n, md5(string_agg(g, '|' ORDER BY g)) AS k FROM s JOIN n USING (doc_id) GROUP BY doc_id, n),
+reps AS (SELECT min(doc_id) AS doc_id, any_value(n) AS n, k FROM sets GROUP BY k),
+r AS (SELECT doc_id, g FROM s SEMI JOIN reps USING (doc_id)),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM r AS x JOIN r AS y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+linked AS (
+  SELECT a, b FROM common JOIN reps AS p ON p.doc_id = a JOIN reps AS q ON q.doc_id = b WHERE c >= 0.8 * (p.n + q.n - c)
+),
+both_ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT a AS node, a AS seen FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.seen),
+part AS (SELECT node, min(seen) AS least FROM reach GROUP BY node)
+SELECT t.doc_id, coalesce(part.least, reps.doc_id, t.doc_id) AS class_id
+FROM t LEFT JOIN sets USING (doc_id) LEFT JOIN reps ON reps.k = sets.k LEFT JOIN part ON part.node = reps.doc_id
+"""
