@@ -25,4 +25,9 @@ QUERIES = {
         suffix_dedup.op8_suffix_dedup, rabitq.op9_rabitq_search, topk.op10_exact_topk,
     )
 }
-ORACLES = {"op10_exact_topk": topk.OP10_SQL}
+ORACLES = {
+    "op6_url_verdicts": urls.OP6_SQL,
+    "op7_near_duplicates": dart_minhash.OP7_SQL,
+    "op8_suffix_dedup": suffix_dedup.OP8_SQL,
+    "op10_exact_topk": topk.OP10_SQL,
+}

@@ -119,3 +119,61 @@ def op6_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every url of ``pages``."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP6_SQL = r"""
+WITH RECURSIVE rules AS (
+  SELECT * FROM (VALUES ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')) AS r(verdict, rule)
+),
+p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+),
+tags AS (
+  SELECT host, path, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS tag, 'link' AS kind FROM p WHERE host <> ''
+  UNION ALL SELECT host, path, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')), 'meta' FROM p WHERE host <> ''
+),
+links AS (
+  SELECT host, path, trim(replace(CASE kind
+    WHEN 'link' THEN concat(regexp_extract(tag, '(?is)\bhref\s*=\s*"([^"]*)"', 1), regexp_extract(tag, '(?is)\bhref\s*=\s*''([^'']*)''', 1),
+                            regexp_extract(tag, '(?is)\bhref\s*=\s*([^\s"''>]+)', 1))
+    ELSE regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?\s*[0-9.]*\s*[;,]\s*url\s*=\s*["'']?([^"''>\s]+)', 1) END, '&amp;', '&')) AS link
+  FROM tags
+  WHERE kind = 'link' AND regexp_matches(tag, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')
+     OR kind = 'meta' AND regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')
+),
+whole AS (
+  SELECT host || path AS a, CASE
+    WHEN contains(link, '://') THEN link
+    WHEN starts_with(link, '//') THEN 'x:' || link
+    WHEN starts_with(link, '/') THEN 'x://' || host || link
+    WHEN link = '' OR starts_with(link, '#') OR regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    ELSE 'x://' || host || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || link END AS url
+  FROM links
+),
+edges AS (
+  SELECT DISTINCT a, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    || regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS b
+  FROM whole WHERE regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) <> ''
+),
+both_ways AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
+reach AS (SELECT a AS node, a AS seen FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.seen),
+judged AS (
+  SELECT seen, arg_max(verdict, len(rule)) AS verdict
+  FROM (SELECT DISTINCT seen, regexp_extract(seen, '(?s)^([^/]*)', 1) AS host, regexp_extract(seen, '(?s)^[^/]*(.*)$', 1) AS path FROM reach)
+  JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, rule[strpos(rule, '/'):])
+  GROUP BY seen
+),
+aliases AS (
+  SELECT node FROM reach JOIN judged USING (seen) GROUP BY node HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow')
+),
+ruled AS (
+  SELECT page_id, host, path, arg_max(rule, len(rule)) AS rule, arg_max(verdict, len(rule)) AS verdict
+  FROM p LEFT JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, rule[strpos(rule, '/'):])
+  GROUP BY ALL
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN node IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN aliases ON node = host || path
+"""
