@@ -20,6 +20,7 @@ An empty table gives no pieces.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections import defaultdict
@@ -35,9 +36,10 @@ from emberlink.llm.common import cut_lineage, table
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 4096
 CLOSING_ID = 2
-REMEMBERED = 800_000  # distinct words a task keeps; beyond that it starts anew, with the same results
+REMEMBERED = 300_000  # distinct words a task keeps; beyond that it starts anew, with the same results
 _LONG_WORD = 64  # characters; longer ones are not kept
-_BATCH = 4_000_000  # characters tokenized at a time
+_BATCH = 2_000_000  # characters tokenized at a time
+_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")  # a mark that stands alone between a letter and a space
 
 Slot = tuple[int, int, int, int, int]
 
@@ -46,7 +48,8 @@ class WordCoder:
     """Ids of texts, word by word.
 
     The tokenizer's pieces never reach across a space or a line feed, and its normalization acts
-    on each side of one alone, so the ids of a text are those of its words in a row.
+    on each side of one alone, so the ids of a text are those of its words in a row. A full stop or
+    comma at a word's end is a piece of its own, too.
     """
 
     def __init__(self, vocabulary: str, closing_id: int) -> None:
@@ -62,7 +65,7 @@ class WordCoder:
         """Packed ids (little-endian unsigned 32-bit) of each text, closing id included."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [_STOP.sub(r" \1", t).replace("\n", " ").split(" ") for t in texts]
         seen = self.seen
         missing = list(set().union(*split).difference(seen))
         found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
