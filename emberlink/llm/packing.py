@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -44,6 +45,14 @@ _STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")  # a mark that stands alone be
 Slot = tuple[int, int, int, int, int]
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class WordCoder:
     """Ids of texts, word by word.
 
@@ -69,7 +78,7 @@ class WordCoder:
         seen = self.seen
         missing = list(set().union(*split).difference(seen))
         found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        seen.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(missing, (e.ids for e in found)))
+        seen.update(zip(missing, [_packed(e.ids) for e in found]))
         out = [b"".join([*map(seen.__getitem__, words), self.closing]) for words in split]
         for w in missing:
             if len(w) > _LONG_WORD:
