@@ -319,7 +319,8 @@ def _compare_windows(rows: pd.DataFrame) -> pd.DataFrame:
 def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
     """Intervals (``k1``, ``k2``, ``start``, ``stop``) of repeated windows in first segments."""
     kept = segments_.where("segment is not null")
-    several = kept.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    # Written, so that both sides of the join have shuffles of their own, which Spark can split at a hot gram.
+    several = cut_lineage(kept.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-kinds")
     salts = F.ceil(F.col("kinds") / kinds)
     rows = kept.join(several, "gram").select(
         "gram", F.pmod(F.xxhash64("segment"), salts).cast("int").alias("salt"), (F.col("kinds") > kinds).alias("salted"), "k1", "k2", "start", "segment"
