@@ -29,7 +29,7 @@ from emberlink.llm.common import fresh, table
 from emberlink.llm.perfect_hash import PerfectHash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-REMEMBERED = 400_000  # distinct pre-tokens a task keeps; beyond that it starts anew, with the same results
+REMEMBERED = 300_000  # distinct pre-tokens a task keeps; beyond that it starts anew, with the same results
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -47,42 +47,37 @@ class Codec:
     def __init__(self, tokens: list[bytes], pattern: str = public_tokenizers.PATTERN) -> None:
         self.tokens, self.pattern = tokens, pattern
         self.whole = PerfectHash(tokens)
+        self.rank_of = {t: i for i, t in enumerate(tokens)}  # of pairs, while merging
         self.packed = [i.to_bytes(4, "little") for i in range(len(tokens))]
         self.words = regex.compile(pattern)
         self.seen: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token itself."""
-        find = self.whole.find
-        n = len(piece)
-        part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            rank = find(piece[i : i + 2])
-            if rank >= 0:
-                heap.append((rank, i, 2))
+        rank_of, n = self.rank_of.get, len(piece)
+        # A part is known by its first byte's place; ``end`` is where it stops, 0 once it is merged away.
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, i, size = heapq.heappop(heap)
-            j = after[i] if part[i] is not None else n
-            # An entry is stale if its left part is gone or either part has grown since.
-            if j >= n or len(part[i]) + len(part[j]) != size or self.tokens[rank] != part[i] + part[j]:
+            _, i, stop = heapq.heappop(heap)
+            j = end[i]
+            # Stale: the left part is gone, or either part has grown since.
+            if not j or j >= n or end[j] != stop:
                 continue
-            part[i] += part[j]
-            part[j] = None
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                rank = find(part[i] + part[k])
-                if rank >= 0:
-                    heapq.heappush(heap, (rank, i, len(part[i]) + len(part[k])))
+            end[i], end[j] = stop, 0
+            if stop < n:
+                before[stop] = i
+                if (r := rank_of(piece[i : end[stop]])) is not None:
+                    heapq.heappush(heap, (r, i, end[stop]))
             h = before[i]
-            if h >= 0:
-                rank = find(part[h] + part[i])
-                if rank >= 0:
-                    heapq.heappush(heap, (rank, h, len(part[h]) + len(part[i])))
-        return [find(p) for p in part if p is not None]
+            if h >= 0 and (r := rank_of(piece[h:stop])) is not None:
+                heapq.heappush(heap, (r, h, stop))
+        ids, i = [], 0
+        while i < n:
+            ids.append(self.rank_of[piece[i : end[i]]])
+            i = end[i]
+        return ids
 
     def _resolve(self, word: str) -> bytes:
         piece = word.encode("utf-8")
