@@ -7,8 +7,10 @@ that looks and reads the same everywhere has importance 0, one with a text of it
 page 1. Composite importance is ``(1 - DECAY**l) * presentation + DECAY**l * content``, ``l``
 being the number of presentations. Containers below ``LEAST`` go, with all they hold.
 
-A prior stands beside it, since many hosts show few pages: containers whose tag or class names
-their purpose (menus, footers, adverts, forms, comments, ...) have importance 0 on every host.
+A prior stands beside it, since many hosts show few pages: containers whose tag, or a whole class or
+id, names their purpose (menus, footers, adverts, forms, comments, ...) have importance 0 on every host.
+Names do not count on the page, its article and headings; ids do not on sections. A form passes if it
+holds the marked article, and so does a named element if no article is outside (not comments).
 Where a page marks its article (``article``, ``main``), text outside is not main text, and the
 marked element itself and its paragraphs are never judged by statistics, only the containers
 within: equal articles on many pages are still articles.
@@ -69,12 +71,19 @@ CONTAINERS = _words("article aside body center details div dl fieldset figure fo
 BOILERPLATE_TAGS = _words(
     "nav footer aside form head script style noscript template svg math object iframe button select textarea dialog menu audio video canvas map search fieldset"
 )
+_NAMES = (
+    r"(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|footer|gdpr|masthead|menu|menus|modal|nav|navbar|"
+    r"navigation|newsletter|notice|notices|pagination|pager|popup|promo\w*|related|replies|respond|share|sharing|sidebar|sidebars|site-header|skip-link|social|sponsor\w*|subscribe|toolbar|widgets?)"
+)
+#: A whole class or id: names, with words of place before and of form after them ("site-footer", "cookie-bar"; not "has-sidebar", "related-work").
 BOILERPLATE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|footer|gdpr|masthead|menu|menus|modal|nav|navbar|"
-    r"navigation|newsletter|notice|notices|pagination|pager|popup|promo\w*|related|replies|respond|share|sharing|sidebar|sidebars|site-header|skip-link|social|sponsor\w*|subscribe|toolbar|widget)"
-    r"(?:$|[\s_-])",
+    rf"(?:(?:site|page|main|top|bottom|primary|secondary|global|mobile|sticky|post|entry|article)[_-]+)*{_NAMES}(?:[_-]+{_NAMES})*"
+    r"(?:[_-]+(?:bar|box|slot|unit|area|list|links?|icons?|buttons?|block|form|popup|\d+(?:x\d+)?))*",
     re.I,
 )
+COMMENT_NAMES = re.compile(r"(?:comments?|commentlist|replies|respond|disqus)", re.I)
+NAMELESS = _words("html body main h1 h2 h3 h4 h5 h6")  # never judged by names; sections only by class, as their ids are anchors
+PASSING = _words("form fieldset")  # these, and what only a name tells, pass if they hold the article
 BOILERPLATE_ROLES = _words("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar")
 ARTICLES = _words("article main")
 
@@ -93,7 +102,7 @@ class Open:
 
     tag: str
     path: int  # of a container
-    gone: bool  # by the prior
+    gone: int  # by the prior: 0 if not, GONE, or a number in Reader.doubts
     inside: bool  # an article or main element
     container: int  # the innermost, in Page.containers
     first: int  # the first block that it holds
@@ -107,7 +116,6 @@ class Page:
     blocks: list[tuple[str, bool, int]] = field(default_factory=list)  # text, in an article, container
     containers: list[tuple[int, int]] = field(default_factory=lambda: [(0, 0)])  # path, container around it
     nodes: list[tuple[int, int, int]] = field(default_factory=list)  # path, look, content
-    sums: list[int] = field(default_factory=lambda: [0])  # running sums of the blocks' hashes
     marked: bool = False  # whether the page marks its article
 
 
@@ -123,31 +131,86 @@ def _hash(text: str) -> int:
     return xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
 
+GONE = -1
+
+
+def _named(tag: str, names: dict[str, str]) -> list[str]:
+    """Classes and ids that name a purpose other than the article."""
+    if tag in NAMELESS:
+        return []
+    labels = names.get("class", "").split()
+    if tag != "section" and "id" in names:
+        labels.append(names["id"].strip())
+    found = [x for x in labels if BOILERPLATE_NAMES.fullmatch(x)]
+    # Of an element that marks an article, only the name of a comment says that it is none.
+    return [x for x in found if COMMENT_NAMES.fullmatch(x)] if tag in ARTICLES else found
+
+
 class Reader:
     """One pass over a page's markup."""
 
     def __init__(self) -> None:
         self.page = Page()
-        self.stack = [Open("", 0, False, False, 0, 0)]
+        self.stack = [Open("", 0, 0, False, 0, 0)]
         self.open: Counter[str] = Counter()
         self.parts: list[str] = []
+        # What goes unless it holds the article: the doubt around it, whether by name only, whether it holds one.
+        self.doubts: list[list] = [[0, False, False]]
+        self.articles: set[int] = set()  # doubts (or 0) around the marked elements
+        self.blocks: list[tuple[str, bool, int, int]] = []  # as the page's, and the doubt around
+        self.nodes: list[tuple[int, int, int, int, int]] = []  # path, look, first and last block, doubt around
 
     def end_block(self) -> None:
         if not self.parts:
             return
         text, top = " ".join("".join(self.parts).split()), self.stack[-1]
-        if text and not top.gone:
-            self.page.blocks.append((text, top.inside, top.container))
-            self.page.sums.append(self.page.sums[-1] + _hash(text))
+        if text and top.gone != GONE:
+            self.blocks.append((text, top.inside, top.container, top.gone))
         self.parts.clear()
 
     def close(self) -> None:
         self.end_block()
         node = self.stack.pop()
         self.open[node.tag] -= 1
-        if node.path and not node.gone:
-            content = (self.page.sums[-1] - self.page.sums[node.first]) % (1 << 62)
-            self.page.nodes.append((node.path, _hash(" ".join(node.children)), content))
+        if node.path and node.gone != GONE:
+            self.nodes.append((node.path, _hash(" ".join(node.children)), node.first, len(self.blocks), node.gone))
+
+    def judge(self, around: int, tag: str, names: dict[str, str], inside: bool) -> int:
+        """What the prior says of an element."""
+        if around == GONE:
+            return GONE
+        if tag in ("html", "body"):
+            return around
+        role = names.get("role", "").lower()
+        if (tag in BOILERPLATE_TAGS and tag not in PASSING) or (tag == "header" and not inside) or (role in BOILERPLATE_ROLES and role != "form"):
+            return GONE
+        found = _named(tag, names)
+        if any(COMMENT_NAMES.fullmatch(x) for x in found):
+            return GONE
+        if found or tag in PASSING or role == "form":
+            self.doubts.append([around, bool(found), False])
+            return len(self.doubts) - 1
+        return around
+
+    def settle(self) -> None:
+        """Drop what stays doubtful. A form that holds an article passes; a name, if no article is outside."""
+        for doubt in self.articles:
+            while doubt and not self.doubts[doubt][2]:
+                self.doubts[doubt][2] = True
+                doubt = self.doubts[doubt][0]
+        for names_pass in (False, True):
+            gone = [False]
+            for around, by_name, holds in self.doubts[1:]:
+                gone.append(gone[around] or not holds or (by_name and not names_pass))
+            self.page.marked = any(not gone[doubt] for doubt in self.articles)
+            if self.page.marked:
+                break
+        sums = [0]
+        for text, inside, container, doubt in self.blocks:
+            sums.append(sums[-1] + (0 if gone[doubt] else _hash(text)))
+            if not gone[doubt]:
+                self.page.blocks.append((text, inside, container))
+        self.page.nodes = [(path, look, (sums[last] - sums[first]) % (1 << 62)) for path, look, first, last, doubt in self.nodes if not gone[doubt]]
 
     def close_all(self, ends: frozenset[str], bounds: frozenset[str]) -> None:
         """Close the open elements in ``ends``, with what they hold, up to one in ``bounds``."""
@@ -182,17 +245,18 @@ class Reader:
         if tag in VOID:
             return
         names = {k.lower(): a or b or c for k, a, b, c in _NAMED.findall(attributes)} if attributes else {}
-        label, role = f"{names.get('class', '')} {names.get('id', '')}".strip(), names.get("role", "").lower()
-        gone = top.gone or tag in BOILERPLATE_TAGS or (tag == "header" and not top.inside)
-        gone = gone or role in BOILERPLATE_ROLES or bool(label and BOILERPLATE_NAMES.search(label))
-        inside = top.inside or tag in ARTICLES or role == "main"
-        self.page.marked |= inside and not gone
+        label = f"{names.get('class', '')} {names.get('id', '')}".strip()
+        gone = self.judge(top.gone, tag, names, top.inside)
+        marks = tag in ARTICLES or names.get("role", "").lower() == "main"
+        inside = top.inside or marks
+        if marks and gone != GONE:
+            self.articles.add(gone)
         path, container = 0, top.container
         if tag in CONTAINERS and tag not in ARTICLES and tag != "body":
             around = self.page.containers[container][0]
             path, container = _hash(f"{around}/{tag}.{label}"), len(self.page.containers)
             self.page.containers.append((path, top.container))
-        self.stack.append(Open(tag, path, gone, inside, container, len(self.page.blocks)))
+        self.stack.append(Open(tag, path, gone, inside, container, len(self.blocks)))
         self.open[tag] += 1
 
     def read(self, source: str) -> Page:
@@ -216,6 +280,7 @@ class Reader:
         while len(self.stack) > 1:
             self.close()
         self.end_block()
+        self.settle()
         return self.page
 
 

@@ -34,6 +34,22 @@ def test_main_text(source, want):
     assert ht.main_text(source) == want
 
 
+NAMED = [
+    ("<body class='has-sidebar right-sidebar'><p>x</p></body>", "x"), ("<body class='sidebar'><article>x</article></body>", "x"), ("<html id=widget><p>x", "x"),
+    ("<article class='post sponsored'><section id='social-effects'><h2 id='related-work'>h</h2><p id=comments-on-the-method>p</p></section></article>", "h\np"),
+    ("<article><h2 id=comments>h</h2><section id=share><p>p</p></section><section class=share>s</section></article>", "h\np"),
+    ("<form id=f><div>menu</div><fieldset><article><p>x</p><form>f</form></article></fieldset></form>", "x"), ("<form>f</form><p>x</p>", "x"),
+    ("<div class=widget><form><main>x</main></form></div>", "x"), ("<div class=related><article>r</article></div><article>x</article>", "x"),
+    ("<div class=comments><article>c</article></div><p>x</p>", "x"), ("<aside><article>a</article></aside><p>x</p>", "x"),
+    ("<div class='box site-footer'>f</div><div class=ad-slot>a</div><div id=cookie_banner>c</div><ul class='social-links'><li>s</ul><p>x</p>", "x"),
+]
+
+
+@pytest.mark.parametrize("source,want", NAMED)
+def test_names_are_whole_and_spare_the_article(source, want):
+    assert ht.main_text(source) == want
+
+
 def test_long_pages_take_linear_time():
     for source in ("<div>" * 60_000, "<p>x" * 100_000, "<li>" * 50_000, "<!--" * 50_000, "<a href=\"" * 50_000, "&amp;" * 100_000, "<" * 100_000, "<b>" * 50_000 + "</p>" * 50_000):
         ht.main_text(source)
