@@ -5,7 +5,10 @@ ids are one node. Two entropies make a node's importance: of its presentation, t
 children it shows, and of its content, the texts it holds. Both are on a scale of pages: a node
 that looks and reads the same everywhere has importance 0, one with a text of its own on every
 page 1. Composite importance is ``(1 - DECAY**l) * presentation + DECAY**l * content``, ``l``
-being the number of presentations. Containers below ``LEAST`` go, with all they hold.
+being the number of presentations. A container is unimportant if both this and the importance of its
+content alone are below ``LEAST``. It goes, with all it holds, where its text is one that ``LEAST_PAGES``
+pages show and nothing in it was found important; a text of a page's own stays wherever it stands.
+Pages of a host with equal texts count as one, so copies of a page do not make it look like a template.
 
 A prior stands beside it, since many hosts show few pages: containers whose tag, or a whole class or
 id, names their purpose (menus, footers, adverts, forms, comments, ...) have importance 0 on every host.
@@ -16,7 +19,7 @@ marked element itself and its paragraphs are never judged by statistics, only th
 within: equal articles on many pages are still articles.
 
 Hosts are merged by aggregation (no task holds a host). What statistics remove is a list of few
-paths a host; it is broadcast up to ``BROADCAST_ROWS`` rows, and beyond that joined on salted hosts.
+contents a host; it is broadcast up to ``BROADCAST_ROWS`` rows, and beyond that joined on salted hosts.
 
 Defined results: a null or empty html has an empty text. An attribute whose quote never
 ends stops with its tag, and a comment or script without end runs to the end of the page. Tags may
@@ -32,6 +35,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from xxhash import xxh3_64_intdigest
@@ -115,7 +119,9 @@ class Page:
 
     blocks: list[tuple[str, bool, int]] = field(default_factory=list)  # text, in an article, container
     containers: list[tuple[int, int]] = field(default_factory=lambda: [(0, 0)])  # path, container around it
-    nodes: list[tuple[int, int, int]] = field(default_factory=list)  # path, look, content
+    contents: list[int] = field(default_factory=lambda: [0])  # of the containers: path and text
+    nodes: list[tuple[int, int, int, int]] = field(default_factory=list)  # path, path around it, look, content
+    text: int = 0  # hash of all text
     marked: bool = False  # whether the page marks its article
 
 
@@ -132,6 +138,7 @@ def _hash(text: str) -> int:
 
 
 GONE = -1
+_ODD = 0x9E3779B97F4A7C15  # any odd number: tells equal texts at different paths apart
 
 
 def _named(tag: str, names: dict[str, str]) -> list[str]:
@@ -158,7 +165,7 @@ class Reader:
         self.doubts: list[list] = [[0, False, False]]
         self.articles: set[int] = set()  # doubts (or 0) around the marked elements
         self.blocks: list[tuple[str, bool, int, int]] = []  # as the page's, and the doubt around
-        self.nodes: list[tuple[int, int, int, int, int]] = []  # path, look, first and last block, doubt around
+        self.nodes: list[tuple[int, int, int, int, int]] = []  # container, look, first and last block, doubt around
 
     def end_block(self) -> None:
         if not self.parts:
@@ -173,7 +180,7 @@ class Reader:
         node = self.stack.pop()
         self.open[node.tag] -= 1
         if node.path and node.gone != GONE:
-            self.nodes.append((node.path, _hash(" ".join(node.children)), node.first, len(self.blocks), node.gone))
+            self.nodes.append((node.container, _hash(" ".join(node.children)), node.first, len(self.blocks), node.gone))
 
     def judge(self, around: int, tag: str, names: dict[str, str], inside: bool) -> int:
         """What the prior says of an element."""
@@ -210,7 +217,13 @@ class Reader:
             sums.append(sums[-1] + (0 if gone[doubt] else _hash(text)))
             if not gone[doubt]:
                 self.page.blocks.append((text, inside, container))
-        self.page.nodes = [(path, look, (sums[last] - sums[first]) % (1 << 62)) for path, look, first, last, doubt in self.nodes if not gone[doubt]]
+        page = self.page
+        page.text = sums[-1] % (1 << 62)
+        for container, look, first, last, doubt in self.nodes:
+            if not gone[doubt]:
+                path, around = page.containers[container]
+                page.contents[container] = (sums[last] - sums[first] + path * _ODD) % (1 << 62)
+                page.nodes.append((path, page.containers[around][0], look, page.contents[container]))
 
     def close_all(self, ends: frozenset[str], bounds: frozenset[str]) -> None:
         """Close the open elements in ``ends``, with what they hold, up to one in ``bounds``."""
@@ -256,6 +269,7 @@ class Reader:
             around = self.page.containers[container][0]
             path, container = _hash(f"{around}/{tag}.{label}"), len(self.page.containers)
             self.page.containers.append((path, top.container))
+            self.page.contents.append(0)
         self.stack.append(Open(tag, path, gone, inside, container, len(self.blocks)))
         self.open[tag] += 1
 
@@ -289,12 +303,19 @@ def parse(source: str | None) -> Page:
 
 
 def main_text(source: str | None, removed: frozenset[int] = frozenset()) -> str:
-    """The main text of a page, less the containers whose paths are in ``removed``."""
+    """The main text of a page, less the containers whose contents are in ``removed``.
+
+    Those that hold a container stay whose path is there as a negative number (``~path``).
+    """
     page = parse(source)
-    gone = [False] * len(page.containers)
+    n = len(page.containers)
+    gone = [False] * n
     if removed:
-        for i, (path, around) in enumerate(page.containers):
-            gone[i] = gone[around] or path in removed
+        spared = [~path in removed for path, _ in page.containers]
+        for i in range(n - 1, 0, -1):
+            spared[page.containers[i][1]] |= spared[i]
+        for i in range(1, n):
+            gone[i] = gone[page.containers[i][1]] or (page.contents[i] in removed and not spared[i])
     return "\n".join([text for text, inside, container in page.blocks if (inside or not page.marked) and not gone[container]])
 
 
@@ -304,40 +325,61 @@ def host(url: str):
 
 
 def unimportant(pages: DataFrame) -> DataFrame:
-    """(``host``, ``path``) of the containers that the style trees of all hosts find unimportant."""
+    """(``host``, ``entry``): what goes by the style trees of all hosts, as :func:`main_text` takes it.
 
-    def nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    The contents, shown on ``LEAST_PAGES`` pages or more, of unimportant containers; and ``~path`` of
+    the important containers directly within such.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for site, source in zip(batch["host"], batch["html"]):
-                rows.append((site, 0, 0, 0))
-                rows.extend((site, *node) for node in parse(source).nodes)
-            yield pd.DataFrame(rows, columns=["host", "path", "look", "content"])
-
-    found = pages.select(host("url").alias("host"), "html").mapInPandas(nodes, "host string, path long, look long, content long")
-    # The root (path 0) counts pages. Each value of a look or content is one row from here on.
-    kinds = F.explode(F.array(F.struct(F.lit("look").alias("kind"), F.col("look").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("v")
-    values = found.select("host", "path", kinds).groupBy("host", "path", "v.kind", "v.value").agg(F.count("*").cast("double").alias("n"))
-    values = cut_lineage(values, "html-nodes")
-    sizes = values.where("path = 0 and kind = 'look'").select("host", F.col("n").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    is_look = F.col("kind") == "look"
-    sums = values.where("path <> 0").groupBy("host", "path").agg(
-        F.sum(F.when(is_look, F.col("n"))).alias("shown"),
+                page = parse(source)
+                # The root (path 0) counts pages; each look (0) or content (1) of a page is one row.
+                nodes = {(0, 0, 0, 0)}
+                for path, around, look, content in page.nodes:
+                    nodes.add((path, around, 0, look))
+                    nodes.add((path, around, 1, content))
+                rows.append((site, page.text, np.array(sorted(nodes), "<i8").tobytes()))
+            yield pd.DataFrame(rows, columns=["host", "page", "nodes"])
+
+    def values_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            nodes = np.frombuffer(b"".join(batch["nodes"]), "<i8").reshape(-1, 4)
+            sites = np.repeat(batch["host"].to_numpy(), batch["nodes"].map(len).to_numpy() // 32)
+            yield pd.DataFrame({"host": sites, "path": nodes[:, 0], "around": nodes[:, 1], "kind": nodes[:, 2], "value": nodes[:, 3]})
+
+    found = pages.select(host("url").alias("host"), "html").mapInPandas(read, "host string, page long, nodes binary")
+    # Equal texts of a host are one page, whichever task read them.
+    apart = found.groupBy("host", "page").agg(F.min("nodes").alias("nodes")).select("host", "nodes")
+    found = apart.mapInPandas(values_of, "host string, path long, around long, kind long, value long")
+    values = cut_lineage(found.groupBy("host", "path", "around", "kind", "value").agg(F.count("*").cast("double").alias("n")), "html-nodes")
+    sizes = values.where("path = 0").select("host", F.col("n").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    is_look = F.col("kind") == 0
+    sums = values.where("path <> 0").groupBy("host", "path", "around").agg(
+        F.sum(F.when(is_look, F.col("n"))).alias("looked"),
         F.sum(F.when(is_look, 1)).alias("looks"),
         F.sum(F.when(is_look, F.col("n") * F.log("n"))).alias("look_logs"),
+        F.sum(F.when(~is_look, F.col("n"))).alias("shown"),
         F.sum(F.when(~is_look, F.col("n") * F.log("n"))).alias("content_logs"),
     )
     judged = sums.join(sizes, "host").where(F.col("shown") >= LEAST_PAGES)
-    presentation = (F.log("shown") - F.col("look_logs") / F.col("shown")) / F.log("pages")
+    presentation = (F.log("looked") - F.col("look_logs") / F.col("looked")) / F.log("pages")
     content = 1 - F.col("content_logs") / F.col("shown") / F.log("pages")
     weight = F.pow(F.lit(DECAY), F.col("looks"))
-    return judged.where((1 - weight) * presentation + weight * content < LEAST).select("host", "path")
+    importance = F.greatest((1 - weight) * presentation + weight * content, content)
+    judged = cut_lineage(judged.select("host", "path", "around", (importance < LEAST).alias("low")), "html-judged")
+    low = judged.where("low").select("host", "path")
+    repeated = values.where((F.col("kind") == 1) & (F.col("n") >= LEAST_PAGES)).join(low, ["host", "path"]).select("host", F.col("value").alias("entry"))
+    spared = judged.where("not low").join(low.select("host", F.col("path").alias("around")), ["host", "around"])
+    return repeated.unionByName(spared.select("host", F.bitwise_not("path").alias("entry")))
 
 
 def extract(pages: DataFrame, text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the main text of ``html`` to pages (``url``, ``html``)."""
     site, drop, salt = (fresh(pages.columns, c) for c in ("host", "removed", "salt"))
-    lists = cut_lineage(unimportant(pages), "html-removed").groupBy("host").agg(F.collect_set("path").alias(drop))
+    lists = cut_lineage(unimportant(pages), "html-removed").groupBy("host").agg(F.collect_set("entry").alias(drop))
     lists = lists.withColumnRenamed("host", site)
     named = pages.withColumn(site, host("url"))
     if (lists.select(F.sum(F.size(drop))).first()[0] or 0) <= broadcast_rows:

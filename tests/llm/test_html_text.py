@@ -88,6 +88,32 @@ def test_copies_of_an_article_stay(spark):
     assert got[0] == "The same article" and got[35] == "Other 35"
 
 
+def _texts(spark, sources):
+    rows = [(f"http://h.org/{i}", s) for i, s in enumerate(sources)]
+    return {r["page_id"]: r["text"] for r in ht.extract(_frame(spark, rows)).collect()}
+
+
+def test_own_articles_of_a_hot_host_stay(spark, monkeypatch):
+    # Six looks on a thousand pages weigh here as forty on a million do.
+    monkeypatch.setattr(ht, "DECAY", 0.5)
+    n = 1000
+    sequence = lambda i: "<h3>t</h3>" * (i % 6)
+    got = _texts(spark, [f"<div class=x1>Welcome</div><div class=content>{sequence(i)}<p>article {i}</p></div>" for i in range(n)])
+    assert all(got[i].endswith(f"article {i}") and "Welcome" not in got[i] for i in range(n))
+
+
+def test_copies_do_not_empty_the_other_pages(spark):
+    got = _texts(spark, [f"<div class=x1>Welcome</div><div class=content><p>{'the article' if i % 5 else f'other {i}'}</p></div>" for i in range(1000)])
+    assert all(got[i] == ("the article" if i % 5 else f"other {i}") for i in range(1000))
+
+
+def test_rare_text_in_a_template_stays(spark):
+    # Pages differ, so they are not copies; five of the boxes hold a text of their own, ten an important container.
+    inner = lambda i: f"<p>own {i}</p>" if i < 5 else f"<div class=story>story {min(i, 90)}</div>" if i < 100 else "Subscribe"
+    got = _texts(spark, [f"<div class=box>{inner(i)}</div><p>page {i}</p>" for i in range(1000)])
+    assert got[3] == "own 3\npage 3" and got[20] == "story 20\npage 20" and got[95] == "story 90\npage 95" and got[500] == "page 500"
+
+
 def test_columns_and_empty_table(spark, tmp_path):
     rows = [(None, "<p>x</p>"), ("no host", None), ("http://a.b/", ""), (None, "<p>x</p>")]
     out = ht.extract(_frame(spark, rows), text_col="body")
