@@ -1,10 +1,14 @@
 """Secrets in texts: three fixed patterns, and strings that pass a battery of randomness tests.
 
-Every candidate (16 or more characters of a base-64 alphabet, with a letter and a digit) gets the
-smallest usual encoding that it fits. Against the hypothesis that its characters are drawn at
+Every candidate (16 or more characters of a base-64 alphabet) gets the smallest usual encoding that it
+fits; what holds ``/``, ``-``, ``_`` or ``+`` is tested whole, between slashes, and by its letters and
+digits alone, and the longest that passes counts. Against the hypothesis that its characters are drawn at
 random from that alphabet stand three tests: chi-squared for uniform use of the alphabet, the number
 of runs in its upper and lower half, and serial correlation. Fisher's method makes one probability
-of the three. It is uniform for keys and near zero for names, paths and words.
+of the three. It is uniform for keys and near zero for names, paths and words. At 16 letters the three
+cannot tell a word from a key, so strings without a digit must also not look like words: the
+likelihood of their letters in European languages, against an even alphabet, is a fourth test, and the
+smaller of both probabilities counts (as the smaller of two).
 
 Which strings count as random is decided for each encoding and length class (octave) of the whole
 corpus: strings above one half estimate how many are random, and the lowest threshold is taken
@@ -21,6 +25,8 @@ Repeated rows are scanned alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from emberlink.llm.common import cut_lineage, fresh, table
@@ -34,19 +40,29 @@ PATTERNS = {
 ASSIGNED = 6  # least characters of an assigned value
 KINDS = [*PATTERNS, "random"]
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
+CANDIDATES = [r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+", r"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{16,}+", r"(?<![A-Za-z0-9])[A-Za-z0-9]{16,}+"]
 # Encodings by the strings they fit, smallest alphabet first; of base 64 there are two alphabets.
 DIGITS, UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = {
+    "digits": (r"^[0-9]+$", DIGITS),
     "hex": (r"^[0-9a-f]+$", "0123456789abcdef"),
     "HEX": (r"^[0-9A-F]+$", "0123456789ABCDEF"),
+    "lower26": (r"^[a-z]+$", UPPER.lower()),
+    "upper26": (r"^[A-Z]+$", UPPER),
     "base32": (r"^[A-Z2-7]+$", UPPER + "234567"),
     "lower36": (r"^[a-z0-9]+$", DIGITS + UPPER.lower()),
     "upper36": (r"^[A-Z0-9]+$", DIGITS + UPPER),
+    "letters52": (r"^[A-Za-z]+$", UPPER + UPPER.lower()),
     "base62": (r"^[A-Za-z0-9]+$", DIGITS + UPPER + UPPER.lower()),
+    "letters54": (r"^[A-Za-z+/]+$", UPPER + UPPER.lower() + "+/"),
+    "letters54url": (r"^[A-Za-z_-]+$", UPPER + UPPER.lower() + "-_"),
     "base64": (r"^[A-Za-z0-9+/]+$", UPPER + UPPER.lower() + DIGITS + "+/"),
     "base64url": (r"^[A-Za-z0-9_-]+$", UPPER + UPPER.lower() + DIGITS + "-_"),
 }
+LETTERS = ["lower26", "upper26", "letters52", "letters54", "letters54url"]  # of these the letters come first
+# Letters in a thousand, the mean of English, German, French and Spanish; scores are logarithms against an even alphabet.
+_FREQUENT = dict(zip(UPPER, (85, 16, 32, 45, 140, 14, 19, 30, 68, 4, 6, 45, 28, 76, 61, 19, 6, 66, 74, 68, 40, 12, 11, 2, 8, 5)))
+SCORES = [math.log(26 * x / sum(_FREQUENT.values())) for x in _FREQUENT.values()]
 FALSE_SHARE = 0.05
 BINS = 100  # of probabilities, when thresholds are set
 _CHUNK = 512
@@ -95,7 +111,7 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, half).otherwise(1 - half)
 
 
-def _measures(token: Column, alphabet: Column) -> Column:
+def _measures(token: Column, alphabet: Column, letters: Column) -> Column:
     """One pass over the characters' values, and one over the same values in order of size."""
     values = F.transform(F.split(token, ""), lambda c: F.call_function("instr", alphabet, c) - 1)
     values = F.filter(values, lambda v: v >= 0)
@@ -122,11 +138,13 @@ def _measures(token: Column, alphabet: Column) -> Column:
         .otherwise(F.struct(v.alias("last"), F.lit(1.0).alias("same"), (a["squared"] + 1).alias("squared"))),
         lambda a: a["squared"],
     )
-    return F.struct(F.aggregate(values, start, step).alias("walk"), equal.alias("squared"), F.size(values).cast("double").alias("n"), F.length(alphabet).cast("double").alias("k"))
+    score = lambda v: F.when(v < 52, F.element_at(F.array(*map(F.lit, SCORES)), (v % 26 + 1).cast("int"))).otherwise(0.0)
+    words = F.when(letters, F.aggregate(values, F.lit(0.0), lambda a, v: a + score(v)))
+    return F.struct(F.aggregate(values, start, step).alias("walk"), words.alias("words"), equal.alias("squared"), F.size(values).cast("double").alias("n"), F.length(alphabet).cast("double").alias("k"))
 
 
 def _probability(m: Column) -> Column:
-    """Fisher's combination of the three tests, from the measures of a token."""
+    """Fisher's combination of the three tests, from the measures of a token; for letters, with the fourth."""
     n, k, w = m["n"], m["k"], m["walk"]
     chi = k / n * m["squared"] - n
     uniform = upper_tail((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
@@ -139,7 +157,12 @@ def _probability(m: Column) -> Column:
     lagged = w["products"] - mean * (2 * w["sum"] - w["first"] - w["last"]) + (n - 1) * mean * mean
     by_lag = F.when(around > 0, 2 * upper_tail(F.abs(lagged / around + 1 / n) * F.sqrt(n))).otherwise(F.lit(0.0))
     t = -sum((F.log(F.greatest(p, F.lit(1e-9))) for p in (uniform, by_runs, by_lag)), F.lit(0.0))
-    return F.least(F.lit(1.0), F.exp(-t) * (1 + t + t * t / 2))
+    fisher = F.least(F.lit(1.0), F.exp(-t) * (1 + t + t * t / 2))
+    share = F.least(F.lit(1.0), 52 / k)
+    first, second = share * (sum(SCORES) / 26), share * (sum(x * x for x in SCORES) / 26)
+    by_words = upper_tail((m["words"] - n * first) / F.sqrt(n * (second - first * first)))
+    least = F.least(fisher, by_words)
+    return F.when(m["words"].isNull(), fisher).otherwise(1 - (1 - least) * (1 - least))
 
 
 def _encoding(token: Column) -> Column:
@@ -166,17 +189,21 @@ def _shape(found: Column, kind: int) -> Column:
 def _scan(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """``keys`` with ``base`` (start, kind number, stop) and ``candidates`` (start, stop, stratum, probability)."""
     df = docs.select(*keys, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    df = df.withColumns({f"_{k}": F.expr(f"regexp_extract_all(_text, {_quoted(p)}, 0)") for k, p in {**PATTERNS, "candidate": CANDIDATE}.items()})
-    telling = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]")
+    levels = {f"level{i}": p for i, p in enumerate(CANDIDATES)}
+    df = df.withColumns({f"_{k}": F.expr(f"regexp_extract_all(_text, {_quoted(p)}, 0)") for k, p in {**PATTERNS, **levels}.items()})
     df = df.withColumns({f"_at_{k}": places(F.col("_text"), p, F.col(f"_{k}")) for k, p in PATTERNS.items()})
-    df = df.withColumn("_at_candidate", F.when(F.exists("_candidate", telling), places(F.col("_text"), CANDIDATE, F.col("_candidate"))))
+    # Every part is in a candidate, and is another string only if that holds more than letters and digits.
+    parted = F.exists("_level0", lambda t: t.rlike("[+/_-]"))
+    df = df.withColumns({f"_at_{k}": F.when((F.size(f"_{k}") > 0) & (parted if k != "level0" else F.lit(True)), places(F.col("_text"), p, F.col(f"_{k}"))) for k, p in levels.items()})
+    nothing = F.array().cast("array<struct<start:long,stop:long,token:string>>")
+    df = df.withColumn("_tokens", F.array_union(F.array_union(*[F.coalesce(f"_at_level{i}", nothing) for i in (0, 1)]), F.coalesce("_at_level2", nothing)))
     assigned = F.filter("_at_assign", lambda m: F.length(F.regexp_extract(m["token"], PATTERNS["assign"], 2)) >= ASSIGNED)
     kinds = [assigned, F.col("_at_access"), F.col("_at_hex")]
     shaped = [_shape(found, number) for number, found in enumerate(kinds)]
-    df = df.select(*keys, F.array_sort(F.concat(*shaped)).alias("base"), F.filter("_at_candidate", lambda m: telling(m["token"])).alias("_tokens"))
+    df = df.select(*keys, F.array_sort(F.concat(*shaped)).alias("base"), "_tokens")
     df = df.withColumn("_coded", F.transform("_tokens", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), m["token"].alias("token"), _encoding(m["token"]).alias("encoding"))))
     df = df.withColumn("_coded", F.filter("_coded", lambda m: m["encoding"].isNotNull()))
-    df = df.withColumn("_measured", F.transform("_coded", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), m["encoding"].alias("encoding"), _measures(m["token"], _alphabet(m["encoding"])).alias("m"))))
+    df = df.withColumn("_measured", F.transform("_coded", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), m["encoding"].alias("encoding"), _measures(m["token"], _alphabet(m["encoding"]), m["encoding"].isin(LETTERS)).alias("m"))))
     octave = lambda m: F.concat(m["encoding"], F.lit(":"), F.floor(F.log2((m["stop"] - m["start"]).cast("double"))).cast("string"))
     judged = F.transform("_measured", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), octave(m).alias("stratum"), _probability(m["m"]).alias("p")))
     return df.select(*keys, "base", F.coalesce(judged, F.array().cast("array<struct<start:long,stop:long,stratum:string,p:double>>")).alias("candidates"))
@@ -211,7 +238,12 @@ def scan(docs: DataFrame, keys: list[str], text_col: str = "text", false_share:
     least = thresholds(scanned, false_share)
     limits = F.create_map(*[F.lit(x) for pair in sorted(least.items()) for x in pair]) if least else None
     passed = F.filter("candidates", lambda c: c["p"] >= F.element_at(limits, c["stratum"])) if least else F.col("candidates")
-    apart = F.filter(passed, lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+    whole = lambda a, b: (a["start"] <= b["start"]) & (b["stop"] <= a["stop"]) & (a["stop"] - a["start"] > b["stop"] - b["start"])
+    # Only what goes by an encoding with more than letters and digits can hold another.
+    wide = F.filter(passed, lambda c: F.regexp_like(c["stratum"], F.lit("^(letters54|base64)")))
+    longest = F.filter(passed, lambda c: ~F.exists("_wide", lambda w: whole(w, c)))
+    apart = F.filter("_longest", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+    scanned = scanned.withColumn("_wide", wide).withColumn("_longest", longest)
     return scanned.select(*keys, "base", F.array_sort(F.concat("base", _shape(apart, KINDS.index("random")))).alias("spans"))
 
 

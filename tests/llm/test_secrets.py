@@ -83,6 +83,42 @@ def test_probability_is_uniform_for_random_strings(spark):
     assert sum(x < 0.1 for x in p) / len(p) < 0.2
 
 
+WORDS = (
+    "characterization internationalization responsibilities telecommunications misunderstanding transformational electromagnetism acknowledgements environmentalists "
+    "industrialization institutionalized commercialization constitutionality straightforwardness disproportionately counterproductive interdisciplinary "
+    "unconstitutional geschwindigkeitsbegrenzung wissenschaftlich bundesverfassungsgericht krankenversicherung gesellschaftliche landwirtschaftliche "
+    "anticonstitutionnellement professionnellement extraordinairement internacionalmente desafortunadamente extraordinariamente administrativamente"
+).split()
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"])
+def test_keys_without_digits_or_letters(spark, letters):
+    rng = random.Random(4)
+    keys = ["".join(rng.choices(letters, k=24)) for _ in range(200)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(_frame(spark, [f"so {k}." for k in keys]), ["doc_id"]).collect()}
+    assert sum([(s["start"], s["stop"]) for s in got[i]] == [(3, 27)] for i in range(200)) >= 180
+
+
+def test_long_words_are_not_keys(spark):
+    words = [w for w in WORDS if len(w) >= 16]
+    rng = random.Random(4)
+    keys = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20)) for _ in range(60)]
+    alone = secrets.scan(_frame(spark, [f"the {w} is" for w in words]), ["doc_id"]).where(F.size("spans") > 0).count()
+    assert alone <= 2
+    got = {r["doc_id"]: len(r["spans"]) for r in secrets.scan(_frame(spark, [f"the {w} is" for w in words + keys]), ["doc_id"]).collect()}
+    assert sum(got[i] for i in range(len(words))) <= 3 and sum(got[len(words) + i] for i in range(60)) >= 40
+
+
+def test_keys_in_paths(spark):
+    rng = random.Random(5)
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=28)) for _ in range(120)]
+    around = [("/my-app/", "/raw"), ("key_id/", ""), ("/my-app/v_1+", "-end"), ("/a/b/c/very/long/way/to/go/", "")]
+    rows = [(a, k, b) for k, (a, b) in zip(keys, around * 30)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(_frame(spark, [f"see {a}{k}{b} now" for a, k, b in rows]), ["doc_id"]).collect()}
+    held = [any(s["start"] <= 4 + len(a) and s["stop"] >= 4 + len(a) + 28 for s in got[i]) for i, (a, _, _) in enumerate(rows)]
+    assert sum(held) >= 100 and all(len(s) <= 1 for s in got.values())
+
+
 def test_upper_tail(spark):
     row = spark.range(1).select(*[secrets.upper_tail(F.lit(z)).alias(f"z{i}") for i, z in enumerate((-1.959964, 0.0, 1.644854, 3.0))]).first()
     assert list(row) == pytest.approx([0.975, 0.5, 0.05, 0.00135], abs=1e-5)
