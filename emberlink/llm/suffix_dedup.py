@@ -9,8 +9,8 @@ bytes that they cover are its *segment*, a suffix from its first window cut off
 
 1. Anchors whose gram occurs once in the corpus are dropped. Each task sends each gram's hash once,
    as four-byte numbers in a bucket; a clash of hashes keeps an anchor, and costs work only.
-2. Segments of the rest are sorted in each task: equal ones collapse to the first, and the run of
-   different ones goes out front-coded, split into buckets by content. A bucket merges its runs with
+2. Segments of the rest are sorted in each task: equal ones collapse to the first, the others are
+   repeats and done; the run of different ones goes out front-coded, split into buckets by content. A bucket merges its runs with
    a loser tree over common prefixes; of equal segments all but the first are repeats.
 3. Different segments with one gram, the edges of repeated passages, may still share some of their
    windows. These are compared window by window among the first segments of each kind. Grams with
@@ -27,7 +27,6 @@ makes text again. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -198,7 +197,7 @@ def _anchor_run(held: list, buckets: int) -> pd.DataFrame:
 def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     """The picked segments, merged: (``gram``, ``k1``, ``k2``, ``start``, ``size``, ``segment``).
 
-    ``segment`` is null for a repeat, and holds the bytes of the first of its kind otherwise.
+    ``segment`` is null for a repeat (whose gram is 0), and holds the bytes of the first of its kind otherwise.
     """
     by_doc = wanted.groupBy("k1", "k2").agg(F.collect_set("anchor").alias("anchors"))
     texts = docs.join(by_doc, ["k1", "k2"])
@@ -231,44 +230,47 @@ def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFram
 
 
 _PLACE = np.dtype("<i8,<i8,<i8,<i4")  # k1, k2, gram, start
-_EXTRA = np.dtype("<i8,<i8,<i4,<i4")  # k1, k2, start, which string of the run
+_REPEAT = np.dtype("<i8,<i8,<i4,<i4")  # k1, k2, start, size
+_PIECE = 50_000  # repeats that travel together
 
 
 def _segment_run(held: dict[bytes, list], buckets: int) -> pd.DataFrame:
-    """One task's segments, sorted and front-coded by bucket; its own repeats go along as they are."""
+    """One task's segments, sorted and front-coded by bucket, each with its first place.
+
+    The other places are repeats whatever other tasks hold. They meet nobody: they go out as they
+    are, in pieces dealt evenly over buckets of their own.
+    """
     parts: dict[int, list[bytes]] = defaultdict(list)
     for segment in held:
         parts[zlib.crc32(segment) % buckets].append(segment)
-    out = []
+    out, repeats = [], []
     for bucket, strings in parts.items():
         strings.sort()
         places = [sorted(held[s]) for s in strings]
-        rest = [(*p[:3], i) for i, more in enumerate(places) for p in more[1:]]
-        extra = np.array(rest, dtype=_EXTRA)
+        repeats += [(*p[:3], len(s)) for s, more in zip(strings, places) for p in more[1:]]
         first = np.array([(p[0][0], p[0][1], p[0][3], p[0][2]) for p in places], dtype=_PLACE)
-        body = struct.pack("<I", len(first)) + first.tobytes() + extra.tobytes()
-        out.append((bucket, encode_run(strings), zstandard.compress(body, 3)))
+        out.append((bucket, encode_run(strings), zstandard.compress(first.tobytes(), 3)))
+    for at in range(0, len(repeats), _PIECE):
+        piece = zstandard.compress(np.array(repeats[at : at + _PIECE], dtype=_REPEAT).tobytes(), 3)
+        out.append((buckets + zlib.crc32(piece) % buckets, None, piece))
     return pd.DataFrame(out, columns=["bucket", "run", "places"])
 
 
 def _merge_bucket(runs: pd.DataFrame) -> pd.DataFrame:
-    """Merge the runs of one bucket; equal strings come out in a row."""
+    """Merge the runs of one bucket, where equal strings come out in a row; or unpack its repeats."""
+    columns = ["gram", "k1", "k2", "start", "size", "segment"]
+    if runs["run"].isna().all():
+        rows = np.concatenate([np.frombuffer(zstandard.decompress(b), _REPEAT) for b in runs["places"]])
+        return pd.DataFrame({"gram": 0, "k1": rows["f0"], "k2": rows["f1"], "start": rows["f2"], "size": rows["f3"], "segment": None}, columns=columns)
     tree = LoserTree([decode_run(r) for r in runs["run"]])
-    firsts, extras = [], []
-    for body in map(zstandard.decompress, runs["places"]):
-        n = struct.unpack_from("<I", body)[0]
-        firsts.append(np.frombuffer(body, _PLACE, n, 4).tolist())
-        by_string = defaultdict(list)
-        for k1, k2, start, i in np.frombuffer(body, _EXTRA, -1, 4 + n * _PLACE.itemsize).tolist():
-            by_string[i].append((k1, k2, start))
-        extras.append(by_string)
+    firsts = [np.frombuffer(zstandard.decompress(b), _PLACE).tolist() for b in runs["places"]]
     out, kind, places, gram = [], None, [], 0
 
     def close() -> None:
         if kind is not None:
             best = min(places)
             out.append((gram, *best, len(kind), kind))
-            out.extend((gram, *p, len(kind), None) for p in places if p != best)
+            out.extend((0, *p, len(kind), None) for p in places if p != best)
 
     for run, at, string, shared in tree:
         if kind is None or shared < len(string) or len(string) != len(kind):
@@ -276,9 +278,8 @@ def _merge_bucket(runs: pd.DataFrame) -> pd.DataFrame:
             kind, places = string, []
         k1, k2, gram, start = firsts[run][at]
         places.append((k1, k2, start))
-        places.extend(extras[run].get(at, ()))
     close()
-    return pd.DataFrame(out, columns=["gram", "k1", "k2", "start", "size", "segment"])
+    return pd.DataFrame(out, columns=columns)
 
 
 # ---- 3: windows that different segments share -----------------------------------------

@@ -4,7 +4,9 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 from hypothesis import given, settings, strategies as st
 
 from emberlink.llm import suffix_dedup as sd
@@ -114,3 +116,17 @@ def test_odd_rows(spark, tmp_path):
     assert cut.columns == df.columns and cut.schema["n_chars"].dataType == df.schema["n_chars"].dataType
     assert sorted((str(r["doc_id"]), r["text"], r["n_chars"]) for r in cut.where("text <> ''").collect()) == [("1", text[:32], 32)] * 2 + [("4", "short", 5)]
     assert sd.op8_suffix_dedup(spark, _write(df.where("false"), tmp_path)).count() == 0
+
+
+def test_repeats_of_a_task_do_not_meet():
+    hot, tasks, n = b"x" * 150, 4, 2 * sd._PIECE + 10
+    held = [{hot: [(t * n + i, 5, 7, 99) for i in reversed(range(n))], bytes([65 + t]) * 120: [(t, 6, 0, 98)]} for t in range(tasks)]
+    sent = pd.concat([sd._segment_run(h, 8) for h in held], ignore_index=True)
+    merged = sent[sent["run"].notna()]
+    assert sum(len(zstandard.decompress(p)) for p in merged["places"]) == 2 * tasks * sd._PLACE.itemsize  # one place a string and run
+    assert max(len(zstandard.decompress(p)) for p in sent["places"]) <= sd._PIECE * sd._REPEAT.itemsize
+    out = pd.concat([sd._merge_bucket(g) for _, g in sent.groupby("bucket")], ignore_index=True)
+    kinds = out[out["segment"].notna()]
+    assert sorted(zip(kinds["segment"], kinds["k1"], kinds["gram"])) == sorted([(hot, 0, 99)] + [(bytes([65 + t]) * 120, t, 98) for t in range(tasks)])
+    rest = out[out["segment"].isna()]
+    assert sorted(rest["k1"]) == list(range(1, tasks * n)) and set(rest["size"]) == {150} and set(rest["start"]) == {7}
