@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlink.llm import bpe, dart_minhash, html_text, langid, packing, rabitq, secrets, spelling, suffix_dedup, topk, urls, warc
+from emberlink.llm import bpe, dart_minhash, dialogue, html_text, langid, packing, rabitq, secrets, spelling, suffix_dedup, topk, urls, warc
 from emberlink.llm.common import use_utc
 
 
@@ -23,6 +23,7 @@ QUERIES = {
     for q in (
         langid.op1_language, bpe.op2_bpe_round_trip, packing.op3_pack, secrets.op4_secrets, html_text.op5_main_text, urls.op6_url_verdicts, dart_minhash.op7_near_duplicates,
         suffix_dedup.op8_suffix_dedup, rabitq.op9_rabitq_search, topk.op10_exact_topk, spelling.op11_spelling_variants, warc.op12_warc_round_trip,
+        dialogue.op13_conversation_repair,
     )
 }
 ORACLES = {
@@ -32,4 +33,5 @@ ORACLES = {
     "op10_exact_topk": topk.OP10_SQL,
     "op11_spelling_variants": spelling.OP11_SQL,
     "op12_warc_round_trip": warc.OP12_SQL,
+    "op13_conversation_repair": dialogue.OP13_SQL,
 }
