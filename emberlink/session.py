@@ -11,9 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
-_SETTINGS = {
+#: What results and memory depend on, whoever built the session.
+_NEEDED = {
     # Every date and time in the data model is UTC.
     "spark.sql.session.timeZone": "UTC",
+    # Python workers take rows by weight, not by number: texts may be long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304b",
+}
+
+_SETTINGS = {
+    **_NEEDED,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,13 +44,17 @@ def build_session(app_name: str = "emberlink", master: str | None = None, **sett
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin a session that someone else built to UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Pin a session that someone else built to UTC, and its Arrow batches to a few MB."""
+    for key, value in _NEEDED.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
+use_utc = prepare
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see.
 
