@@ -30,6 +30,7 @@ from emberlink.llm.perfect_hash import PerfectHash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 REMEMBERED = 300_000  # distinct pre-tokens a task keeps; beyond that it starts anew, with the same results
+_LONG = 64  # characters; longer pre-tokens are not kept
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -92,7 +93,9 @@ class Codec:
             if ids is None:
                 if len(seen) >= REMEMBERED:
                     seen.clear()
-                ids = seen[word] = self._resolve(word)
+                ids = self._resolve(word)
+                if len(word) <= _LONG:
+                    seen[word] = ids
             out.append(ids)
         return b"".join(out)
 

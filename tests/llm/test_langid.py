@@ -50,7 +50,7 @@ def test_pooling_is_the_mean_over_positions(model):
 def test_forgetting_changes_nothing(model, monkeypatch):
     texts = ["aba xyx", "yyxx", "baab ab"]
     want = langid.Labeller(model).label(texts)
-    monkeypatch.setattr(langid, "REMEMBERED", 1)
+    monkeypatch.setattr(langid, "REMEMBERED_BYTES", 1)
     again = langid.Labeller(model)
     got = [again.label([t]) for t in texts]
     assert [g[0][0] for g in got] == want[0]
@@ -78,6 +78,25 @@ def test_tables(spark, tmp_path, model):
     assert langid.op1_language(spark, str(tmp_path / "none")).count() == 0
 
 
+@pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
+def test_noise_goes_and_documents_stay(spark):
+    rng = np.random.default_rng(3)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10)))
+    noise = spark.createDataFrame([(10**6 + i, " ".join(word() for _ in range(200)), None) for i in range(30)], docs.schema)
+    kept = langid.keep_known(docs.unionByName(noise))
+    assert kept.where("doc_id >= 1000000").count() <= 3
+    assert kept.where("doc_id < 1000000").count() == docs.where("text rlike '\\\\p{L}'").count()
+
+
+def test_long_runs_are_learned_as_they_are_read():
+    """Runs without a gap that differ behind their first 32 bytes only."""
+    same = b"a" * langid.LONGEST
+    model = langid.train({"bb": {same + b"b" * 20: 5}, "cc": {same + b"c" * 20: 5}}, epochs=60)
+    languages, scores = langid.Labeller(model).label(["a" * 32 + "b" * 20, "a" * 32 + "c" * 20])
+    assert languages == ["bb", "cc"] and scores.min() > 0.6
+
+
 def test_no_labels(spark):
     df = spark.createDataFrame([(1, "aba", None, None, None)], SCHEMA)
     told = langid.predict(df.drop("lang_pred", "SCORE"), langid.train_on(df)).first()
