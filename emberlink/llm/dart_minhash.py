@@ -35,12 +35,14 @@ from xxhash import xxh3_64_intdigest
 
 from emberlink.llm.common import cut_lineage, fresh, table
 from emberlink.llm.components import connected_components
+from emberlink.llm.memo import ENTRY_BYTES
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-REMEMBERED = 500_000  # distinct words a task keeps; beyond that it starts anew, with the same results
+REMEMBERED_BYTES = 32_000_000  # of distinct words a task keeps; beyond that it starts anew, with the same results
+REGIONS = 1 << 18  # unit regions into which darts are thrown at once
 _DARTS = COORDINATES * (np.log(COORDINATES) + 3)  # expected darts that leave few coordinates empty
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1.0, i + 1)) for i in range(20)])
 _SALT = [int(x) for x in np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) | 1]
@@ -60,6 +62,7 @@ class Shingler:
 
     def __init__(self) -> None:
         self.words: dict[str, int] = {}
+        self.size = 0
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = text.lower().split() if text else []
@@ -67,9 +70,12 @@ class Shingler:
         try:
             h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
-            if len(known) > REMEMBERED:
+            if self.size > REMEMBERED_BYTES:
                 known.clear()
-            known.update((w, xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))) for w in words if w not in known)
+                self.size = 0
+            new = set(words).difference(known)
+            known.update((w, xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))) for w in new)
+            self.size += (ENTRY_BYTES + 32) * len(new) + sum(map(len, new))
             h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         if not len(h):
             return h
@@ -121,11 +127,14 @@ def signatures(sets: list[np.ndarray], weights: list[np.ndarray] | None = None)
     done, upto = np.zeros(len(sets), np.int64), np.ceil(_DARTS / mass).astype(np.int64)
     while True:
         blocks = (upto - done)[owner]
-        which = np.repeat(np.arange(len(elements)), blocks)
-        inner = np.arange(len(which)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        block = (inner + done[owner[which]]).astype(np.uint64)
-        slot, packed = _throw(elements[which], slab[which], limit[which], owner[which], block)
-        np.minimum.at(best, slot, packed)
+        behind = np.cumsum(blocks)
+        # So many regions at a time, however large the sets are.
+        for start in range(0, int(behind[-1]), REGIONS):
+            region = np.arange(start, min(start + REGIONS, int(behind[-1])))
+            which = np.searchsorted(behind, region, side="right")
+            block = (region - (behind - blocks)[which] + done[owner[which]]).astype(np.uint64)
+            slot, packed = _throw(elements[which], slab[which], limit[which], owner[which], block)
+            np.minimum.at(best, slot, packed)
         empty = (best.reshape(len(sets), -1) == np.iinfo(np.uint64).max).any(axis=1)
         if not empty.any():
             return best.reshape(len(sets), -1)
@@ -146,19 +155,27 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def sign(docs: DataFrame, key_cols: list[str]) -> DataFrame:
     """``key_cols`` with each text's set key (``s1``, ``s2``), its size ``n`` and its band keys."""
 
+    def signed(part: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
+        full = [i for i, s in enumerate(sets) if len(s)]
+        bands = [None] * len(sets)
+        for i, keys in zip(full, band_keys(signatures([sets[i] for i in full]))):
+            bands[i] = keys
+        with np.errstate(over="ignore"):
+            sums = [[int(mix(s, salt).sum().view(np.int64)) for s in sets] for salt in _SALT[30:32]]
+        return part[key_cols].assign(s1=sums[0], s2=sums[1], n=[len(s) for s in sets], bands=bands)
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler()
         for batch in batches:
-            for start in range(0, len(batch), 500):
-                part = batch.iloc[start : start + 500]
-                sets = [shingles(t) for t in part["text"]]
-                full = [i for i, s in enumerate(sets) if len(s)]
-                bands = [None] * len(sets)
-                for i, keys in zip(full, band_keys(signatures([sets[i] for i in full]))):
-                    bands[i] = keys
-                with np.errstate(over="ignore"):
-                    sums = [[int(mix(s, salt).sum().view(np.int64)) for s in sets] for salt in _SALT[30:32]]
-                yield part[key_cols].assign(s1=sums[0], s2=sums[1], n=[len(s) for s in sets], bands=bands)
+            sets, regions, start = [], 0, 0
+            for i, text in enumerate(batch["text"]):
+                sets.append(shingles(text))
+                regions += max(len(sets[-1]), int(_DARTS))  # a small set takes as many darts as a large one
+                if regions >= REGIONS:
+                    yield signed(batch.iloc[start : i + 1], sets)
+                    sets, regions, start = [], 0, i + 1
+            if sets:
+                yield signed(batch.iloc[start:], sets)
 
     kept = docs.select(*key_cols, "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in key_cols)
