@@ -41,7 +41,8 @@ from emberlink.llm.front_coding import LoserTree, decode_run, encode_run
 
 WINDOW = 100
 GRAM = 32
-RUN_BYTES = 24_000_000  # of anchors a task holds before it sends a run; of segments, four times that
+RUN_BYTES = 12_000_000  # of anchors a task holds before it sends a run; of segments, twice that
+BUCKET_BYTES = 4_000_000  # of text whose anchors or segments meet in one bucket
 KINDS = 256  # different segments of one gram that are compared in one group
 _LAST = 2**63 - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -110,13 +111,13 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 def _chunks(batch: pd.DataFrame, size: int = 1 << 16) -> Iterator[tuple[slice, list[bytes]]]:
     """Rows in a row with some 64 kB of text together: as much as a core's cache holds work on."""
-    texts = [_bytes(t) for t in batch["text"]]
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= size or i + 1 == len(texts):
-            yield slice(start, i + 1), texts[start : i + 1]
-            start, held = i + 1, 0
+    start, held, texts = 0, 0, []
+    for i, text in enumerate(batch["text"]):
+        texts.append(_bytes(text))
+        held += len(texts[-1])
+        if held >= size or i + 1 == len(batch):
+            yield slice(start, i + 1), texts
+            start, held, texts = i + 1, 0, []
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
@@ -159,7 +160,7 @@ def repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
 
     sent = docs.mapInPandas(send, "bucket int, entries binary, once binary, anchors binary")
     sent = cut_lineage(sent, "suffix-grams")
-    met = sent.where("bucket >= 0").select("bucket", "entries", "once").groupBy("bucket").applyInPandas(meet, "k1 long, k2 long, anchor int")
+    met = sent.where("bucket >= 0").select("bucket", "entries", "once").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(meet, "k1 long, k2 long, anchor int")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -218,14 +219,14 @@ def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFram
                         size += len(segment) + 150
                     held[segment].append((c1[doc], c2[doc], lo, gram))
                     size += 100
-                if size >= 4 * RUN_BYTES:
+                if size >= 2 * RUN_BYTES:
                     yield _segment_run(held, buckets)
                     held, size = defaultdict(list), 0
         if held:
             yield _segment_run(held, buckets)
 
     sent = texts.mapInPandas(send, "bucket int, run binary, places binary")
-    merged = sent.groupBy("bucket").applyInPandas(_merge_bucket, "gram long, k1 long, k2 long, start int, size int, segment binary")
+    merged = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge_bucket, "gram long, k1 long, k2 long, start int, size int, segment binary")
     return cut_lineage(merged, "suffix-segments")
 
 
@@ -286,7 +287,7 @@ def _merge_bucket(runs: pd.DataFrame) -> pd.DataFrame:
 
 
 _WINDOW_COLUMNS = ["k1", "k2", "start", "stop", "gram", "window", "open"]
-_TOGETHER = 20_000  # segments whose windows are sorted at once
+_TOGETHER = 1_000_000  # bytes of segments whose windows are sorted at once
 
 
 def _compare_windows(rows: pd.DataFrame) -> pd.DataFrame:
@@ -326,23 +327,26 @@ def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
     rows = kept.join(several, "gram").select(
         "gram", F.pmod(F.xxhash64("segment"), salts).cast("int").alias("salt"), (F.col("kinds") > kinds).alias("salted"), "k1", "k2", "start", "segment"
     )
-    parts = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = rows.repartition(parts, "gram", "salt").sortWithinPartitions("gram", "salt")
+    grouped = rows.repartition("gram", "salt").sortWithinPartitions("gram", "salt")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held = None
         for batch in batches:
-            held.append(batch)
-            if sum(map(len, held)) < _TOGETHER:
-                continue
-            rows = pd.concat(held, ignore_index=True)
-            # The last group may go on in the next batch.
-            last = (rows["gram"] == rows["gram"].iat[-1]) & (rows["salt"] == rows["salt"].iat[-1])
-            held = [rows[last]]
-            if not last.all():
-                yield _compare_windows(rows[~last])
-        if held and sum(map(len, held)):
-            yield _compare_windows(pd.concat(held, ignore_index=True))
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            # Whole groups in a row with some megabytes together; the last one may go on in the next batch.
+            gram, salt = rows["gram"].to_numpy(), rows["salt"].to_numpy()
+            heads = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])]))
+            weight = np.cumsum([len(x) for x in rows["segment"]])
+            start = 0
+            for head in heads[1:].tolist():
+                if weight[head - 1] - (weight[start - 1] if start else 0) >= _TOGETHER:
+                    yield _compare_windows(rows.iloc[start:head])
+                    start = head
+            if start < heads[-1]:
+                yield _compare_windows(rows.iloc[start : heads[-1]])
+            held = rows.iloc[heads[-1] :]
+        if held is not None:
+            yield _compare_windows(held)
 
     found = cut_lineage(grouped.mapInPandas(work, "k1 long, k2 long, start long, stop long, gram long, window long, open boolean"), "suffix-windows")
     spans = found.where("not open").select("k1", "k2", "start", "stop")
@@ -358,7 +362,8 @@ def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(``k1``, ``k2``, ``spans``): what to remove from each document that has something to remove."""
     ordered = _ordered(docs)
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size) // BUCKET_BYTES)
     merged = merge_segments(ordered, repeated_anchors(ordered, buckets), buckets)
     whole = merged.where("segment is null").select("k1", "k2", F.col("start").cast("long"), (F.col("start") + F.col("size")).cast("long").alias("stop"))
     return whole.unionByName(shared_windows(merged)).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
