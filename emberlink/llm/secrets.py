@@ -20,6 +20,7 @@ expression finds the gaps between them, and running sums of both are the places.
 
 Defined results: a null text is empty. Matches of one kind do not overlap; of the added spans
 (kind ``random``), those that overlap a match of a pattern are left out. Places count code points.
+Long texts with many matches cost in proportion: spans are compared in one order.
 Repeated rows are scanned alike; an empty table gives an empty result.
 """
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from emberlink.llm.common import cut_lineage, fresh, table
 
@@ -102,12 +103,18 @@ def places(text: Column, pattern: str, matches: Column) -> Column:
 # ---- the battery ----------------------------------------------------------------------------
 
 
-def upper_tail(z: Column) -> Column:
-    """The probability that a standard normal variable exceeds ``z`` (Abramowitz and Stegun 7.1.26)."""
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = 1 / (1 + 0.3275911 * x)
+def _inverse(z: Column) -> Column:
+    return 1 / (1 + 0.3275911 * F.abs(z) / F.sqrt(F.lit(2.0)))
+
+
+def upper_tail(z: Column, t: Column | None = None) -> Column:
+    """The probability that a standard normal variable exceeds ``z`` (Abramowitz and Stegun 7.1.26).
+
+    ``t`` is a column of ``_inverse(z)``, where ``z`` is not small enough an expression to be repeated.
+    """
+    t = _inverse(z) if t is None else t
     series = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    half = 0.5 * series * F.exp(-x * x)
+    half = 0.5 * series * F.exp(-z * z / 2)
     return F.when(z >= 0, half).otherwise(1 - half)
 
 
@@ -143,26 +150,38 @@ def _measures(token: Column, alphabet: Column, letters: Column) -> Column:
     return F.struct(F.aggregate(values, start, step).alias("walk"), words.alias("words"), equal.alias("squared"), F.size(values).cast("double").alias("n"), F.length(alphabet).cast("double").alias("k"))
 
 
-def _probability(m: Column) -> Column:
-    """Fisher's combination of the three tests, from the measures of a token; for letters, with the fourth."""
-    n, k, w = m["n"], m["k"], m["walk"]
-    chi = k / n * m["squared"] - n
-    uniform = upper_tail((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
-    high, low = w["high"], n - w["high"]
-    expected = 2 * high * low / n + 1
-    varies = (high > 0) & (low > 0) & (expected > 2)
-    by_runs = F.when(varies, 2 * upper_tail(F.abs(w["runs"] - expected) / F.sqrt((expected - 1) * (expected - 2) / (n - 1)))).otherwise(F.lit(0.0))
-    mean = w["sum"] / n
-    around = w["squares"] - n * mean * mean
-    lagged = w["products"] - mean * (2 * w["sum"] - w["first"] - w["last"]) + (n - 1) * mean * mean
-    by_lag = F.when(around > 0, 2 * upper_tail(F.abs(lagged / around + 1 / n) * F.sqrt(n))).otherwise(F.lit(0.0))
-    t = -sum((F.log(F.greatest(p, F.lit(1e-9))) for p in (uniform, by_runs, by_lag)), F.lit(0.0))
-    fisher = F.least(F.lit(1.0), F.exp(-t) * (1 + t + t * t / 2))
-    share = F.least(F.lit(1.0), 52 / k)
-    first, second = share * (sum(SCORES) / 26), share * (sum(x * x for x in SCORES) / 26)
-    by_words = upper_tail((m["words"] - n * first) / F.sqrt(n * (second - first * first)))
-    least = F.least(fisher, by_words)
-    return F.when(m["words"].isNull(), fisher).otherwise(1 - (1 - least) * (1 - least))
+def _with_probability(measured: DataFrame) -> DataFrame:
+    """Add ``p``, Fisher's combination of the three tests, from the measures ``m`` of a token; for letters, with the fourth.
+
+    Column by column: one expression would hold each of its parts hundreds of times.
+    """
+    c = F.col
+    df = measured.select("*", "m.n", "m.k", "m.squared", "m.words", "m.walk.*")
+    low, mean, share = c("n") - c("high"), c("sum") / c("n"), F.least(F.lit(1.0), 52 / c("k"))
+    df = df.withColumns({"low": low, "mean": mean, "share": share})
+    df = df.withColumns(
+        {
+            "expected": 2 * c("high") * c("low") / c("n") + 1,
+            "around": c("squares") - c("n") * c("mean") * c("mean"),
+            "lagged": c("products") - c("mean") * (2 * c("sum") - c("first") - c("last")) + (c("n") - 1) * c("mean") * c("mean"),
+            "of_letters": c("share") * (sum(SCORES) / 26),
+            "of_squares": c("share") * (sum(x * x for x in SCORES) / 26),
+        }
+    )
+    varies = (c("high") > 0) & (c("low") > 0) & (c("expected") > 2)
+    z = {
+        "uniform": (c("k") / c("n") * c("squared") - c("n") - (c("k") - 1)) / F.sqrt(2 * (c("k") - 1) * (c("n") - 1) / c("n")),
+        "by_runs": F.when(varies, F.abs(c("runs") - c("expected")) / F.sqrt((c("expected") - 1) * (c("expected") - 2) / (c("n") - 1))),
+        "by_lag": F.when(c("around") > 0, F.abs(c("lagged") / c("around") + 1 / c("n")) * F.sqrt("n")),
+        "by_words": (c("words") - c("n") * c("of_letters")) / F.sqrt(c("n") * (c("of_squares") - c("of_letters") * c("of_letters"))),
+    }
+    df = df.withColumns({f"z_{k}": v for k, v in z.items()}).withColumns({f"t_{k}": _inverse(c(f"z_{k}")) for k in z})
+    sides = {"uniform": 1, "by_runs": 2, "by_lag": 2, "by_words": 1}
+    df = df.withColumns({f"p_{k}": sides[k] * upper_tail(c(f"z_{k}"), c(f"t_{k}")) for k in z})
+    three = [F.log(F.greatest(F.coalesce(f"p_{k}", F.lit(0.0)), F.lit(1e-9))) for k in ("uniform", "by_runs", "by_lag")]
+    df = df.withColumn("t", -sum(three, F.lit(0.0))).withColumn("fisher", F.least(F.lit(1.0), F.exp(-c("t")) * (1 + c("t") + c("t") * c("t") / 2)))
+    df = df.withColumn("least", F.least("fisher", "p_by_words"))
+    return df.withColumn("p", F.when(c("words").isNull(), c("fisher")).otherwise(1 - (1 - c("least")) * (1 - c("least"))))
 
 
 def _encoding(token: Column) -> Column:
@@ -182,31 +201,48 @@ def _alphabet(encoding: Column) -> Column:
 # ---- the scan -------------------------------------------------------------------------------
 
 
+def _with_places(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """Add ``_at_`` columns: places of all matches of each pattern in the column ``text``."""
+    matched = df.withColumns({f"_all_{k}": F.expr(f"regexp_extract_all({text}, {_quoted(p)}, 0)") for k, p in patterns.items()})
+    return matched.withColumns({f"_at_{k}": places(F.col(text), p, F.col(f"_all_{k}")) for k, p in patterns.items()})
+
+
+def _parts(tokens: DataFrame, pattern: str) -> DataFrame:
+    """What ``pattern`` finds within tokens (``_row``, ``start``, ``stop``, ``token``), as tokens."""
+    inner = _with_places(tokens.withColumnRenamed("start", "_from"), "token", {"part": pattern})
+    found = inner.select("_row", "_from", F.explode("_at_part").alias("m"))
+    return found.select("_row", (F.col("_from") + F.col("m.start")).alias("start"), (F.col("_from") + F.col("m.stop")).alias("stop"), "m.token")
+
+
 def _shape(found: Column, kind: int) -> Column:
     return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["stop"].alias("stop")))
 
 
-def _scan(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``keys`` with ``base`` (start, kind number, stop) and ``candidates`` (start, stop, stratum, probability)."""
-    df = docs.select(*keys, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    levels = {f"level{i}": p for i, p in enumerate(CANDIDATES)}
-    df = df.withColumns({f"_{k}": F.expr(f"regexp_extract_all(_text, {_quoted(p)}, 0)") for k, p in {**PATTERNS, **levels}.items()})
-    df = df.withColumns({f"_at_{k}": places(F.col("_text"), p, F.col(f"_{k}")) for k, p in PATTERNS.items()})
-    # Every part is in a candidate, and is another string only if that holds more than letters and digits.
-    parted = F.exists("_level0", lambda t: t.rlike("[+/_-]"))
-    df = df.withColumns({f"_at_{k}": F.when((F.size(f"_{k}") > 0) & (parted if k != "level0" else F.lit(True)), places(F.col("_text"), p, F.col(f"_{k}"))) for k, p in levels.items()})
-    nothing = F.array().cast("array<struct<start:long,stop:long,token:string>>")
-    df = df.withColumn("_tokens", F.array_union(F.array_union(*[F.coalesce(f"_at_level{i}", nothing) for i in (0, 1)]), F.coalesce("_at_level2", nothing)))
+def _found(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``keys`` and ``_row``, a number of each row, with ``base`` (start, kind number, stop) and ``tokens``, the longest candidates."""
+    df = docs.select(*keys, F.monotonically_increasing_id().alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    df = _with_places(df, "_text", {**PATTERNS, "tokens": CANDIDATES[0]})
     assigned = F.filter("_at_assign", lambda m: F.length(F.regexp_extract(m["token"], PATTERNS["assign"], 2)) >= ASSIGNED)
     kinds = [assigned, F.col("_at_access"), F.col("_at_hex")]
     shaped = [_shape(found, number) for number, found in enumerate(kinds)]
-    df = df.select(*keys, F.array_sort(F.concat(*shaped)).alias("base"), "_tokens")
-    df = df.withColumn("_coded", F.transform("_tokens", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), m["token"].alias("token"), _encoding(m["token"]).alias("encoding"))))
-    df = df.withColumn("_coded", F.filter("_coded", lambda m: m["encoding"].isNotNull()))
-    df = df.withColumn("_measured", F.transform("_coded", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), m["encoding"].alias("encoding"), _measures(m["token"], _alphabet(m["encoding"]), m["encoding"].isin(LETTERS)).alias("m"))))
-    octave = lambda m: F.concat(m["encoding"], F.lit(":"), F.floor(F.log2((m["stop"] - m["start"]).cast("double"))).cast("string"))
-    judged = F.transform("_measured", lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), octave(m).alias("stratum"), _probability(m["m"]).alias("p")))
-    return df.select(*keys, "base", F.coalesce(judged, F.array().cast("array<struct<start:long,stop:long,stratum:string,p:double>>")).alias("candidates"))
+    return df.select(*keys, "_row", F.array_sort(F.concat(*shaped)).alias("base"), F.col("_at_tokens").alias("tokens"))
+
+
+def _judged(found: DataFrame) -> DataFrame:
+    """(``_row``, ``start``, ``stop``, ``stratum``, ``p``) of every candidate: a token, or a part of one between signs."""
+    tokens = found.select("_row", F.inline("tokens"))
+    # Parts lie within the longest candidates. Each list is of strings that the others do not hold.
+    slashed = F.col("token").contains("/")
+    between = _parts(tokens.where(slashed), CANDIDATES[1])
+    plain = _parts(tokens.where(~slashed).unionByName(between).where(F.col("token").rlike("[+_-]")), CANDIDATES[2])
+    # Written, as the steps that follow would be planned once for each list, and the measures once for each of their uses.
+    every = cut_lineage(tokens.unionByName(between).unionByName(plain), "secrets-tokens")
+    coded = every.withColumn("encoding", _encoding(F.col("token"))).where("encoding is not null")
+    letters = F.col("encoding").isin(LETTERS)
+    measured = coded.select("_row", "start", "stop", "encoding", _measures(F.col("token"), _alphabet(F.col("encoding")), letters).alias("m"))
+    measured = cut_lineage(measured, "secrets-measures")
+    octave = F.floor(F.log2((F.col("stop") - F.col("start")).cast("double"))).cast("string")
+    return _with_probability(measured).select("_row", "start", "stop", F.concat("encoding", F.lit(":"), octave).alias("stratum"), "p")
 
 
 def _quoted(pattern: str) -> str:
@@ -214,9 +250,9 @@ def _quoted(pattern: str) -> str:
     return "r'" + pattern + "'" if "'" not in pattern else "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def thresholds(scanned: DataFrame, false_share: float = FALSE_SHARE) -> dict[str, float]:
+def thresholds(judged: DataFrame, false_share: float = FALSE_SHARE) -> dict[str, float]:
     """The least probability that counts as random, for each stratum; there are at most some dozens."""
-    bins = scanned.select(F.explode("candidates").alias("c")).select("c.stratum", F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    bins = judged.select("stratum", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
     found: dict[str, list[int]] = {}
     for row in bins.groupBy("stratum", "bin").count().collect():
         found.setdefault(row["stratum"], [0] * BINS)[row["bin"]] = row["count"]
@@ -232,19 +268,43 @@ def thresholds(scanned: DataFrame, false_share: float = FALSE_SHARE) -> dict[str
     return least
 
 
+def _apart(passed: DataFrame, base: DataFrame) -> DataFrame:
+    """Candidates (``_row``, ``start``, ``stop``) that no longer one holds and no match of a pattern overlaps.
+
+    In order of start, the furthest stop so far tells both, and the next start of a match the rest: one sort
+    of each text's spans, however many there are.
+    """
+    rows = passed.select("_row", "start", "stop", "wide", F.lit(False).alias("fixed"))
+    rows = rows.unionByName(base.select("_row", "start", "stop", F.lit(False).alias("wide"), F.lit(True).alias("fixed")))
+    order = Window.partitionBy("_row").orderBy("start", F.desc("fixed"), F.desc("stop"))
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    seen = rows.withColumns(
+        {
+            "held": F.max(F.when(F.col("wide"), F.col("stop"))).over(before),
+            "reached": F.max(F.when(F.col("fixed"), F.col("stop"))).over(before),
+            "next": F.min(F.when(F.col("fixed"), F.col("start"))).over(after),
+        }
+    )
+    free = F.expr("not fixed and coalesce(held < stop, true) and coalesce(reached <= start, true) and coalesce(next >= stop, true)")
+    return seen.where(free).select("_row", "start", "stop")
+
+
 def scan(docs: DataFrame, keys: list[str], text_col: str = "text", false_share: float = FALSE_SHARE) -> DataFrame:
-    """``keys`` and all ``spans`` (start, kind number in ``KINDS``, stop) of each row, in order."""
-    scanned = cut_lineage(_scan(docs, keys, text_col), "secrets")
-    least = thresholds(scanned, false_share)
-    limits = F.create_map(*[F.lit(x) for pair in sorted(least.items()) for x in pair]) if least else None
-    passed = F.filter("candidates", lambda c: c["p"] >= F.element_at(limits, c["stratum"])) if least else F.col("candidates")
-    whole = lambda a, b: (a["start"] <= b["start"]) & (b["stop"] <= a["stop"]) & (a["stop"] - a["start"] > b["stop"] - b["start"])
-    # Only what goes by an encoding with more than letters and digits can hold another.
-    wide = F.filter(passed, lambda c: F.regexp_like(c["stratum"], F.lit("^(letters54|base64)")))
-    longest = F.filter(passed, lambda c: ~F.exists("_wide", lambda w: whole(w, c)))
-    apart = F.filter("_longest", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    scanned = scanned.withColumn("_wide", wide).withColumn("_longest", longest)
-    return scanned.select(*keys, "base", F.array_sort(F.concat("base", _shape(apart, KINDS.index("random")))).alias("spans"))
+    """``keys``, ``base`` and all ``spans`` (start, kind number in ``KINDS``, stop) of each row, in order."""
+    found = cut_lineage(_found(docs, keys, text_col), "secrets-found")
+    judged = cut_lineage(_judged(found), "secrets-judged")
+    limits = thresholds(judged, false_share)
+    spans = F.col("base")
+    if limits:
+        limit = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair]), F.col("stratum"))
+        # Only what goes by an encoding with more than letters and digits can hold another.
+        passed = judged.where(F.col("p") >= limit).withColumn("wide", F.col("stratum").rlike("^(letters54|base64)"))
+        base = found.where(F.size("base") > 0).select("_row", F.inline("base"))
+        random = F.struct("start", F.lit(KINDS.index("random")).alias("kind"), "stop")
+        added = _apart(passed, base).groupBy("_row").agg(F.collect_list(random).alias("added"))
+        found = found.join(cut_lineage(added, "secrets-added"), "_row", "left")
+        spans = F.when(F.col("added").isNull(), spans).otherwise(F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(found.schema["base"].dataType)))))
+    return found.select(*keys, "base", spans.alias("spans"))
 
 
 def _listed(spans: str) -> Column:

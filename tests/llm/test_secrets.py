@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import re
 
 import pytest
@@ -77,7 +78,7 @@ def test_random_strings_stand_out(spark, mixed):
 def test_probability_is_uniform_for_random_strings(spark):
     rng = random.Random(1)
     df = _frame(spark, ["".join(rng.choices("0123456789abcdef", k=64))[:-1] + "a1" for _ in range(600)])
-    p = [r["c"]["p"] for r in secrets._scan(df, ["doc_id"], "text").select(F.explode("candidates").alias("c")).collect()]
+    p = [r["p"] for r in secrets._judged(secrets._found(df, ["doc_id"], "text")).collect()]
     assert len(p) == 600
     assert 0.4 < sum(p) / len(p) < 0.62
     assert sum(x < 0.1 for x in p) / len(p) < 0.2
@@ -119,6 +120,37 @@ def test_keys_in_paths(spark):
     assert sum(held) >= 100 and all(len(s) <= 1 for s in got.values())
 
 
+def test_spans_against_all_pairs(spark):
+    """What is left beside matches and longer candidates, for spans that overlap in every way."""
+    rng = random.Random(8)
+    rows, fixed = set(), []
+    for row in range(40):
+        for _ in range(rng.randint(0, 12)):
+            start, size = rng.randint(0, 60), rng.randint(1, 25)
+            rows.add((row, start, start + size))
+        fixed += [(row, a, a + rng.randint(1, 9)) for a in rng.sample(range(80), rng.randint(0, 3))]
+    rows = [(*r, rng.random() < 0.5) for r in sorted(rows)]
+    passed = spark.createDataFrame(rows, "_row long, start long, stop long, wide boolean")
+    base = spark.createDataFrame([(r, a, 0, b) for r, a, b in fixed], "_row long, start long, kind int, stop long")
+    want = {
+        (r, a, b) for r, a, b, _ in rows
+        if not any(r == q and a < d and c < b for q, c, d in fixed)
+        and not any(r == q and w and c <= a and b <= d and d - c > b - a for q, c, d, w in rows)
+    }
+    got = [tuple(x) for x in secrets._apart(passed, base).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_long_text_of_tokens(spark):
+    """400 kB of hex tokens: all are matches of a pattern, and nothing is added to them."""
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choices("0123456789abcdef", k=32)) for _ in range(12_000))
+    begun = time.time()
+    spans = secrets.scan(_frame(spark, [text]), ["doc_id"]).first()["spans"]
+    assert [(s["start"], s["kind"], s["stop"]) for s in spans] == [(33 * i, 2, 33 * i + 32) for i in range(12_000)]
+    assert time.time() - begun < 60
+
+
 def test_upper_tail(spark):
     row = spark.range(1).select(*[secrets.upper_tail(F.lit(z)).alias(f"z{i}") for i, z in enumerate((-1.959964, 0.0, 1.644854, 3.0))]).first()
     assert list(row) == pytest.approx([0.975, 0.5, 0.05, 0.00135], abs=1e-5)
@@ -126,8 +158,7 @@ def test_upper_tail(spark):
 
 def test_thresholds_by_share(spark):
     rows = [("a", i / 100) for i in range(100)] + [("b", 0.001)] * 900 + [("b", i / 100) for i in range(100)]
-    df = spark.createDataFrame(rows, "stratum string, p double").select(F.array(F.struct("stratum", "p")).alias("candidates"))
-    least = secrets.thresholds(df)
+    least = secrets.thresholds(spark.createDataFrame(rows, "stratum string, p double"))
     assert least["a"] == 0.0 and 0 < least["b"] <= 0.02
 
 
