@@ -21,18 +21,30 @@ from emberlink.operators.window_link import link_by_window
 SEMANTIC_COLUMNS = ["semantic_score", "semantic_linked_disaster_id", "linked_disaster_type", "priority_match"]
 
 
-def identified(df: DataFrame, name: str = "__identity") -> DataFrame:
-    """Add what makes an article itself: its url or, without one, its title and source."""
-    parts = [c for c in ("title", "source") if c in df.columns]
-    return df.withColumn(name, F.coalesce(blank_to_null("url"), natural_key(*parts)))
+#: What tells apart rows that lack the key they are known by.
+_TRAITS = ("title", "source", "date", "latitude", "longitude", "location")
+
+
+def identified(df: DataFrame, name: str = "__identity", key: str = "url", traits: Iterable[str] = ("title", "source")) -> DataFrame:
+    """Add what makes a row itself: its ``key`` or, without one, its ``traits``, of those it has."""
+    parts = [c for c in traits if c in df.columns]
+    return df.withColumn(name, F.coalesce(blank_to_null(F.col(key).cast("string")), natural_key(*parts)))
 
 
 def insert_articles(new: DataFrame, stored: DataFrame | None, order: str | Column | Iterable[str | Column], key: str | None = None) -> DataFrame:
-    """The rows of ``new`` to append: first of each article, and not stored. ``key`` names another identity."""
-    if key is None:
-        new, key = identified(new), "__identity"
-        stored = None if stored is None else identified(stored)
-    first = dedup_first(new, key, order) if stored is None else insert_absent(new, stored, key, order)
+    """The rows of ``new`` to append: first of each article, and not stored.
+
+    ``key`` names another identity than the url. Rows without a key are known by title and source, or by what
+    else both sides have of ``_TRAITS``; a stored side without any of these cannot hold them.
+    """
+    traits = ["title", "source"] if key is None else [c for c in _TRAITS if c in new.columns]
+    key = key or "url"
+    if stored is not None:
+        both = [c for c in traits if c in stored.columns]
+        traits = both or traits
+        stored = identified(stored if both else stored.where(blank_to_null(F.col(key).cast("string")).isNotNull()), key=key, traits=traits)
+    new = identified(new, key=key, traits=traits)
+    first = dedup_first(new, "__identity", order) if stored is None else insert_absent(new, stored, "__identity", order)
     return first.drop("__identity")
 
 
@@ -90,12 +102,12 @@ def type_posts(posts: DataFrame, fields: str | Iterable[str] = ("title", "descri
 
 
 def import_hazard_events(events: DataFrame, stored: DataFrame | None = None, terms: Iterable[str] = lx.GDACS_TITLE_TERMS, order: Order = "guid") -> DataFrame:
-    """Feed events to append: their title has a term, first of their ``guid``, not stored."""
+    """Feed events to append: their title has a term, first of their ``guid`` (or title and source), not stored."""
     return insert_articles(keyword_filter(events, "title", terms), stored, order, "guid")
 
 
 def import_landslides(slides: DataFrame, stored: DataFrame | None = None, order: Order = "date") -> DataFrame:
-    """Catalog rows to append: first of their ``event_id``, not stored."""
+    """Catalog rows to append: first of their ``event_id`` (or date and place), not stored."""
     return insert_articles(slides, stored, order, "event_id")
 
 

@@ -58,6 +58,22 @@ def link_semantic(
     return linked.join(articles.select("article_id", flag), "article_id", "left")
 
 
+def usable(vector: str) -> Column:
+    """Whether a vector is there, and all of its components are finite numbers."""
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vector) > 0) & whole, F.lit(False))
+
+
+def left_out(vectors: DataFrame, width: int, vector: str = "vector") -> DataFrame:
+    """Rows that :func:`top1` leaves out, with the ``reason``: ``missing``, ``not finite`` or ``width``."""
+    reason = (
+        F.when(F.col(vector).isNull() | (F.size(vector) == 0), "missing")
+        .when(~usable(vector), "not finite")
+        .when(F.size(vector) != width, "width")
+    )
+    return vectors.withColumn("reason", reason).where("reason is not null")
+
+
 def top1(
     articles: DataFrame,
     events: DataFrame,
@@ -68,20 +84,28 @@ def top1(
 ) -> DataFrame:
     """``(article_id, similarity, event_id, disaster_type)``; lowest ``order`` wins ties.
 
-    Articles whose best similarity is below ``threshold`` are left out.
+    Articles whose best similarity is below ``threshold`` are left out, and so are vectors that are
+    missing, hold a null or a number that is not finite, or are not as wide as most events' (see :func:`left_out`).
     """
     order = F.col(order) if isinstance(order, str) else order
-    a = articles.select("article_id", F.col("vector").cast("array<double>").alias("vector")).where(
-        "size(vector) > 0"
-    )
+    a = articles.select("article_id", F.col("vector").cast("array<double>").alias("vector")).where(usable("vector"))
     e = events.select(
         order.alias("ord"),
         "event_id",
         F.col("disaster_type").cast("string").alias("disaster_type"),
         F.col("vector").cast("array<double>").alias("vector"),
-    ).where("size(vector) > 0")
-    count, width = e.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    if count * ((width or 0) * 8 + 64) <= max_broadcast_bytes:
+    ).where(usable("vector"))
+    names = F.coalesce(F.length(F.col("ord").cast("string")), F.lit(0)) + F.coalesce(F.length(F.col("event_id").cast("string")), F.lit(0))
+    widths = e.groupBy(F.size("vector").alias("width")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(4 * (names + F.coalesce(F.length("disaster_type"), F.lit(0)))).alias("texts")
+    )
+    # The width that most events have, the larger of equals; vectors of another width compare with nothing.
+    top = widths.orderBy(F.desc("n"), F.desc("width")).first()
+    if top is None:
+        return a.sparkSession.createDataFrame([], _result_schema(a, e)).select("article_id", "similarity", "event_id", "disaster_type")
+    width, count = top["width"], top["n"]
+    a, e = (side.where(F.size("vector") == width) for side in (a, e))
+    if count * (width * 8 + 64) + top["texts"] <= max_broadcast_bytes:
         best = _top1_broadcast(a, e)
     else:
         best = _top1_blocks(a, e, width, block_rows)

@@ -487,6 +487,24 @@ def insert_by_guid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_hazard_events(events, stored, ["view", "purchase"], "event_id").select("event_id", "guid")
 
 
+@query(
+    "insert_without_guid",
+    f"""
+    WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN guid END AS guid, title || ' ' || event_id % 50 AS title FROM ({_GUIDS}) AS g),
+    i AS (SELECT *, coalesce(guid::VARCHAR, 'by title ' || title) AS identity FROM e)
+    SELECT min(event_id) AS event_id, any_value(guid) AS guid, min(CASE WHEN guid IS NULL THEN title END) AS title FROM i
+    WHERE NOT starts_with(title, 'signup') AND identity NOT IN (SELECT identity FROM i WHERE event_id % 7 = 0) GROUP BY identity
+    """,
+)
+def insert_without_guid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed events of which two thirds have no guid: these are known by their title."""
+    guid = F.when(F.col("event_id") % 3 == 0, F.col("user_id"))
+    title = F.concat_ws(" ", "event_type", (F.col("event_id") % 50).cast("string"))
+    events = st.table(spark, sf_dir, "events").select("event_id", guid.alias("guid"), title.alias("title"))
+    found = import_hazard_events(events.where("not startswith(title, 'signup')"), events.where("event_id % 7 = 0"), [""], "event_id")
+    return found.select("event_id", "guid", F.when(F.col("guid").isNull(), F.col("title")).alias("title"))
+
+
 @query(
     "insert_event_id",
     f"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from emberlink.plans import standins as st
@@ -270,6 +273,64 @@ def src_landslides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_arrays(rows: DataFrame) -> DataFrame:
+    """Lines of files that are one JSON array each."""
+
+    def wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mark = "["
+        for batch in batches:
+            values = batch["value"].tolist()
+            if values:
+                yield pd.DataFrame({"value": [mark + values[0], *["," + v for v in values[1:]]]})
+                mark = ","
+        yield pd.DataFrame({"value": ["]" if mark == "," else "[]"]})
+
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).mapInPandas(wrap, "value string")
+
+
+@query(
+    "src_landslide_arrays",
+    f"""
+    SELECT event_id::VARCHAR AS event_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, strftime(date, '%Y-%m-%d') AS date,
+           'catalog }} ' || event_id AS source_name, 'landslide' AS type
+    FROM {st.LANDSLIDES_SQL} AS l
+    """,
+)
+def src_landslide_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog from files that are one array each, read in blocks; all columns that are filled."""
+    rows = st.landslides(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("date").cast("string").alias("date"),
+        F.col("latitude").cast("string").alias("latitude"),
+        F.col("longitude").cast("string").alias("longitude"),
+        F.concat(F.lit("catalog } "), F.col("event_id").cast("string")).alias("source_name"),
+    )
+    path = _land(_as_arrays(rows), "landslides")
+    return hazards.read_landslides(spark, path, st.AS_OF).select(
+        "event_id", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), F.col("date").cast("string").alias("date"), "source_name", "type"
+    )
+
+
+@query(
+    "src_fire_headers",
+    f"""
+    SELECT CASE WHEN longitude >= 10 THEN 'CHE' ELSE 'DEU' END AS country, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude,
+           strftime(acq_date, '%Y-%m-%d') AS acq_date, acq_time, CASE WHEN longitude >= 10 THEN frp END AS frp
+    FROM {st.WILDFIRES_SQL} AS w
+    """,
+)
+def src_fire_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two layouts in one folder: columns in another order, some missing from one."""
+    w, path = st.wildfires(spark, sf_dir).withColumn("acq_time", F.col("acq_time").cast("int")), scratch_dir(spark, "firms")
+    west = w.where("longitude < 10").select("longitude", "latitude", "acq_time", "acq_date")
+    east = w.where("longitude >= 10").select(F.lit("CHE").alias("country_id"), "acq_date", "latitude", "frp", "longitude", "acq_time")
+    for rows in (west, east):
+        rows.write.mode("append").option("header", True).csv(path)
+    return hazards.read_firms_csv(spark, path, st.AS_OF).select(
+        "country", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), F.col("acq_date").cast("string").alias("acq_date"), "acq_time", "frp"
+    )
+
+
 @query(
     "src_exports",
     f"""

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from emberlink.functions.times import as_timestamp
 from emberlink.operators.dedup import insert_absent
@@ -50,7 +50,8 @@ def stored_keys(spark: SparkSession, path: str, fmt: str, like: DataFrame, witho
     if fmt == "delta":
         return spark.read.format(fmt).load(path)
     # The schema is given, so a table without a file yet reads as empty.
-    reader = spark.read.schema(like.schema.add("writer", "string").add("batch_id", "long")).format(fmt)
+    schema = T.StructType([*like.schema.fields, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())])
+    reader = spark.read.schema(schema).format(fmt)
     held = reader.load(path)
     if without:
         own = F.col("writer").eqNullSafe(F.lit(without[0])) & F.col("batch_id").eqNullSafe(F.lit(without[1]))

@@ -8,6 +8,7 @@ from emberlink import schemas
 from emberlink.functions.ids import natural_key
 from emberlink.functions.times import parse_published
 from emberlink.sources.canonical import canonical_article, conform
+from emberlink.sources.json_arrays import parsed_elements, read_elements
 
 # File of each exported collection.
 EXPORT_FILES = {
@@ -32,24 +33,20 @@ def _raw_schema(schema: T.StructType, extra: list[str]) -> T.StructType:
 
 
 def to_lines(spark: SparkSession, path: str, target: str, tasks: int | None = None) -> None:
-    """Rewrite exports that are one JSON array per file as one object per line, which any number of tasks read.
+    """Rewrite exports that are one JSON array per file as one object per line.
 
-    An array has to be read by one task from end to end, so a large export is worth this once.
-    Elements stay as they are; a file that is no array becomes one broken line.
+    The arrays are read in blocks, whatever their size; readers of lines then read them once instead of twice.
+    Elements stay as they are; what is no object becomes a broken line.
     """
-    files = spark.read.text(path, wholetext=True)
-    elements = F.from_json("value", "array<variant>")
-    whole = files.select(F.explode(F.coalesce(F.transform(elements, lambda v: F.to_json(v)), F.array("value"))).alias("value"))
+    whole = read_elements(spark, path)
     (whole.repartition(tasks) if tasks else whole).write.text(target)
 
 
 def _read_raw(spark: SparkSession, path: str, schema: T.StructType, lines: bool, extra: list[str]) -> DataFrame:
-    return (
-        spark.read.schema(_raw_schema(schema, extra))
-        .option("multiLine", not lines)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    )
+    raw = _raw_schema(schema, extra)
+    if not lines:
+        return parsed_elements(spark, path, raw)
+    return spark.read.schema(raw).option("columnNameOfCorruptRecord", "_corrupt").json(path)
 
 
 def export_rejects(spark: SparkSession, directory: str, lines: bool = False) -> DataFrame:

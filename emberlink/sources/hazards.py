@@ -8,6 +8,7 @@ from emberlink import schemas
 from emberlink.functions.ids import natural_key
 from emberlink.functions.text import blank_to_null
 from emberlink.functions.times import as_timestamp, parse_published
+from emberlink.sources.json_arrays import parsed_elements
 
 DEFAULT_COUNTRY = "DEU"
 
@@ -35,18 +36,30 @@ def firms_fires(raw: DataFrame, as_of) -> DataFrame:
 
 
 def read_firms_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Detections as text, whatever columns the file has and in whatever order.
+    """Detections as text, whatever columns each file has and in whatever order.
 
-    All files of ``path`` share one header. Columns that the model knows and the file lacks are
-    null; a row with too few or too many fields is whole in ``_corrupt``.
+    A file's first line is its header, and decides its columns; files with one header are read
+    together. Columns that the model knows and a file lacks are null (``country_id``: the default, if other
+    files have it); a row with too few or too many fields is whole in ``_corrupt``.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_corrupt"]])
-    raw = spark.read.schema(schema).option("header", True).option("columnPruning", False).option("columnNameOfCorruptRecord", "_corrupt").csv(path)
-    known = {c.strip().lower(): c for c in header}
-    names = [f.name for f in schemas.FIRMS_ROW.fields if f.name != "country_id" or "country_id" in known]
-    picked = [F.col(f"`{known[n]}`").alias(n) if n in known else F.lit(None).cast("string").alias(n) for n in names]
-    return raw.select(*picked, "_corrupt")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    first = lines.where("block = 0").groupBy("file").agg(F.first("value").alias("header"))
+    # As many as there are layouts, not files.
+    layouts = [r["header"] for r in first.select("header").distinct().collect()]
+    rows = lines.join(first, "file").where("value <> header and trim(value) <> ''")
+    named = {h: [c.strip().strip('"').lower() for c in h.lstrip("\ufeff").split(",")] for h in layouts}
+    names = [f.name for f in schemas.FIRMS_ROW.fields if f.name != "country_id" or any("country_id" in n for n in named.values())]
+    found = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]]))
+    for header, columns in named.items():
+        fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))]
+        schema = T.StructType([*fields, T.StructField("_corrupt", T.StringType())])
+        parsed = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"columnNameOfCorruptRecord": "_corrupt"})
+        at = {c: f"row.c{i}" for i, c in reversed(list(enumerate(columns)))}
+        lacking = {"country_id": F.lit(DEFAULT_COUNTRY)}
+        picked = [F.col(at[n]).alias(n) if n in at else lacking.get(n, F.lit(None).cast("string")).alias(n) for n in names]
+        mine = rows.where(F.col("header") == header).select(parsed.alias("row"))
+        found = found.unionByName(mine.select(*picked, "row._corrupt"))
+    return found
 
 
 def _unreadable(raw: DataFrame, kinds: dict[str, str]) -> Column:
@@ -98,16 +111,10 @@ def landslide_events(raw: DataFrame, as_of) -> DataFrame:
 
 
 def read_landslides_raw(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """The catalog as one JSON array per file, or one object per line.
-
-    A file that is one array is one task; ``exports.to_lines`` rewrites large ones once.
-    """
-    return (
-        spark.read.schema(schemas.LANDSLIDE_ROW)
-        .option("multiLine", not lines)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    )
+    """The catalog as one JSON array per file, read in blocks, or one object per line."""
+    if not lines:
+        return parsed_elements(spark, path, schemas.LANDSLIDE_ROW)
+    return spark.read.schema(schemas.LANDSLIDE_ROW).option("columnNameOfCorruptRecord", "_corrupt").json(path)
 
 
 def read_landslides(spark: SparkSession, path: str, as_of, lines: bool = False) -> DataFrame:

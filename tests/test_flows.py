@@ -2,9 +2,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from emberlink.flows import enrich, ingest_news, insert_articles
+from emberlink.flows import enrich, import_hazard_events, import_landslides, ingest_news, insert_articles
 from emberlink.operators import filters
 from emberlink.operators.window_link import link_by_window
+from emberlink.sinks.tables import append_table, stored_keys
 
 
 def test_enrich_end_to_end(spark):
@@ -74,3 +75,20 @@ def test_copies_of_an_article_stay_as_many(spark):
     fires = spark.createDataFrame([("f1", 46.3, 7.8, dt.date(2024, 1, 4))], "fire_id string, latitude double, longitude double, acq_date date")
     got = enrich(news, fires).collect()
     assert len(got) == 20 and {r.linked_fire_id for r in got} == {"f1"}
+
+
+def test_events_without_guid_stay_apart(spark):
+    rows = [(None, "Landslide A", "GDACS", 1), (None, "Landslide B", "GDACS", 2), ("", "Landslide A", "GDACS", 3), ("g", "Landslide C", "GDACS", 4), ("g", "Landslide D", "GDACS", 5)]
+    events = spark.createDataFrame(rows, "guid string, title string, source string, n int")
+    kept = lambda stored=None: sorted(r.n for r in import_hazard_events(events, stored, ["landslide"], "n").collect())
+    assert kept() == [1, 2, 4]
+    assert kept(events.where("n = 2")) == [1, 4]
+    assert kept(spark.createDataFrame([("g",), (None,)], "guid string")) == [1, 2]
+    slides = spark.createDataFrame([(None, 1.0, "2024-01-01"), (None, 2.0, "2024-01-01"), (None, 2.0, "2024-01-01"), ("e", 1.0, "2024-01-01")], "event_id string, latitude double, date string")
+    assert import_landslides(slides).count() == 3
+
+
+def test_reading_keys_leaves_the_frame_as_it_was(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "a int")
+    append_table(df, str(tmp_path / "t"))
+    assert stored_keys(spark, str(tmp_path / "t"), "parquet", df).columns == df.columns == ["a"] and len(df.schema) == 1

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlink.functions.encode import encode_hashed, encode_with
+from emberlink.operators import semantic
 from emberlink.operators.semantic import link_semantic, top1
 
 
@@ -108,3 +109,19 @@ def test_threshold_is_the_same_on_both_sides_of_the_limit(spark):
     for threshold in (None, 0.6, 0.9, 0.999):
         one, other = (sorted(map(tuple, top1(a, e, threshold, max_broadcast_bytes=limit, block_rows=16).collect())) for limit in (1 << 20, 0))
         assert one == other
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_bad_vectors_touch_nobody_else(spark, limit):
+    nan, inf = float("nan"), float("inf")
+    articles = spark.createDataFrame(
+        [(1, [1.0, 0.1]), (2, [nan, 1.0]), (3, [0.2, 1.0]), (4, None), (5, []), (6, [1.0, None]), (7, [inf, 0.0]), (8, [1.0, 2.0, 3.0]), (9, [5.0]), (10, [0.0, 0.0])],
+        "article_id long, vector array<double>",
+    )
+    events = spark.createDataFrame(
+        [("a", "fire", [1.0, 0.0]), ("b", "flood", [nan, nan]), ("c", "storm", [0.0, 1.0]), ("d", "x", [1.0]), ("e", "x", None)], "event_id string, disaster_type string, vector array<double>"
+    )
+    got = {r.article_id: r.event_id for r in semantic.top1(articles, events, max_broadcast_bytes=limit).collect()}
+    assert got == {1: "a", 3: "c", 10: "a"}
+    why = {r.article_id: r.reason for r in semantic.left_out(articles, 2).collect()}
+    assert why == {2: "not finite", 4: "missing", 5: "missing", 6: "not finite", 7: "not finite", 8: "width", 9: "width"}

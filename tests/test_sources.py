@@ -117,6 +117,18 @@ def test_hazards(spark, tmp_path):
     assert [(r.event_id, str(r.date), r.longitude) for r in got] == [("1", "2024-01-02", 0.0)]
 
 
+def test_fire_files_with_different_headers(spark, tmp_path):
+    put(tmp_path / "h/a.csv", "latitude,longitude,acq_date,acq_time,frp\n51.0,9.0,2024-01-02,34,1.5\n")
+    put(tmp_path / "h/b.csv", "longitude,latitude,frp,acq_time,acq_date,extra\n9.0,51.0,1.5,34,2024-01-02,x\n\n9.1,51.1,2,7\n")
+    put(tmp_path / "h/c.csv", '\ufeffcountry_id,"latitude",longitude,acq_date,acq_time,frp\nCHE,46.0,8.0,2024-01-03,1234,"2.5"\n')
+    put(tmp_path / "h/d.csv", "")
+    d = str(tmp_path / "h")
+    rows = sorted((r.country, r.latitude, r.longitude, str(r.acq_date), r.acq_time, r.frp) for r in hazards.read_firms_csv(spark, d, AS_OF).collect())
+    assert rows == [("CHE", 46.0, 8.0, "2024-01-03", "1234", 2.5), *[("DEU", 51.0, 9.0, "2024-01-02", "0034", 1.5)] * 2]
+    _, bad = hazards.split_firms(hazards.read_firms_raw(spark, d))
+    assert [(r.reason, r._corrupt) for r in bad.collect()] == [("broken", "9.1,51.1,2,7")]
+
+
 def test_exports_and_union(spark, tmp_path):
     put(tmp_path / "e/news.json", json.dumps([{"title": "a", "url": "u", "publishedAt": "2024-01-02T00:00:00Z", "relevance_score": 0.5, "entities": [{"text": "Bern", "label": "LOC"}]}]))
     put(tmp_path / "e/gnews_articles.json", json.dumps([{"title": "b", "url": "v", "content": "c", "disaster_type": "wildfire"}]))
