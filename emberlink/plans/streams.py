@@ -168,3 +168,16 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         append_table(st.wildfires(spark, sf_dir), table, as_of=st.AS_OF, as_text=True)
     counted = spark.read.parquet(table).groupBy("fire_id", "ingested_at").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     return counted.select("fire_id", "copies", "ingested_at")
+
+
+@query(
+    "sink_absent",
+    "SELECT user_id, arg_min(event_id, (event_id % 4, event_id)) AS event_id FROM events WHERE user_id IS NOT NULL GROUP BY user_id",
+)
+def sink_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches into one table, first writer wins; a batch opens the folders that may hold its keys."""
+    path = scratch_dir(spark, "absent")
+    events = st.table(spark, sf_dir, "events").where("user_id is not null").select("user_id", "event_id")
+    for turn in range(4):
+        append_absent(events.where(F.col("event_id") % 4 == turn), path, "user_id", "event_id", as_of=st.AS_OF)
+    return spark.read.parquet(path).select("user_id", "event_id")

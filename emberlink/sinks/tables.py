@@ -11,10 +11,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberlink.functions.times import as_timestamp
 from emberlink.operators.dedup import insert_absent
+from emberlink.sinks.key_filters import drop_filter, folders_to_open, write_filter
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -41,7 +42,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def stored_keys(spark: SparkSession, path: str, fmt: str, like: DataFrame, without: tuple[str, int] | None = None) -> DataFrame:
-    """The rows a table holds, in the columns of ``like``; no rows if it is not there yet.
+    """The rows a table holds, in the columns of ``like``, from the folders that may hold rows of ``like``; none if it is not there yet.
 
     ``without`` leaves out one folder (writer, batch id): a batch that runs again must not meet itself.
     """
@@ -49,35 +50,46 @@ def stored_keys(spark: SparkSession, path: str, fmt: str, like: DataFrame, witho
         return like.limit(0)
     if fmt == "delta":
         return spark.read.format(fmt).load(path)
-    # The schema is given, so a table without a file yet reads as empty.
-    schema = T.StructType([*like.schema.fields, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())])
-    reader = spark.read.schema(schema).format(fmt)
-    held = reader.load(path)
-    if without:
-        own = F.col("writer").eqNullSafe(F.lit(without[0])) & F.col("batch_id").eqNullSafe(F.lit(without[1]))
-        held = held.where(~own)
-    return held.select(*like.columns)
+    folders = folders_to_open(spark, path, like, like.columns)
+    if without and (own := _folder(path, *without)) in folders:
+        folders.remove(own)
+    # The schema is given, so folders without a file read as empty.
+    return spark.read.schema(like.schema).format(fmt).load(folders).select(*like.columns) if folders else like.limit(0)
+
+
+def _write_folder(stamped: DataFrame, path: str, fmt: str, writer: str, batch_id: int, key: list[str], partition_by: list[str] | None = None) -> None:
+    """Write one folder and, where the table has a ``key``, its filter."""
+    spark, folder = stamped.sparkSession, _folder(path, writer, batch_id)
+    if key:
+        drop_filter(spark, path, writer, batch_id)
+    to = stamped.write.mode("overwrite")
+    if partition_by:
+        to = to.partitionBy(*partition_by)
+    to.format(fmt).save(folder)
+    if key:
+        write_filter(spark.read.schema(stamped.schema).format(fmt).load(folder), path, writer, batch_id, key)
+
+
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key or [])
 
 
 def append_table(
-    df: DataFrame, path: str, fmt: str = "parquet", as_of=None, as_text: bool = False, partition_by: list[str] | None = None
+    df: DataFrame, path: str, fmt: str = "parquet", as_of=None, as_text: bool = False, partition_by: list[str] | None = None, key=None
 ) -> None:
-    """Append as it is, without looking for duplicates."""
+    """Append as it is, without looking for duplicates. With a ``key``, later look-ups open the folder only if it may hold theirs."""
     stamped = stamp(df, as_of, as_text)
     if fmt == "delta":
-        writer, target = stamped.write.mode("append"), path
+        writer = stamped.write.mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).format(fmt).save(path)
     else:
-        writer, target = stamped.write.mode("overwrite"), _folder(path, f"batch-{uuid.uuid4().hex}", 0)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.format(fmt).save(target)
+        _write_folder(stamped, path, fmt, f"batch-{uuid.uuid4().hex}", 0, _keys(key), partition_by)
 
 
 def append_absent(new: DataFrame, path: str, key, order, fmt: str = "parquet", as_of=None) -> None:
     """Append the rows whose key the table at ``path`` lacks; first per key. One writer at a time."""
-    keys = new.select(*([key] if isinstance(key, str) else list(key)))
-    target = stored_keys(new.sparkSession, path, fmt, keys)
-    append_table(insert_absent(new, target, key, order), path, fmt, as_of)
+    target = stored_keys(new.sparkSession, path, fmt, new.select(*_keys(key)))
+    append_table(insert_absent(new, target, key, order), path, fmt, as_of, key=key)
 
 
 def make_sink(
@@ -101,8 +113,7 @@ def make_sink(
             raise ValueError("outside a streaming query a sink needs the name of its writer")
         if absent:
             key, order = absent
-            keys = batch.select(*([key] if isinstance(key, str) else list(key)))
-            batch = insert_absent(batch, stored_keys(spark, path, fmt, keys, (name, batch_id)), key, order)
+            batch = insert_absent(batch, stored_keys(spark, path, fmt, batch.select(*_keys(key)), (name, batch_id)), key, order)
         stamped = stamp(batch, as_of, text_stamp)
         if fmt == "delta":
             (
@@ -110,6 +121,6 @@ def make_sink(
                 .option("txnAppId", name).option("txnVersion", batch_id).save(path)
             )
         else:
-            stamped.write.format(fmt).mode("overwrite").save(_folder(path, name, batch_id))
+            _write_folder(stamped, path, fmt, name, batch_id, _keys(absent[0]) if absent else [])
 
     return write
