@@ -3,9 +3,13 @@
 Small event sets travel to the tasks as one matrix, behind a check of their size. Beyond that both
 sides are cut into blocks, and every pair of blocks is one matrix product that leaves one row per
 article: its best event of that block. The best of these is the answer, so both ways give the
-same rows. The cost is that of comparing everything with everything: vectors as they come have no
-bound that would let an exact search skip any. A block is copied once for each block of the other
-side, so traffic falls with the block size, and a task holds two blocks at a time.
+same rows. Every article meets every event, but not with all of its components: events are turned to their
+principal axes, products are taken over the first few, and what the others can add is bounded by the
+lengths they have left (Cauchy-Schwarz). Only pairs whose bound reaches the best exact product so far are
+compared in full. Where a quarter of the axes does not hold most of the events' squares, or the bound holds back
+less than nine in ten pairs, the whole product is taken as before: vectors without a structure offer nothing to skip.
+A block is copied once for each block of the other side, so traffic falls with the block size, and a
+task holds two blocks at a time.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ BLOCK_ROWS = 8192
 # Equal vectors must tie whatever the order of summation was.
 _DIGITS = 12
 _CELLS = 1 << 21
+_HELD = 0.9  # of the events' squares, by the axes that products are first taken over
+_SLACK = 1e-9  # for what rounding does to a bound
 
 
 def link_semantic(
@@ -81,11 +87,14 @@ def top1(
     order: str | Column = "event_id",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
+    products: tuple | None = None,
 ) -> DataFrame:
     """``(article_id, similarity, event_id, disaster_type)``; lowest ``order`` wins ties.
 
     Articles whose best similarity is below ``threshold`` are left out, and so are vectors that are
     missing, hold a null or a number that is not finite, or are not as wide as most events' (see :func:`left_out`).
+
+    ``products`` may hold two accumulators: for pairs, and for those of them that were compared in full.
     """
     order = F.col(order) if isinstance(order, str) else order
     a = articles.select("article_id", F.col("vector").cast("array<double>").alias("vector")).where(usable("vector"))
@@ -106,9 +115,9 @@ def top1(
     width, count = top["width"], top["n"]
     a, e = (side.where(F.size("vector") == width) for side in (a, e))
     if count * (width * 8 + 64) + top["texts"] <= max_broadcast_bytes:
-        best = _top1_broadcast(a, e)
+        best = _top1_broadcast(a, e, products)
     else:
-        best = _top1_blocks(a, e, width, block_rows)
+        best = _top1_blocks(a, e, width, block_rows, products)
     if threshold is not None:
         best = best.where(F.col("similarity") >= F.lit(float(threshold)))
     return best.select("article_id", "similarity", "event_id", "disaster_type")
@@ -136,22 +145,63 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return rows / np.where(norms == 0.0, 1.0, norms)
 
 
-def _best(rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Highest cosine per row and the first position that has it, in bounded memory."""
+class Axes:
+    """Unit vectors turned to their principal axes: the first few components, and the length of the rest."""
+
+    def __init__(self, others: np.ndarray) -> None:
+        squares, turn = np.linalg.eigh(others.T @ others)
+        squares, turn = np.maximum(squares[::-1], 0.0), turn[:, ::-1]
+        held = np.cumsum(squares) / max(squares.sum(), 1e-300)
+        self.few = int(np.searchsorted(held, _HELD)) + 1
+        self.worth = 4 * self.few <= others.shape[1]
+        self.turn = np.ascontiguousarray(turn[:, : self.few])
+        self.head, self.rest = self.of(others) if self.worth else (None, None)
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        head = rows @ self.turn
+        return head, np.sqrt(np.maximum((rows * rows).sum(axis=1) - (head * head).sum(axis=1), 0.0))
+
+
+def _first_best(sims: np.ndarray, left: int, best: np.ndarray, where: np.ndarray) -> None:
+    """Take over, in place, what a tile of products has that is better."""
+    at = sims.argmax(axis=1)
+    value = sims[np.arange(len(at)), at]
+    better = value > best
+    best[better], where[better] = value[better], at[better] + left
+
+
+def _best(rows: np.ndarray, others: np.ndarray, axes: Axes | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Highest cosine per row, the first position that has it, and how many products were taken in full; in bounded memory."""
     best = np.full(len(rows), -np.inf)
     where = np.zeros(len(rows), dtype=np.int64)
     width = min(len(others), 4096)
     height = max(1, _CELLS // width)
+    taken = 0
+    pruned = axes is not None and axes.worth and len(rows)
+    head, rest = axes.of(rows) if pruned else (None, None)
     for top in range(0, len(rows), height):
         part = slice(top, top + height)
         for left in range(0, len(others), width):
-            sims = np.round(rows[part] @ others[left : left + width].T, _DIGITS)
-            at = sims.argmax(axis=1)
-            value = sims[np.arange(len(at)), at]
-            better = value > best[part]
-            best[part] = np.where(better, value, best[part])
-            where[part] = np.where(better, at + left, where[part])
-    return best, where
+            some = slice(left, left + width)
+            if pruned:
+                near = head[part] @ axes.head[some].T
+                likely = near.argmax(axis=1)
+                exact = np.round((rows[part] * others[left + likely]).sum(axis=1), _DIGITS)
+                bound = near + rest[part][:, None] * axes.rest[some][None, :]
+                i, j = np.nonzero(bound >= np.maximum(best[part], exact)[:, None] - _SLACK)
+                if len(i) * 10 <= bound.size:
+                    sims = np.round(np.einsum("ij,ij->i", rows[part][i], others[some][j]), _DIGITS)
+                    order = np.lexsort((j, -sims, i))
+                    first = order[np.concatenate([[True], i[order][1:] != i[order][:-1]])] if len(i) else order
+                    better = sims[first] > best[part][i[first]]
+                    best[top + i[first][better]] = sims[first][better]
+                    where[top + i[first][better]] = j[first][better] + left
+                    taken += len(i) + len(likely)
+                    continue
+            sims = np.round(rows[part] @ others[some].T, _DIGITS)
+            taken += sims.size
+            _first_best(sims, left, best[part], where[part])
+    return best, where, taken
 
 
 def _answers(ids: pa.Array, best: np.ndarray, where: np.ndarray, events: pa.Table, schema: pa.Schema) -> pa.RecordBatch:
@@ -164,21 +214,29 @@ def _answers(ids: pa.Array, best: np.ndarray, where: np.ndarray, events: pa.Tabl
     )
 
 
-def _top1_broadcast(a: DataFrame, e: DataFrame) -> DataFrame:
+def _count(products: tuple | None, pairs: int, taken: int) -> None:
+    if products:
+        products[0].add(pairs)
+        products[1].add(taken)
+
+
+def _top1_broadcast(a: DataFrame, e: DataFrame, products: tuple | None = None) -> DataFrame:
     spark = a.sparkSession
     schema = _result_schema(a, e)
     table = e.toArrow()  # at most max_broadcast_bytes, checked by the caller
     if table.num_rows == 0:
         return spark.createDataFrame([], schema)
     table = table.take(pc.sort_indices(table, sort_keys=[("ord", "ascending")]))
-    shipped = spark.sparkContext.broadcast((_matrix(table.column("vector")), table.drop_columns(["vector"])))
+    matrix = _matrix(table.column("vector"))
+    shipped = spark.sparkContext.broadcast((matrix, Axes(matrix), table.drop_columns(["vector"])))
     out = _arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matrix, names = shipped.value
+        matrix, axes, names = shipped.value
         for batch in batches:
             if batch.num_rows:
-                best, where = _best(_matrix(batch.column("vector")), matrix)
+                best, where, taken = _best(_matrix(batch.column("vector")), matrix, axes)
+                _count(products, len(best) * len(matrix), taken)
                 yield _answers(batch.column("article_id"), best, where, names, out)
 
     return a.mapInArrow(score, schema)
@@ -208,7 +266,7 @@ def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str) -> DataFr
     return blocks.join(numbers, "block").drop("block")
 
 
-def _top1_blocks(a: DataFrame, e: DataFrame, width: int, rows: int) -> DataFrame:
+def _top1_blocks(a: DataFrame, e: DataFrame, width: int, rows: int, products: tuple | None = None) -> DataFrame:
     schema = _result_schema(a, e)
     names = ["ord", "event_id", "disaster_type"]
     articles, events = _in_blocks(a, ["article_id"], rows, "article-blocks"), _in_blocks(e, names, rows, "event-blocks")
@@ -225,7 +283,8 @@ def _top1_blocks(a: DataFrame, e: DataFrame, width: int, rows: int) -> DataFrame
         table = pa.table({n: pa.array(event[n], out.field(n).type) for n in names})
         order = pc.sort_indices(table, sort_keys=[("ord", "ascending")])
         matrix = np.frombuffer(event["matrix"]).reshape(-1, width)[order.to_numpy()]
-        best, where = _best(np.frombuffer(block["matrix"]).reshape(-1, width), matrix)
+        best, where, taken = _best(np.frombuffer(block["matrix"]).reshape(-1, width), matrix, Axes(matrix))
+        _count(products, len(best) * len(matrix), taken)
         return pa.Table.from_batches([_answers(pa.array(block["article_id"], out.field(0).type), best, where, table.take(order), out)])
 
     answers = left.cogroup(right).applyInArrow(compare, schema)

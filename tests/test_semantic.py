@@ -125,3 +125,46 @@ def test_bad_vectors_touch_nobody_else(spark, limit):
     assert got == {1: "a", 3: "c", 10: "a"}
     why = {r.article_id: r.reason for r in semantic.left_out(articles, 2).collect()}
     assert why == {2: "not finite", 4: "missing", 5: "missing", 6: "not finite", 7: "not finite", 8: "width", 9: "width"}
+
+
+def _structured(n, width, rank, seed, noise=0.02):
+    """Unit vectors near a subspace, in clusters."""
+    rng = np.random.default_rng(seed)
+    basis = np.linalg.qr(np.random.default_rng(0).standard_normal((width, width)))[0][:, :rank]
+    centres = np.random.default_rng(1).standard_normal((40, rank))
+    v = (centres[rng.integers(0, 40, n)] + 0.2 * rng.standard_normal((n, rank))) @ basis.T
+    v += noise * rng.standard_normal((n, width))
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("kind", ["structured", "random", "ties", "zero"])
+def test_bounds_change_no_answer(kind):
+    rng = np.random.default_rng(5)
+    if kind == "structured":
+        rows, others = _structured(700, 64, 6, 2), _structured(9000, 64, 6, 3)
+    elif kind == "random":
+        rows, others = rng.standard_normal((300, 32)), rng.standard_normal((5000, 32))
+    elif kind == "ties":
+        others = np.tile(_structured(50, 64, 6, 3), (100, 1))
+        rows = others[:60].copy()
+    else:
+        rows, others = np.zeros((5, 64)), _structured(100, 64, 6, 3)
+    unit = lambda m: m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) == 0, 1, n)
+    rows, others = unit(rows), unit(others)
+    plain, pruned = semantic._best(rows, others), semantic._best(rows, others, semantic.Axes(others))
+    assert np.allclose(plain[0], pruned[0], atol=2e-12) and (plain[1] == pruned[1]).all()
+    if kind == "structured":
+        assert pruned[2] < 0.1 * len(rows) * len(others)
+    if kind == "random":
+        assert pruned[2] == len(rows) * len(others)  # nothing can be skipped, and nothing is
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_products_are_counted(spark, limit):
+    a, e = _structured(300, 64, 5, 8), _structured(3000, 64, 5, 9)
+    articles = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "article_id long, vector array<double>")
+    events = spark.createDataFrame([(i, "x", v.tolist()) for i, v in enumerate(e)], "event_id long, disaster_type string, vector array<double>")
+    counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
+    got = {r.article_id: r.event_id for r in top1(articles, events, max_broadcast_bytes=limit, products=counters).collect()}
+    assert got == dict(enumerate((a @ e.T).round(12).argmax(axis=1).tolist()))
+    assert counters[0].value == 300 * 3000 and counters[1].value < 0.2 * counters[0].value
