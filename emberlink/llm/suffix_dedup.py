@@ -41,8 +41,8 @@ from emberlink.llm.front_coding import LoserTree, decode_run, encode_run
 
 WINDOW = 100
 GRAM = 32
-RUN_BYTES = 12_000_000  # of anchors a task holds before it sends a run; of segments, twice that
-BUCKET_BYTES = 4_000_000  # of text whose anchors or segments meet in one bucket
+RUN_BYTES = 16_000_000  # of anchors a task holds before it sends a run; of segments, four times that
+BUCKET_BYTES = 12_000_000  # of text whose anchors or segments meet in one bucket
 KINDS = 256  # different segments of one gram that are compared in one group
 _LAST = 2**63 - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -219,7 +219,7 @@ def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFram
                         size += len(segment) + 150
                     held[segment].append((c1[doc], c2[doc], lo, gram))
                     size += 100
-                if size >= 2 * RUN_BYTES:
+                if size >= 4 * RUN_BYTES:
                     yield _segment_run(held, buckets)
                     held, size = defaultdict(list), 0
         if held:
