@@ -294,3 +294,41 @@ def enrich_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.select(
         "Title", "Region", "Relevance", F.round("Semantic", 4).alias("Semantic"), "Match", "Entities"
     )
+
+
+_SEMANTIC_FOUND = _semantic_sql("AND sim >= 0.4", True).strip()
+_WHOLE_LINKS = _CHAIN_LINKS.replace(st.PLACED_ARTICLES_SQL, "art")
+
+
+@query(
+    "enrich_whole",
+    f"""
+    WITH sem AS ({_SEMANTIC_FOUND}),
+    art AS (
+        SELECT d.doc_id AS article_id, d.text, p.published_at, p.query_lat, p.query_lon, coalesce(sem.semantic_score, p.semantic_score) AS semantic_score,
+               sem.semantic_linked_disaster_id, sem.linked_disaster_type, sem.priority_match
+        FROM documents AS d LEFT JOIN {st.PLACED_ARTICLES_SQL} AS p ON p.article_id = d.doc_id
+        LEFT JOIN sem ON sem.article_id = d.doc_id AND length(trim(concat(d.source, ' ', d.text))) > 0),
+    links AS ({_WHOLE_LINKS})
+    SELECT art.article_id, ({st.any_sql('art.text', st.TYPES['wildfire'])}::INT + {st.any_sql('art.text', st.PLACES)}::INT) / 2.0::DOUBLE AS relevance,
+           round(semantic_score, 4) AS semantic_score, semantic_linked_disaster_id, linked_disaster_type, priority_match, linked_fire_id, match_score
+    FROM art LEFT JOIN links USING (article_id)
+    """,
+)
+def enrich_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All steps over all articles, in order: the space-time link is gated by the score the semantic step has just set."""
+    vectors, events = st.vectors(spark, sf_dir)
+    news = st.articles(spark, sf_dir).drop("published_at").join(st.placed_articles(spark, sf_dir), "article_id", "left")
+    enriched = enrich(
+        news.join(vectors, "article_id", "left"),
+        st.wildfires(spark, sf_dir),
+        event_vectors=events,
+        hazard_terms=st.TYPES["wildfire"],
+        place_terms=st.PLACES,
+        gazetteer=NAMES,
+        semantic_options={"priority_places": st.PRIORITY},
+    )
+    return enriched.select(
+        "article_id", F.col("relevance_score").alias("relevance"), F.round("semantic_score", 4).alias("semantic_score"), "semantic_linked_disaster_id",
+        "linked_disaster_type", "priority_match", "linked_fire_id", "match_score",
+    )
