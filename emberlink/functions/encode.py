@@ -4,35 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.feature import IDF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
-Encoder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
-
-
-def hashed_counts(width: int, n: int):
-    """A function from text to counts of its lower-cased character n-grams in ``width`` buckets.
-
-    A text shorter than ``n`` is its own single gram.
-    """
+from emberlink.functions.grams import dense_counts
 
-    def count(text: str) -> np.ndarray:
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
-        size = min(n, len(codes))
-        grams = np.zeros(len(codes) - size + 1, dtype=np.uint64)
-        for k in range(size):
-            grams = grams * np.uint64(1_000_003) + codes[k : len(codes) - size + 1 + k]
-        mixed = grams * np.uint64(0x9E3779B97F4A7C15)
-        return np.bincount((mixed >> np.uint64(40)) % np.uint64(width), minlength=width).astype(np.float32)
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(count)
-
-    return run
+Encoder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
 
 def encode_hashed(*frames: tuple[DataFrame, str], width: int = 256, n: int = 3, out: str = "vector") -> list[DataFrame]:
@@ -40,9 +19,8 @@ def encode_hashed(*frames: tuple[DataFrame, str], width: int = 256, n: int = 3,
 
     The document frequencies are taken over all the frames, so their vectors compare.
     """
-    counts = hashed_counts(width, n)
     counted = [
-        df.where(F.length(F.col(text)) > 0).withColumn("__tf", array_to_vector(counts(F.col(text))))
+        df.where(F.length(F.col(text)) > 0).withColumn("__tf", array_to_vector(dense_counts(text, n, width)))
         for df, text in frames
     ]
     together = counted[0].select("__tf")

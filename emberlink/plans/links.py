@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberlink.flows import enrich, ingest_news
+from emberlink.functions.dense import encode_dense
 from emberlink.functions.encode import encode_hashed
+from emberlink.functions.grams import gram_counts, gram_counts_sql
 from emberlink.functions.text import article_text, event_text
 from emberlink.operators.classify import region_of
 from emberlink.operators.hazards import hazard_counts, hazards_union
@@ -229,19 +231,87 @@ def semantic_bad_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_semantic(damaged(articles, "article_id"), damaged(events, "event_id"), threshold=None)
 
 
-@query("semantic_text")
-def semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles and hazard sentences through the built-in encoder; hashing has no SQL form."""
+_TEXT_VECTORS_SQL = f"""
+    texts AS (
+        SELECT 0 AS side, article_id AS id, NULL AS disaster_type, trim(concat_ws(' ', title, description)) AS text
+        FROM {st.ARTICLES_SQL} AS a
+        UNION ALL
+        SELECT 1, hazard_id, disaster_type,
+               disaster_type || ' in ' || latitude || ',' || longitude || ' on ' || strftime(event_date, '%Y-%m-%d')
+        FROM {st.HAZARDS_SQL} AS h),
+    counted AS (SELECT * FROM {gram_counts_sql('texts', 'side, id', 'text', 3, 64)}),
+    seen AS (SELECT bucket, count(*) AS df FROM counted GROUP BY bucket),
+    whole AS (SELECT count(*) AS m FROM texts WHERE length(text) > 0),
+    weighted AS (
+        SELECT side, id, bucket, n * ln((m + 1) / (df + 1)) AS w FROM counted JOIN seen USING (bucket) CROSS JOIN whole),
+    listed AS (
+        SELECT every.side AS side, every.id AS id, any_value(disaster_type) AS disaster_type, list(coalesce(w, 0) ORDER BY b) AS ws
+        FROM (SELECT * FROM texts CROSS JOIN range(64) AS r(b) WHERE length(text) > 0) AS every
+        LEFT JOIN weighted ON weighted.side = every.side AND weighted.id = every.id AND bucket = b
+        GROUP BY every.side, every.id),
+    vectors AS (
+        SELECT side, id, disaster_type,
+               list_transform(ws, lambda x: (x / sqrt(list_sum(list_transform(ws, lambda y: y * y))))::FLOAT::DOUBLE) AS v
+        FROM listed)"""
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     news = st.articles(spark, sf_dir).withColumn("text", article_text())
     sentences = (
         hazards(spark, sf_dir)
         .withColumn("text", event_text())
         .select(F.col("hazard_id").alias("event_id"), "disaster_type", "text")
     )
+    return news, sentences
+
+
+@query(
+    "text_grams",
+    f"""
+    SELECT doc_id, sum(n)::BIGINT AS grams, count(*) AS buckets, md5(string_agg(bucket || ':' || n, ',' ORDER BY bucket)) AS counts
+    FROM {gram_counts_sql('documents', 'doc_id', 'text')} GROUP BY doc_id
+    """,
+)
+def text_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count stage of the encoders, over whole texts."""
+    counted = st.table(spark, sf_dir, "documents").select("doc_id", gram_counts("text").alias("grams")).where(F.size("grams") > 0)
+    shown = F.transform("grams", lambda g: F.concat_ws(":", g["bucket"].cast("string"), g["n"].cast("string")))
+    return counted.select(
+        "doc_id",
+        F.aggregate("grams", F.lit(0).cast("long"), lambda s, g: s + g["n"]).alias("grams"),
+        F.size("grams").cast("long").alias("buckets"),
+        F.md5(F.concat_ws(",", shown)).alias("counts"),
+    )
+
+
+@query(
+    "semantic_text",
+    f"""
+    WITH {_TEXT_VECTORS_SQL},
+    pairs AS (
+        SELECT a.id AS article_id, e.id AS event_id, e.disaster_type, round(list_cosine_similarity(a.v, e.v), 12) AS sim
+        FROM vectors AS a JOIN vectors AS e ON a.side = 0 AND e.side = 1),
+    best AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY sim DESC, event_id) AS rn FROM pairs)
+    SELECT article_id, round(sim, 4) AS semantic_score, event_id AS semantic_linked_disaster_id,
+           disaster_type AS linked_disaster_type
+    FROM best WHERE rn = 1
+    """,
+)
+def semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles and hazard sentences through the built-in encoder."""
+    news, sentences = _texts(spark, sf_dir)
     a, e = encode_hashed((news, "text"), (sentences, "text"), width=64)
     return link_semantic(a, e, threshold=None)
 
 
+@query("semantic_dense")
+def semantic_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the dense encoder; singular vectors have no SQL form."""
+    news, sentences = _texts(spark, sf_dir)
+    a, e = encode_dense((news.select("article_id", "text"), "text"), (sentences, "text"), dims=32, width=4096)
+    return link_semantic(a, e, threshold=None)
+
+
 @query(
     "linked_articles",
     f"""
