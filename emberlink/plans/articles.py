@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from emberlink import schemas
 from emberlink.functions.text import article_text, blank_to_null, event_text, match_any
 from emberlink.functions.times import parse_published
-from emberlink.operators import classify, filters
+from emberlink.operators import classify, filters, tagger
 from emberlink.operators.dedup import dedup_first
 from emberlink.operators.entities import entities, extract_entities
 from emberlink.operators.hazards import hazards_union
@@ -365,6 +366,25 @@ def entities_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("entities_trained")
+def entities_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of every article by the trained tagger beside the gazetteer."""
+    e = st.articles(spark, sf_dir).withColumns(
+        {"linked_fire_id": F.lit(1), "entities": F.lit(None).cast(T.ArrayType(schemas.ENTITY))}
+    )
+    weights = tagger.train(e, "description", NAMES)
+    tagged = extract_entities(e, "description", NAMES, make_tagger=tagger.make_tagger(weights, NAMES))
+    shown = F.transform("entities", lambda x: F.concat_ws("|", x["text"], x["label"]))
+    return tagged.select("article_id", F.size("entities").alias("n"), F.concat_ws(",", shown).alias("spans"))
+
+
+@query("entities_held_out")
+def entities_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the tags alone, which never see a word whole, find the gazetteer's names in sentences outside training."""
+    e = st.articles(spark, sf_dir)
+    return tagger.held_out_scores(e, "description", tagger.train(e, "description", NAMES), NAMES)
+
+
 @query(
     "region_assign",
     f"SELECT article_id, {st.region_sql('query_lat', 'query_lon')} AS region FROM {st.PLACED_ARTICLES_SQL} AS a",
