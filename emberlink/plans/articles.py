@@ -11,6 +11,7 @@ from emberlink.operators import classify, filters, tagger
 from emberlink.operators.dedup import dedup_first
 from emberlink.operators.entities import entities, extract_entities
 from emberlink.operators.hazards import hazards_union
+from emberlink.operators.outlines import outlines_frame, regions_by_outline
 from emberlink.operators.overlay import overlay
 from emberlink.flows import import_feed, import_hazard_events, import_landslides, import_posts, insert_articles
 from emberlink.plans import standins as st
@@ -394,6 +395,31 @@ def region_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.placed_articles(spark, sf_dir).select("article_id", region.alias("region"))
 
 
+_EDGES = [
+    (name, rank, *here, *there)
+    for rank, (name, rings) in enumerate(st.OUTLINES) for ring in rings for here, there in zip(ring, [*ring[1:], ring[0]])
+]
+
+
+@query(
+    "region_outline",
+    f"""
+    WITH edges(name, rank, y1, x1, y2, x2) AS (
+        SELECT name, rank, y1::DOUBLE, x1::DOUBLE, y2::DOUBLE, x2::DOUBLE
+        FROM (VALUES {', '.join(map(str, _EDGES))}) AS e(name, rank, y1, x1, y2, x2)),
+    points AS (SELECT article_id, query_lat AS y, query_lon AS x FROM {st.PLACED_ARTICLES_SQL} AS a),
+    within AS (
+        SELECT article_id, name, rank FROM points JOIN edges
+        ON (y1 > y) != (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
+        GROUP BY ALL HAVING count(*) % 2 = 1)
+    SELECT article_id, (SELECT arg_min(name, rank) FROM within AS w WHERE w.article_id = p.article_id) AS region FROM points AS p
+    """,
+)
+def region_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outlines = outlines_frame(spark, st.OUTLINES)
+    return regions_by_outline(st.placed_articles(spark, sf_dir), outlines, "query_lat", "query_lon").select("article_id", "region")
+
+
 # ---- de-duplication and updates -----------------------------------------------------------
 
 

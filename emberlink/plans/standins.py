@@ -27,6 +27,16 @@ REGIONS = [
     ("North", 52.5, 55.0, 6.0, 14.0),
 ]
 
+# Outlines in the place of region polygons, as rings of (latitude, longitude): one with a hole, one in two parts, one that overlaps.
+OUTLINES = [
+    ("Alps", [
+        [(47.1, 6.2), (47.05, 9.7), (48.9, 12.3), (49.6, 9.1), (48.75, 6.6)],
+        [(47.9, 8.1), (48.6, 8.3), (48.3, 9.6), (47.75, 9.05)],
+    ]),
+    ("Isles", [[(52.0, 7.0), (53.4, 7.7), (52.9, 9.2), (51.7, 8.8)], [(53.1, 11.0), (54.6, 11.6), (53.8, 13.9)]]),
+    ("Middle", [[(48.0, 8.0), (53.0, 8.0), (50.5, 14.4), (50.0, 10.0)]]),
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
