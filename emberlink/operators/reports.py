@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -121,6 +122,40 @@ def density_grid(
     )
 
 
+def heat_layer(
+    df: DataFrame, cell_deg: float, sigma: float, reach: int, weight: str | None = None,
+    latitude: str = "latitude", longitude: str = "longitude",
+) -> DataFrame:
+    """``(cell_lat, cell_lon, heat)``: a Gaussian of ``sigma`` cells laid over the counts, or the sums of ``weight``, of a grid.
+
+    The kernel is cut at ``reach`` cells and adds up to one. It is separable, so each cell is spread along one axis and then along the
+    other: 2 * (2 * reach + 1) rows a cell and not the square, and the rows are cells, however many points there are. The world is
+    round in longitude; what would fall beyond a pole is left out. Rows without a place, with one that is not finite, or
+    without a weight add nothing; no rows give no cells.
+    """
+    columns = round(360.0 / cell_deg)
+    if abs(columns * cell_deg - 360.0) > 1e-9:
+        raise ValueError("a whole turn must be a whole number of cells")
+    rows = columns // 2
+    if 2 * reach + 1 > columns:
+        raise ValueError("the kernel is wider than the world")
+    raw = [math.exp(-(k * k) / (2.0 * sigma * sigma)) for k in range(-reach, reach + 1)]
+    kernel = F.array(*[F.struct(F.lit(k).cast("long").alias("by"), F.lit(v / sum(raw)).alias("share")) for k, v in zip(range(-reach, reach + 1), raw)])
+
+    def spread(cells: DataFrame, axis: str) -> DataFrame:
+        moved = cells.withColumn("__k", F.explode(kernel)).withColumn(axis, F.col(axis) + F.col("__k.by"))
+        if axis == "cell_lon":
+            moved = moved.withColumn(axis, F.pmod(F.col(axis) + columns // 2, F.lit(columns)) - columns // 2)
+        return moved.groupBy("cell_lat", "cell_lon").agg(F.sum(F.col("heat") * F.col("__k.share")).alias("heat"))
+
+    placed = df.where((F.abs(latitude) <= 90) & (F.abs(longitude) <= 180))
+    grid = density_grid(placed, cell_deg, weight, latitude, longitude)
+    heat = (F.col("weight") if weight else F.col("points")).cast("double")
+    cells = grid.select("cell_lat", "cell_lon", heat.alias("heat")).where("heat IS NOT NULL")
+    along = spread(cells, "cell_lat").where((F.col("cell_lat") >= -((rows + 1) // 2)) & (F.col("cell_lat") <= rows // 2))
+    return spread(along, "cell_lon")
+
+
 def cluster_points(
     df: DataFrame, zooms: Iterable[int], latitude: str = "latitude", longitude: str = "longitude"
 ) -> DataFrame:

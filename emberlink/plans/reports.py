@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberlink.functions.text import match_any
-from emberlink.operators import reports
+from emberlink.operators import markers, reports
 from emberlink.operators.classify import region_of
 from emberlink.operators.entities import entities
 from emberlink.plans import standins as st
@@ -128,6 +128,31 @@ def point_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.withColumns({c: F.round(c, 6) for c in ("center_lat", "center_lon")})
 
 
+@query(
+    "fire_heat",
+    f"""
+    WITH cells AS (
+        SELECT floor(latitude / 0.25)::BIGINT AS y, floor(longitude / 0.25)::BIGINT AS x, sum(frp) AS weight
+        FROM {st.WILDFIRES_SQL} AS w GROUP BY ALL),
+    kernel AS (SELECT k, exp(-(k * k) / 4.5::DOUBLE) AS v FROM range(-4, 5) AS r(k)),
+    shares AS (SELECT k, v / (SELECT sum(v) FROM kernel) AS share FROM kernel)
+    SELECT y + a.k AS cell_lat, (x + b.k + 720 + 1440) % 1440 - 720 AS cell_lon, round(sum(weight * a.share * b.share), 6) AS heat
+    FROM cells CROSS JOIN shares AS a CROSS JOIN shares AS b WHERE y + a.k BETWEEN -360 AND 360 GROUP BY ALL
+    """,
+)
+def fire_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole kernel in the SQL, one axis after the other here."""
+    heat = reports.heat_layer(st.wildfires(spark, sf_dir), 0.25, 1.5, 4, "frp")
+    return heat.withColumn("heat", F.round("heat", 6))
+
+
+@query("marker_clusters")
+def marker_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy clusters as a map shows them; the greedy rule has no SQL form."""
+    clusters = markers.marker_clusters(st.placed_articles(spark, sf_dir), [4, 6, 8], "query_lat", "query_lon")
+    return clusters.withColumns({c: F.round(c, 6) for c in ("center_lat", "center_lon")})
+
+
 @query(
     "ingest_counts",
     f"""
