@@ -22,8 +22,8 @@ def _bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _buckets(piece: Column, n: int, width: int) -> Column:
-    """The bucket of each gram of a text, in text order."""
+def gram_codes(piece: Column, n: int, width: int = PRIME) -> Column:
+    """The bucket of each gram of a text, in text order; for texts of bounded length."""
 
     def grams(codes: Column) -> Column:
         def of(size: int, at: Column) -> Column:
@@ -48,7 +48,8 @@ def _ends(ordered: Column) -> Column:
     return F.filter(at, lambda i: ~F.get(ordered, i - 1).eqNullSafe(F.get(ordered, i)))
 
 
-def _pieces(text: str | Column, n: int) -> Column:
+def pieces(text: str | Column, n: int) -> Column:
+    """A lower-cased text in pieces of ``PIECE`` characters and ``n - 1`` of the next; one empty piece for null and empty texts."""
     text = F.lower(F.col(text) if isinstance(text, str) else text)
     text = F.coalesce(text, F.lit(""))
 
@@ -76,7 +77,7 @@ def gram_counts(text: str | Column, n: int = 3, width: int = 1 << 14) -> Column:
 
             return F.map_from_entries(_bind(_ends(ordered), pairs))
 
-        return _bind(F.sort_array(_buckets(piece, n, width)), entries)
+        return _bind(F.sort_array(gram_codes(piece, n, width)), entries)
 
     def add(have: Column, more: Column) -> Column:
         return F.map_zip_with(have, more, lambda _, a, b: F.coalesce(a, F.lit(0).cast("long")) + F.coalesce(b, F.lit(0).cast("long")))
@@ -87,7 +88,7 @@ def gram_counts(text: str | Column, n: int = 3, width: int = 1 << 14) -> Column:
         entries = F.transform(F.map_entries(whole), lambda e: F.struct(e["key"].alias("bucket"), e["value"].alias("n")))
         return F.array_sort(entries)
 
-    return _bind(F.transform(_pieces(text, n), counted), merged)
+    return _bind(F.transform(pieces(text, n), counted), merged)
 
 
 def dense_counts(text: str | Column, n: int = 3, width: int = 256) -> Column:
@@ -99,7 +100,7 @@ def dense_counts(text: str | Column, n: int = 3, width: int = 256) -> Column:
             return F.transform(ends, lambda end, j: (end - F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1)) - 1).cast("double"))
 
         every = F.sequence(F.lit(0), F.lit(width - 1))
-        ordered = F.sort_array(F.concat(_buckets(piece, n, width), every))
+        ordered = F.sort_array(F.concat(gram_codes(piece, n, width), every))
         return _bind(_bind(ordered, _ends), pairs)
 
     def merged(parts: Column) -> Column:
@@ -107,7 +108,7 @@ def dense_counts(text: str | Column, n: int = 3, width: int = 256) -> Column:
         whole = F.aggregate(rest, F.element_at(parts, 1), lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
         return F.when(F.size(parts) == 1, F.element_at(parts, 1)).otherwise(whole)
 
-    return _bind(F.transform(_pieces(text, n), counted), merged)
+    return _bind(F.transform(pieces(text, n), counted), merged)
 
 
 def gram_counts_sql(source: str, key: str, text: str, n: int = 3, width: int = 1 << 14) -> str:

@@ -14,6 +14,7 @@ from emberlink.operators.hazards import hazards_union
 from emberlink.operators.outlines import outlines_frame, regions_by_outline
 from emberlink.operators.overlay import overlay
 from emberlink.flows import import_feed, import_hazard_events, import_landslides, import_posts, insert_articles
+from emberlink.operators.terms import match_terms
 from emberlink.plans import standins as st
 from emberlink.plans.registry import query
 from emberlink.sources.canonical import canonical_union
@@ -367,6 +368,23 @@ def entities_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "large_lexicon",
+    """
+    WITH terms AS (
+        SELECT DISTINCT lower(w) AS term FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE length(w) > 0)
+    SELECT doc_id, count(*) AS n, md5(string_agg(term, '|' ORDER BY term)) AS terms
+    FROM documents JOIN terms ON contains(lower(text), term) GROUP BY doc_id
+    """,
+)
+def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of ``benchmark`` as a lexicon, searched for in all documents."""
+    words = st.table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("term"))
+    hits = match_terms(st.table(spark, sf_dir, "documents"), "doc_id", "text", words)
+    found = hits.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("term")).alias("terms"))
+    return found.withColumn("terms", F.md5(F.concat_ws("|", "terms")))
+
+
 @query("entities_trained")
 def entities_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of every article by the trained tagger beside the gazetteer."""
