@@ -17,6 +17,8 @@ from emberlink.flows import import_feed, import_hazard_events, import_landslides
 from emberlink.operators.terms import match_terms
 from emberlink.plans import standins as st
 from emberlink.plans.registry import query
+from emberlink.session import scratch_dir
+from emberlink.sinks import months
 from emberlink.sources.canonical import canonical_union
 
 ALL_TERMS = [t for terms in st.TYPES.values() for t in terms]
@@ -487,6 +489,30 @@ def overlay_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlay(base, patch, "article_id", ["relevance_score", "semantic_score"])
 
 
+@query(
+    "overlay_months",
+    f"""
+    SELECT article_id, title, strftime(published_at, '%Y-%m') AS month, coalesce(quality / 2.0::DOUBLE, 9.0) AS relevance_score,
+           toxic / 2.0::DOUBLE AS semantic_score
+    FROM (SELECT article_id, title, published_at + to_days((article_id % 365)::INTEGER) AS published_at FROM {st.ARTICLES_SQL} AS a)
+    LEFT JOIN labels ON article_id = doc_id
+    """,
+)
+def overlay_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same update on a table by month, whose files lack one of the columns."""
+    later = F.col("published_at") + F.make_dt_interval((F.col("article_id") % 365).cast("int"))
+    base = st.articles(spark, sf_dir).select("article_id", "title", later.alias("published_at"), F.lit(9.0).alias("relevance_score"))
+    patch = st.table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("article_id"),
+        (F.col("quality") / F.lit(2.0)).alias("relevance_score"),
+        (F.col("toxic") / F.lit(2.0)).alias("semantic_score"),
+    )
+    path, schema = scratch_dir(spark, "by-month"), T.StructType([*base.schema.fields, T.StructField("semantic_score", T.DoubleType())])
+    months.write_months(base, path, "published_at")
+    months.update_months(spark, path, schema, patch, "article_id", ["relevance_score", "semantic_score"])
+    return months.read_months(spark, path, schema).drop("published_at")
+
+
 @query(
     "relief_feed",
     f"""
