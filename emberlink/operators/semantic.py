@@ -1,15 +1,16 @@
 """Semantic link: the event whose vector is closest to an article's by cosine.
 
 Small event sets travel to the tasks as one matrix, behind a check of their size. Beyond that both
-sides are cut into blocks, and every pair of blocks is one matrix product that leaves one row per
-article: its best event of that block. The best of these is the answer, so both ways give the
-same rows. Every article meets every event, but not with all of its components: events are turned to their
+sides are cut into blocks, written once, and every pair of blocks is one matrix product. A task reads some
+event blocks and some article blocks and leaves one row per article: its best event of those. The best of these is
+the answer, so both ways give the same rows. Events with equal vectors are one event there, the first. Every article meets every event, but not with all of its components: events are turned to their
 principal axes, products are taken over the first few, and what the others can add is bounded by the
 lengths they have left (Cauchy-Schwarz). Only pairs whose bound reaches the best exact product so far are
 compared in full. Where a quarter of the axes does not hold most of the events' squares, or the bound holds back
 less than nine in ten pairs, the whole product is taken as before: vectors without a structure offer nothing to skip.
-A block is copied once for each block of the other side, so traffic falls with the block size, and a
-task holds two blocks at a time.
+No block is copied or shuffled to meet the others: tasks read them where they were written, so what goes to disk is
+each vector once and, for each article, one row for each of at most as many event groups as there are cores.
+A task holds one event block, and its share of the article blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from emberlink.session import cut_lineage
 
 MAX_BROADCAST_BYTES = 128 << 20
 BLOCK_ROWS = 8192
+_BLOCKS = 64  # blocks grow up to BLOCK_ROWS as long as there are so many
 # Equal vectors must tie whatever the order of summation was.
 _DIGITS = 12
 _CELLS = 1 << 21
@@ -97,12 +99,12 @@ def top1(
     ``products`` may hold two accumulators: for pairs, and for those of them that were compared in full.
     """
     order = F.col(order) if isinstance(order, str) else order
-    a = articles.select("article_id", F.col("vector").cast("array<double>").alias("vector")).where(usable("vector"))
+    a = articles.select("article_id", _numbers(articles).alias("vector")).where(usable("vector"))
     e = events.select(
         order.alias("ord"),
         "event_id",
         F.col("disaster_type").cast("string").alias("disaster_type"),
-        F.col("vector").cast("array<double>").alias("vector"),
+        _numbers(events).alias("vector"),
     ).where(usable("vector"))
     names = F.coalesce(F.length(F.col("ord").cast("string")), F.lit(0)) + F.coalesce(F.length(F.col("event_id").cast("string")), F.lit(0))
     widths = e.groupBy(F.size("vector").alias("width")).agg(
@@ -117,12 +119,19 @@ def top1(
     if count * (width * 8 + 64) + top["texts"] <= max_broadcast_bytes:
         best = _top1_broadcast(a, e, products)
     else:
-        best = _top1_blocks(a, e, width, block_rows, products)
+        best = _top1_blocks(a, e, width, count, block_rows, products)
     if threshold is not None:
         best = best.where(F.col("similarity") >= F.lit(float(threshold)))
     return best.select("article_id", "similarity", "event_id", "disaster_type")
 
 
+def _numbers(df: DataFrame) -> Column:
+    """The vector as doubles; floats stay floats, at half the size, and become doubles where they are multiplied."""
+    kind = df.schema["vector"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col("vector") if single else F.col("vector").cast("array<double>")
+
+
 def _result_schema(a: DataFrame, e: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -139,8 +148,11 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     """Rows of an Arrow list column, scaled to length one; a zero row stays zero."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
-    flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    rows = flat.reshape(len(vectors), -1)
+    return _unit(vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1))
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = rows.astype(np.float64, copy=False)
     norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return rows / np.where(norms == 0.0, 1.0, norms)
 
@@ -248,45 +260,97 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str) -> DataFrame:
-    """One row per block of vectors: ``no`` (0, 1, ...), an array per column in ``names``, and ``matrix``."""
+def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str, once: bool = False) -> DataFrame:
+    """One row per block of vectors: ``block`` (a number of its own), an array per column in ``names``, and ``matrix``.
+
+    With ``once``, a vector that equals the one before it is left out.
+    """
     pack = T.StructType([T.StructField(n, T.ArrayType(df.schema[n].dataType)) for n in names] + [T.StructField("matrix", T.BinaryType())])
     out = _arrow_schema(pack)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            if once:
+                new = np.ones(len(vectors), dtype=bool)
+                new[1:] = (vectors[1:] != vectors[:-1]).any(axis=1)
+                new[0] = last is None or (vectors[0] != last).any()
+                last = vectors[-1].copy()
+                batch, vectors = batch.filter(pa.array(new)), vectors[new]
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
                 values = {n: part.column(n).to_pylist() for n in names}
-                yield pa.RecordBatch.from_pylist([{**values, "matrix": _matrix(part.column("vector")).tobytes()}], schema=out)
+                yield pa.RecordBatch.from_pylist([{**values, "matrix": vectors[start : start + rows].tobytes()}], schema=out)
 
-    blocks = cut_lineage(df.select(*names, "vector").mapInArrow(cut, pack).withColumn("block", F.monotonically_increasing_id()), label)
-    # One small number per block.
-    numbers = blocks.select("block").withColumn("no", F.row_number().over(Window.orderBy("block")) - 1)
-    return blocks.join(numbers, "block").drop("block")
+    return cut_lineage(df.select(*names, "vector").mapInArrow(cut, pack).withColumn("block", F.monotonically_increasing_id()), label)
 
 
-def _top1_blocks(a: DataFrame, e: DataFrame, width: int, rows: int, products: tuple | None = None) -> DataFrame:
-    schema = _result_schema(a, e)
+def _first_of(old: pa.Table, new: pa.Table, best: np.ndarray, more: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """Row by row the better of two answers; the first event of equals."""
+    better = more > best
+    for i in np.flatnonzero(more == best).tolist():
+        one, other = ([c[i].as_py() for c in t.columns] for t in (old, new))
+        better[i] = _before(other, one)
+    if not better.any():
+        return old, best
+    at = np.arange(len(best))
+    both = pa.concat_tables([old, new]).take(pa.array(np.where(better, at + len(best), at)))
+    return both.combine_chunks(), np.where(better, more, best)
+
+
+def _before(one: list, other: list) -> bool:
+    """Whether an event comes before another; nulls last."""
+    for x, y in zip(one, other):
+        if x != y:
+            return y is None or (x is not None and x < y)
+    return False
+
+
+def _top1_blocks(a: DataFrame, e: DataFrame, width: int, count: int, rows: int, products: tuple | None = None) -> DataFrame:
+    spark, schema = a.sparkSession, _result_schema(a, e)
     names = ["ord", "event_id", "disaster_type"]
-    articles, events = _in_blocks(a, ["article_id"], rows, "article-blocks"), _in_blocks(e, names, rows, "event-blocks")
-    copies = lambda df, own, other, n: df.withColumnRenamed("no", own).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    n_articles, n_events = articles.count(), events.count()
-    if not n_articles or not n_events:
-        return a.sparkSession.createDataFrame([], schema)
-    left = copies(articles, "a_no", "e_no", n_events).groupBy("a_no", "e_no")
-    right = copies(events, "e_no", "a_no", n_articles).groupBy("a_no", "e_no")
+    kinds = [np.float32 if isinstance(side.schema["vector"].dataType.elementType, T.FloatType) else np.float64 for side in (a, e)]
+    rows = max(rows, min(BLOCK_ROWS, count // _BLOCKS))
+    # Equal vectors come together, the first of them in front.
+    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // rows)))
+    same = F.xxhash64("vector")
+    ordered = e.repartition(tasks, same).sortWithinPartitions(same, *[F.col(n).asc_nulls_last() for n in names])
+    events = _in_blocks(ordered, names, rows, "event-blocks", once=True)
+    articles = _in_blocks(a, ["article_id"], rows, "article-blocks")
     out = _arrow_schema(schema)
+    pairs = events.select(F.col("block").alias("e_block"), *names, F.col("matrix").alias("e_matrix")).coalesce(
+        max(1, spark.sparkContext.defaultParallelism)
+    ).crossJoin(articles.select("block", "article_id", "matrix"))
 
-    def compare(mine: pa.Table, others: pa.Table) -> pa.Table:
-        block, event = mine.to_pylist()[0], others.to_pylist()[0]
-        table = pa.table({n: pa.array(event[n], out.field(n).type) for n in names})
-        order = pc.sort_indices(table, sort_keys=[("ord", "ascending")])
-        matrix = np.frombuffer(event["matrix"]).reshape(-1, width)[order.to_numpy()]
-        best, where, taken = _best(np.frombuffer(block["matrix"]).reshape(-1, width), matrix, Axes(matrix))
-        _count(products, len(best) * len(matrix), taken)
-        return pa.Table.from_batches([_answers(pa.array(block["article_id"], out.field(0).type), best, where, table.take(order), out)])
-
-    answers = left.cogroup(right).applyInArrow(compare, schema)
-    first = F.min(F.struct((-F.col("similarity")).alias("less"), *names)).alias("w")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        event, found = None, {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i] for n in batch.schema.names}
+                if row["e_block"].as_py() != event:
+                    event = row["e_block"].as_py()
+                    table = pa.table({n: row[n].values.cast(out.field(n).type) for n in names})
+                    order = pc.sort_indices(table, sort_keys=[(n, "ascending") for n in names])
+                    table = table.take(order)
+                    matrix = _unit(np.frombuffer(row["e_matrix"].as_buffer(), kinds[1]).reshape(-1, width)[order.to_numpy()])
+                    axes = Axes(matrix)
+                best, where, taken = _best(_unit(np.frombuffer(row["matrix"].as_buffer(), kinds[0]).reshape(-1, width)), matrix, axes)
+                _count(products, len(best) * len(matrix), taken)
+                chosen, no = table.take(pa.array(where)), row["block"].as_py()
+                if no in found:
+                    ids, old, value = found[no]
+                    found[no] = (ids, *_first_of(old, chosen, value, best))
+                else:
+                    # A copy, so that the batch with its matrices can go.
+                    found[no] = (pa.array(row["article_id"].as_py(), out.field(0).type), chosen, best)
+        for ids, table, best in found.values():
+            columns = [ids, pa.array(best)] + [table.column(n).combine_chunks() for n in names]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    answers = pairs.mapInArrow(compare, schema)
+    key = [f(n) for n in names for f in (lambda n: F.col(n).isNull().alias(f"no_{n}"), F.col)]
+    first = F.min(F.struct((-F.col("similarity")).alias("less"), *key)).alias("w")
     return answers.groupBy("article_id").agg(first).select("article_id", (-F.col("w.less")).alias("similarity"), *[f"w.{n}" for n in names])

@@ -168,3 +168,27 @@ def test_products_are_counted(spark, limit):
     got = {r.article_id: r.event_id for r in top1(articles, events, max_broadcast_bytes=limit, products=counters).collect()}
     assert got == dict(enumerate((a @ e.T).round(12).argmax(axis=1).tolist()))
     assert counters[0].value == 300 * 3000 and counters[1].value < 0.2 * counters[0].value
+
+
+def test_blocks_meet_without_copies(spark):
+    """No block goes through an exchange to meet the others, and events with equal vectors are compared once."""
+    a, e = _structured(200, 16, 3, 4), np.repeat(_structured(60, 16, 3, 5), 5, axis=0)
+    articles = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "article_id long, vector array<float>")
+    events = spark.createDataFrame([(i, "x", v.tolist()) for i, v in enumerate(e)], "event_id long, disaster_type string, vector array<float>")
+    counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
+    found = top1(articles, events, max_broadcast_bytes=0, block_rows=16, products=counters)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "CoGroup" not in plan and "Generate" not in plan
+    want = {r.article_id: r.event_id for r in top1(articles, events).collect()}
+    assert {r.article_id: r.event_id for r in found.collect()} == want and all(i % 5 == 0 for i in want.values())
+    assert counters[0].value == 200 * 60
+
+
+def test_null_events_and_repeated_articles_in_blocks(spark):
+    articles = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [0.0, 1.0]), (2, [0.0, 0.0])], "article_id long, vector array<double>")
+    events = spark.createDataFrame(
+        [(None, "x", [1.0, 0.0]), (7, "x", [2.0, 0.0]), (9, None, [0.0, 3.0]), (8, "y", [0.0, 3.0])],
+        "event_id long, disaster_type string, vector array<double>",
+    )
+    got = top1(articles, events, max_broadcast_bytes=0, block_rows=1).collect()
+    assert {r.article_id: (r.event_id, r.disaster_type) for r in got} == {1: (7, "x"), None: (8, "y"), 2: (7, "x")} and len(got) == 3
