@@ -1,20 +1,25 @@
-"""Counts of hashed character n-grams, as column expressions over one row.
+"""Counts of hashed character n-grams, as columns over one row.
 
 A gram's code is the polynomial ``h = (h * BASE + code point) mod PRIME`` over its characters, its bucket that code
-modulo the number of buckets, so SQL can repeat it. Grams are sorted within their row and counted by where one bucket ends
-and the next begins: nothing is exploded and nothing is shuffled. Texts go in pieces of ``PIECE`` characters that share
-``n - 1`` with the next, so a very long text never stands as one array of characters.
+modulo the number of buckets, so SQL can repeat it. Texts are lower-cased by Spark; a batch of them is hashed, sorted and
+counted as arrays of numbers, some ``PIECE`` characters at a time, so a very long text never stands as one array.
+Nothing is exploded and nothing is shuffled.
 
 Null and empty texts have no gram; a text shorter than ``n`` is its own single gram.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 BASE = 1_000_003
-PRIME = 2_147_483_647
+PRIME = 2_147_483_647  # 2**31 - 1, so a remainder is a shift and a sum
 PIECE = 1 << 16
+_BITS = 31
 
 
 def _bind(value: Column, use) -> Column:
@@ -22,36 +27,13 @@ def _bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def gram_codes(piece: Column, n: int, width: int = PRIME) -> Column:
-    """The bucket of each gram of a text, in text order; for texts of bounded length."""
-
-    def grams(codes: Column) -> Column:
-        def of(size: int, at: Column) -> Column:
-            h = F.lit(0).cast("long")
-            for k in range(size):
-                h = (h * F.lit(BASE) + F.get(codes, at + F.lit(k))) % F.lit(PRIME)
-            return (h % F.lit(width)).cast("int")
-
-        all_of = F.transform(F.sequence(F.lit(0), F.size(codes) - F.lit(n)), lambda at: of(n, at))
-        short = F.when(F.size(codes) == 0, F.array().cast("array<int>"))
-        for size in range(1, n):
-            short = short.when(F.size(codes) == size, F.array(of(size, F.lit(0))))
-        return short.otherwise(all_of)
-
-    characters = F.when(piece == "", F.array().cast("array<string>")).otherwise(F.split(piece, ""))
-    return _bind(F.transform(characters, lambda c: F.ascii(c).cast("long")), grams)
-
-
-def _ends(ordered: Column) -> Column:
-    """Positions (from 1) at which a run of equal values ends."""
-    at = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))).otherwise(F.array().cast("array<int>"))
-    return F.filter(at, lambda i: ~F.get(ordered, i - 1).eqNullSafe(F.get(ordered, i)))
+def _lower(text: str | Column) -> Column:
+    return F.lower(F.col(text) if isinstance(text, str) else text)
 
 
 def pieces(text: str | Column, n: int) -> Column:
     """A lower-cased text in pieces of ``PIECE`` characters and ``n - 1`` of the next; one empty piece for null and empty texts."""
-    text = F.lower(F.col(text) if isinstance(text, str) else text)
-    text = F.coalesce(text, F.lit(""))
+    text = F.coalesce(_lower(text), F.lit(""))
 
     def cut(whole: Column) -> Column:
         last = F.greatest(F.length(whole) - F.lit(n - 1), F.lit(1))
@@ -61,54 +43,110 @@ def pieces(text: str | Column, n: int) -> Column:
     return _bind(text, cut)
 
 
-def gram_counts(text: str | Column, n: int = 3, width: int = 1 << 14) -> Column:
-    """``array<struct<bucket, n>>`` of a text's grams in order of buckets; empty for null and empty texts."""
-
-    def counted(piece: Column) -> Column:
-        def entries(ordered: Column) -> Column:
-            def pairs(ends: Column) -> Column:
-                return F.transform(
-                    ends,
-                    lambda end, j: F.struct(
-                        F.get(ordered, end - 1).alias("bucket"),
-                        (end - F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1))).cast("long").alias("n"),
-                    ),
-                )
+# ---- codes of a batch of texts --------------------------------------------------------------
+
+
+def texts_together(texts: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, size, code points)`` of texts in a row, some ``PIECE`` characters at a time; a longer one goes in
+    pieces that share ``n - 1`` characters with the next."""
+    rows, sizes, held, total = [], [], [], 0
+
+    def out() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        points = np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        return np.array(rows), np.array(sizes), points
+
+    for row, text in enumerate(texts):
+        text = text.as_py()
+        if not text:
+            continue
+        for start in range(0, max(len(text) - n + 1, 1), PIECE):
+            piece = text[start : start + PIECE + n - 1]
+            rows.append(row)
+            sizes.append(len(piece))
+            held.append(piece)
+            total += len(piece)
+            if total >= PIECE:
+                yield out()
+                rows, sizes, held, total = [], [], [], 0
+    if rows:
+        yield out()
+
+
+def codes_by_size(sizes: np.ndarray, points: np.ndarray, wanted: Sequence[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(n, owner, code)`` for each ``n`` in ``wanted``: the grams of ``n`` characters of each of many texts, in text order."""
+    h = np.zeros(len(points), dtype=np.int64)
+    padded = np.concatenate([points, np.zeros(max(wanted), dtype=np.int64)])
+    begin = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    room = np.repeat(begin + sizes, sizes) - np.arange(len(points))  # characters from here to the end of the text
+    for n in range(1, max(wanted) + 1):
+        h = h * BASE + padded[n - 1 : n - 1 + len(points)]
+        h = (h & PRIME) + (h >> _BITS)
+        h -= PRIME * (h >= PRIME)
+        if n in wanted:
+            whole = room >= n
+            yield n, owner[whole], h[whole]
+
+
+def _buckets(sizes: np.ndarray, points: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and bucket of every gram; a text shorter than ``n`` is one."""
+    owners, found = [], []
+    short = [size for size in range(1, n) if (sizes == size).any()]
+    for size, owner, code in codes_by_size(sizes, points, [*short, n]):
+        mine = slice(None) if size == n else sizes[owner] == size
+        owners.append(owner[mine])
+        found.append(code[mine] % width)
+    return np.concatenate(owners), np.concatenate(found)
+
+
+def _counted(texts: pa.Array, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ``row * width + bucket`` of the buckets that texts have, and how often."""
+    keys, counts, cut = [], [], False
+    last = -1
+    for rows, sizes, points in texts_together(texts, n):
+        owner, bucket = _buckets(sizes, points, n, width)
+        ordered = np.sort(rows[owner] * width + bucket)
+        head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        keys.append(ordered[head])
+        counts.append(np.diff(np.append(head, len(ordered))))
+        cut, last = cut or rows[0] == last, rows[-1]
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    if cut:
+        # A text in several parts has a bucket several times.
+        order = np.argsort(key, kind="stable")
+        key, count = key[order], count[order]
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, count = key[head], np.add.reduceat(count, head)
+    return key, count
 
-            return F.map_from_entries(_bind(_ends(ordered), pairs))
 
-        return _bind(F.sort_array(gram_codes(piece, n, width)), entries)
-
-    def add(have: Column, more: Column) -> Column:
-        return F.map_zip_with(have, more, lambda _, a, b: F.coalesce(a, F.lit(0).cast("long")) + F.coalesce(b, F.lit(0).cast("long")))
+def gram_counts(text: str | Column, n: int = 3, width: int = 1 << 14) -> Column:
+    """``array<struct<bucket, n>>`` of a text's grams in order of buckets; empty for null and empty texts."""
 
-    def merged(maps: Column) -> Column:
-        rest = F.slice(maps, F.lit(2), F.size(maps) - 1)
-        whole = F.when(F.size(maps) == 1, F.element_at(maps, 1)).otherwise(F.aggregate(rest, F.element_at(maps, 1), add))
-        entries = F.transform(F.map_entries(whole), lambda e: F.struct(e["key"].alias("bucket"), e["value"].alias("n")))
-        return F.array_sort(entries)
+    @F.arrow_udf("array<struct<bucket:int,n:bigint>>")
+    def counts(texts: pa.Array) -> pa.Array:
+        key, count = _counted(texts, n, width)
+        starts = np.searchsorted(key, np.arange(len(texts) + 1) * width).astype(np.int32)
+        entries = pa.StructArray.from_arrays([pa.array((key % width).astype(np.int32)), pa.array(count)], ["bucket", "n"])
+        return pa.ListArray.from_arrays(starts, entries)
 
-    return _bind(F.transform(pieces(text, n), counted), merged)
+    # Marked so that Spark does not count again for a filter on the counts.
+    return counts.asNondeterministic()(_lower(text))
 
 
 def dense_counts(text: str | Column, n: int = 3, width: int = 256) -> Column:
     """The counts of all ``width`` buckets as ``array<double>``; zeros for null and empty texts. For small widths."""
 
-    def counted(piece: Column) -> Column:
-        def pairs(ends: Column) -> Column:
-            # Every bucket was put in once, so run j is bucket j.
-            return F.transform(ends, lambda end, j: (end - F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1)) - 1).cast("double"))
-
-        every = F.sequence(F.lit(0), F.lit(width - 1))
-        ordered = F.sort_array(F.concat(gram_codes(piece, n, width), every))
-        return _bind(_bind(ordered, _ends), pairs)
-
-    def merged(parts: Column) -> Column:
-        rest = F.slice(parts, F.lit(2), F.size(parts) - 1)
-        whole = F.aggregate(rest, F.element_at(parts, 1), lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-        return F.when(F.size(parts) == 1, F.element_at(parts, 1)).otherwise(whole)
+    @F.arrow_udf("array<double>")
+    def counts(texts: pa.Array) -> pa.Array:
+        key, count = _counted(texts, n, width)
+        every = np.zeros(len(texts) * width)
+        every[key] = count
+        return pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * width, pa.array(every))
 
-    return _bind(F.transform(pieces(text, n), counted), merged)
+    return counts.asNondeterministic()(_lower(text))
 
 
 def gram_counts_sql(source: str, key: str, text: str, n: int = 3, width: int = 1 << 14) -> str:

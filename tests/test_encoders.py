@@ -107,3 +107,10 @@ def test_what_tasks_hold_is_checked(spark):
     df = spark.createDataFrame([(1, "x")], "id int, text string")
     with pytest.raises(ValueError, match="more than"):
         encode_dense((df, "text"), dims=1000, width=1 << 16)
+
+
+def test_grams_are_counted_a_batch_at_a_time(spark):
+    df = spark.createDataFrame([(1, "some text")], "id int, text string")
+    for counted in (g.gram_counts("text"), g.dense_counts("text", width=8)):
+        plan = df.select(counted.alias("c")).where(F.size("c") > 0)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan
