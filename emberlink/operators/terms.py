@@ -1,8 +1,10 @@
 """Which terms of a large lexicon occur in a text, as plain substrings.
 
 ``match_any`` writes every term into the expression, which costs a search a term and row. Here a term is found by its rarest
-gram of four characters: texts meet terms in an equi-join on the gram's code, and only terms that share it are searched for. The
-cost follows the texts and the hits, not the number of terms. Codes may collide; the search that follows makes the result exact.
+gram of four characters: the grams of a batch of texts are hashed as one array, and a text is searched only for the terms
+whose gram it has. Up to ``MAX_BROADCAST_BYTES`` the grams and terms are looked up in that array itself; beyond that texts meet
+terms in an equi-join on the gram's code. The cost follows the texts and the hits, not the number of terms. Codes may collide;
+the search that follows makes the result exact.
 
 Letters are compared in lower case. Null and empty terms are left out, repeated terms count once, null and empty texts hold no term.
 Terms of fewer than four characters are found by grams of their own length. Long texts go in pieces that overlap by the longest term.
@@ -10,28 +12,90 @@ Terms of fewer than four characters are found by grams of their own length. Long
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from emberlink.functions.grams import gram_codes, pieces
+from emberlink.functions.grams import texts_together, codes_by_size, pieces
 from emberlink.session import cut_lineage
 
 GRAM = 4
 #: Up to so many bytes of grams, or of terms, travel to every task; beyond that Spark shuffles grams.
 MAX_BROADCAST_BYTES = 32 << 20
+_SLOTS = 1 << 20  # of a table that tells most grams that no term has
+
+
+class Wanted:
+    """A sorted set of ``n * 2**32 + code``, and whether it holds the members of an array."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = np.unique(keys)
+        self.slots = np.zeros(_SLOTS, dtype=bool)
+        self.slots[self.keys % _SLOTS] = True
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``keys`` of those that are held, and their places in the set."""
+        likely = np.flatnonzero(self.slots[keys % _SLOTS])
+        place = np.minimum(np.searchsorted(self.keys, keys[likely]), max(len(self.keys) - 1, 0))
+        right = self.keys[place] == keys[likely] if len(self.keys) else np.zeros(0, dtype=bool)
+        return likely[right], place[right]
+
+
+def _grams(texts: pa.Array, sizes: list[int], wanted: Wanted | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(row, key)`` of the different grams of each text, in order: ``n * 2**32 + code``, or its place in ``wanted``."""
+    for rows, lengths, points in texts_together(texts, max(sizes)):
+        found = []
+        for n, owner, code in codes_by_size(lengths, points, sizes):
+            key = code + (n << 32)
+            if wanted is not None:
+                at, key = wanted.find(key)
+                owner = owner[at]
+            found.append((rows[owner], key))
+        row, key = (np.concatenate([f[i] for f in found]) for i in range(2))
+        order = np.lexsort((key, row))
+        row, key = row[order], key[order]
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+        yield row[new], key[new]
 
 
-def _small(df: DataFrame, size: Column, limit: int) -> DataFrame:
-    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
+def _grams_of(text: Column, sizes: list[int]) -> Column:
+    """The different ``(n, code)`` of a text."""
 
+    @F.arrow_udf("array<struct<n:int,code:int>>")
+    def grams(texts: pa.Array) -> pa.Array:
+        parts = [*_grams(texts, sizes, None), (np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        row, key = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        starts = np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)
+        pair = [pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32))]
+        return pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays(pair, ["n", "code"]))
 
-def _grams_of(text: Column, sizes: list[int]) -> Column:
-    """The different ``(n, code)`` of a piece of text."""
-    def of(n: int) -> Column:
-        codes = F.array_distinct(gram_codes(text, n))
-        return F.when(F.length(text) >= n, F.transform(codes, lambda c: F.struct(F.lit(n).alias("n"), c.alias("code"))))
+    return grams.asNondeterministic()(text)
+
+
+def _seen(texts: DataFrame, sizes: list[int], wanted: Wanted | None) -> DataFrame:
+    """``(n, code, seen)``: in how many rows of ``piece`` each gram occurs, of those that are ``wanted``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, key in _grams(batch.column("piece"), sizes, wanted):
+                key, times = np.unique(key, return_counts=True)
+                if wanted is not None:
+                    key = wanted.keys[key]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(times)], ["n", "code", "times"]
+                )
 
-    none = F.array().cast("array<struct<n:int,code:int>>")
-    return F.concat(*[F.coalesce(of(n), none) for n in sizes])
+    counted = texts.select("piece").mapInArrow(count, "n int, code int, times long")
+    return counted.groupBy("n", "code").agg(F.sum("times").alias("seen"))
+
+
+def _keys(df: DataFrame) -> np.ndarray:
+    """``n`` and ``code`` of every row, as one number each; for frames that are known to be small."""
+    table = df.select((F.col("n").cast("long") * F.lit(1 << 32) + F.col("code")).alias("key")).toArrow()
+    return table.column("key").to_numpy().astype(np.int64)
 
 
 def term_keys(texts: DataFrame, text: str, terms: DataFrame, term: str = "term", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -44,17 +108,13 @@ def term_keys(texts: DataFrame, text: str, terms: DataFrame, term: str = "term",
     sizes = sorted(r["n"] for r in lowered.select("n").distinct().collect())
     if not sizes:
         return texts.sparkSession.createDataFrame([], "term string, n int, code int, seen long")
-    own = F.coalesce(*[F.when(F.col("n") == n, F.array_distinct(gram_codes(F.col("term"), n))) for n in sizes])
-    grams = cut_lineage(lowered.select("term", "n", F.explode(own).alias("code")), "term-grams")
-    wanted = _small(grams.select("n", "code").distinct(), F.lit(24), max_broadcast_bytes)
-    seen = (
-        texts.select(F.explode(pieces(F.col(text), GRAM)).alias("piece"))
-        .select(F.explode(_grams_of(F.col("piece"), sizes)).alias("gram"))
-        .select("gram.n", "gram.code")
-        .join(wanted, ["n", "code"], "left_semi")
-        .groupBy("n", "code")
-        .agg(F.count(F.lit(1)).alias("seen"))
-    )
+    own = lowered.select("term", "n", F.explode(_grams_of(F.col("term"), sizes)).alias("gram")).where("gram.n = n")
+    grams = cut_lineage(own.select("term", "n", "gram.code"), "term-grams")
+    different = grams.select("n", "code").distinct()
+    small = different.count() * 24 <= max_broadcast_bytes
+    seen = _seen(texts.select(F.explode(pieces(F.col(text), GRAM)).alias("piece")), sizes, Wanted(_keys(different)) if small else None)
+    if not small:
+        seen = seen.join(different, ["n", "code"], "left_semi")
     rarest = grams.join(seen, ["n", "code"], "left").groupBy("term", "n").agg(
         F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "code")).alias("least")
     )
@@ -66,13 +126,40 @@ def match_terms(
 ) -> DataFrame:
     """``(key, term)`` for every term, lower-cased, that the text of ``key`` holds; each pair once."""
     keys = cut_lineage(term_keys(texts, text, terms, term, max_broadcast_bytes), "term-keys")
-    facts = keys.agg(F.max(F.length("term")).alias("longest"), F.collect_set("n").alias("sizes")).first()
+    size = F.sum(F.octet_length("term") + 40).alias("bytes")
+    facts = keys.agg(F.max(F.length("term")).alias("longest"), F.collect_set("n").alias("sizes"), size).first()
     sizes, longest = sorted(facts["sizes"]), facts["longest"] or 1
     if not sizes:
         return texts.select(key, F.lit(None).cast("string").alias("term")).where("false")
     # Pieces overlap by the longest term, so whatever begins in one also ends in it.
     cut = texts.select(key, F.explode(pieces(F.col(text), longest)).alias("__piece"))
-    small = _small(keys.select("term", "n", "code"), F.octet_length("term") + 40, max_broadcast_bytes)
+    if facts["bytes"] <= max_broadcast_bytes:
+        return cut.select(key, F.explode(_terms_in("__piece", keys, sizes)).alias("term")).distinct()
     grams = cut.withColumn("__gram", F.explode(_grams_of(F.col("__piece"), sizes)))
-    met = grams.select(key, "__piece", F.col("__gram.n").alias("n"), F.col("__gram.code").alias("code")).join(small, ["n", "code"])
+    met = grams.select(key, "__piece", F.col("__gram.n").alias("n"), F.col("__gram.code").alias("code")).join(keys.select("term", "n", "code"), ["n", "code"])
     return met.where(F.contains("__piece", "term")).select(key, "term").distinct()
+
+
+def _terms_in(piece: str, keys: DataFrame, sizes: list[int]) -> Column:
+    """The terms that a piece of text holds; ``keys`` go to every task."""
+    table = keys.select("term", "n", "code").toArrow()  # at most max_broadcast_bytes, checked by the caller
+    key = table.column("n").to_numpy().astype(np.int64) * (1 << 32) + table.column("code").to_numpy()
+    wanted = Wanted(key)
+    own: list[list[str]] = [[] for _ in wanted.keys]
+    for place, name in zip(np.searchsorted(wanted.keys, key).tolist(), table.column("term").to_pylist()):
+        own[place].append(name)
+    shipped = keys.sparkSession.sparkContext.broadcast((wanted, own))
+
+    @F.arrow_udf("array<string>")
+    def held(texts: pa.Array) -> pa.Array:
+        wanted, own = shipped.value
+        found: list[set[str]] = [set() for _ in range(len(texts))]
+        text, last = "", -1
+        for rows, places in _grams(texts, sizes, wanted):
+            for row, place in zip(rows.tolist(), places.tolist()):
+                if row != last:
+                    text, last = texts[row].as_py(), row
+                found[row].update([t for t in own[place] if t in text])
+        return pa.array([list(f) for f in found], pa.list_(pa.string()))
+
+    return held.asNondeterministic()(F.col(piece))

@@ -76,3 +76,9 @@ def test_nothing_to_match(spark):
     assert match_terms(df, "id", "body", lexicon(spark, [None, ""])).collect() == []
     assert match_terms(df.where("false"), "id", "body", lexicon(spark, ["text"])).collect() == []
     assert match_terms(df.withColumn("term", F.lit(1)), "id", "body", lexicon(spark, ["TEXT"])).columns == ["id", "term"]
+
+
+def test_small_lexicons_need_no_join(spark):
+    df = corpus(spark, ["one text", "another text"])
+    plan = match_terms(df, "id", "body", lexicon(spark, ["text", "one"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ArrowEvalPython" in plan
