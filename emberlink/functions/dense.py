@@ -1,8 +1,8 @@
 """A dense text encoder: hashed n-gram TF-IDF, reduced to its main directions by a randomised range finder.
 
 Counts are column expressions over each row (:mod:`emberlink.functions.grams`); document frequencies are one row per
-bucket, so at most ``width`` rows reach the driver. The sparse weights are written once to the shared folder and read by
-every pass. A pass multiplies them by a narrow matrix, takes the R factor of the product by a tall-skinny QR (one R a task,
+bucket, so at most ``width`` rows reach the driver. The counts are written once to the shared folder, as small whole
+numbers; every pass makes the weights from them anew, which would take several times the texts on disk. A pass multiplies them by a narrow matrix, takes the R factor of the product by a tall-skinny QR (one R a task,
 merged in groups of ``FAN`` until one is left), and sums the transposed product by blocks of buckets, again in groups.
 What the driver and every task hold is ``width`` by ``dims + oversample`` numbers, checked against ``MAX_BYTES``; nothing
 there grows with the number of texts. The last pass gives the right singular vectors; a text's vector is its weights
@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from emberlink.functions.grams import gram_counts
 from emberlink.session import cut_lineage
@@ -45,7 +45,7 @@ def encode_dense(
         cut_lineage(df.where(F.length(F.col(text)) > 0).withColumn("__grams", gram_counts(text, n, width)), "grams")
         for df, text in frames
     ]
-    weighted = [cut_lineage(df, "weights") for df in tf_idf(counted, width)]
+    weighted = tf_idf(counted, width)
     together = weighted[0].select("__at", "__weight")
     for other in weighted[1:]:
         together = together.unionByName(other.select("__at", "__weight"))
@@ -70,17 +70,19 @@ def tf_idf(counted: Iterable[DataFrame], width: int, grams: str = "__grams") ->
     known = frequency[frequency.bucket >= 0]
     df[known.bucket.to_numpy(dtype=np.int64)] = known["count"].to_numpy()
     idf = np.log((texts + 1) / (df + 1))
-    # One literal: as single literals the plan would hold ``width`` expressions.
-    table = F.from_json(F.lit("[" + ",".join(map(repr, idf.tolist())) + "]"), "array<double>")
 
-    def scaled(weights: Column) -> Column:
-        length = F.sqrt(F.aggregate(weights, F.lit(0.0), lambda s, w: s + w * w))
-        return F.element_at(F.transform(F.array(length), lambda by: F.transform(weights, lambda w: F.when(by > 0, w / by).otherwise(w))), 1)
+    @F.arrow_udf("array<double>")
+    def weights(at: pa.Array, n: pa.Array) -> pa.Array:
+        starts = at.offsets.to_numpy() - at.offsets[0].as_py()
+        weight = n.flatten().to_numpy() * idf[at.flatten().to_numpy()]
+        filled = np.flatnonzero(np.diff(starts))
+        length = np.ones(len(at))
+        length[filled] = np.sqrt(np.add.reduceat(weight * weight, starts[filled])) if len(filled) else 1.0
+        return pa.ListArray.from_arrays(starts, pa.array(weight / np.repeat(np.where(length > 0, length, 1.0), np.diff(starts))))
 
-    raw = F.transform(F.col(grams), lambda g: g["n"] * F.get(table, g["bucket"]))
     return [
         one.withColumn("__at", F.col(f"{grams}.bucket"))
-        .withColumn("__weight", F.element_at(F.transform(F.array(raw), scaled), 1))
+        .withColumn("__weight", weights.asNondeterministic()("__at", F.col(f"{grams}.n")))
         .drop(grams)
         for one in counted
     ]
@@ -229,5 +231,5 @@ def _project(df: DataFrame, axes: np.ndarray, out: str) -> DataFrame:
             unit = (v / np.where(length > 0, length, 1.0)).astype(np.float32)
             yield pa.ListArray.from_arrays(np.arange(len(unit) + 1, dtype=np.int32) * dims, unit.ravel())
 
-    # Written, so that the steps that read vectors several times do not encode several times.
-    return cut_lineage(df.withColumn(out, project("__at", "__weight")).drop("__at", "__weight"), "vectors")
+    # Not written: a projection of what was written, and cheap beside it. Marked, so that filters do not project again.
+    return df.withColumn(out, project.asNondeterministic()("__at", "__weight")).drop("__at", "__weight")
