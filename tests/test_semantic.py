@@ -192,3 +192,13 @@ def test_null_events_and_repeated_articles_in_blocks(spark):
     )
     got = top1(articles, events, max_broadcast_bytes=0, block_rows=1).collect()
     assert {r.article_id: (r.event_id, r.disaster_type) for r in got} == {1: (7, "x"), None: (8, "y"), 2: (7, "x")} and len(got) == 3
+
+
+def test_floats_in_blocks_equal_doubles(spark):
+    a, e = _structured(90, 16, 3, 6).astype(np.float32), _structured(70, 16, 3, 7).astype(np.float32)
+    frames_of = lambda kind: (
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], f"article_id long, vector array<{kind}>"),
+        spark.createDataFrame([(i, "x", v.tolist()) for i, v in enumerate(e)], f"event_id long, disaster_type string, vector array<{kind}>"),
+    )
+    one, other = (sorted(map(tuple, top1(*frames_of(kind), max_broadcast_bytes=0, block_rows=8).collect())) for kind in ("float", "double"))
+    assert one == other and len(one) == 90
