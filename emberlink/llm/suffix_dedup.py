@@ -28,8 +28,9 @@ makes text again. An empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -204,7 +205,8 @@ def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFram
     texts = docs.join(by_doc, ["k1", "k2"])
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[bytes, list] = defaultdict(list)
+        # Places as plain numbers in a row: tuples of them would take four times the memory.
+        held: dict[bytes, array] = {}
         size = 0
         for batch in batches:
             k1, k2, picked = batch["k1"].to_numpy(), batch["k2"].to_numpy(), list(batch["anchors"])
@@ -215,15 +217,20 @@ def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFram
                 docs_of, c1, c2 = owner[chosen], k1[rows].tolist(), k2[rows].tolist()
                 for doc, gram, lo, hi in zip(docs_of.tolist(), grams[chosen].view(np.int64).tolist(), first[chosen].tolist(), last[chosen].tolist()):
                     segment = texts[doc][lo : hi + WINDOW]
-                    if segment not in held:
+                    places = held.get(segment)
+                    if places is None:
+                        places = held[segment] = array("q")
                         size += len(segment) + 150
-                    held[segment].append((c1[doc], c2[doc], lo, gram))
+                    places.extend((c1[doc], c2[doc], lo, gram))
                     size += 100
                 if size >= 4 * RUN_BYTES:
-                    yield _segment_run(held, buckets)
-                    held, size = defaultdict(list), 0
+                    run = _segment_run(held, buckets)
+                    held, size = {}, 0
+                    yield run
         if held:
-            yield _segment_run(held, buckets)
+            run = _segment_run(held, buckets)
+            held = {}
+            yield run
 
     sent = texts.mapInPandas(send, "bucket int, run binary, places binary")
     merged = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge_bucket, "gram long, k1 long, k2 long, start int, size int, segment binary")
@@ -235,8 +242,9 @@ _REPEAT = np.dtype("<i8,<i8,<i4,<i4")  # k1, k2, start, size
 _PIECE = 50_000  # repeats that travel together
 
 
-def _segment_run(held: dict[bytes, list], buckets: int) -> pd.DataFrame:
-    """One task's segments, sorted and front-coded by bucket, each with its first place.
+def _segment_run(held: Mapping[bytes, Sequence], buckets: int) -> pd.DataFrame:
+    """One task's segments (with ``k1``, ``k2``, ``start`` and ``gram`` of each place), sorted and front-coded by bucket,
+    each with its first place.
 
     The other places are repeats whatever other tasks hold. They meet nobody: they go out as they
     are, in pieces dealt evenly over buckets of their own.
@@ -244,15 +252,27 @@ def _segment_run(held: dict[bytes, list], buckets: int) -> pd.DataFrame:
     parts: dict[int, list[bytes]] = defaultdict(list)
     for segment in held:
         parts[zlib.crc32(segment) % buckets].append(segment)
-    out, repeats = [], []
-    for bucket, strings in parts.items():
+    out, repeats = [], [np.zeros(0, _REPEAT)]
+    while parts:
+        bucket, strings = parts.popitem()
         strings.sort()
-        places = [sorted(held[s]) for s in strings]
-        repeats += [(*p[:3], len(s)) for s, more in zip(strings, places) for p in more[1:]]
-        first = np.array([(p[0][0], p[0][1], p[0][3], p[0][2]) for p in places], dtype=_PLACE)
+        flat = [np.asarray(held[s], np.int64).reshape(-1, 4) for s in strings]
+        owner = np.repeat(np.arange(len(strings)), [len(f) for f in flat])
+        k1, k2, start, gram = np.concatenate(flat).T
+        order = np.lexsort((gram, start, k2, k1, owner))
+        owner, k1, k2, start, gram = (x[order] for x in (owner, k1, k2, start, gram))
+        head = np.concatenate([[True], owner[1:] != owner[:-1]])
+        first = np.zeros(len(strings), _PLACE)
+        for name, column in zip(_PLACE.names, (k1, k2, gram, start)):
+            first[name] = column[head]
+        again = np.zeros(int((~head).sum()), _REPEAT)
+        for name, column in zip(_REPEAT.names, (k1, k2, start, np.fromiter(map(len, strings), np.int64, len(strings))[owner])):
+            again[name] = column[~head]
+        repeats.append(again)
         out.append((bucket, encode_run(strings), zstandard.compress(first.tobytes(), 3)))
-    for at in range(0, len(repeats), _PIECE):
-        piece = zstandard.compress(np.array(repeats[at : at + _PIECE], dtype=_REPEAT).tobytes(), 3)
+    rest = np.concatenate(repeats)
+    for at in range(0, len(rest), _PIECE):
+        piece = zstandard.compress(rest[at : at + _PIECE].tobytes(), 3)
         out.append((buckets + zlib.crc32(piece) % buckets, None, piece))
     return pd.DataFrame(out, columns=["bucket", "run", "places"])
 

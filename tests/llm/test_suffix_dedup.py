@@ -1,5 +1,6 @@
 """The merge, the anchors, and removal against brute force over every 100-byte string."""
 
+from array import array
 import hashlib
 import random
 
@@ -130,3 +131,12 @@ def test_repeats_of_a_task_do_not_meet():
     assert sorted(zip(kinds["segment"], kinds["k1"], kinds["gram"])) == sorted([(hot, 0, 99)] + [(bytes([65 + t]) * 120, t, 98) for t in range(tasks)])
     rest = out[out["segment"].isna()]
     assert sorted(rest["k1"]) == list(range(1, tasks * n)) and set(rest["size"]) == {150} and set(rest["start"]) == {7}
+
+
+def test_places_as_plain_numbers_make_the_same_runs():
+    held = {b"a" * 120: [(3, 1, 0, 9), (2, 1, 4, 9), (2, 1, 1, 9)], b"b" * 130: [(1, 1, 7, -8)]}
+    plain = {s: array("q", [x for p in places for x in p]) for s, places in held.items()}
+    one, other = (sd._merge_bucket(sd._segment_run(h, 1).query("bucket == 0")) for h in (held, plain))
+    assert one.equals(other) and sorted(zip(one["k1"], one["start"], one["gram"])) == [(1, 7, -8), (2, 1, 9)]
+    left = sd._merge_bucket(sd._segment_run(plain, 1).query("bucket == 1"))
+    assert list(zip(left["k1"], left["start"], left["size"])) == [(2, 4, 120), (3, 0, 120)]
