@@ -13,9 +13,11 @@ windows. Repeated sentences count once in training, and a sentence and its copie
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +31,7 @@ SAMPLE = 8_000
 LONGEST = 2_000
 WINDOW = 200
 HELD_OUT = 5  # one sentence in so many, by crc32 of its text
+KEPT = 200_000  # words whose scores a task keeps from one batch to the next
 _TOGETHER = 512  # sentences that are decoded at a time
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
@@ -41,9 +44,21 @@ def _row(feature: str) -> int:
     return zlib.crc32(feature.encode("utf-8", "replace")) % ROWS
 
 
+_common_row = lru_cache(1 << 16)(_row)  # for features that many words share
+
+
+@lru_cache(1 << 16)
+def _mark(c: str) -> str:
+    return "X" if c.isupper() else "x" if c.islower() else "9" if c.isdigit() else c
+
+
+@lru_cache(1 << 16)
+def _squeezed(marks: str) -> str:
+    return re.sub(r"(.)\1+", r"\1+", marks)
+
+
 def _shape(word: str) -> str:
-    marks = ("X" if c.isupper() else "x" if c.islower() else "9" if c.isdigit() else c for c in word[:20])
-    return re.sub(r"(.)\1+", r"\1+", "".join(marks))
+    return _squeezed("".join(map(_mark, word[:20])))
 
 
 def _own(word: str) -> list[int]:
@@ -51,11 +66,17 @@ def _own(word: str) -> list[int]:
     parts = [f"shape={_shape(word)}", f"long={min(len(word), 8)}"]
     parts += [f"end={low[-k:]}" for k in (1, 2, 3) if k < len(low)]
     parts += [f"start={low[:k]}" for k in (1, 2, 3) if k < len(low)]
-    return [_row(p) for p in parts]
+    return [_common_row(p) for p in parts]
 
 
 def _around(word: str, place: str) -> list[int]:
-    return [_row(f"{place}={word.lower()}"), _row(f"{place}.shape={_shape(word)}")]
+    return [_row(f"{place}={word.lower()}"), _common_row(f"{place}.shape={_shape(word)}")]
+
+
+def _all_rows(word: str) -> list[list[int]]:
+    """The rows of a word for each of ``_PLACES``."""
+    low, shape = word.lower(), _shape(word)
+    return [_own(word), *[[_row(f"{place}={low}"), _common_row(f"{place}.shape={shape}")] for place, _ in _PLACES[1:]]]
 
 
 _PLACES = (("", 0), ("before2", -2), ("before", -1), ("after", 1))
@@ -150,18 +171,36 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray) -> np
     return paths
 
 
-def _decode(sentences: list[list[str]], weights: np.ndarray, barred: np.ndarray) -> list[np.ndarray]:
-    """Tags for each sentence. What a word adds at each place is summed up once for each different word."""
+class Adds:
+    """What a word adds to the scores at each place, summed up once for each different word and kept for later batches."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        self.ids: dict[str, int] = {}
+        self.tables = [np.zeros((0, weights.shape[1])) for _ in _PLACES]
+
+    def know(self, sentences: Iterable[Sequence[str]]) -> None:
+        """Give an id to every word, from 0 for the edge; beyond ``KEPT`` words all are forgotten first."""
+        if not self.ids or len(self.ids) > KEPT:
+            self.ids, self.tables = {_EDGE: 0}, [t[:0] for t in self.tables]
+        for words in sentences:
+            for word in words:
+                self.ids.setdefault(word, len(self.ids))
+        new = list(itertools.islice(self.ids, len(self.tables[0]), None))
+        more: list[list[np.ndarray]] = [[] for _ in _PLACES]
+        for at in range(0, len(new), _TOGETHER * 8):
+            for found, rows in zip(more, zip(*map(_all_rows, new[at : at + _TOGETHER * 8]))):
+                starts = np.cumsum([0, *map(len, rows[:-1])])
+                found.append(np.add.reduceat(self.weights[np.fromiter(itertools.chain.from_iterable(rows), np.int64)], starts, axis=0))
+        self.tables = [np.concatenate([t, *m]) for t, m in zip(self.tables, more)]
+
+
+def _decode(sentences: list[list[str]], weights: np.ndarray, barred: np.ndarray, adds: Adds | None = None) -> list[np.ndarray]:
+    """Tags for each sentence."""
     found: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(sentences)
-    vocabulary = {_EDGE: 0}
-    for words in sentences:
-        for word in words:
-            vocabulary.setdefault(word, len(vocabulary))
-    tags = weights.shape[1]
-    adds = [
-        np.array([weights[_around(w, place) if place else _own(w)].sum(axis=0) for w in vocabulary])
-        for place, _ in _PLACES
-    ]
+    adds = adds or Adds(weights)
+    adds.know(sentences)
+    vocabulary, tags = adds.ids, weights.shape[1]
     steps = weights[ROWS:] + barred
     order = sorted((i for i, s in enumerate(sentences) if s), key=lambda i: len(sentences[i]))
     for at in range(0, len(order), _TOGETHER):
@@ -172,7 +211,7 @@ def _decode(sentences: list[list[str]], weights: np.ndarray, barred: np.ndarray)
         for row, i in enumerate(some):
             ids[row, 2 : 2 + lengths[row]] = [vocabulary[w] for w in sentences[i]]
         scores = np.zeros((len(some), longest, tags))
-        for table, (_, step) in zip(adds, _PLACES):
+        for table, (_, step) in zip(adds.tables, _PLACES):
             scores += table[ids[:, 2 + step : 2 + step + longest]]
         for row, (i, path) in enumerate(zip(some, best_paths(scores, lengths, steps))):
             found[i] = path[: lengths[row]]
@@ -268,11 +307,13 @@ def make_tagger(weights: np.ndarray, gazetteer: Mapping[str, Sequence[str]] = GA
     tags = Tags(gazetteer)
 
     def make():
+        adds = Adds(weights)
+
         def tag(texts: Sequence[str]) -> list[list[tuple[str, str]]]:
             cut = [(no, words) for no, text in enumerate(texts) for words in split_words(text or "")]
             plain = [[w[0] for w in words] for _, words in cut]
             found: list[list[tuple[str, str]]] = [[] for _ in texts]
-            for (no, words), flat, path in zip(cut, plain, _decode(plain, weights, tags.barred)):
+            for (no, words), flat, path in zip(cut, plain, _decode(plain, weights, tags.barred, adds)):
                 sure = tags.spans(tags.known(flat))
                 taken = {i for first, end, _ in sure for i in range(first, end)}
                 more = [s for s in tags.spans(path) if taken.isdisjoint(range(s[0], s[1]))]

@@ -113,3 +113,18 @@ def test_training_does_not_depend_on_the_order_of_rows(spark):
     one = tagger.train(spark.createDataFrame(rows, "body string"), "body", NAMES, rounds=2)
     other = tagger.train(spark.createDataFrame(rows[::-1] * 2, "body string").repartition(5), "body", NAMES, rounds=2)
     assert np.array_equal(one, other)
+
+
+def test_words_keep_their_scores_between_batches():
+    rng = np.random.default_rng(2)
+    weights = rng.standard_normal((tagger.ROWS + 4, 3))
+    adds = tagger.Adds(weights)
+    adds.know([["one", "Two", "one"]])
+    before = [t.copy() for t in adds.tables]
+    adds.know([["Two", "three"]])
+    assert adds.ids == {"": 0, "one": 1, "Two": 2, "three": 3}
+    for (place, _), table, old in zip(tagger._PLACES, adds.tables, before):
+        assert np.array_equal(table[:3], old)
+        for word, no in adds.ids.items():
+            rows = tagger._around(word, place) if place else tagger._own(word)
+            assert np.allclose(table[no], weights[rows].sum(axis=0), atol=1e-12)
