@@ -7,9 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlink.session import cut_lineage, scratch_dir, use_utc
+from emberlink.session import cut_lineage, scratch_dir, scratch_scope, use_utc
 
-__all__ = ["cut_lineage", "fresh", "scratch_dir", "table", "use_utc"]
+__all__ = ["cut_lineage", "fresh", "scratch_dir", "scratch_scope", "table", "use_utc"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from emberlink.llm.common import cut_lineage, fresh, table
+from emberlink.llm.common import cut_lineage, fresh, scratch_dir, scratch_scope, table
 from emberlink.llm.front_coding import LoserTree, decode_run, encode_run
 
 WINDOW = 100
@@ -160,7 +160,7 @@ def repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         return pd.DataFrame({"k1": found["f2"], "k2": found["f3"], "anchor": found["f1"]})
 
     sent = docs.mapInPandas(send, "bucket int, entries binary, once binary, anchors binary")
-    sent = cut_lineage(sent, "suffix-grams")
+    sent = cut_lineage(sent, "suffix-grams", free=True)
     met = sent.where("bucket >= 0").select("bucket", "entries", "once").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(meet, "k1 long, k2 long, anchor int")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,12 +197,12 @@ def _anchor_run(held: list, buckets: int) -> pd.DataFrame:
 
 
 def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
-    """The picked segments, merged: (``gram``, ``k1``, ``k2``, ``start``, ``size``, ``segment``).
+    """The segments of the anchors ``wanted`` of each document, merged: (``gram``, ``k1``, ``k2``, ``start``, ``size``, ``segment``).
 
-    ``segment`` is null for a repeat (whose gram is 0), and holds the bytes of the first of its kind otherwise.
+    ``segment`` holds the bytes of the first of its kind. It is null for repeats (whose gram is 0), of which those of one
+    task and document that overlap or touch are one.
     """
-    by_doc = wanted.groupBy("k1", "k2").agg(F.collect_set("anchor").alias("anchors"))
-    texts = docs.join(by_doc, ["k1", "k2"])
+    texts = docs.join(wanted, ["k1", "k2"])
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Places as plain numbers in a row: tuples of them would take four times the memory.
@@ -234,7 +234,7 @@ def merge_segments(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFram
 
     sent = texts.mapInPandas(send, "bucket int, run binary, places binary")
     merged = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_merge_bucket, "gram long, k1 long, k2 long, start int, size int, segment binary")
-    return cut_lineage(merged, "suffix-segments")
+    return cut_lineage(merged, "suffix-segments", free=True)
 
 
 _PLACE = np.dtype("<i8,<i8,<i8,<i4")  # k1, k2, gram, start
@@ -242,12 +242,27 @@ _REPEAT = np.dtype("<i8,<i8,<i4,<i4")  # k1, k2, start, size
 _PIECE = 50_000  # repeats that travel together
 
 
+def _joined(rows: np.ndarray) -> np.ndarray:
+    """Repeats by document and place; those of a document that overlap or touch become one."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows["f2"], rows["f1"], rows["f0"]))]
+    new_doc = (rows["f0"][1:] != rows["f0"][:-1]) | (rows["f1"][1:] != rows["f1"][:-1])
+    # One line for all documents, on which each has room for more than a text can hold.
+    begin = (np.concatenate([[0], np.cumsum(new_doc)]) << 33) + rows["f2"]
+    reach = np.maximum.accumulate(begin + rows["f3"])
+    head = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]]))
+    out = rows[head]
+    out["f3"] = reach[np.concatenate([head[1:], [len(rows)]]) - 1] - begin[head]
+    return out
+
+
 def _segment_run(held: Mapping[bytes, Sequence], buckets: int) -> pd.DataFrame:
     """One task's segments (with ``k1``, ``k2``, ``start`` and ``gram`` of each place), sorted and front-coded by bucket,
     each with its first place.
 
-    The other places are repeats whatever other tasks hold. They meet nobody: they go out as they
-    are, in pieces dealt evenly over buckets of their own.
+    The other places are repeats whatever other tasks hold. They meet nobody: they are joined within
+    their document and go out in pieces dealt evenly over buckets of their own.
     """
     parts: dict[int, list[bytes]] = defaultdict(list)
     for segment in held:
@@ -270,7 +285,7 @@ def _segment_run(held: Mapping[bytes, Sequence], buckets: int) -> pd.DataFrame:
             again[name] = column[~head]
         repeats.append(again)
         out.append((bucket, encode_run(strings), zstandard.compress(first.tobytes(), 3)))
-    rest = np.concatenate(repeats)
+    rest = _joined(np.concatenate(repeats))
     for at in range(0, len(rest), _PIECE):
         piece = zstandard.compress(rest[at : at + _PIECE].tobytes(), 3)
         out.append((buckets + zlib.crc32(piece) % buckets, None, piece))
@@ -285,13 +300,13 @@ def _merge_bucket(runs: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"gram": 0, "k1": rows["f0"], "k2": rows["f1"], "start": rows["f2"], "size": rows["f3"], "segment": None}, columns=columns)
     tree = LoserTree([decode_run(r) for r in runs["run"]])
     firsts = [np.frombuffer(zstandard.decompress(b), _PLACE).tolist() for b in runs["places"]]
-    out, kind, places, gram = [], None, [], 0
+    out, again, kind, places, gram = [], [], None, [], 0
 
     def close() -> None:
         if kind is not None:
             best = min(places)
             out.append((gram, *best, len(kind), kind))
-            out.extend((0, *p, len(kind), None) for p in places if p != best)
+            again.extend((*p, len(kind)) for p in places if p != best)
 
     for run, at, string, shared in tree:
         if kind is None or shared < len(string) or len(string) != len(kind):
@@ -300,6 +315,7 @@ def _merge_bucket(runs: pd.DataFrame) -> pd.DataFrame:
         k1, k2, gram, start = firsts[run][at]
         places.append((k1, k2, start))
     close()
+    out.extend((0, *p, None) for p in _joined(np.array(again, _REPEAT)).tolist())
     return pd.DataFrame(out, columns=columns)
 
 
@@ -342,7 +358,7 @@ def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
     """Intervals (``k1``, ``k2``, ``start``, ``stop``) of repeated windows in first segments."""
     kept = segments_.where("segment is not null")
     # Written, so that both sides of the join have shuffles of their own, which Spark can split at a hot gram.
-    several = cut_lineage(kept.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-kinds")
+    several = cut_lineage(kept.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-kinds", free=True)
     salts = F.ceil(F.col("kinds") / kinds)
     rows = kept.join(several, "gram").select(
         "gram", F.pmod(F.xxhash64("segment"), salts).cast("int").alias("salt"), (F.col("kinds") > kinds).alias("salted"), "k1", "k2", "start", "segment"
@@ -368,7 +384,7 @@ def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
         if held is not None:
             yield _compare_windows(held)
 
-    found = cut_lineage(grouped.mapInPandas(work, "k1 long, k2 long, start long, stop long, gram long, window long, open boolean"), "suffix-windows")
+    found = cut_lineage(grouped.mapInPandas(work, "k1 long, k2 long, start long, stop long, gram long, window long, open boolean"), "suffix-windows", free=True)
     spans = found.where("not open").select("k1", "k2", "start", "stop")
     firsts = found.where("open").select("gram", "window", F.struct("k1", "k2", "start").alias("place"))
     least = firsts.groupBy("gram", "window").agg(F.min("place").alias("least"), F.count("*").alias("n")).where("n > 1")
@@ -380,13 +396,23 @@ def shared_windows(segments_: DataFrame, kinds: int = KINDS) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(``k1``, ``k2``, ``spans``): what to remove from each document that has something to remove."""
-    ordered = _ordered(docs)
+    """(``k1``, ``k2``, ``spans``): what to remove from each document that has something to remove.
+
+    Each step is written, and what only the steps before it needed goes: tables with their scope, shuffles with their query.
+    """
+    spark, ordered = docs.sparkSession, _ordered(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size) // BUCKET_BYTES)
-    merged = merge_segments(ordered, repeated_anchors(ordered, buckets), buckets)
-    whole = merged.where("segment is null").select("k1", "k2", F.col("start").cast("long"), (F.col("start") + F.col("size")).cast("long").alias("stop"))
-    return whole.unionByName(shared_windows(merged)).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size) // BUCKET_BYTES)
+    result = scratch_dir(spark, "suffix-spans")
+    with scratch_scope(spark):
+        picked = scratch_dir(spark, "suffix-anchors")
+        with scratch_scope(spark):
+            by_doc = repeated_anchors(ordered, buckets).groupBy("k1", "k2").agg(F.collect_set("anchor").alias("anchors"))
+            wanted = cut_lineage(by_doc, path=picked, free=True)
+        merged = merge_segments(ordered, wanted, buckets)
+        whole = merged.where("segment is null").select("k1", "k2", F.col("start").cast("long"), (F.col("start") + F.col("size")).cast("long").alias("stop"))
+        spans = whole.unionByName(shared_windows(merged)).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+        return cut_lineage(spans, path=result, free=True)
 
 
 def cut(text: str | None, spans) -> tuple[bytes, int, int]:

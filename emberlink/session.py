@@ -95,13 +95,26 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+#: Shuffle files of a query go when it ends, not when the driver's collector finds that nothing refers to them.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame, label: str = "cut", path: str | None = None, free: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder (to ``path`` there, if given) and read it back.
 
     The copy outlives lost executors, and later jobs start from it instead of
-    recomputing what led to it.
+    recomputing what led to it. With ``free``, the shuffle files of the write go as soon as it has ended.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    path = path or scratch_dir(spark, label)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    if free:
+        spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free and before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        elif free:
+            spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,10 @@
 
 from array import array
 import hashlib
+from pathlib import Path
 import random
+import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -12,6 +15,7 @@ from hypothesis import given, settings, strategies as st
 
 from emberlink.llm import suffix_dedup as sd
 from emberlink.llm.front_coding import LoserTree, common_prefix, decode_run, encode_run
+from emberlink.session import shared_dir
 
 STRINGS = st.lists(st.binary(max_size=6) | st.text(alphabet="ab", max_size=9).map(str.encode), max_size=12)
 
@@ -140,3 +144,27 @@ def test_places_as_plain_numbers_make_the_same_runs():
     assert one.equals(other) and sorted(zip(one["k1"], one["start"], one["gram"])) == [(1, 7, -8), (2, 1, 9)]
     left = sd._merge_bucket(sd._segment_run(plain, 1).query("bucket == 1"))
     assert list(zip(left["k1"], left["start"], left["size"])) == [(2, 4, 120), (3, 0, 120)]
+
+
+def test_repeats_of_a_document_that_touch_are_one():
+    rows = [(1, 1, 0, 120), (1, 1, 220, 100), (1, 1, 120, 100), (1, 1, 30, 10), (1, 1, 321, 100), (1, 2, 300, 100), (-4, 7, 2**31 - 101, 100), (0, 7, 0, 100)]
+    joined = sd._joined(np.array(rows, sd._REPEAT)).tolist()
+    assert joined == [(-4, 7, 2**31 - 101, 100), (0, 7, 0, 100), (1, 1, 0, 320), (1, 1, 321, 100), (1, 2, 300, 100)]
+    held = {bytes([97 + i]) * 150: [(1, 1, 900, 5), (2, 1, 40 * i, 5)] for i in range(5)}
+    left = sd._merge_bucket(sd._segment_run(held, 1).query("bucket == 1"))
+    assert list(zip(left["k1"], left["start"], left["size"])) == [(2, 0, 310)]
+
+
+def test_only_spans_stay_on_disk(spark, corpus):
+    """Tables and shuffles of a step go once the next has been written."""
+    files = lambda: set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").split(","))
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    stays, before = set(shared.iterdir()), files()
+    found = sd.repeated_spans(spark.createDataFrame(corpus, "doc_id long, text string").repartition(3))
+    assert [p.name.split("-")[:2] for p in set(shared.iterdir()) - stays] == [["suffix", "spans"]]
+    shuffles = lambda: {m[1] for f in files() - before if (m := re.search(r"shuffle_(\d+)_\d+_\d+\.data", f))}
+    until = time.time() + 10
+    while len(shuffles()) > 1 and time.time() < until:
+        time.sleep(0.1)
+    assert len(shuffles()) <= 1  # the sum of sizes is a query of its own
+    assert found.count() > 50
