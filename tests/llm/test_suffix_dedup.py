@@ -155,12 +155,13 @@ def test_repeats_of_a_document_that_touch_are_one():
     assert list(zip(left["k1"], left["start"], left["size"])) == [(2, 0, 310)]
 
 
-def test_only_spans_stay_on_disk(spark, corpus):
+def test_only_spans_stay_on_disk(spark, corpus, tmp_path):
     """Tables and shuffles of a step go once the next has been written."""
     files = lambda: set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").split(","))
     shared = Path(shared_dir(spark).removeprefix("file:"))
+    spark.createDataFrame(corpus, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
     stays, before = set(shared.iterdir()), files()
-    found = sd.repeated_spans(spark.createDataFrame(corpus, "doc_id long, text string").repartition(3))
+    found = sd.repeated_spans(spark.read.parquet(str(tmp_path / "docs")))
     assert [p.name.split("-")[:2] for p in set(shared.iterdir()) - stays] == [["suffix", "spans"]]
     shuffles = lambda: {m[1] for f in files() - before if (m := re.search(r"shuffle_(\d+)_\d+_\d+\.data", f))}
     until = time.time() + 10
