@@ -2,12 +2,13 @@
 
 It learns from sentences in which the gazetteer finds a name, and sees a word only through its shape and affixes and
 through the words around it, never as a whole, so it can tell a name it has not met. Training runs in Spark: sentences are
-dealt to ``shards`` by hash, each shard passes over its own from the weights all have agreed on, and the results are
-averaged after every round (iterative parameter mixing). The weights are ``ROWS`` hashed features by tags, whatever
-the input. Tags of a sentence are the best path (Viterbi), computed for many sentences at a time.
+dealt to shards of some ``SHARD`` characters by hash, each shard passes over its own from the weights all have agreed on, and the
+results are averaged after every round (iterative parameter mixing), in groups of ``FAN``. The weights are ``ROWS`` hashed features by
+tags, whatever the input. Tags of a sentence are the best path (Viterbi), computed for many sentences at a time; a pass looks
+ahead, and what it has found beyond a sentence that changes the weights is found anew.
 
-Training takes at most ``sample`` different sentences of at most ``LONGEST`` characters, those with the smallest hash of
-their text; tagging reads every text whole. Null and empty texts have no names. A sentence longer than ``WINDOW`` words is tagged in
+Training takes every different sentence with a name, whatever its length, but for those held out, which take part with ``whole``;
+tagging reads every text whole. Null and empty texts have no names. A sentence longer than ``WINDOW`` words is learned and tagged in
 windows. Repeated sentences count once in training, and a sentence and its copies are on one side of the held-out split.
 """
 
@@ -24,15 +25,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from emberlink.operators.entities import GAZETTEER, entities
-from emberlink.session import cut_lineage
+from emberlink.session import cut_lineage, scratch_scope
 
 ROWS = 1 << 15
-SAMPLE = 8_000
-LONGEST = 2_000
+SHARD = 1 << 21  # characters of sentences that one task passes over
+FAN = 8  # results of shards that are averaged in one task
 WINDOW = 200
 HELD_OUT = 5  # one sentence in so many, by crc32 of its text
 KEPT = 200_000  # words whose scores a task keeps from one batch to the next
 _TOGETHER = 512  # sentences that are decoded at a time
+_AHEAD = 64  # windows that a pass looks ahead at most
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 _SENTENCE = r"(?<=[.!?\n])\s+"
@@ -231,71 +233,178 @@ def sentences_with_names(df: DataFrame, text: str | Column, gazetteer: Mapping[s
     )
 
 
-def _pass(weights: np.ndarray, sentences: list[str], tags: Tags) -> tuple[np.ndarray, np.ndarray]:
-    """One pass of the perceptron: the weights at its end, and their mean over the pass."""
-    w, late = weights.copy(), np.zeros_like(weights)
-    seen = 0
-    for sentence in sentences:
-        for tokens in split_words(sentence):
-            words = [t[0] for t in tokens]
-            if not words:
-                continue
-            rows, want = features(words), tags.known(words)
-            scores = np.stack([w[r].sum(axis=0) for r in rows])
-            have = best_paths(scores[None], np.array([len(words)]), w[ROWS:] + tags.barred)[0]
-            if (have != want).any():
-                before = tags.count
-                for i, (good, bad) in enumerate(zip(want, have)):
-                    last_good, last_bad = (want[i - 1], have[i - 1]) if i else (before, before)
-                    for target, by in ((w, 1.0), (late, float(seen))):
-                        if good != bad:
-                            np.add.at(target[:, good], rows[i], by)
-                            np.add.at(target[:, bad], rows[i], -by)
-                        target[ROWS + last_good, good] += by
-                        target[ROWS + last_bad, bad] -= by
-            seen += 1
-    return w, w - late / max(seen, 1)
-
-
-def _round(weights: np.ndarray, turn: int, tags: Tags) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        order = sorted(group["sentence"], key=lambda s: (zlib.crc32(f"{turn}:{s}".encode("utf-8", "replace")), s))
-        end, mean = _pass(weights, order, tags)
-        return pd.DataFrame({"n": [len(order)], "last": [end.tobytes()], "mean": [mean.tobytes()]})
-
-    return one
+class Shard:
+    """Sentences as numbers: the words of all windows in a row, the rows of each different word, the wanted tags."""
+
+    #: How many rows a word takes part in at each place; a word with fewer has ``-1`` in their stead.
+    _WIDE = (8, 2, 2, 2)
+
+    def __init__(self, ids: np.ndarray, want: np.ndarray, lengths: np.ndarray, table: np.ndarray, orders: np.ndarray):
+        self.ids, self.want, self.lengths, self.table, self.orders = ids, want, lengths, table, orders
+
+    @classmethod
+    def of(cls, sentences: Sequence[str], tags: Tags, rounds: int) -> Shard:
+        known = {_EDGE: 0}
+        ids, want, lengths, first = [], [], [], []
+        for sentence in sentences:
+            first.append(len(lengths))
+            for tokens in split_words(sentence):
+                if tokens:
+                    words = [t[0] for t in tokens]
+                    ids.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
+                    want.append(tags.known(words).astype(np.int8))
+                    lengths.append(len(words))
+        table = np.full((len(known), sum(cls._WIDE)), -1, dtype=np.int32)
+        for rows, word in zip(table, known):
+            at = 0
+            for wide, found in zip(cls._WIDE, _all_rows(word)):
+                rows[at : at + len(found)] = found
+                at += wide
+        first.append(len(lengths))
+        orders = []
+        for turn in range(rounds):
+            places = sorted(range(len(sentences)), key=lambda i: (zlib.crc32(f"{turn}:{sentences[i]}".encode("utf-8", "replace")), sentences[i]))
+            orders.append([w for i in places for w in range(first[i], first[i + 1])])
+        none = [np.zeros(0, np.int32)]
+        return cls(
+            np.concatenate(ids or none).astype(np.int32), np.concatenate(want or none).astype(np.int8), np.array(lengths, np.int32),
+            table, np.array(orders, np.int32).reshape(rounds, -1),
+        )
+
+    def pack(self) -> dict[str, bytes]:
+        return {name: getattr(self, name).tobytes() for name in ("ids", "want", "lengths", "table", "orders")}
+
+    @classmethod
+    def unpack(cls, row, rounds: int) -> Shard:
+        ids, lengths, table, orders = (np.frombuffer(getattr(row, n), np.int32) for n in ("ids", "lengths", "table", "orders"))
+        return cls(ids, np.frombuffer(row.want, np.int8), lengths, table.reshape(-1, sum(cls._WIDE)), orders.reshape(rounds, -1))
+
+    def turn(self, no: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of weights and wanted tag of each word, and where each window begins (and the last ends), in the order of a round."""
+        lengths = self.lengths[self.orders[no]].astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        from_ = (np.cumsum(self.lengths, dtype=np.int64) - self.lengths)[self.orders[no]]
+        place = np.arange(starts[-1]) - np.repeat(starts[:-1], lengths)
+        ids = self.ids[np.repeat(from_, lengths) + place]
+        left = np.repeat(lengths, lengths) - place
+        rows, at = [], 0
+        for wide, (_, step) in zip(self._WIDE, _PLACES):
+            there = (place + step >= 0) & (left > step)
+            near = np.where(there, ids[np.clip(np.arange(len(ids)) + step, 0, max(len(ids) - 1, 0))], 0)
+            rows.append(self.table[near, at : at + wide])
+            at += wide
+        return np.concatenate(rows, axis=1), self.want[np.repeat(from_, lengths) + place].astype(np.int64), starts
+
+
+def _pass(weights: np.ndarray, rows: np.ndarray, want: np.ndarray, starts: np.ndarray, tags: Tags) -> tuple[np.ndarray, np.ndarray]:
+    """One pass of the perceptron, one window after another: the weights at its end, and their mean over the pass."""
+    # The last row stands for features that a word lacks, and stays zero.
+    w = np.concatenate([weights, np.zeros((1, tags.count))])
+    late = np.zeros_like(w)
+    seen, block, windows = 0, 1, len(starts) - 1
+    while seen < windows:
+        end = min(seen + block, windows)
+        part, lengths = slice(starts[seen], starts[end]), np.diff(starts[seen : end + 1])
+        window = np.repeat(np.arange(end - seen), lengths)
+        place = np.arange(starts[seen], starts[end]) - np.repeat(starts[seen:end], lengths)
+        scores = np.zeros((end - seen, lengths.max(), tags.count))
+        scores[window, place] = w[rows[part]].sum(axis=1)
+        have = best_paths(scores, lengths, w[ROWS:-1] + tags.barred)[window, place]
+        wrong = np.flatnonzero(have != want[part])
+        if not len(wrong):
+            seen, block = end, min(2 * block, _AHEAD)
+            continue
+        # All before the first wrong window have been found with the weights of their turn.
+        first = window[wrong[0]]
+        seen, block = seen + first, max(1, min(2 * int(first) + 1, _AHEAD))
+        _learn(w, late, seen, rows[starts[seen] : starts[seen + 1]], want[starts[seen] : starts[seen + 1]], have[window == first], tags)
+        seen += 1
+    return w[:-1], (w - late / max(windows, 1))[:-1]
+
+
+def _learn(w: np.ndarray, late: np.ndarray, seen: int, rows: np.ndarray, good: np.ndarray, bad: np.ndarray, tags: Tags) -> None:
+    """Towards the wanted tags of a window and away from those it got; ``late`` keeps what the mean lacks."""
+    before = ROWS + np.concatenate([[[tags.count], [tags.count]], np.stack([good[:-1], bad[:-1]])], axis=1)
+    own = good != bad
+    steps = own | (before[0] != before[1])
+    for target, by in ((w, 1.0), (late, float(seen))):
+        for tag, came, sign in ((good, before[0], by), (bad, before[1], -by)):
+            np.add.at(target, (rows[own], tag[own, None]), sign)
+            np.add.at(target, (came[steps], tag[steps]), sign)
+        target[-1] = 0.0
+
+
+_PARTS = "shard int, n long, last binary, mean binary"
+
+
+def _average(parts: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many sentences, and both weights averaged by sentences, as flat arrays."""
+    parts = parts.sort_values(["n", "last"])
+    share = parts["n"] / parts["n"].sum()
+    return (int(parts["n"].sum()), *(sum(p * np.frombuffer(b) for p, b in zip(share, parts[c])) for c in ("last", "mean")))
+
+
+def _fold(group: pd.DataFrame) -> pd.DataFrame:
+    n, last, mean = _average(group)
+    return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "n": [n], "last": [last.tobytes()], "mean": [mean.tobytes()]})
 
 
 def train(
     df: DataFrame, text: str | Column, gazetteer: Mapping[str, Sequence[str]] = GAZETTEER,
-    sample: int = SAMPLE, rounds: int = 4, shards: int = 8,
+    rounds: int = 4, shards: int = 8, whole: bool = False,
 ) -> np.ndarray:
-    """Weights learned from the sentences that are not held out; all zero when there are none."""
-    tags = Tags(gazetteer)
-    fit = (
-        sentences_with_names(df, text, gazetteer)
-        .where(~F.col("held_out") & (F.length("sentence") <= LONGEST))
-        .withColumn("__rank", F.md5("sentence"))
-        .orderBy("__rank", "sentence")
-        .limit(sample)
-        .withColumn("shard", F.pmod(F.xxhash64("sentence"), F.lit(shards)).cast("int"))
-        .select("shard", "sentence", "__rank")
-    )
-    fit = cut_lineage(fit, "sentences")
+    """Weights learned from the sentences that are not held out, with ``whole`` from all; all zero when there are none.
+
+    There are ``shards`` shards, and more where they would hold more than ``SHARD`` characters.
+    """
+    with scratch_scope(df.sparkSession):
+        return _train(sentences_with_names(df, text, gazetteer), Tags(gazetteer), rounds, shards, whole)
+
+
+def _train(named: DataFrame, tags: Tags, rounds: int, shards: int, whole: bool) -> np.ndarray:
+    fit = cut_lineage(named.select("sentence") if whole else named.where(~F.col("held_out")).select("sentence"), "sentences", free=True)
+    size = fit.agg(F.sum(F.length("sentence").cast("long"))).first()[0]
     weights = np.zeros((ROWS + tags.count + 1, tags.count))
+    if size is None:
+        return weights
+    shards = max(shards, -(-size // SHARD))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sentences = [s for batch in batches for s in batch["sentence"]]
+        if sentences:
+            from pyspark import TaskContext
+
+            packed = Shard.of(sentences, tags, rounds).pack()
+            yield pd.DataFrame({"shard": [TaskContext.get().partitionId()], "n": [len(sentences)], **{k: [v] for k, v in packed.items()}})
+
+    # By number, so that a task has one shard.
+    dealt = fit.repartitionById(shards, F.pmod(F.xxhash64("sentence"), F.lit(shards)).cast("int"))
+    numbers = dealt.mapInPandas(deal, "shard int, n long, ids binary, want binary, lengths binary, table binary, orders binary")
+    numbers = cut_lineage(numbers, "shards", free=True)
     means = []
     for turn in range(rounds):
-        parts = fit.groupBy("shard").applyInPandas(_round(weights, turn, tags), "n long, last binary, mean binary").toPandas().sort_values(["n", "last"])
-        if parts.empty:
-            return weights
-        share = parts["n"] / parts["n"].sum()
-        weights, mean = (
-            sum(p * np.frombuffer(b).reshape(weights.shape) for p, b in zip(share, parts[c])) for c in ("last", "mean")
-        )
-        means.append(mean)
+        parts = cut_lineage(numbers.mapInPandas(_round(weights, turn, rounds, tags), _PARTS), "round")
+        groups = shards
+        while groups > FAN:
+            grouped = parts.withColumn("shard", F.expr(f"shard div {FAN}").cast("int")).groupBy("shard")
+            parts = cut_lineage(grouped.applyInPandas(_fold, _PARTS), "mixed", free=True)
+            groups = -(-groups // FAN)
+        _, last, mean = _average(parts.toPandas())
+        weights = last.reshape(weights.shape)
+        means.append(mean.reshape(weights.shape))
     return np.mean(means, axis=0)
 
 
+def _round(weights: np.ndarray, turn: int, rounds: int, tags: Tags) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                last, mean = _pass(weights, *Shard.unpack(row, rounds).turn(turn), tags)
+                yield pd.DataFrame({"shard": [row.shard], "n": [row.n], "last": [last.tobytes()], "mean": [mean.tobytes()]})
+
+    return run
+
+
 # ---- tagging --------------------------------------------------------------------------------
 
 

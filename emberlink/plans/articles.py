@@ -389,11 +389,11 @@ def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("entities_trained")
 def entities_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of every article by the trained tagger beside the gazetteer."""
+    """Names of every article by the tagger, trained on all sentences, beside the gazetteer."""
     e = st.articles(spark, sf_dir).withColumns(
         {"linked_fire_id": F.lit(1), "entities": F.lit(None).cast(T.ArrayType(schemas.ENTITY))}
     )
-    weights = tagger.train(e, "description", NAMES)
+    weights = tagger.train(e, "description", NAMES, whole=True)
     tagged = extract_entities(e, "description", NAMES, make_tagger=tagger.make_tagger(weights, NAMES))
     shown = F.transform("entities", lambda x: F.concat_ws("|", x["text"], x["label"]))
     return tagged.select("article_id", F.size("entities").alias("n"), F.concat_ws(",", shown).alias("spans"))

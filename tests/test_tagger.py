@@ -128,3 +128,59 @@ def test_words_keep_their_scores_between_batches():
         for word, no in adds.ids.items():
             rows = tagger._around(word, place) if place else tagger._own(word)
             assert np.allclose(table[no], weights[rows].sum(axis=0), atol=1e-12)
+
+
+def _one_at_a_time(weights, sentences, tags):
+    """The perceptron as it is defined: each window is tagged with the weights that the one before it left."""
+    w, total, seen = weights.copy(), np.zeros_like(weights), 0
+    for words in (([t[0] for t in tokens]) for s in sentences for tokens in tagger.split_words(s) if tokens):
+        rows, want = tagger.features(words), tags.known(words)
+        scores = np.stack([w[r].sum(axis=0) for r in rows])
+        have = tagger.best_paths(scores[None], np.array([len(words)]), w[tagger.ROWS :] + tags.barred)[0]
+        for i, (good, bad) in enumerate(zip(want, have)):
+            if good != bad:
+                np.add.at(w[:, good], rows[i], 1)
+                np.add.at(w[:, bad], rows[i], -1)
+            w[tagger.ROWS + (want[i - 1] if i else tags.count), good] += 1
+            w[tagger.ROWS + (have[i - 1] if i else tags.count), bad] -= 1
+        total += w
+        seen += 1
+    return w, total / seen
+
+
+def test_a_pass_that_looks_ahead_equals_one_sentence_at_a_time():
+    tags = tagger.Tags(NAMES)
+    sentences = texts(NAMES, 200, 11) + ["Bern " + "and so on " * 150 + "to Upper Wallis", "Bern", "!"]
+    shard = tagger.Shard.of(sentences, tags, 2)
+    weights = np.zeros((tagger.ROWS + tags.count + 1, tags.count))
+    for turn in range(2):
+        order = sorted(sentences, key=lambda s: (tagger.zlib.crc32(f"{turn}:{s}".encode()), s))
+        last, mean = tagger._pass(weights, *shard.turn(turn), tags)
+        want_last, want_mean = _one_at_a_time(weights, order, tags)
+        assert np.array_equal(last, want_last) and np.allclose(mean, want_mean, atol=1e-9)
+        weights = last
+
+
+def test_every_sentence_takes_part_in_training(spark, monkeypatch):
+    counted, average = [], tagger._average
+    monkeypatch.setattr(tagger, "_average", lambda parts: counted.append(average(parts)[0]) or average(parts))
+    rows = [(f"Near Bern {i}",) for i in range(8_300)] + [("Smoke " * 600 + "in Bern",), (None,), ("",)]
+    df = spark.createDataFrame(rows + rows[:50], "body string")
+    tagger.train(df, "body", NAMES, rounds=1, whole=True)
+    held_out = tagger.sentences_with_names(df, "body", NAMES).where("held_out").count()
+    tagger.train(df, "body", NAMES, rounds=1)
+    assert counted == [8_301, 8_301 - held_out] and held_out > 0
+
+
+def test_a_long_sentence_is_learned(spark):
+    """Two sentences of over 2000 characters, nothing else."""
+    df = spark.createDataFrame([("They said " * 300 + "in Bern",), ("We came " * 400 + "to the Red Cross",)], "body string")
+    assert tagger.train(df, "body", NAMES, rounds=1, whole=True).any()
+
+
+def test_shards_grow_in_number_and_merge_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(tagger, "SHARD", 400)
+    df = spark.createDataFrame([(t,) for t in texts(NAMES, 300, 7)], "body string")
+    weights = tagger.train(df, "body", NAMES, rounds=4, shards=1)
+    scores = {r.label: r for r in tagger.held_out_scores(df, "body", weights, NAMES).collect()}
+    assert all(r.f1 >= 0.9 for r in scores.values())
