@@ -18,8 +18,10 @@ from pyspark.sql import Column, functions as F
 
 BASE = 1_000_003
 PRIME = 2_147_483_647  # 2**31 - 1, so a remainder is a shift and a sum
-PIECE = 1 << 16
+PIECE = 1 << 15  # so that arrays over it stay in a core's cache
 _BITS = 31
+_POINT = 0x10FFFF  # the largest code point
+_ROOM = 1 << 61
 
 
 def _bind(value: Column, use) -> Column:
@@ -74,20 +76,33 @@ def texts_together(texts: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.nda
 
 def codes_by_size(sizes: np.ndarray, points: np.ndarray, wanted: Sequence[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(n, owner, code)`` for each ``n`` in ``wanted``: the grams of ``n`` characters of each of many texts, in text order."""
-    h = np.zeros(len(points), dtype=np.int64)
+    h, top = points, _POINT  # what h may reach; remainders are taken only before it gets too large, and for a result
     padded = np.concatenate([points, np.zeros(max(wanted), dtype=np.int64)])
     begin = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
     room = np.repeat(begin + sizes, sizes) - np.arange(len(points))  # characters from here to the end of the text
     for n in range(1, max(wanted) + 1):
-        h = h * BASE + padded[n - 1 : n - 1 + len(points)]
-        h = (h & PRIME) + (h >> _BITS)
-        h -= PRIME * (h >= PRIME)
+        if n > 1:
+            if top * BASE + _POINT >= _ROOM:
+                h, top = _remainder(h), PRIME
+            h = h * BASE
+            h += padded[n - 1 : n - 1 + len(points)]
+            top = top * BASE + _POINT
         if n in wanted:
+            if top >= PRIME:
+                h, top = _remainder(h), PRIME
             whole = room >= n
             yield n, owner[whole], h[whole]
 
 
+def _remainder(h: np.ndarray) -> np.ndarray:
+    """``h`` modulo ``PRIME``, for numbers below ``_ROOM``."""
+    rest = h & PRIME
+    rest += h >> _BITS
+    rest -= PRIME * (rest >= PRIME)
+    return rest
+
+
 def _buckets(sizes: np.ndarray, points: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Owner and bucket of every gram; a text shorter than ``n`` is one."""
     owners, found = [], []
@@ -95,31 +110,47 @@ def _buckets(sizes: np.ndarray, points: np.ndarray, n: int, width: int) -> tuple
     for size, owner, code in codes_by_size(sizes, points, [*short, n]):
         mine = slice(None) if size == n else sizes[owner] == size
         owners.append(owner[mine])
-        found.append(code[mine] % width)
+        # The same for a power of two, without a division.
+        found.append(code[mine] & (width - 1) if width & (width - 1) == 0 else code[mine] % width)
     return np.concatenate(owners), np.concatenate(found)
 
 
 def _counted(texts: pa.Array, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted ``row * width + bucket`` of the buckets that texts have, and how often."""
-    keys, counts, cut = [], [], False
-    last = -1
+    keys, counts, last = [], [], -1
     for rows, sizes, points in texts_together(texts, n):
         owner, bucket = _buckets(sizes, points, n, width)
-        ordered = np.sort(rows[owner] * width + bucket)
-        head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        keys.append(ordered[head])
-        counts.append(np.diff(np.append(head, len(ordered))))
-        cut, last = cut or rows[0] == last, rows[-1]
+        low, cells = rows[0] * width, (rows[-1] + 1 - rows[0]) * width
+        key = rows[owner] * width + bucket - low
+        if cells <= 8 * len(key):
+            # Few long texts: all of their buckets are counted, without a sort.
+            every = np.bincount(key, minlength=cells)
+            key = np.flatnonzero(every)
+            count = every[key]
+        else:
+            key.sort()
+            key, count = _summed(key, None)
+        key += low
+        if rows[0] == last:
+            # A text in several parts has a bucket several times.
+            old, new = np.searchsorted(keys[-1], low), np.searchsorted(key, low + width)
+            both = np.concatenate([keys[-1][old:], key[:new]])
+            order = np.argsort(both, kind="stable")
+            mine = _summed(both[order], np.concatenate([counts[-1][old:], count[:new]])[order])
+            keys[-1], counts[-1] = keys[-1][:old], counts[-1][:old]
+            key, count = (np.concatenate([m, c[new:]]) for m, c in zip(mine, (key, count)))
+        keys.append(key)
+        counts.append(count)
+        last = rows[-1]
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    if cut:
-        # A text in several parts has a bucket several times.
-        order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order]
-        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, count = key[head], np.add.reduceat(count, head)
-    return key, count
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def _summed(key: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys of a sorted array, and their counts summed up, one each if there are none."""
+    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[head], np.diff(np.append(head, len(key))) if count is None else np.add.reduceat(count, head)
 
 
 def gram_counts(text: str | Column, n: int = 3, width: int = 1 << 14) -> Column:
@@ -129,7 +160,8 @@ def gram_counts(text: str | Column, n: int = 3, width: int = 1 << 14) -> Column:
     def counts(texts: pa.Array) -> pa.Array:
         key, count = _counted(texts, n, width)
         starts = np.searchsorted(key, np.arange(len(texts) + 1) * width).astype(np.int32)
-        entries = pa.StructArray.from_arrays([pa.array((key % width).astype(np.int32)), pa.array(count)], ["bucket", "n"])
+        bucket = key - np.repeat(np.arange(len(texts)) * width, np.diff(starts))
+        entries = pa.StructArray.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(count)], ["bucket", "n"])
         return pa.ListArray.from_arrays(starts, entries)
 
     # Marked so that Spark does not count again for a filter on the counts.
@@ -141,9 +173,13 @@ def dense_counts(text: str | Column, n: int = 3, width: int = 256) -> Column:
 
     @F.arrow_udf("array<double>")
     def counts(texts: pa.Array) -> pa.Array:
-        key, count = _counted(texts, n, width)
-        every = np.zeros(len(texts) * width)
-        every[key] = count
+        every = np.zeros((len(texts), width))
+        for rows, sizes, points in texts_together(texts, n):
+            owner, bucket = _buckets(sizes, points, n, width)
+            # Rows go up, and a long one may be there in several parts.
+            some = slice(rows[0], rows[-1] + 1)
+            every[some] += np.bincount((rows[owner] - rows[0]) * width + bucket, minlength=(rows[-1] + 1 - rows[0]) * width).reshape(-1, width)
+        every = every.ravel()
         return pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * width, pa.array(every))
 
     return counts.asNondeterministic()(_lower(text))

@@ -6,11 +6,13 @@ event blocks and some article blocks and leaves one row per article: its best ev
 the answer, so both ways give the same rows. Events with equal vectors are one event there, the first. Every article meets every event, but not with all of its components: events are turned to their
 principal axes, products are taken over the first few, and what the others can add is bounded by the
 lengths they have left (Cauchy-Schwarz). Only pairs whose bound reaches the best exact product so far are
-compared in full. Where a quarter of the axes does not hold most of the events' squares, or the bound holds back
-less than nine in ten pairs, the whole product is taken as before: vectors without a structure offer nothing to skip.
+compared in full. Where a quarter of the axes does not hold most of the events' squares, articles go in groups of some
+``_GROUP`` that are near each other: the events' products with the middle of a group, and how far its articles are from there,
+bound what an event can reach. Only events that may win for one of ``_FEW`` articles, equally hard to bound, are multiplied with these, first in
+single precision; what is within its error of the best is multiplied again in double. Articles that are not near each other meet every event.
 No block is copied or shuffled to meet the others: tasks read them where they were written, so what goes to disk is
 each vector once and, for each article, one row for each of at most as many event groups as there are cores.
-A task holds one event block, and its share of the article blocks.
+A task holds one event block, and its share of the article blocks; what an article has found in one event block bounds the next.
 """
 
 from __future__ import annotations
@@ -34,6 +36,11 @@ _DIGITS = 12
 _CELLS = 1 << 21
 _HELD = 0.9  # of the events' squares, by the axes that products are first taken over
 _SLACK = 1e-9  # for what rounding does to a bound
+_BLOCK_BYTES = 8 << 20  # of a block of single precision that has more than BLOCK_ROWS rows
+_GROUP = 256  # articles near one middle, on average
+_FEW = 32  # of them that are multiplied together
+_STARS = 16  # events nearest to a middle, with which its articles begin
+_TURNS = 4  # of moving the middles of groups
 
 
 def link_semantic(
@@ -158,7 +165,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 class Axes:
-    """Unit vectors turned to their principal axes: the first few components, and the length of the rest."""
+    """Unit vectors turned to their principal axes: the first few components, and the length of the rest.
+
+    Also the vectors in single precision, their mean, and how far each is from it.
+    """
 
     def __init__(self, others: np.ndarray) -> None:
         squares, turn = np.linalg.eigh(others.T @ others)
@@ -168,6 +178,10 @@ class Axes:
         self.worth = 4 * self.few <= others.shape[1]
         self.turn = np.ascontiguousarray(turn[:, : self.few])
         self.head, self.rest = self.of(others) if self.worth else (None, None)
+        if not self.worth:
+            self.single = others.astype(np.float32)
+            self.middle = others.mean(axis=0) if len(others) else np.zeros(others.shape[1])
+            self.reach = np.linalg.norm(others - self.middle, axis=1).astype(np.float32)
 
     def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         head = rows @ self.turn
@@ -182,8 +196,21 @@ def _first_best(sims: np.ndarray, left: int, best: np.ndarray, where: np.ndarray
     best[better], where[better] = value[better], at[better] + left
 
 
-def _best(rows: np.ndarray, others: np.ndarray, axes: Axes | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-    """Highest cosine per row, the first position that has it, and how many products were taken in full; in bounded memory."""
+def _best(
+    rows: np.ndarray, others: np.ndarray, axes: Axes | None = None, cuts: np.ndarray | None = None, floor: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Highest cosine per row, the first position that has it, and how many products were taken in full; in bounded memory.
+
+    ``cuts``: where groups of rows that are near each other begin, if they are in that order already. A row whose highest
+    cosine is below its ``floor`` may get a lower one.
+    """
+    if axes is not None and not axes.worth and len(rows) and len(others):
+        if cuts is not None:
+            return _best_by_groups(rows, others, axes, cuts, floor)
+        order, cuts = _groups(rows)
+        found = _best_by_groups(rows[order], others, axes, cuts, None if floor is None else floor[order])
+        back = np.argsort(order)
+        return found[0][back], found[1][back], found[2]
     best = np.full(len(rows), -np.inf)
     where = np.zeros(len(rows), dtype=np.int64)
     width = min(len(others), 4096)
@@ -216,6 +243,115 @@ def _best(rows: np.ndarray, others: np.ndarray, axes: Axes | None = None) -> tup
     return best, where, taken
 
 
+def _groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of rows that brings near ones together, and where each group begins in it. Any grouping gives the same answers."""
+    count = -(-len(rows) // _GROUP)
+    single = rows.astype(np.float32)
+    # Each middle starts at a row, the likelier the farther that is from those before it; the same ones every time.
+    draw, middles = np.random.default_rng(count), single[:count].copy()
+    away = np.full(len(rows), np.inf)
+    for k in range(1, count):
+        away = np.minimum(away, ((single - middles[k - 1]) ** 2).sum(axis=1))
+        reached = np.cumsum(away, dtype=np.float64)
+        middles[k] = single[min(int(np.searchsorted(reached, draw.random() * reached[-1], side="right")), len(rows) - 1)]
+    order, cuts = np.arange(len(rows)), np.zeros(min(len(rows), 1), dtype=np.int64)
+    for _ in range(_TURNS if count > 1 else 0):
+        half = 0.5 * (middles * middles).sum(axis=1)
+        mine = np.empty(len(rows), dtype=np.int64)
+        step = max(1, _CELLS // count)
+        for top in range(0, len(rows), step):
+            mine[top : top + step] = (single[top : top + step] @ middles.T - half).argmax(axis=1)
+        order = np.argsort(mine, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(mine[order]) != 0]))
+        middles = np.add.reduceat(single[order], cuts, axis=0) / np.diff(np.append(cuts, len(rows)))[:, None].astype(np.float32)
+    return order, cuts
+
+
+def _best_by_groups(
+    rows: np.ndarray, others: np.ndarray, axes: Axes, cuts: np.ndarray, floor: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """:func:`_best` over rows in groups.
+
+    A row is the middle of its group and a rest. With an event, the rest's product is that with the events' mean, and at most its length times how
+    far the event is from the mean.
+    """
+    sizes = np.diff(np.append(cuts, len(rows)))
+    middles = np.add.reduceat(rows, cuts, axis=0) / sizes[:, None]
+    rest = rows - np.repeat(middles, sizes, axis=0)
+    far = np.sqrt((rest * rest).sum(axis=1))
+    lean = rest @ axes.middle
+    # What single precision may be wrong by: unit vectors, every term and sum rounded.
+    error = 2.0 * (rows.shape[1] + 4) * float(np.finfo(np.float32).eps)
+    near, wide = float(axes.reach.min()) - error, float(axes.reach.max()) + error
+    single, few = rows.astype(np.float32), middles.astype(np.float32)
+    best = np.full(len(rows), -np.inf)
+    where = np.zeros(len(rows), dtype=np.int64)
+    taken, pairs, held = 0, [], 0
+
+    def settle() -> None:
+        """Candidates in double: the highest, and of equals the first."""
+        i, j = (np.concatenate(p) for p in zip(*pairs))
+        step = _CELLS // 64
+        sims = np.concatenate([np.round(np.einsum("ij,ij->i", rows[i[k : k + step]], others[j[k : k + step]]), _DIGITS) for k in range(0, len(i), step)])
+        order = np.lexsort((j, -sims, i))
+        first = order[np.concatenate([[True], i[order][1:] != i[order][:-1]])]
+        _take(best, where, i[first], sims[first], j[first])
+        pairs.clear()
+
+    step = max(1, _CELLS // len(others))
+    for group, (left, size) in enumerate(zip(cuts, sizes)):
+        if group % step == 0:
+            products = few[group : group + step] @ axes.single.T
+        product = products[group % step]
+        part = slice(left, left + size)
+        stars = np.sort(np.argpartition(product, -_STARS)[-_STARS:]) if len(product) > _STARS else np.arange(len(product))
+        sims = np.round(rows[part] @ others[stars].T, _DIGITS)
+        at = sims.argmax(axis=1)
+        best[part], where[part] = sims[np.arange(size), at], stars[at]
+        level = best[part].copy() if floor is None else np.maximum(best[part], floor[part])
+        # What the group's product with an event lacks to the level, if the event is as near to the mean, or as far from it, as any.
+        lack = lean[part] - level
+        low, high = lack + far[part] * near, lack + far[part] * wide
+        order = np.argsort(-high)
+        for first in range(0, size, _FEW):
+            some = order[first : first + _FEW]
+            # The highest of lines is below the chord of its ends.
+            slope = (high[some].max() - low[some].max()) / max(wide - near, _SLACK)
+            base = low[some].max() - slope * near
+            reached = np.flatnonzero(product + np.float32(slope) * axes.reach >= np.float32(-base - _SLACK - 4 * error))
+            if 2 * len(reached) > len(others):
+                reached = None
+            chosen = axes.single if reached is None else axes.single[reached]
+            height = max(1, _CELLS // max(len(chosen), 1))
+            for top in range(0, len(some), height):
+                mine = some[top : top + height]
+                tile = single[left + mine] @ chosen.T
+                taken += tile.size
+                if not tile.size:
+                    continue
+                least = np.maximum(tile.max(axis=1), level[mine].astype(np.float32)) - np.float32(error)
+                i, j = np.nonzero(tile >= least[:, None])
+                if len(i) > 64 + tile.size // 10:
+                    whole = np.round(rows[left + mine] @ (others if reached is None else others[reached]).T, _DIGITS)
+                    j = whole.argmax(axis=1)
+                    _take(best, where, left + mine, whole[np.arange(len(j)), j], j if reached is None else reached[j])
+                elif len(i):
+                    pairs.append((left + mine[i], j if reached is None else reached[j]))
+                    held += len(i)
+                    if held > _CELLS // 8:
+                        settle()
+                        held = 0
+    if pairs:
+        settle()
+    return best, where, taken
+
+
+def _take(best: np.ndarray, where: np.ndarray, at: np.ndarray, sims: np.ndarray, j: np.ndarray) -> None:
+    """Take over, in place, what is higher, or as high and earlier; ``at`` names no row twice."""
+    better = (sims > best[at]) | ((sims == best[at]) & (j < where[at]))
+    best[at[better]], where[at[better]] = sims[better], j[better]
+
+
 def _answers(ids: pa.Array, best: np.ndarray, where: np.ndarray, events: pa.Table, schema: pa.Schema) -> pa.RecordBatch:
     chosen = events.take(pa.array(where))
     columns = [ids, pa.array(best)] + [
@@ -260,16 +396,41 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str, once: bool = False) -> DataFrame:
+def _block_schema(df: DataFrame, names: list[str], grouped: bool = False) -> T.StructType:
+    binary = ["matrix", "cuts"] if grouped else ["matrix"]
+    return T.StructType([T.StructField(n, T.ArrayType(df.schema[n].dataType)) for n in names] + [T.StructField(n, T.BinaryType()) for n in binary])
+
+
+def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str, once: bool = False, grouped: bool = False) -> DataFrame:
     """One row per block of vectors: ``block`` (a number of its own), an array per column in ``names``, and ``matrix``.
 
-    With ``once``, a vector that equals the one before it is left out.
+    With ``once``, a vector that equals the one before it is left out. With ``grouped``, near vectors are
+    together, and ``cuts`` tells where each group begins.
     """
-    pack = T.StructType([T.StructField(n, T.ArrayType(df.schema[n].dataType)) for n in names] + [T.StructField("matrix", T.BinaryType())])
+    pack = _block_schema(df, names, grouped)
     out = _arrow_schema(pack)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last, held = None, []
+
+        def blocks(end: bool) -> Iterator[pa.RecordBatch]:
+            """Whole blocks of what is held, and at the end the rest."""
+            if not held:
+                return
+            table, vectors = pa.Table.from_batches([b for b, _ in held]), np.concatenate([v for _, v in held])
+            held.clear()
+            for start in range(0, len(vectors), rows):
+                part, some = table.slice(start, rows), vectors[start : start + rows]
+                if len(some) < rows and not end:
+                    held.append((part.combine_chunks().to_batches()[0], some.copy()))
+                    break
+                more = {}
+                if grouped:
+                    order, cuts = _groups(_unit(some))
+                    part, some, more = part.take(pa.array(order)), some[order], {"cuts": cuts.astype(np.int64).tobytes()}
+                values = {n: part.column(n).to_pylist() for n in names}
+                yield pa.RecordBatch.from_pylist([{**values, "matrix": some.tobytes(), **more}], schema=out)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -280,12 +441,42 @@ def _in_blocks(df: DataFrame, names: list[str], rows: int, label: str, once: boo
                 new[0] = last is None or (vectors[0] != last).any()
                 last = vectors[-1].copy()
                 batch, vectors = batch.filter(pa.array(new)), vectors[new]
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                values = {n: part.column(n).to_pylist() for n in names}
-                yield pa.RecordBatch.from_pylist([{**values, "matrix": vectors[start : start + rows].tobytes()}], schema=out)
+            # Copies, so that a block does not keep the batches it came from.
+            held.append((batch.select(names), vectors.copy()))
+            if sum(len(v) for _, v in held) >= rows:
+                yield from blocks(False)
+        yield from blocks(True)
+
+    return cut_lineage(df.select(*names, "vector").mapInArrow(cut, pack).withColumn("block", F.monotonically_increasing_id()), label, free=True)
+
+
+def _together(out: pa.Schema, names: list[str], rows: int):
+    """Neighbouring blocks as one, as long as it has no more than ``rows`` rows."""
 
-    return cut_lineage(df.select(*names, "vector").mapInArrow(cut, pack).withColumn("block", F.monotonically_increasing_id()), label)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def one() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            columns = {n: [pa.concat_arrays([c.flatten() for c in table.column(n).chunks])] for n in names}
+            row = {n: pa.ListArray.from_arrays([0, len(v[0])], v[0]) for n, v in columns.items()}
+            row["matrix"] = pa.array([b"".join(table.column("matrix").to_pylist())], pa.binary())
+            row["block"] = table.column("block").slice(0, 1).combine_chunks()
+            return pa.RecordBatch.from_arrays([row[f.name].cast(f.type) for f in out], schema=out)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = batch.slice(i, 1)
+                more = len(block.column(names[0])[0])
+                if held and size + more > rows:
+                    yield one()
+                    held, size = [], 0
+                held.append(block)
+                size += more
+        if held:
+            yield one()
+
+    return merge
 
 
 def _first_of(old: pa.Table, new: pa.Table, best: np.ndarray, more: np.ndarray) -> tuple[pa.Table, np.ndarray]:
@@ -313,17 +504,21 @@ def _top1_blocks(a: DataFrame, e: DataFrame, width: int, count: int, rows: int,
     spark, schema = a.sparkSession, _result_schema(a, e)
     names = ["ord", "event_id", "disaster_type"]
     kinds = [np.float32 if isinstance(side.schema["vector"].dataType.elementType, T.FloatType) else np.float64 for side in (a, e)]
-    rows = max(rows, min(BLOCK_ROWS, count // _BLOCKS))
+    rows = max(rows, min(_BLOCK_BYTES // (4 * width), count // _BLOCKS))
     # Equal vectors come together, the first of them in front.
     tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // rows)))
     same = F.xxhash64("vector")
     ordered = e.repartition(tasks, same).sortWithinPartitions(same, *[F.col(n).asc_nulls_last() for n in names])
     events = _in_blocks(ordered, names, rows, "event-blocks", once=True)
-    articles = _in_blocks(a, ["article_id"], rows, "article-blocks")
+    articles = _in_blocks(a, ["article_id"], rows, "article-blocks", grouped=True)
     out = _arrow_schema(schema)
-    pairs = events.select(F.col("block").alias("e_block"), *names, F.col("matrix").alias("e_matrix")).coalesce(
-        max(1, spark.sparkContext.defaultParallelism)
-    ).crossJoin(articles.select("block", "article_id", "matrix"))
+    # Blocks that copies have left small are put together where they are read.
+    fewer = events.coalesce(max(1, spark.sparkContext.defaultParallelism)).mapInArrow(
+        _together(_arrow_schema(events.schema), names, rows), events.schema
+    )
+    pairs = fewer.select(F.col("block").alias("e_block"), *names, F.col("matrix").alias("e_matrix")).crossJoin(
+        articles.select("block", "article_id", "matrix", "cuts")
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         event, found = None, {}
@@ -337,9 +532,12 @@ def _top1_blocks(a: DataFrame, e: DataFrame, width: int, count: int, rows: int,
                     table = table.take(order)
                     matrix = _unit(np.frombuffer(row["e_matrix"].as_buffer(), kinds[1]).reshape(-1, width)[order.to_numpy()])
                     axes = Axes(matrix)
-                best, where, taken = _best(_unit(np.frombuffer(row["matrix"].as_buffer(), kinds[0]).reshape(-1, width)), matrix, axes)
+                no = row["block"].as_py()
+                vectors = _unit(np.frombuffer(row["matrix"].as_buffer(), kinds[0]).reshape(-1, width))
+                cuts = np.frombuffer(row["cuts"].as_buffer(), np.int64)
+                best, where, taken = _best(vectors, matrix, axes, cuts, found[no][2] if no in found else None)
                 _count(products, len(best) * len(matrix), taken)
-                chosen, no = table.take(pa.array(where)), row["block"].as_py()
+                chosen = table.take(pa.array(where))
                 if no in found:
                     ids, old, value = found[no]
                     found[no] = (ids, *_first_of(old, chosen, value, best))

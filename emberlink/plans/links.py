@@ -300,7 +300,7 @@ def text_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles and hazard sentences through the built-in encoder."""
     news, sentences = _texts(spark, sf_dir)
-    a, e = encode_hashed((news, "text"), (sentences, "text"), width=64)
+    a, e = encode_hashed((news.select("article_id", "text"), "text"), (sentences, "text"), width=64, keep_text=False)
     return link_semantic(a, e, threshold=None)
 
 

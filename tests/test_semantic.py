@@ -202,3 +202,60 @@ def test_floats_in_blocks_equal_doubles(spark):
     )
     one, other = (sorted(map(tuple, top1(*frames_of(kind), max_broadcast_bytes=0, block_rows=8).collect())) for kind in ("float", "double"))
     assert one == other and len(one) == 90
+
+
+@pytest.mark.parametrize("kind", ["near", "outliers", "far", "equal"])
+def test_groups_change_no_answer(kind):
+    """Texts are near a few middles, events are not near a subspace: most events cannot win, and are not multiplied."""
+    rng = np.random.default_rng(8)
+    unit = lambda m: m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) == 0, 1, n)
+    others = unit(rng.standard_normal((6000, 48)))
+    rows = unit(rng.standard_normal((5, 48)))[rng.integers(0, 5, 1500)] + 0.01 * rng.standard_normal((1500, 48))
+    if kind == "outliers":
+        rows[::50] = rng.standard_normal((30, 48))
+        rows[7], others[11] = 0.0, 0.0
+    elif kind == "far":
+        rows = rng.standard_normal((1500, 48))
+    elif kind == "equal":
+        others[3000:] = others[:3000]
+        rows[100:200] = others[50]
+    rows = unit(rows)
+    axes = semantic.Axes(others)
+    assert not axes.worth
+    plain, grouped = semantic._best(rows, others), semantic._best(rows, others, axes)
+    assert np.allclose(plain[0], grouped[0], atol=2e-12) and (plain[1] == grouped[1]).all()
+    floor = plain[0] - np.where(np.arange(len(rows)) % 2, 0.0, 0.1)
+    again = semantic._best(rows, others, axes, floor=floor)
+    assert (again[1] == plain[1]).all()
+    above = semantic._best(rows, others, axes, floor=plain[0] + 0.01)
+    assert (above[0] <= plain[0] + 2e-12).all()
+    if kind == "near":
+        assert grouped[2] < 0.1 * len(rows) * len(others)
+    if kind == "far":
+        assert grouped[2] == len(rows) * len(others)
+
+
+def test_small_blocks_are_put_together(spark):
+    """Copies leave few events in a block; what meets the articles is one block."""
+    a, e = _structured(100, 16, 16, 4, 0.3), np.repeat(_structured(90, 16, 16, 5, 0.3), 40, axis=0)
+    articles = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "article_id long, vector array<float>")
+    events = spark.createDataFrame([(i, "x", v.tolist()) for i, v in enumerate(e)], "event_id long, disaster_type string, vector array<float>")
+    names = ["event_id", "disaster_type"]
+    blocks = semantic._in_blocks(events.repartition(4, "vector").sortWithinPartitions("vector", "event_id"), names, 50, "test", once=True)
+    schema = semantic._arrow_schema(blocks.schema)
+    joined = blocks.coalesce(1).mapInArrow(semantic._together(schema, names, 1000), blocks.schema).collect()
+    assert len(joined) == 1 and len(joined[0].matrix) == 90 * 16 * 4
+    assert sorted(joined[0].event_id) == list(range(0, 3600, 40)) and joined[0].disaster_type == ["x"] * 90
+    got = {r.article_id: r.event_id for r in top1(articles, events, max_broadcast_bytes=0, block_rows=50).collect()}
+    assert got == {r.article_id: r.event_id for r in top1(articles, events).collect()}
+
+
+def test_texts_are_counted_once(spark):
+    """The frames read counts that were written, and no text; without ``keep_text`` the text is not written either."""
+    df = spark.createDataFrame([(1, "some text"), (2, None), (3, "")], "id int, text string")
+    for keep in (True, False):
+        (vectors,) = encode_hashed((df, "text"), width=8, keep_text=keep)
+        plan = vectors._jdf.queryExecution().analyzed().toString()
+        assert "counts" in plan and "lower" not in plan
+        assert vectors.columns == (["id", "text", "vector"] if keep else ["id", "vector"])
+        assert [r.id for r in vectors.collect()] == [1]
