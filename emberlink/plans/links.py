@@ -308,7 +308,7 @@ def semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def semantic_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the dense encoder; singular vectors have no SQL form."""
     news, sentences = _texts(spark, sf_dir)
-    a, e = encode_dense((news.select("article_id", "text"), "text"), (sentences, "text"), dims=32, width=4096)
+    a, e = encode_dense((news.select("article_id", "text"), "text"), (sentences, "text"), dims=32, width=4096, keep_text=False)
     return link_semantic(a, e, threshold=None)
 
 

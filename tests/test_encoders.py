@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlink.functions import grams as g
+from emberlink.functions import dense
 from emberlink.functions.dense import FAN, encode_dense, main_axes, tf_idf
 
 
@@ -114,3 +115,30 @@ def test_grams_are_counted_a_batch_at_a_time(spark):
     for counted in (g.gram_counts("text"), g.dense_counts("text", width=8)):
         plan = df.select(counted.alias("c")).where(F.size("c") > 0)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan
+
+
+def test_dense_rows_equal_sparse_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+    sizes = np.array([0, 5, 0, 40, 64, 1, 0])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    buckets = np.concatenate([np.sort(rng.choice(64, s, replace=False)) for s in sizes]).astype(np.int32)
+    weights, matrix = rng.standard_normal(len(buckets)), rng.standard_normal((64, 5))
+    plain = np.zeros((len(sizes), 64))
+    plain[np.repeat(np.arange(len(sizes)), sizes), buckets] = weights
+    for limit, near in ((12, 1 << 12), (0, 1 << 12), (0, 7)):
+        monkeypatch.setattr(dense, "_DENSE", limit)
+        monkeypatch.setattr(dense, "_NEAR", near)
+        assert (dense._as_dense(starts, buckets, weights, 64) is None) == (limit == 0)
+        assert np.allclose(dense._times(starts, buckets, weights, matrix), plain @ matrix)
+        sums = np.ones((64, 5))
+        dense._add_transposed(sums, starts, buckets, weights, matrix)
+        assert np.allclose(sums, 1 + plain.T @ (plain @ matrix))
+
+
+def test_weights_are_made_where_they_are_multiplied(spark):
+    df = spark.createDataFrame(list(enumerate(themes(120))), "id int, text string").withColumn("__grams", g.gram_counts("text", 3, 256))
+    (weighted,) = tf_idf([df], 256)
+    idf = dense._idf([df.select("__grams")], 256)
+    one = main_axes(weighted.select("__at", "__weight"), 256, 4)
+    other = main_axes(df.select("__grams"), 256, 4, idf=idf)
+    assert np.allclose(one, other, atol=1e-8)
